@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpus_audit.findings import as_findings, rule_findings
 from corpus_audit.functions import text as tx
@@ -221,17 +222,14 @@ def select_units(units: DataFrame, selectors: DataFrame) -> tuple[DataFrame, Dat
 def assign_types(points: DataFrame, unit_col: str, declared: list[str]) -> DataFrame:
     """Question type per point: preferred by level, then every unused declared type takes over one point.
 
-    ``points(unit, pos, requirement)``.  The takeover is greedy per unit: an unused type goes to the last
-    point whose current type is held more than once.  Only the last ``k`` points of each (unit, current type)
-    can ever be taken (``k`` = number of declared types), so each unit ships at most ``k * k`` rows with
-    their group sizes to the greedy step however many points it has; the rest keep their first type.
+    ``points(unit, pos, requirement)``, ``pos`` unique per unit.  The takeover is greedy: an unused type goes to
+    the last point whose current type is held more than once.  Only the last ``k`` points of each (unit, current
+    type) can ever be taken (``k`` = number of declared types), so a unit of any size is reduced to at most
+    ``k * k`` rows, with its exact group sizes, before the greedy step; all other points keep their type.
     """
     k = len(declared)
     preferred = F.coalesce(
-        *[
-            F.when((F.col("requirement") == level) & F.lit(kind in declared), F.lit(kind))
-            for level, kind in PREFERRED_TYPE.items()
-        ],
+        *[F.when(F.col("requirement") == level, F.lit(kind)) for level, kind in PREFERRED_TYPE.items() if kind in declared],
         F.lit(declared[0]),
     )
     first = points.select(unit_col, "pos", preferred.alias("question_type"))
@@ -240,27 +238,29 @@ def assign_types(points: DataFrame, unit_col: str, declared: list[str]) -> DataF
     tails = (
         first.withColumn("_rn", F.row_number().over(from_end))
         .filter(F.col("_rn") <= k)
-        .drop("_rn")
         .join(sizes, [unit_col, "question_type"])
-    )
-
-    def takeover(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("pos", ascending=False)
-        current = dict(zip(rows["pos"], rows["question_type"]))
-        held = rows.drop_duplicates("question_type").set_index("question_type")["held"].to_dict()
-        taken = []
-        for kind in [d for d in declared if d not in held]:
-            donor = next((p for p in rows["pos"] if held[current[p]] > 1), None)
-            if donor is not None:
-                held[current[donor]] -= 1
-                current[donor] = kind
-                held[kind] = held.get(kind, 0) + 1
-                taken = [t for t in taken if t[0] != donor] + [(donor, kind)]
-        unit = pdf[unit_col].iloc[0]
-        return pd.DataFrame({unit_col: [unit] * len(taken), "pos": [p for p, _ in taken], "_new": [t for _, t in taken]})
-
-    schema = f"{unit_col} {dict(points.dtypes)[unit_col]}, pos {dict(points.dtypes)['pos']}, _new string"
-    changes = tails.groupBy(unit_col).applyInPandas(takeover, schema)
+        .groupBy(unit_col)
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "question_type", "held")), asc=False).alias("_tail"))
+    )
+    change = T.StructType([T.StructField("pos", T.LongType()), T.StructField("kind", T.StringType())])
+
+    @F.pandas_udf(T.ArrayType(change))
+    def takeover(tail: pd.Series) -> pd.Series:
+        def one(rows):
+            current = {r["pos"]: r["question_type"] for r in rows}
+            held = {r["question_type"]: r["held"] for r in rows}
+            changes = []
+            for kind in [d for d in declared if d not in held]:
+                donor = next((p for p in current if held[current[p]] > 1), None)
+                if donor is not None:
+                    held[current[donor]] -= 1
+                    current[donor], held[kind] = kind, 1
+                    changes.append({"pos": donor, "kind": kind})
+            return changes
+
+        return tail.map(one)
+
+    changes = tails.select(unit_col, F.inline(takeover("_tail"))).withColumnRenamed("kind", "_new")
     return first.join(changes, [unit_col, "pos"], "left").select(
         unit_col, "pos", F.coalesce("_new", "question_type").alias("question_type")
     )
