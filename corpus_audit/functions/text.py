@@ -270,7 +270,7 @@ _FRONT = r"(?s)\A---\n(.*?)\n---\n"
 _ENTRY = "array<struct<k:string,v:string>>"
 
 
-def _last_wins(entries: Column) -> Column:
+def last_wins(entries: Column) -> Column:
     kept = F.filter(
         entries,
         lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later.k == e.k),
@@ -278,7 +278,7 @@ def _last_wins(entries: Column) -> Column:
     return F.map_from_entries(kept)
 
 
-def _first_wins(entries: Column) -> Column:
+def first_wins(entries: Column) -> Column:
     kept = F.filter(
         entries, lambda e, i: (i == 0) | ~F.exists(F.slice(entries, F.lit(1), i), lambda earlier: earlier.k == e.k)
     )
@@ -314,7 +314,7 @@ def parse_frontmatter(c: Column | str) -> Column:
             .cast(_ENTRY)
         )
 
-    return _last_wins(F.aggregate(lines, F.array().cast(_ENTRY), step))
+    return last_wins(F.aggregate(lines, F.array().cast(_ENTRY), step))
 
 
 def frontmatter_list(c: Column | str, key: str) -> Column:
@@ -342,7 +342,7 @@ def parse_meta_table(c: Column | str) -> Column:
     rows = F.when(stop > 0, F.slice(rest, F.lit(1), stop - 1)).otherwise(rest)
     cells = F.filter(F.transform(rows, _pipe_cells), lambda x: F.size(x) >= 2)
     entries = F.transform(cells, lambda x: F.struct(x[0].alias("k"), x[1].alias("v")))
-    return _last_wins(F.when(at > 0, entries).otherwise(F.array().cast(_ENTRY)))
+    return last_wins(F.when(at > 0, entries).otherwise(F.array().cast(_ENTRY)))
 
 
 def table_fields(c: Column | str) -> Column:
@@ -352,7 +352,7 @@ def table_fields(c: Column | str) -> Column:
         F.transform(rows, _pipe_cells),
         lambda x: (F.size(x) >= 2) & (x[0] != "") & ~x[0].isin(TABLE_HEADER_LABELS),
     )
-    return _first_wins(F.transform(cells, lambda x: F.struct(x[0].alias("k"), x[1].alias("v"))))
+    return first_wins(F.transform(cells, lambda x: F.struct(x[0].alias("k"), x[1].alias("v"))))
 
 
 def heading_title(c: Column | str, default: str = "课程页") -> Column:

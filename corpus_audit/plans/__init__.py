@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ["content"]
+FAMILIES = ["content", "links", "structure", "text"]
 
 
 def load_all() -> None:

@@ -199,3 +199,92 @@ def baseline_probes(spark: SparkSession, sf: str) -> DataFrame:
     """The state before the cut; every seventh page is unknown to it, so it shows up as new."""
     old = probes(spark, sf).filter((F.col("ts") < F.lit(CUT).cast("timestamp")) & (F.col("page_id") % 7 != 3))
     return _latest(old)
+
+
+# -- syllabus documents -------------------------------------------------------------------------
+# Every document's own lines become a syllabus: contents list, four units in three numbering styles
+# (section by number, by bracketed numeral, none), two appendices and a closing part.  Line i of the
+# document belongs to unit i % 4.  Documents differ in whether they have an introduction, a second
+# chapter, a contents list, an appendix clash, and a terminated question-type sentence.
+
+REQ_HEADING = "二、考核知识点与考核要求"
+CN_DIGITS = "一二三四五六七八九"
+
+
+def _cn(n: str) -> str:
+    one = f"substr('{CN_DIGITS}', {{}}, 1)"
+    return (
+        f"CASE WHEN {n} < 10 THEN {one.format(n)} WHEN {n} = 10 THEN '十' WHEN {n} < 20 THEN '十' || {one.format(f'{n} - 10')} "
+        f"ELSE {one.format(f'{n} {{div}} 10')} || '十' || CASE WHEN {n} % 10 > 0 THEN {one.format(f'{n} % 10')} ELSE '' END END"
+    )
+
+
+def _unit(c: int, title: str, style: str, dialect: str) -> str:
+    x, i = ("x", "i") if dialect == "duck" else ("e.x", "e.i")
+    n = f"({i} {{div}} 4 + 1)"
+    label = {
+        "number": f"{n} || '.' || substr({x}, 1, 12)",
+        "paren": f"'（' || {_cn(n)} || '）' || substr({x}, 1, 12)",
+    }.get(style)
+    body = f"replace({x}, '. ', '；')"
+    level = (
+        f"CASE length({x}) % 4 WHEN 0 THEN '识记：' WHEN 1 THEN '领会：' WHEN 2 THEN '应用：' ELSE '' END"
+    )
+    rows = [f"{level} || substr({body}, 1, 60)", f"substr({body}, 61) || '。'"]
+    if label:
+        rows.insert(0, f"{label} || CASE WHEN length({x}) % 6 = 0 THEN '（本节内容不作考核要求）' ELSE '' END")
+    head = [title, "'一、学习目的与要求'", "'Read ' || source || '.'", f"'{REQ_HEADING}'"]
+    tail = ["'三、本章重点'", "source || '；focus'", "'12'"]
+    if dialect == "duck":
+        inner = f"flatten([[{', '.join(rows)}] FOR x, i IN l IF i % 4 = {c}])"
+        text = f"list_concat([{', '.join(head)}], {inner}, [{', '.join(tail)}])"
+    else:
+        inner = (
+            f"flatten(transform(filter(transform(l, (x, i) -> struct(x, i + 1 AS i)), e -> e.i % 4 = {c}), "
+            f"e -> array({', '.join(rows)})))"
+        )
+        text = f"concat(array({', '.join(head)}), {inner}, array({', '.join(tail)}))"
+    return text.replace("{div}", "//" if dialect == "duck" else "div")
+
+
+def _syllabus(dialect: str) -> str:
+    duck = dialect == "duck"
+    arr = (lambda *xs: "[" + ", ".join(xs) + "]") if duck else (lambda *xs: "array(" + ", ".join(xs) + ")")
+    none = "[]::VARCHAR[]" if duck else "cast(array() as array<string>)"
+    concat = "list_concat" if duck else "concat"
+    unit = lambda c, title, style: _unit(c, title, style, dialect)
+    first = "l[1]" if duck else "l[0]"
+    intro = lambda a: f"CASE WHEN doc_id % 2 = 0 THEN {a} ELSE {none} END"
+    second = lambda a: f"CASE WHEN doc_id % 4 = 1 THEN {none} ELSE {a} END"
+    toc = (
+        f"CASE WHEN doc_id % 5 = 0 THEN {none} ELSE {concat}({arr(chr(39) + '大纲目录' + chr(39))}, "
+        + intro(arr("'导论'")) + f", {arr(chr(39) + '第一章 基础' + chr(39))}, " + second(arr("'第二章 ' || lang"))
+        + f", {arr(chr(39) + '第 3 章 进阶' + chr(39), chr(39) + '3' + chr(39))}) END"
+    )
+    units = ", ".join(
+        [
+            intro(unit(0, "'导论'", "number")), unit(1, "'第一章 基础'", "number"),
+            second(unit(2, "'第二章 ' || lang", "paren")), unit(3, "'第 3 章 进阶'", "none"),
+        ]
+    )
+    closing = arr(
+        "'附录一 ' || source", f"'{REQ_HEADING}'", f"'识记：' || substr({first}, 1, 30) || '。'",
+        "CASE WHEN doc_id % 6 = 0 THEN '附录一 重复' ELSE '附录二 补充' END", "'tail of appendix'", "'Ⅳ 关于大纲的说明'",
+        "'可能采用的题型有：单项选择题、简答'", "'题、综合题型、'", "CASE WHEN doc_id % 3 = 0 THEN '论述题等。' ELSE '论述题' END",
+        "'a'", "'b'", "'c'",
+    )
+    return f"{concat}({toc}, {arr(chr(39) + 'Ⅰ 课程性质' + chr(39), chr(39) + 'Ⅲ 课程内容与考核要求' + chr(39))}, {units}, {closing})"
+
+
+SYLLABUS = (
+    "SELECT doc_id, generate_subscripts(s, 1)::BIGINT AS line_no, unnest(s) AS text FROM (SELECT doc_id, "
+    + _syllabus("duck")
+    + " AS s FROM (SELECT doc_id, source, lang, string_split(text, chr(10)) AS l FROM documents))"
+)
+
+
+def syllabus_lines(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", F.split("text", "\n", -1).alias("l"))
+    return docs.select("doc_id", F.posexplode(F.expr(_syllabus("spark"))).alias("_p", "text")).select(
+        "doc_id", (F.col("_p") + 1).cast("bigint").alias("line_no"), "text"
+    )
