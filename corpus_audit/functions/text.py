@@ -25,6 +25,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once: array expressions get no common-subexpression elimination."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def extract_or_null(c: Column, pattern: str, group: int = 1) -> Column:
     """``regexp_extract`` whose no-match result is null instead of the empty string."""
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
@@ -53,8 +58,10 @@ def physical_lines(c: Column | str) -> Column:
 
 def display_lines(c: Column | str) -> Column:
     """Lines by every Unicode line boundary; a trailing boundary opens no extra line."""
-    parts = F.split(col(c), LINE_BREAKS, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    return let(
+        F.split(col(c), LINE_BREAKS, -1),
+        lambda parts: F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts),
+    )
 
 
 # -- urls and paths -----------------------------------------------------------------------------
@@ -270,19 +277,22 @@ _FRONT = r"(?s)\A---\n(.*?)\n---\n"
 _ENTRY = "array<struct<k:string,v:string>>"
 
 
+def _distinct_entries(entries: Column, others) -> Column:
+    """Map of the entries none of whose ``others(entries, position)`` has the same key."""
+
+    def build(bound: Column) -> Column:
+        kept = F.filter(bound, lambda e, i: ~F.exists(others(bound, i), lambda o: o.k == e.k))
+        return F.map_from_entries(kept)
+
+    return let(entries, build)
+
+
 def last_wins(entries: Column) -> Column:
-    kept = F.filter(
-        entries,
-        lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later.k == e.k),
-    )
-    return F.map_from_entries(kept)
+    return _distinct_entries(entries, lambda bound, i: F.slice(bound, i + 2, F.size(bound)))
 
 
 def first_wins(entries: Column) -> Column:
-    kept = F.filter(
-        entries, lambda e, i: (i == 0) | ~F.exists(F.slice(entries, F.lit(1), i), lambda earlier: earlier.k == e.k)
-    )
-    return F.map_from_entries(kept)
+    return _distinct_entries(entries, lambda bound, i: F.slice(bound, F.lit(1), i))
 
 
 def frontmatter_block(c: Column | str) -> Column:
@@ -335,14 +345,16 @@ def _pipe_cells(line: Column) -> Column:
 
 def parse_meta_table(c: Column | str) -> Column:
     """First 字段 / 内容 table as a map; the last duplicate wins."""
-    lines = F.transform(display_lines(c), strip_ws)
-    at = F.array_position(lines, META_HEADER)
-    rest = F.slice(lines, at.cast("int") + 2, F.size(lines))
-    stop = F.array_position(F.transform(rest, lambda line: line.startswith("|")), F.lit(False)).cast("int")
-    rows = F.when(stop > 0, F.slice(rest, F.lit(1), stop - 1)).otherwise(rest)
-    cells = F.filter(F.transform(rows, _pipe_cells), lambda x: F.size(x) >= 2)
-    entries = F.transform(cells, lambda x: F.struct(x[0].alias("k"), x[1].alias("v")))
-    return last_wins(F.when(at > 0, entries).otherwise(F.array().cast(_ENTRY)))
+
+    def rows_of(lines: Column) -> Column:
+        at = F.array_position(lines, META_HEADER).cast("int")
+        rest = F.slice(lines, at + 2, F.size(lines))
+        stop = lambda r: F.array_position(F.transform(r, lambda line: line.startswith("|")), F.lit(False)).cast("int")
+        rows = let(rest, lambda r: let(stop(r), lambda n: F.when(n > 0, F.slice(r, F.lit(1), n - 1)).otherwise(r)))
+        return F.when(at > 0, rows).otherwise(F.array().cast("array<string>"))
+
+    cells = F.filter(F.transform(let(F.transform(display_lines(c), strip_ws), rows_of), _pipe_cells), lambda x: F.size(x) >= 2)
+    return last_wins(F.transform(cells, lambda x: F.struct(x[0].alias("k"), x[1].alias("v"))))
 
 
 def table_fields(c: Column | str) -> Column:
@@ -423,19 +435,25 @@ def unclosed_comment(c: Column | str) -> Column:
     open comment also swallows fences that follow it.
     """
     text = col(c)
-    view = unfenced_lines(text)
-    joined = F.array_join(F.transform(view, lambda x: x.text), "\n")
-    left_open = F.regexp_replace(joined, r"(?s)<!--.*?-->", "")
-    # position of the open mark = text before it with closed comments put back as their newlines
-    kept = blank_comments(joined)
-    before = F.substring_index(kept, "<!--", 1)
-    at = F.when(left_open.contains("<!--"), F.length(before) - F.length(F.translate(before, "\n", "")) + 1)
-    line_no = F.element_at(view, at.cast("int")).line_no
-    later = F.slice(display_lines(text), line_no + 1, F.greatest(F.size(display_lines(text)), F.lit(1)))
-    return F.struct(
-        line_no.alias("line_no"),
-        F.coalesce(F.exists(later, lambda line: strip_ws(line) != ""), F.lit(False)).alias("hides_content"),
-    )
+
+    def marker_line(view: Column) -> Column:
+        # text before the open mark, closed comments reduced to their newlines
+        kept = blank_comments(F.array_join(F.transform(view, lambda x: x.text), "\n"))
+        before = F.substring_index(kept, "<!--", 1)
+        nth = F.length(before) - F.length(F.translate(before, "\n", "")) + 1
+        return F.when(kept.contains("<!--"), F.element_at(view, nth).line_no)
+
+    def judge(line_no: Column) -> Column:
+        hidden = F.exists(
+            let(display_lines(text), lambda lines: F.slice(lines, line_no + 1, F.size(lines) + 1)),
+            lambda line: strip_ws(line) != "",
+        )
+        return F.struct(
+            line_no.alias("line_no"),
+            F.when(line_no.isNotNull(), hidden).otherwise(F.lit(False)).alias("hides_content"),
+        )
+
+    return let(let(unfenced_lines(text), marker_line), judge)
 
 
 def answer_label(question_type: Column | str, answer: Column | str) -> Column:

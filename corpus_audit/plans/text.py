@@ -86,7 +86,7 @@ def entity_code(spark, sf):
 
 @query(
     "b6_content_fingerprint",
-    f"SELECT page_id, sha256({inputs.sql_fold(chr(39) + 'id ' + chr(39) + ' || ' + chr(39) + '#' + chr(39) + ' || html')}) AS digest FROM pages",
+    f"SELECT page_id, sha256({inputs.sql_fold("regexp_replace('id ' || lpad(page_id::VARCHAR, 9, '7') || html, '[0-9]{6,}', '#', 'g')")}) AS digest FROM pages",
 )
 def content_fingerprint(spark, sf):
     volatile = F.concat(F.lit(" id  "), F.lpad(F.col("page_id").cast("string"), 9, "7"), "html", F.lit("\n"))
@@ -142,7 +142,7 @@ def chinese_number(spark, sf):
     numeral = F.expr(CN.replace("{n}", "p_size").replace("//", "div"))
     shown = F.when(F.col("p_partkey") % 2 == 0, numeral).otherwise(F.col("p_size").cast("string"))
     label = F.concat(F.lit("第 "), shown, F.lit(" 章"))
-    appendix = F.concat(F.lit("附录"), shown, F.when(F.col("p_partkey") % 3 == 0, "").otherwise(" 标题"))
+    appendix = F.concat(F.lit("附录"), F.when(F.col("p_partkey") % 3 == 0, "：标题").otherwise(F.concat(shown, F.lit(" 标题"))))
     return table(spark, sf, "part").select(
         "p_partkey", tx.chinese_number(numeral).alias("number"), tx.chapter_number(label).alias("chapter"),
         tx.appendix_number(appendix).alias("appendix"),
@@ -290,7 +290,7 @@ def _pages(spark, sf):
 @query(
     "b18_parse_frontmatter",
     """
-SELECT p_partkey, CASE WHEN p_partkey % 9 <> 0 THEN p_name || '" ' || p_brand END AS title, CASE WHEN p_partkey % 9 <> 0 THEN p_type END AS lifecycle,
+SELECT p_partkey, CASE WHEN p_partkey % 9 <> 0 THEN p_name || ' ' || p_brand END AS title, CASE WHEN p_partkey % 9 <> 0 THEN p_type END AS lifecycle,
  CASE WHEN p_partkey % 9 <> 0 THEN 3 ELSE 0 END AS n_keys FROM part
 """,
 )
@@ -346,22 +346,16 @@ def blank_comments(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.sha2(tx.blank_comments(text), 256).alias("digest"))
 
 
-FENCED = (
-    "SELECT conv_id, turn, text, '```x' || chr(10) || text || chr(10) || '~~~' || chr(10) || '````' || chr(10) || text || chr(10) || '<!-- ' || text || chr(10) || "
-    "CASE WHEN turn % 2 = 0 THEN '-->' ELSE '' END || chr(10) || 'end' AS page FROM conversations"
-)
-
-
 @query(
     "b23_visible_lines",
     """
-SELECT conv_id, turn, len(string_split(text, chr(10))) + 4 + i AS line_no, l[i] AS text FROM (SELECT conv_id, turn, text, string_split(text, chr(10)) AS l FROM conversations), unnest(range(1, len(l) + 1)) u(i)
+SELECT conv_id, turn, len(string_split(text, chr(10))) + 3 + i AS line_no, l[i] AS text FROM (SELECT conv_id, turn, text, string_split(text, chr(10)) AS l FROM conversations), unnest(range(1, len(l) + 1)) u(i)
 UNION ALL
-SELECT conv_id, turn, 2 * n + 4 + k + 1, CASE WHEN k = n + 1 THEN 'end' ELSE '' END FROM (SELECT conv_id, turn, len(string_split(text, chr(10))) AS n FROM conversations WHERE turn % 2 = 0), unnest(range(0, n + 2)) u(k)
+SELECT conv_id, turn, 2 * n + 4 + k, CASE WHEN k = n + 1 THEN 'end' ELSE '' END FROM (SELECT conv_id, turn, len(string_split(text, chr(10))) AS n FROM conversations WHERE turn % 2 = 0), unnest(range(0, n + 2)) u(k)
 UNION ALL
-SELECT conv_id, turn, 2 * n + 4 + i, CASE i WHEN 1 THEN '<!-- ' ELSE '' END || l[i] FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS l, len(string_split(text, chr(10))) AS n FROM conversations WHERE turn % 2 = 1), unnest(range(1, n + 1)) u(i)
+SELECT conv_id, turn, 2 * n + 3 + i, CASE i WHEN 1 THEN '<!-- ' ELSE '' END || l[i] FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS l, len(string_split(text, chr(10))) AS n FROM conversations WHERE turn % 2 = 1), unnest(range(1, n + 1)) u(i)
 UNION ALL
-SELECT conv_id, turn, 3 * n + 4 + k, CASE k WHEN 1 THEN '' ELSE 'end' END FROM (SELECT conv_id, turn, len(string_split(text, chr(10))) AS n FROM conversations WHERE turn % 2 = 1), (SELECT unnest([1, 2]) AS k)
+SELECT conv_id, turn, 3 * n + 3 + k, CASE k WHEN 1 THEN '' ELSE 'end' END FROM (SELECT conv_id, turn, len(string_split(text, chr(10))) AS n FROM conversations WHERE turn % 2 = 1), (SELECT unnest([1, 2]) AS k)
 """,
 )
 def visible_lines(spark, sf):
@@ -381,7 +375,7 @@ def _fenced(spark, sf):
 
 @query(
     "b24_unclosed_comment",
-    "SELECT conv_id, turn, CASE WHEN turn % 2 = 1 THEN 2 * len(string_split(text, chr(10))) + 4 + 1 END AS line_no, turn % 2 = 1 AS hides_content FROM conversations",
+    "SELECT conv_id, turn, CASE WHEN turn % 2 = 1 THEN 2 * len(string_split(text, chr(10))) + 4 END AS line_no, turn % 2 = 1 AS hides_content FROM conversations",
 )
 def unclosed_comment(spark, sf):
     return _fenced(spark, sf).select("conv_id", "turn", tx.unclosed_comment("page").alias("c")).select(
