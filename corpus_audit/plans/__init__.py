@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ["content", "links", "structure", "text"]
+FAMILIES = ["content", "links", "structure", "text", "catalog", "evidence", "model"]
 
 
 def load_all() -> None:
