@@ -205,33 +205,31 @@ def ascii_slug(c: Column | str, fallback: Column | str | None = None, empty: Col
 
 def chinese_number(c: Column | str) -> Column:
     """一…九, 十, 十N, N十, N十M to an integer; anything else is null."""
-    text = col(c)
-    head = F.split_part(text, F.lit("十"), F.lit(1))
-    tail = F.regexp_extract(text, "^[^十]*十(.*)$", 1)
-    digit = lambda x: F.when(F.length(x) == 1, F.nullif(F.position(x, F.lit(CJK_DIGITS)), F.lit(0)))
-    zero = F.lit(0)
-    return (
-        F.when(text == "十", F.lit(10))
-        .when(text.startswith("十"), 10 + F.coalesce(digit(F.substring(text, 2, 1 << 20)), zero))
-        .when(text.contains("十"), F.coalesce(digit(head), zero) * 10 + F.coalesce(digit(tail), zero))
-        .otherwise(digit(text))
-        .cast("int")
-    )
+
+    def digit(x: Column) -> Column:
+        return F.when(F.length(x) == 1, F.nullif(F.position(x, F.lit(CJK_DIGITS)), F.lit(0)))
+
+    def convert(text: Column) -> Column:
+        head = F.split_part(text, F.lit("十"), F.lit(1))
+        tail = F.regexp_extract(text, "^[^十]*十(.*)$", 1)
+        tens = F.when(text.startswith("十"), F.lit(1)).otherwise(F.coalesce(digit(head), F.lit(0)))
+        return F.when(text.contains("十"), tens * 10 + F.coalesce(digit(tail), F.lit(0))).otherwise(digit(text)).cast("int")
+
+    return let(col(c), convert)
 
 
 def numeral(c: Column | str) -> Column:
     """Arabic digits pass through, Chinese numerals are converted."""
-    text = col(c)
-    return F.coalesce(F.when(text.rlike("^[0-9]+$"), text.try_cast("int")), chinese_number(text))
+    return let(col(c), lambda text: F.coalesce(F.when(text.rlike("^[0-9]+$"), text.try_cast("int")), chinese_number(text)))
 
 
 def chapter_number(c: Column | str) -> Column:
     """Number of a ``第N章`` label; null for any other text."""
-    return numeral(extract_or_null(col(c), r"^第\s*([一二三四五六七八九十]+|[0-9]+)\s*章$"))
+    return numeral(let(col(c), lambda text: extract_or_null(text, r"^第\s*([一二三四五六七八九十]+|[0-9]+)\s*章$")))
 
 
 def appendix_number(c: Column | str) -> Column:
-    return numeral(extract_or_null(col(c), r"^附\s*录\s*([一二三四五六七八九十]+|[0-9]+)\s*(\S.*)$"))
+    return numeral(let(col(c), lambda text: extract_or_null(text, r"^附\s*录\s*([一二三四五六七八九十]+|[0-9]+)\s*(\S.*)$")))
 
 
 # -- quoting and splitting ----------------------------------------------------------------------

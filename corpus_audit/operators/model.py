@@ -28,26 +28,38 @@ RULE_APPENDICES = "，另加 {} 个附录单元（`附录N` 各为一个考核
 
 def unit_identity(title: Column | str) -> Column:
     """``struct(ordinal, slug, label)`` from the chapter label: introductions are 0 / ``intro``."""
-    t = tx.strip_ws(title)
-    label = F.coalesce(F.nullif(F.regexp_extract(t, CHAPTER_LABEL, 0), F.lit("")), F.split_part(t, F.lit(" "), F.lit(1)))
-    label = tx.squeeze(label)
-    number = tx.chapter_number(label)
-    return F.struct(
-        F.coalesce(number, F.lit(0)).alias("ordinal"),
-        F.when(number.isNull(), F.lit("intro")).otherwise(F.format_string("ch%02d", number)).alias("slug"),
-        label.alias("label"),
-    )
+
+    def label_of(t: Column) -> Column:
+        mark = F.nullif(F.regexp_extract(t, CHAPTER_LABEL, 0), F.lit(""))
+        return tx.squeeze(F.coalesce(mark, F.split_part(t, F.lit(" "), F.lit(1))))
+
+    def identity(x: Column) -> Column:
+        return F.struct(
+            F.coalesce(x.number, F.lit(0)).alias("ordinal"),
+            F.when(x.number.isNull(), F.lit("intro")).otherwise(F.format_string("ch%02d", x.number)).alias("slug"),
+            x.label.alias("label"),
+        )
+
+    label = tx.let(tx.strip_ws(title), label_of)
+    numbered = tx.let(label, lambda x: F.struct(x.alias("label"), tx.chapter_number(x).alias("number")))
+    return tx.let(numbered, identity)
 
 
 def appendix_identity(title: Column | str) -> Column:
-    t = tx.fold_ws(title)
-    number = tx.appendix_number(t)
-    mark = F.regexp_extract(t, st.APPENDIX_TITLE, 1)
-    return F.struct(
-        number.alias("ordinal"),
-        F.when(number.isNotNull(), F.format_string("ap%02d", number)).alias("slug"),
-        F.concat(F.lit("附录"), mark).alias("label"),
+    """``struct(ordinal, slug, label)`` from a numbered, titled appendix heading; nulls for anything else."""
+
+    def identity(x: Column) -> Column:
+        return F.struct(
+            x.number.alias("ordinal"),
+            F.when(x.number.isNotNull(), F.format_string("ap%02d", x.number)).alias("slug"),
+            F.when(x.number.isNotNull(), F.concat(F.lit("附录"), x.mark)).alias("label"),
+        )
+
+    marked = tx.let(
+        tx.fold_ws(title),
+        lambda t: F.struct(tx.appendix_number(t).alias("number"), F.regexp_extract(t, st.APPENDIX_TITLE, 1).alias("mark")),
     )
+    return tx.let(marked, identity)
 
 
 def missing_ordinals(units: DataFrame, key: str, block: int = 4096) -> DataFrame:

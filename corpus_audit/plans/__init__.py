@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ["content", "links", "structure", "text", "catalog", "evidence", "model"]
+FAMILIES = ["content", "links", "structure", "text", "catalog", "evidence", "model", "gates"]
 
 
 def load_all() -> None:

@@ -151,14 +151,14 @@ PROBES = (
 )
 
 
-def probes(spark: SparkSession, sf: str) -> DataFrame:
+def probes(spark: SparkSession, sf: str, source: DataFrame | None = None) -> DataFrame:
     pages = table(spark, sf, "pages").select("page_id", "url")
     e = F.col("event_type")
     event_id = F.col("event_id")
     ok = e.isin("view", "click")
     authoritative = F.col("page_id") % 2 == 0
     return (
-        events(spark, sf)
+        (events(spark, sf) if source is None else source)
         .join(pages, F.col("user_id") == F.col("page_id"))
         .select(
             "url",

@@ -343,7 +343,7 @@ def ordered_list_equal(spark, sf):
 
 @query(
     "g16_key_clash",
-    "SELECT doc_id, 'ap01' AS slug, 2 AS n, min(line_no) AS first_locator, max(line_no) AS last_locator FROM ("
+    "SELECT doc_id, 'ap01' AS slug, 2::BIGINT AS n, min(line_no) AS first_locator, max(line_no) AS last_locator FROM ("
     + inputs.SYLLABUS
     + ") WHERE doc_id % 6 = 0 AND text LIKE '附录一%' GROUP BY doc_id",
 )

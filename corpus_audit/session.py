@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,9 +29,20 @@ def local_session(app: str, cpus: str | None = None, shuffle_partitions: int = 8
     return spark
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; only a session that names none gets a local one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or tempfile.mkdtemp(prefix="corpus-audit-")
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared one, for stream state and tables that must outlive an executor."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage through the cluster's shared checkpoint folder; only a session without one gets a local one."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpus-audit-"))
+    """Cut lineage with a reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
