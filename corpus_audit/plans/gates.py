@@ -313,7 +313,7 @@ WITH o AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders WHERE o_orderstatu
 SELECT 'replacement_free_text' AS rule, k::VARCHAR AS entity FROM o WHERE k % 2 = 0 AND k < 10000 AND c % 3 = 0 UNION ALL
 SELECT 'pending_数据状态', k::VARCHAR FROM o WHERE c % 4 = 0 UNION ALL SELECT 'pending_replacement', k::VARCHAR FROM o WHERE c % 5 = 0 UNION ALL
 SELECT 'pending_exam_source_status', k::VARCHAR FROM o WHERE c % 7 = 0 UNION ALL SELECT 'review_missing', k::VARCHAR FROM o WHERE k % 3 = 0 UNION ALL
-SELECT 'reviewer_missing', k::VARCHAR FROM o WHERE k % 3 = 1 AND c % 2 = 0 UNION ALL SELECT 'exam_index_mixed', k::VARCHAR FROM o WHERE c % 11 = 0 UNION ALL
+SELECT 'reviewer_missing', k::VARCHAR FROM o WHERE k % 3 <> 0 AND c % 2 = 0 UNION ALL SELECT 'exam_index_mixed', k::VARCHAR FROM o WHERE c % 11 = 0 UNION ALL
 SELECT 'exam_scope_shared', k::VARCHAR FROM o WHERE c % 13 = 0 UNION ALL SELECT 'revision_mismatch', k::VARCHAR FROM o WHERE c % 17 = 0
 """
 
