@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,85 +115,124 @@ def overlap_violations(overlap: DataFrame, id_col: str, limit: float = OVERLAP_L
     return over if exempt is None else over.join(exempt.select(id_col).distinct(), id_col, "left_anti")
 
 
+# Characters of the pieces whose minimum hash anchors a window; any size below VERBATIM_WINDOW gives the same result.
+ANCHOR_CHARS = 32
+
+
+def _sliding(values: np.ndarray, width: int, combine: np.ufunc, fill) -> np.ndarray:
+    """``combine`` over every full window of ``width`` values, in linear time (prefix and suffix per block)."""
+    blocks = -(-len(values) // width)
+    padded = np.full(blocks * width, fill, dtype=values.dtype)
+    padded[: len(values)] = values
+    grid = padded.reshape(blocks, width)
+    prefix = combine.accumulate(grid, axis=1).ravel()
+    suffix = combine.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    count = len(values) - width + 1
+    return combine(suffix[:count], prefix[width - 1 : width - 1 + count])
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    """1, base, base**2, ... modulo 2**64."""
+    factors = np.full(count, base, dtype=np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
+def _anchors_of(text: str, size: int, piece: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (from 0) and hashes of the pieces that are the minimum of some ``size``-character window."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    if len(codes) < size:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    # polynomial hash modulo 2**64 from prefix sums; the odd base has the inverse used to shift windows back
+    base = 6364136223846793005
+    powers = _powers(base, len(codes))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes * powers)))
+    starts = len(codes) - piece + 1
+    hashes = (sums[piece:] - sums[:-piece]) * _powers(pow(base, -1, 1 << 64), starts)
+    hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    hashes ^= hashes >> np.uint64(29)
+    width = size - piece + 1
+    least = _sliding(hashes, width, np.minimum, np.iinfo(np.uint64).max)
+    # a piece is an anchor when the largest minimum among the windows that cover it is its own hash
+    edge = np.zeros(width - 1, np.uint64)
+    cover = _sliding(np.concatenate((edge, least, edge)), width, np.maximum, 0)
+    at = np.flatnonzero(cover == hashes)
+    return at, hashes[at].view(np.int64)
+
+
+def anchors(texts: DataFrame, id_col: str, size: int = VERBATIM_WINDOW, piece: int = ANCHOR_CHARS) -> DataFrame:
+    """Content-chosen anchors of each text: (id, at from 0, hash), about two per ``size`` characters.
+
+    A window's anchor depends on its own characters only, so equal windows of two texts share an anchor at the
+    same offset.  One vectorised pass per text inside the task; only anchors leave it.
+    """
+
+    def scan(batches):
+        for pdf in batches:
+            parts = [_anchors_of(t, size, piece) for t in pdf["text"]]
+            sizes = [len(at) for at, _ in parts]
+            yield pd.DataFrame(
+                {
+                    id_col: np.repeat(pdf[id_col].to_numpy(), sizes),
+                    "at": np.concatenate([at for at, _ in parts]) if parts else [],
+                    "h": np.concatenate([h for _, h in parts]) if parts else [],
+                }
+            )
+
+    rows = texts.select(id_col, F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInPandas(scan, f"{id_col} {dict(texts.dtypes)[id_col]}, at bigint, h bigint")
+
+
 def verbatim_windows(
     texts: DataFrame, sources: DataFrame, id_col: str, source_id: str, size: int = VERBATIM_WINDOW,
     exclude_self: bool = False,
 ) -> DataFrame:
     """Start positions of a text whose ``size``-character window occurs verbatim in a source.
 
-    Any shared window of ``size`` characters covers a whole grid block of ``size // 2`` characters of the
-    text, wherever it starts.  So: (1) the text side gives only its grid blocks, (2) the source side gives
-    hashes of every block-long window and keeps those that meet a text block, (3) full windows are built
-    only around surviving blocks, on both sides, and compared as text.  Nothing is sampled: a window that
-    the filter drops holds a block that occurs in no source.
+    (1) Both sides give only their anchors; equal windows share one, so a window without a common anchor has no
+    match.  (2) Windows are built around common anchors only, and (3) compared by the sha256 of their characters.
+    Nothing is sampled, and source rows are reduced to one per hash before each join, so a passage that fills a
+    third of the corpus meets each text once instead of pairing with every copy.
 
-    ``exclude_self`` asks for a hit in another source row than the one of the same id.
+    ``exclude_self`` asks for a hit in a source row other than the one of the same id.
     """
-    block = size // 2
-    grid = text_grid(texts, id_col, block)
-    source_blocks = (
-        text_windows(sources, [source_id], F.col("text"), block, step_positions=True)
-        .select(source_id, "pos", F.xxhash64("gram").alias("_h"))
-    )
-    if exclude_self:
-        lone = source_blocks.groupBy("_h").agg(
-            F.min(source_id).alias("_first"), F.max(source_id).alias("_last")
-        )
-        met = grid.join(lone, "_h").filter((F.col("_first") != F.col(id_col)) | (F.col("_last") != F.col(id_col)))
-        met = met.select(id_col, "block_no", "_h")
-    else:
-        met = grid.join(source_blocks.select("_h").distinct(), "_h", "left_semi")
-    candidates = _windows_around(texts, met, id_col, block, size)
-    source_hits = source_blocks.join(met.select("_h").distinct(), "_h", "left_semi")
-    source_windows = _windows_holding(sources, source_hits, source_id, block, size)
-    if exclude_self:
-        owners = source_windows.groupBy("gram").agg(
-            F.min(source_id).alias("_first"), F.max(source_id).alias("_last")
-        )
-        joined = candidates.join(owners, "gram").filter(
-            (F.col("_first") != F.col(id_col)) | (F.col("_last") != F.col(id_col))
-        )
-        return joined.select(id_col, "pos")
-    return candidates.join(source_windows.select("gram").distinct(), "gram", "left_semi").select(id_col, "pos")
+    text_anchors, source_anchors = anchors(texts, id_col, size), anchors(sources, source_id, size)
 
+    def shared(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+        """Rows of ``left(id_col, on)`` whose ``on`` occurs in ``right(source_id, on)``."""
+        if not exclude_self:
+            return left.join(right.select(on).distinct(), on, "left_semi")
+        owners = right.groupBy(on).agg(F.min(source_id).alias("_first"), F.max(source_id).alias("_last"))
+        other = (F.col("_first") != F.col(id_col)) | (F.col("_last") != F.col(id_col))
+        return left.join(owners, on).filter(other).drop("_first", "_last")
 
-def text_grid(texts: DataFrame, id_col: str, block: int) -> DataFrame:
-    """Non-overlapping full blocks of a text: (id, block_no from 0, hash)."""
-    blocks = F.regexp_extract_all(F.col("text"), F.lit(rf"(?s).{{{block}}}"), F.lit(0))
-    return texts.select(id_col, F.posexplode(blocks).alias("block_no", "_b")).select(
-        id_col, "block_no", F.xxhash64("_b").alias("_h")
-    )
+    met = shared(text_anchors, source_anchors, "h")
+    held = source_anchors.join(met.select("h").distinct(), "h", "left_semi")
+    mine = _windows_at(texts, met, id_col, size)
+    theirs = _windows_at(sources, held, source_id, size)
+    return shared(mine, theirs, "digest").select(id_col, "pos")
 
 
-def _windows_around(texts: DataFrame, met: DataFrame, id_col: str, block: int, size: int) -> DataFrame:
-    """Windows of a text that start in the grid cell before, or at, a surviving block."""
-    # a window starting in cell c (offset 0..block-1) fully covers block c (offset 0) or block c + 1
-    cells = (
-        met.select(id_col, F.explode(F.array(F.col("block_no"), F.col("block_no") - 1)).alias("cell"))
-        .filter(F.col("cell") >= 0)
-        .distinct()
-    )
+def _windows_at(texts: DataFrame, hits: DataFrame, id_col: str, size: int, piece: int = ANCHOR_CHARS) -> DataFrame:
+    """Digests of the windows around anchors: (id, pos from 1, digest).
+
+    A window that holds the anchor starts at most ``size - piece`` characters before it.  Starts are grouped in
+    cells of half a window; a cell's strip is cut from the text once, however many anchors ask for it.
+    """
+    cell = size // 2
+    first = F.floor(F.greatest(F.col("at") - (size - piece), F.lit(0)) / cell)
+    wanted = hits.select(id_col, F.explode(F.sequence(first.cast("int"), F.floor(F.col("at") / cell).cast("int"))).alias("cell")).distinct()
     strips = F.regexp_extract_all(
-        F.col("text"), F.lit(rf"(?s)(?=(.{{1,{block + size - 1}}}+)).{{1,{block}}}+"), F.lit(1)
+        F.col("text"), F.lit(rf"(?s)(?=(.{{1,{cell + size - 1}}}+)).{{1,{cell}}}+"), F.lit(1)
     )
     pieces = texts.select(id_col, F.posexplode(strips).alias("cell", "_strip")).filter(F.length("_strip") >= size)
     grams = F.regexp_extract_all(F.col("_strip"), F.lit(rf"(?s)(?=(.{{{size}}})).{{1}}"), F.lit(1))
+    digests = F.transform(grams, lambda g: F.unhex(F.sha2(g, 256)))
     return (
-        pieces.join(cells, [id_col, "cell"], "left_semi")
-        .select(id_col, "cell", F.posexplode(grams).alias("_in", "gram"))
-        .select(id_col, (F.col("cell") * block + F.col("_in") + 1).alias("pos"), "gram")
-    )
-
-
-def _windows_holding(sources: DataFrame, hits: DataFrame, source_id: str, block: int, size: int) -> DataFrame:
-    """Source windows whose cell lies around a surviving source position."""
-    cell = F.floor((F.col("pos") - 1) / block).cast("int")
-    near = (
-        hits.select(source_id, F.explode(F.array(cell, cell - 1, cell - 2)).alias("block_no"))
-        .filter(F.col("block_no") >= 0)
-        .distinct()
+        pieces.join(wanted, [id_col, "cell"], "left_semi")
+        .select(id_col, "cell", F.posexplode(digests).alias("_in", "digest"))
+        .select(id_col, (F.col("cell") * cell + F.col("_in") + 1).alias("pos"), "digest")
     )
-    return _windows_around(sources, near, source_id, block, size).select(source_id, "gram")
 
 
 # -- selection and jobs -------------------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpus_audit.functions import text as tx
 from corpus_audit.operators import content as ops
 from corpus_audit.plans import inputs
-from corpus_audit.plans.registry import query, table
+from corpus_audit.plans.registry import query, table, wide
 
 def _grams(id_col: str, name: str) -> str:
     return SQUEEZED_GRAMS.replace("{id}", id_col).replace("{t}", name)
@@ -250,7 +250,7 @@ def blocks(spark, sf):
         .when(n % 3 == 1, F.concat(F.lit("参考答案："), F.when(n % 2 == 0, F.lit("正确")).otherwise(F.lit("错误，x"))))
         .otherwise(F.lit("略"))
     )
-    return table(spark, sf, "conversations").select(
+    return wide(spark, sf, "conversations").select(
         F.col("conv_id").alias("course"),
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("block_id"),
         "turn",
@@ -425,7 +425,7 @@ SELECT doc_id, count(*) AS n_positions, min(pos) AS first_pos, max(pos) AS last_
 """,
 )
 def verbatim_windows(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = wide(spark, sf, "documents").select("doc_id", "text")
     hits = ops.verbatim_windows(docs, docs.withColumnRenamed("doc_id", "source_id"), "doc_id", "source_id", exclude_self=True)
     return hits.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_positions"),

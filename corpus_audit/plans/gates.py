@@ -10,7 +10,7 @@ from corpus_audit.operators import gates as ops
 from corpus_audit.operators import schedule as sched
 from corpus_audit.plans import inputs
 from corpus_audit.plans import text as text_plans
-from corpus_audit.plans.registry import query, table
+from corpus_audit.plans.registry import query, table, wide
 from corpus_audit.session import scratch_dir
 from corpus_audit.streaming import monitor
 
@@ -172,7 +172,7 @@ def gate_pages(spark, sf):
     code = F.when(k % 17 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(F.lpad((k % 100000).cast("string"), 5, "0"))
     major = F.concat(F.lpad((k % 1000000).cast("string"), 6, "0"), F.when(k % 19 == 0, "ZZ").when(k % 3 == 0, "K").otherwise(""))
     is_major = F.col("o_orderstatus") == "P"
-    return table(spark, sf, "orders").select(
+    return wide(spark, sf, "orders").select(
         "o_orderkey",
         F.when(is_major, F.concat(F.lit("a/majors/"), major, F.lit("-name/index.md"))).otherwise(F.concat(F.lit("a/courses/"), code, F.lit("/index.md"))).alias("path"),
         F.concat(
@@ -266,7 +266,7 @@ def page_set(spark, sf):
     """Every page id has up to three page kinds; ids divisible by five lack ``plan.md``."""
     i = F.col("page_id")
     names = F.array_compact(F.array(F.lit("index.md"), F.lit("sources.md"), F.when(i % 5 != 0, "plan.md")))
-    return table(spark, sf, "pages").select("page_id", F.explode(names).alias("name"), F.col("html").alias("text"))
+    return wide(spark, sf, "pages").select("page_id", F.explode(names).alias("name"), F.col("html").alias("text"))
 
 
 PAGES_GATE_SQL = """
@@ -299,7 +299,7 @@ def front_gate(spark, sf):
         F.lit("---\n"), F.when(k % 4 == 0, "status: in_review\n").when(k % 4 == 1, "lifecycle: \n").when(k % 4 == 2, "lifecycle: nope\n").otherwise("lifecycle: draft\n"),
         F.when(c % 5 == 0, "").when(c % 5 == 1, "completeness: nope\n").otherwise("completeness: complete\n"), F.when(c % 9 == 0, "route: /x\n").otherwise(""), F.lit("---\nbody"),
     )
-    pages = table(spark, sf, "orders").select("o_orderkey", text.alias("text"))
+    pages = wide(spark, sf, "orders").select("o_orderkey", text.alias("text"))
     return ops.frontmatter_rules(pages, F.col("o_orderkey"), tx.parse_frontmatter("text"), ["lifecycle", "completeness"], ["route", "canonical"])
 
 
@@ -331,7 +331,7 @@ def publish_gate(spark, sf):
         F.lit("# t\n## 新旧课程顶替\n"), F.when(c % 3 == 0, "> 可替代旧课\n").otherwise("> 说明\n"), F.lit("| 字段 | 内容 |\n## 考期索引\n| 考期 15043 03708 |\n"),
         F.when(c % 11 == 0, "| 2024 | 15043 | 03708 |\n").otherwise("| 2024 | 15043 |\n"), F.lit("## 其他\n| 15043 03708 |\n"),
     )
-    pages = table(spark, sf, "orders").select("o_orderkey", front.alias("front"), meta.alias("meta"), body.alias("body"))
+    pages = wide(spark, sf, "orders").select("o_orderkey", front.alias("front"), meta.alias("meta"), body.alias("body"))
     structured = (k % 2 == 0) & (k < 10000)
     return ops.publish_rules(pages, F.col("o_orderkey"), "rev1", structured, ["03708", "03709"], ["15043", "15044"])
 
@@ -382,7 +382,7 @@ def mature_rows(spark, sf):
         F.when(d % 3 == 0, "missing-source").otherwise("complete").alias("completeness"),
     )
     names = F.array_compact(F.array(F.lit("index.md"), F.lit("sources.md"), F.lit("practice.md"), F.when(d % 4 != 0, "plan.md")))
-    docs = table(spark, sf, "documents").select("doc_id", F.explode(names).alias("name"), "text")
+    docs = wide(spark, sf, "documents").select("doc_id", F.explode(names).alias("name"), "text")
     text = F.when(F.col("name") == "sources.md", F.replace("text", F.lit("tion"), F.lit("核验"))).otherwise(F.lit("真题 阶段目标\n x"))
     return maturity.grade(entities, docs.withColumn("text", text), "doc_id")
 
@@ -521,7 +521,7 @@ def schema_gate(spark, sf):
         .when(m == 4, F.concat(kind, F.lit(', "extra": {}'))).otherwise(F.lit(', "v": 1, "tags": ["a"]'))
     )
     value = F.when(m == 4, F.concat(F.lit('"'), k, F.lit('"'))).otherwise(k)
-    rows = inputs.events(spark, sf).select("event_id", F.concat(F.lit('{"k": '), value, tail, F.lit("}")).alias("json"))
+    rows = wide(spark, sf, "events").select("event_id", F.concat(F.lit('{"k": '), value, tail, F.lit("}")).alias("json"))
     return ops.schema_rules(rows, F.col("event_id"), "json", SCHEMA)
 
 
@@ -540,7 +540,7 @@ def layers(spark, sf):
         "content": content_gate(spark, sf), "manifest": manifest_gate(spark, sf), "pages": pages_gate(spark, sf), "frontmatter": front_gate(spark, sf),
         "publish": publish_gate(spark, sf),
         "schema": schema_gate(spark, sf),
-        "clean": content_gate(spark, sf).filter(F.col("rule") == "no such rule"),
+        "clean": pages_gate(spark, sf).filter(F.col("rule") == "no such rule"),
     }
 
 

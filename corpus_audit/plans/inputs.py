@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_audit.plans.registry import table
+from corpus_audit.plans.registry import table, wide
 
 # RE2 spelling of "any whitespace" for the SQL side.
 SQL_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -34,7 +34,7 @@ LINES = (
 def document_lines(spark: SparkSession, sf: str) -> DataFrame:
     from corpus_audit.sources.files import read_lines
 
-    return read_lines(table(spark, sf, "documents"), "doc_id").select("doc_id", F.col("line_no").cast("bigint"), "text")
+    return read_lines(wide(spark, sf, "documents"), "doc_id").select("doc_id", F.col("line_no").cast("bigint"), "text")
 
 
 # Markdown made from document lines: every fifth line is a heading whose level cycles and whose text
@@ -70,7 +70,7 @@ PAGE_LINKS = (
 
 
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages")
+    pages = wide(spark, sf, "pages")
     return pages.select(
         "page_id",
         "url",
@@ -284,7 +284,7 @@ SYLLABUS = (
 
 
 def syllabus_lines(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", F.split("text", "\n", -1).alias("l"))
+    docs = wide(spark, sf, "documents").select("doc_id", "source", "lang", F.split("text", "\n", -1).alias("l"))
     return docs.select("doc_id", F.posexplode(F.expr(_syllabus("spark"))).alias("_p", "text")).select(
         "doc_id", (F.col("_p") + 1).cast("bigint").alias("line_no"), "text"
     )

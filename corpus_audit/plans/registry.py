@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpus_audit.scale import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -24,5 +26,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows need much work each: a scan with fewer splits than cores is redistributed first."""
+    return spread(table(spark, sf_dir, name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
