@@ -601,3 +601,16 @@ def rot_alerts(spark, sf):
     out = monitor.rot_alerts(probe_rows(spark, sf), percent=20, host=family)
     return out.select(F.date_format("run_start", "yyyy-MM-dd").alias("run_day"), "host", "total", "dead")
 
+
+
+@query("k3_new_documents", f"SELECT url, count(*) AS n_refs FROM ({inputs.PAGE_REFS}) GROUP BY url")
+def new_documents(spark, sf):
+    """Derived Markdown pages land as files, a stream picks them up and extracts their in-scope links."""
+    base = scratch_dir(spark, "intake")
+    pages = inputs.page_markdown(spark, sf)
+    ordered = pages.repartition(F.col("page_id")).sortWithinPartitions("page_id", "line_no").select("text")
+    ordered.write.option("compression", "none").text(f"{base}/pages")
+    docs = monitor.new_documents(spark, f"{base}/pages", "*.txt")
+    run = monitor.start_link_intake(docs, ["来源"], f"{base}/refs", f"{base}/checkpoint")
+    run.awaitTermination()
+    return spark.read.parquet(f"{base}/refs").groupBy("url").agg(F.count(F.lit(1)).alias("n_refs"))

@@ -12,6 +12,7 @@ from corpus_audit.operators import content as content_ops
 from corpus_audit.operators import schedule as sched
 from corpus_audit.plans import inputs
 from corpus_audit.plans.registry import query, table
+from corpus_audit.session import scratch_dir
 from corpus_audit.sources import files
 
 # -- urls and paths -----------------------------------------------------------------------------
@@ -675,3 +676,38 @@ def canonical(spark, sf):
         "n_nationkey", F.coalesce("segments", F.array().cast("array<string>")).alias("segments"), F.lit(None).cast("string").alias("note")
     )
     return files.canonical(df, ["n_nationkey"])
+
+
+@query(
+    "a1_read_tree",
+    """
+SELECT source, lang, sum(length(text) + 1)::BIGINT AS chars, sum(len(string_split(text, chr(10))))::BIGINT AS lines FROM documents WHERE lang <> 'es' GROUP BY ALL
+""",
+)
+def read_tree(spark, sf):
+    """Documents written as a folder tree, then scanned back as whole files; Spanish folders use an excluded name."""
+    root = scratch_dir(spark, "tree")
+    docs = table(spark, sf, "documents").select("source", "lang", "text")
+    docs.write.partitionBy("source", "lang").option("compression", "none").text(root)
+    tree = files.read_tree(spark, root, "*.txt").filter(~F.col("path").contains("lang=es/"))
+    name = lambda p: F.regexp_extract("path", p, 1)
+    return tree.groupBy(name(r"source=([^/]+)/").alias("source"), name(r"lang=([^/]+)/").alias("lang")).agg(
+        F.sum(F.length("text")).alias("chars"), F.sum(F.size(F.split("text", "\n", -1)) - 1).cast("bigint").alias("lines")
+    )
+
+
+@query(
+    "a3_read_manifest",
+    f"""
+SELECT type, source_sha256, 'row' AS kind FROM (SELECT type, digest AS source_sha256 FROM ({FILES_SQL})) UNION ALL SELECT 'raw_xml', NULL, 'column_missing'
+""",
+)
+def read_manifest(spark, sf):
+    """A manifest written as csv without one of its columns, then read and checked."""
+    root = scratch_dir(spark, "manifest")
+    made = files.build_manifest(source_files(spark, sf).select("path", "digest"), MANIFEST_RULES).drop("raw_xml")
+    made.write.option("header", "true").csv(root)
+    rows, found = files.read_manifest(spark, root)
+    return rows.select("type", "source_sha256", F.lit("row").alias("kind")).unionByName(
+        found.select(F.col("message").alias("type"), F.lit(None).cast("string").alias("source_sha256"), F.col("rule").alias("kind"))
+    )

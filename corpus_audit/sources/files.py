@@ -86,7 +86,7 @@ def declared_digest(content: Column, head: Column) -> Column:
 def file_digest(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """(path, digest) per file; unreadable files are not part of the listing and join as null."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
-    head = F.when(F.col("length") <= 256, F.decode("content", "UTF-8")).otherwise(F.lit(""))
+    head = F.when(F.col("length") <= 256, F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.lit(""))).otherwise(F.lit(""))
     return files.select("path", declared_digest(F.col("content"), head).alias("digest"))
 
 
