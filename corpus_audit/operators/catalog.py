@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpus_audit.findings import as_findings
 from corpus_audit.functions import text as tx
 from corpus_audit.operators.structure import CODE_TOKEN
+from corpus_audit.scale import ranked
 
 # Source names from most to least trusted, declaration format, practice method.
 SOURCE_NAMES = ["index.md", "plan.raw.txt", "major-source"]
@@ -72,16 +73,14 @@ def field_values(records: DataFrame, entity: str, fields: dict[str, Column], ord
 def conflicts(records: DataFrame, entity: str, fields: dict[str, Column], order: list[str]) -> DataFrame:
     """Fields with more than one distinct value: one row per value with its first provenance and position.
 
-    Values are reduced to distinct ones before any window sees them.
+    Values are reduced to distinct ones first; their number is an aggregate and their position a two-level rank
+    over slices of the first order column.
     """
     values = field_values(records, entity, fields, order)
-    group = Window.partitionBy(entity, "field")
-    return (
-        values.withColumn("n_values", F.count(F.lit(1)).over(group))
-        .filter(F.col("n_values") > 1)
-        .withColumn("position", F.row_number().over(group.orderBy(*order)))
-        .drop("key")
-    )
+    sizes = values.groupBy(entity, "field").agg(F.count(F.lit(1)).alias("n_values")).filter(F.col("n_values") > 1)
+    several = values.join(sizes, [entity, "field"])
+    placed = ranked(several, [entity, "field"], [F.col(c) for c in order], F.col(order[0]), "position")
+    return placed.select(entity, "field", *order, "value", "n_values", "position")
 
 
 def consolidate(records: DataFrame, entity: str, fields: list[str], keys: dict[str, Column], order: list[str], group: list[str]) -> DataFrame:

@@ -329,7 +329,8 @@ def missing_titles(lines: DataFrame, titles: DataFrame, keys: list[str]) -> Data
 
 def body_anchors(lines: DataFrame, titles: DataFrame, keys: list[str]) -> DataFrame:
     """Anchor line of each title: its first equal line after the anchor before it; (keys, idx, title, anchor)."""
-    folded = lines.select(*keys, "line_no", tx.fold_ws("text").alias("title"))
+    # titles are chapter labels, so only label lines can be anchors and only they are joined
+    folded = lines.select(*keys, "line_no", tx.fold_ws("text").alias("title")).filter(F.col("title").rlike(CHAPTER_TITLE))
     places = (
         titles.select(*keys, "idx", "title", "slice_start")
         .join(folded, [*keys, "title"], "left")

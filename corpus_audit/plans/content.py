@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpus_audit.functions import text as tx
 from corpus_audit.operators import content as ops
 from corpus_audit.plans import inputs
 from corpus_audit.plans.registry import query, table, wide
@@ -88,7 +87,20 @@ def select_units(spark, sf):
 DECLARED_TYPES = ["单项选择题", "简答题", "材料题", "论述题", "名词解释题"]
 
 
-@query("h2_assign_types")
+def _assign_sql() -> str:
+    """The greedy takeover unrolled: one step per declared type, over all units at once."""
+    steps = [
+        "s0 AS (SELECT l_orderkey, l_linenumber::BIGINT AS pos, CASE min(l_returnflag) WHEN 'A' THEN '单项选择题' WHEN 'N' THEN '简答题' ELSE '材料题' END AS t FROM lineitem GROUP BY ALL)"
+    ]
+    for n, kind in enumerate(DECLARED_TYPES):
+        steps.append(
+            f"s{n + 1} AS (SELECT l_orderkey, pos, CASE WHEN NOT has AND pos = donor THEN '{kind}' ELSE t END AS t FROM (SELECT *, bool_or(t = '{kind}') OVER w AS has, "
+            f"max(CASE WHEN c > 1 THEN pos END) OVER w AS donor FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, t) AS c FROM s{n}) WINDOW w AS (PARTITION BY l_orderkey)))"
+        )
+    return f"WITH {', '.join(steps)} SELECT l_orderkey, pos, t AS question_type FROM s{len(DECLARED_TYPES)}"
+
+
+@query("h2_assign_types", _assign_sql())
 def assign_types(spark, sf):
     points = (
         table(spark, sf, "lineitem")
@@ -645,15 +657,15 @@ def filler_lines(spark, sf):
 @query(
     "h24_derived_equals_source",
     """
-SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
- AND o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1994-01-01')
- AND (o_custkey, o_orderstatus) NOT IN (SELECT (o_custkey, o_orderstatus) FROM orders WHERE o_orderdate < TIMESTAMP '1994-01-01')
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
+ AND o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-06-01')
+ AND (o_custkey, o_orderstatus) NOT IN (SELECT (o_custkey, o_orderstatus) FROM orders WHERE o_orderdate < TIMESTAMP '1996-06-01')
 """,
 )
 def derived_equals_source(spark, sf):
     orders = table(spark, sf, "orders")
-    derived = orders.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp"))
-    source = orders.filter(F.col("o_orderdate") < F.lit("1994-01-01").cast("timestamp"))
+    derived = orders.filter(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp"))
+    source = orders.filter(F.col("o_orderdate") < F.lit("1996-06-01").cast("timestamp"))
     return ops.derived_equals_source(derived, source, "o_custkey", "o_orderstatus", "o_orderkey")
 
 

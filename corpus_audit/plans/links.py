@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpus_audit.functions import text as tx
 from corpus_audit.operators import links as ops
 from corpus_audit.plans import inputs
 from corpus_audit.plans.registry import query, table

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from corpus_audit.functions import policy as po
 from corpus_audit.functions import status as st
 from corpus_audit.functions import text as tx
-from corpus_audit.operators import content as content_ops
 from corpus_audit.operators import schedule as sched
 from corpus_audit.plans import inputs
 from corpus_audit.plans.registry import query, table

@@ -8,8 +8,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,13 +33,6 @@ def broadcast_if_small(
     return df
 
 
-def same(left: str, right: str, columns: list[str]) -> Column:
-    """Null-safe equality of several columns of two aliased frames."""
-    return reduce(
-        lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
-    )
-
-
 def ranked(df: DataFrame, keys: list[str], order: list[Column], block: Column, name: str) -> DataFrame:
     """``row_number`` per key in two levels.
 

@@ -1,4 +1,4 @@
-"""Session defaults and durable checkpoints."""
+"""Session defaults and shared scratch folders."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(app: str, cpus: str | None = None, shuffle_partitions: int = 8) -> SparkSession:
@@ -38,11 +38,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one, for stream state and tables that must outlive an executor."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
