@@ -253,19 +253,16 @@ def url_provenance(
 ) -> DataFrame:
     """``ev(key, course_url)`` against ``baseline(url, authoritative)`` and ``codes(url, code)``.
 
-    An empty baseline judges nothing; whether it is empty is one row, so that row is broadcast.
+    An empty baseline judges nothing; whether it is empty is a scalar subquery.
     """
     known = baseline.groupBy("url").agg(F.bool_or("authoritative").alias("_auth")).withColumn("_known", F.lit(True))
     listed = codes.select("url", F.col("code").alias(key), F.lit(True).alias("_listed")).distinct()
-    size = baseline.limit(1).agg((F.count(F.lit(1)) > 0).alias("_any"))
+    any_entry = baseline.limit(1).agg(F.count(F.lit(1)) > 0).scalar()
     joined = (
-        ev.filter(F.col("course_url").isNotNull())
+        ev.filter(F.col("course_url").isNotNull() & any_entry)
         .withColumnRenamed("course_url", "url")
         .join(known, "url", "left")
         .join(listed, ["url", key], "left")
-        .withColumn("_one", F.lit(1))
-        .join(F.broadcast(size.withColumn("_one", F.lit(1))), "_one")
-        .filter("_any")
     )
     inside = F.col("_known").isNotNull()
     rules = [

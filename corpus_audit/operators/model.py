@@ -213,11 +213,32 @@ def declared_indexes(c: Column) -> Column:
     return F.concat(numbered, bracketed)
 
 
+def unaccounted(tagged: DataFrame, keys: list[str]) -> DataFrame:
+    """Section numbers declared and neither produced nor traced, from one pass: (keys, index).
+
+    ``tagged(keys, index, declared, accounted)`` with one row per mention.
+    """
+    per = tagged.groupBy(*keys, "index").agg(F.bool_or("declared").alias("_d"), F.bool_or("accounted").alias("_a"))
+    return per.filter(F.col("_d") & ~F.col("_a")).select(*keys, "index")
+
+
 def declared_vs_produced(declared: DataFrame, produced: DataFrame, traced: DataFrame, keys: list[str]) -> DataFrame:
-    """Declared section numbers that were neither produced nor traced as not assessed: (keys, index)."""
-    cols = [*keys, "index"]
-    accounted = produced.select(*cols).unionByName(traced.select(*cols)).distinct()
-    return declared.select(*cols).distinct().join(accounted, cols, "left_anti")
+    """The same from three separate frames (keys, index)."""
+    mention = lambda df, d: df.select(*keys, "index", F.lit(d).alias("declared"), F.lit(not d).alias("accounted"))
+    return unaccounted(mention(declared, True).unionByName(mention(produced, False)).unionByName(mention(traced, False)), keys)
+
+
+def section_mentions(classified: DataFrame, keys: list[str]) -> DataFrame:
+    """Mentions of section numbers in a classified block: declared in its text, produced, or traced."""
+    text = F.transform(
+        declared_indexes(F.col("text")),
+        lambda i: F.struct(i.alias("index"), F.lit(True).alias("declared"), F.coalesce(F.col("reason") == "not_assessed", F.lit(False)).alias("accounted")),
+    )
+    made = F.when(
+        F.col("role") == "section",
+        F.array(F.struct(F.col("section_index").alias("index"), F.lit(False).alias("declared"), F.lit(True).alias("accounted"))),
+    )
+    return classified.select(*keys, F.inline(F.concat(text, F.coalesce(made, F.slice(text, 1, 0)))))
 
 
 def independent_denominator(lines: DataFrame, keys: list[str], heading: str) -> DataFrame:
@@ -260,13 +281,30 @@ def denominator_status(extracted: Column, raw: Column, normalized: Column, offic
 
 
 def coverage(section_rows: DataFrame, point_rows: DataFrame, key: str, section_keys: list[str], heading: str) -> DataFrame:
-    """Official and modelled section counts, ratio (4 digits, half-even) and the rule that names the denominator.
+    """Coverage per entity from section rows and point rows.
 
     ``section_rows(key, section_keys..., unit_class, unit_level)``; ``point_rows(key, section_keys...)``.
     """
-    has = point_rows.select(key, *section_keys).distinct().withColumn("_has", F.lit(True))
-    per = section_rows.join(has, [key, *section_keys], "left").groupBy(key).agg(
-        F.count(F.lit(1)).alias("official"), F.count_if(F.col("_has").isNotNull()).alias("modeled"),
+    has = point_rows.select(key, *section_keys).distinct().withColumn("has_points", F.lit(True))
+    flagged = section_rows.join(has, [key, *section_keys], "left")
+    return coverage_counts(flagged.withColumn("has_points", F.col("has_points").isNotNull()), key, heading)
+
+
+def section_flags(classified: DataFrame, keys: list[str]) -> DataFrame:
+    """Assessed sections with ``has_points``, straight from the classified lines in one aggregation."""
+    modeled = F.col("role") == "requirement"
+    per = classified.groupBy(*keys, "section_line").agg(
+        F.bool_or((F.col("role") == "section") | (F.col("unit_level") & modeled)).alias("_assessed"),
+        F.bool_or(modeled & (F.size(tx.split_phrases("body")) > 0)).alias("has_points"),
+        F.bool_or("unit_level").alias("unit_level"),
+    )
+    return per.filter("_assessed").drop("_assessed")
+
+
+def coverage_counts(flagged: DataFrame, key: str, heading: str) -> DataFrame:
+    """Official and modelled section counts, ratio (4 digits, half-even) and the rule that names the denominator."""
+    per = flagged.groupBy(key).agg(
+        F.count(F.lit(1)).alias("official"), F.count_if("has_points").alias("modeled"),
         F.bool_and("unit_level").alias("_by_unit"), F.count_if(F.col("unit_class") == "appendix").alias("appendices"),
     )
     base = F.when(F.col("_by_unit"), F.lit(RULE_BY_UNIT.format(heading))).otherwise(F.lit(RULE_BY_SECTION.format(heading)))

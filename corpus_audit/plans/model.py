@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpus_audit.operators import model as ops
@@ -166,12 +167,10 @@ SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.doc_id = a.doc_id AND
 """,
 )
 def declared_vs_produced(spark, sf):
-    c = classified(spark, sf)
-    declared = c.select("doc_id", "idx", "reason", F.explode(ops.declared_indexes(F.col("text"))).alias("index"))
     # a model that lost every section whose title length is a multiple of five
-    made = c.filter((F.col("role") == "section") & (F.length("section_title") % 5 != 0)).select("doc_id", "idx", F.col("section_index").alias("index"))
-    traced = declared.filter(F.col("reason") == "not_assessed")
-    return _plain(ops.declared_vs_produced(declared, made, traced, ["doc_id", "idx"]))
+    lost = (F.col("role") == "section") & (F.length("section_title") % 5 == 0)
+    c = classified(spark, sf).withColumn("role", F.when(lost, F.lit("lost")).otherwise(F.col("role")))
+    return _plain(ops.unaccounted(ops.section_mentions(c, ["doc_id", "idx"]), ["doc_id", "idx"]))
 
 
 DENOMINATOR_SQL = f"""
@@ -214,8 +213,8 @@ SELECT doc_id, official, modeled, round_even(modeled / official, 4) AS ratio, CA
 """,
 )
 def coverage(spark, sf):
-    rows = ops.sections(classified(spark, sf), ["doc_id", "idx"]).withColumn("unit_class", F.lit("chapter"))
-    return ops.coverage(rows, points(spark, sf), "doc_id", ["idx", "section_line"], inputs.REQ_HEADING)
+    flagged = ops.section_flags(classified(spark, sf), ["doc_id", "idx"]).withColumn("unit_class", F.lit("chapter"))
+    return ops.coverage_counts(flagged, "doc_id", inputs.REQ_HEADING)
 
 
 # a hand-kept tree per document: heading missing in every seventh, every ninth line unnumbered
@@ -327,10 +326,9 @@ SELECT 'titles_differ', coalesce(m.l_orderkey, p.l_orderkey)::VARCHAR, min(coale
 """,
 )
 def ordered_list_equal(spark, sf):
-    from corpus_audit.scale import ranked
-
+    # one row per (order, line number), and line numbers run from 1 to 7, so the window of an order is bounded
     lines = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("pk"))
-    n = ranked(lines, ["l_orderkey"], [F.col("l_linenumber")], F.floor(F.col("l_linenumber") / 1024), "pos")
+    n = lines.withColumn("pos", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber")).cast("bigint"))
     pk = F.col("pk").cast("string")
     model = n.select("l_orderkey", "pos", F.concat(F.lit("第"), pk, F.lit("章")).alias("title"))
     page = n.filter((F.col("l_orderkey") % 9 != 0) & ~((F.col("pos") == 5) & (F.col("pk") % 3 == 0))).select(

@@ -285,6 +285,19 @@ def test_independent_denominator_goes_red_on_a_dropped_unit(spark):
     assert (declared, produced) == (3, 2)  # the appendix is a unit of its own and is not part of the chapters
 
 
+def test_coverage_in_one_pass_equals_the_joined_form(spark):
+    _, _, classified = build(spark, SYLLABUS)
+    keys = ["doc", "idx"]
+    once = model.coverage_counts(model.section_flags(classified, keys).withColumn("unit_class", F.lit("chapter")), "doc", "h")
+    points = model.points(classified.withColumnRenamed("title", "u"), keys, F.lit("x"))
+    joined = model.coverage(model.sections(classified, keys).withColumn("unit_class", F.lit("chapter")), points, "doc", ["idx", "section_line"], "h")
+    assert once.collect() == joined.collect() and once.first().ratio == 1.0
+    mentions = model.section_mentions(classified, keys)
+    assert model.unaccounted(mentions, keys).count() == 0
+    lost = mentions.filter("declared OR index <> '1'")
+    assert rows(model.unaccounted(lost, keys), "idx", "index") == [(0, "1")]
+
+
 def test_missing_ordinals_and_runs(spark):
     df = spark.createDataFrame([("a", o) for o in (4, 5, 8)] + [("b", o) for o in (0, 1, 2)] + [("c", 0), ("c", 3)], "k string, ordinal long")
     gaps = model.missing_ordinals(df, "k", block=4)
