@@ -184,33 +184,34 @@ def anchors(texts: DataFrame, id_col: str, size: int = VERBATIM_WINDOW, piece: i
 
 
 def verbatim_windows(
-    texts: DataFrame, sources: DataFrame, id_col: str, source_id: str, size: int = VERBATIM_WINDOW,
-    exclude_self: bool = False,
+    texts: DataFrame, sources: DataFrame, id_col: str, source_id: str, size: int = VERBATIM_WINDOW
 ) -> DataFrame:
-    """Start positions of a text whose ``size``-character window occurs verbatim in a source.
+    """Start positions of a text whose ``size``-character window occurs verbatim in a source: (id, pos from 1).
 
     (1) Both sides give only their anchors; equal windows share one, so a window without a common anchor has no
     match.  (2) Windows are built around common anchors only, and (3) compared by the sha256 of their characters.
-    Nothing is sampled, and source rows are reduced to one per hash before each join, so a passage that fills a
-    third of the corpus meets each text once instead of pairing with every copy.
+    Nothing is sampled, and the source side is distinct before each join, so a passage that fills a third of the
+    corpus meets each text once instead of pairing with every copy.
+    """
+    met = anchors(texts, id_col, size).join(anchors(sources, source_id, size).select("h").distinct(), "h", "left_semi")
+    held = anchors(sources, source_id, size).join(met.select("h").distinct(), "h", "left_semi")
+    theirs = _windows_at(sources, held, source_id, size).select("digest").distinct()
+    return _windows_at(texts, met, id_col, size).join(theirs, "digest", "left_semi").select(id_col, "pos")
+
+
+def copied_windows(texts: DataFrame, id_col: str, size: int = VERBATIM_WINDOW) -> DataFrame:
+    """Start positions of a text whose window also occurs in another text of the same table: (id, pos from 1).
 
-    ``exclude_self`` asks for a hit in a source row other than the one of the same id.
+    A hash counts when its smallest and largest owner differ; both are partial aggregates, so the copies of a
+    passage are combined before they are shuffled and never meet as pairs.
     """
-    text_anchors, source_anchors = anchors(texts, id_col, size), anchors(sources, source_id, size)
 
-    def shared(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-        """Rows of ``left(id_col, on)`` whose ``on`` occurs in ``right(source_id, on)``."""
-        if not exclude_self:
-            return left.join(right.select(on).distinct(), on, "left_semi")
-        owners = right.groupBy(on).agg(F.min(source_id).alias("_first"), F.max(source_id).alias("_last"))
-        other = (F.col("_first") != F.col(id_col)) | (F.col("_last") != F.col(id_col))
-        return left.join(owners, on).filter(other).drop("_first", "_last")
+    def of_several(rows: DataFrame, on: str) -> DataFrame:
+        owners = rows.groupBy(on).agg(F.min(id_col).alias("_first"), F.max(id_col).alias("_last"))
+        return rows.join(owners.filter(F.col("_first") != F.col("_last")).select(on), on, "left_semi")
 
-    met = shared(text_anchors, source_anchors, "h")
-    held = source_anchors.join(met.select("h").distinct(), "h", "left_semi")
-    mine = _windows_at(texts, met, id_col, size)
-    theirs = _windows_at(sources, held, source_id, size)
-    return shared(mine, theirs, "digest").select(id_col, "pos")
+    met = of_several(anchors(texts, id_col, size), "h")
+    return of_several(_windows_at(texts, met, id_col, size), "digest").select(id_col, "pos")
 
 
 def _windows_at(texts: DataFrame, hits: DataFrame, id_col: str, size: int, piece: int = ANCHOR_CHARS) -> DataFrame:
@@ -227,11 +228,10 @@ def _windows_at(texts: DataFrame, hits: DataFrame, id_col: str, size: int, piece
     )
     pieces = texts.select(id_col, F.posexplode(strips).alias("cell", "_strip")).filter(F.length("_strip") >= size)
     grams = F.regexp_extract_all(F.col("_strip"), F.lit(rf"(?s)(?=(.{{{size}}})).{{1}}"), F.lit(1))
-    digests = F.transform(grams, lambda g: F.unhex(F.sha2(g, 256)))
     return (
         pieces.join(wanted, [id_col, "cell"], "left_semi")
-        .select(id_col, "cell", F.posexplode(digests).alias("_in", "digest"))
-        .select(id_col, (F.col("cell") * cell + F.col("_in") + 1).alias("pos"), "digest")
+        .select(id_col, "cell", F.posexplode(grams).alias("_in", "_gram"))
+        .select(id_col, (F.col("cell") * cell + F.col("_in") + 1).cast("bigint").alias("pos"), F.unhex(F.sha2("_gram", 256)).alias("digest"))
     )
 
 

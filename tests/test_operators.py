@@ -79,7 +79,7 @@ def test_verbatim_windows_against_brute_force_with_copies(spark):
     texts = [(i, "".join(rng.choice(part) for _ in range(rng.randrange(1, 9)))) for i in range(40)] + [(40, "a" * 150), (41, "a" * 170)]
     size = 60
     df = spark.createDataFrame(texts, "id long, text string")
-    got = content.verbatim_windows(df, df.withColumnRenamed("id", "src"), "id", "src", size=size, exclude_self=True)
+    got = content.copied_windows(df, "id", size=size)
     where = {}
     for i, t in texts:
         for p in range(len(t) - size + 1):
