@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_audit.llm import binary, packing, topk
-from corpus_audit.llm.common import query, table
+from corpus_audit.llm import binary, packing, quality, topk, toxicity
+from corpus_audit.llm.common import held_out, keyed_texts, query, table
 from corpus_audit.session import scratch_dir
 
 
@@ -49,3 +49,27 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda key: key % 20 == 0, k=20)
+
+
+@query("op4_quality_discriminant")
+def quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = keyed_texts(table(spark, sf_dir, "documents"))
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query("op6_toxicity_instances")
+def toxicity_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = keyed_texts(table(spark, sf_dir, "documents"))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, offending="offending")
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("offending").alias("n_offending"),
+    )
