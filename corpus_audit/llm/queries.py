@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_audit.llm import binary, packing, quality, topk, toxicity
+from corpus_audit.llm import binary, decontaminate, jaccard, packing, quality, token_counts, topk, toxicity
 from corpus_audit.llm.common import held_out, keyed_texts, query, table
 from corpus_audit.session import scratch_dir
 
@@ -73,3 +73,19 @@ def toxicity_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
         F.size("offending").alias("n_offending"),
     )
+
+
+@query("op7_edit_decontamination")
+def edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.edit_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_trie_token_counts")
+def trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = token_counts.ranked_scores(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), scores)
+
+
+@query("op2_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"), words=4, share=85).drop("text_hash")
