@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_audit.llm import binary, decontaminate, jaccard, packing, quality, token_counts, topk, toxicity
+from corpus_audit.llm import binary, decontaminate, jaccard, licenses, packing, quality, token_counts, toolcalls, topk, toxicity
 from corpus_audit.llm.common import held_out, keyed_texts, query, table
 from corpus_audit.session import scratch_dir
 
@@ -89,3 +89,78 @@ def trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_ngram_jaccard")
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"), words=4, share=85).drop("text_hash")
+
+
+@query("op3_license_scan", licenses.oracle())
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").withColumn("path", F.expr(licenses.document_path())))
+
+
+#: The tools that the turns of ``conversations`` are read as calls of.
+TOOLS = {
+    "count": {"after": ("string", False), "text": ("string", True)},
+    "find": {"after": ("string", False), "limit": ("integer", True), "text": ("string", True)},
+    "rate": {"exact": ("boolean", False), "scale": ("number", True), "text": ("string", True)},
+}
+
+#: An assistant's turn as a call, in SQL that both engines read alike: the tool and the fields follow from the turn.
+_CALL = """
+  SELECT conv_id, concat('c', conv_id, '-', turn) AS call_id, turn,
+         CASE (conv_id + turn) % 4 WHEN 0 THEN 'count' WHEN 1 THEN 'find' WHEN 2 THEN 'rate' ELSE 'guess' END AS name,
+         CASE WHEN turn > 1 THEN concat('c', conv_id, '-', turn - 2) END AS before,
+         regexp_replace(text, '[^A-Za-z0-9]+', ' '{g}) AS said, conv_id % 5 AS k
+  FROM conversations WHERE role = 'assistant'
+"""
+_ARGUMENTS = """
+  CASE WHEN k = 4 AND name = 'find' THEN concat('{ "text":"', said, '", "limit": "', turn, '" }')
+       WHEN name = 'find' THEN concat('{ "text":"', said, '", "limit": ', turn, coalesce(concat(', "after": "', before, '"'), ''), ' }')
+       WHEN name = 'rate' AND k = 3 THEN concat('{"exact": true, "text": "', said, '"}')
+       WHEN name = 'rate' THEN concat('{"text" : "', said, '", "scale": ', turn, '.5, "exact": ', CASE WHEN k = 1 THEN 'true' ELSE 'false' END, '}')
+       WHEN k = 2 THEN concat('{"text": "', said, '"')
+       ELSE concat('{"text": "', said, '", "after" : "', coalesce(before, ''), '"}') END
+"""
+
+
+@query(
+    "op9_tool_call_linking",
+    f"""
+    WITH c AS ({_CALL.format(g=", 'g'")}),
+    r AS (SELECT conv_id, concat('c', conv_id, '-', turn - 1) AS call_id, text FROM conversations WHERE role = 'user'),
+    a AS (SELECT c.*, r.text AS result, r.call_id IS NOT NULL AS got,
+                 (before IS NOT NULL AND EXISTS (SELECT 1 FROM c p WHERE p.conv_id = c.conv_id AND p.call_id = c.before)) AS chained
+          FROM c LEFT JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id),
+    s AS (SELECT *, sum(CASE WHEN chained THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM a),
+    l AS (SELECT *, row_number() OVER (PARTITION BY conv_id, run ORDER BY turn) - 1 AS level FROM s),
+    p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY level, turn, call_id) AS position FROM l),
+    w AS (SELECT *, CASE
+        WHEN name = 'guess' THEN ['unknown tool']
+        WHEN k = 2 AND name = 'count' THEN ['arguments are not a JSON object']
+        WHEN k = 4 AND name = 'find' THEN ['limit is not integer']
+        WHEN name = 'rate' AND k = 3 THEN ['missing scale']
+        ELSE [] END AS bad,
+      CASE WHEN k = 4 AND name = 'find' THEN '{{"limit":"' || turn || '","text":"' || said || '"}}'
+           WHEN name = 'find' THEN '{{' || coalesce('"after":"' || before || '",', '') || '"limit":' || turn || ',"text":"' || said || '"}}'
+           WHEN name = 'rate' AND k = 3 THEN '{{"exact":true,"text":"' || said || '"}}'
+           WHEN name = 'rate' THEN '{{"exact":' || CASE WHEN k = 1 THEN 'true' ELSE 'false' END || ',"scale":' || turn || '.5,"text":"' || said || '"}}'
+           WHEN k = 2 THEN NULL
+           ELSE '{{"after":"' || coalesce(before, '') || '","text":"' || said || '"}}' END AS canon FROM p)
+    SELECT 'call' AS kind, conv_id, call_id, name, CAST(level AS BIGINT) AS level, CAST(position AS BIGINT) AS position,
+           CAST(CASE WHEN got THEN 1 ELSE 0 END AS BIGINT) AS n_results,
+           array_to_string(list_concat(list_concat(bad, CASE WHEN before IS NOT NULL AND NOT chained THEN ['no call ' || before] ELSE [] END),
+                           CASE WHEN got THEN [] ELSE ['no result'] END), '; ') AS errors,
+           '{{' || coalesce('"arguments":' || canon || ',', '') || '"id":"' || call_id || '","name":"' || name || '"'
+             || coalesce(',"result":' || CAST(to_json(result) AS VARCHAR), '') || '}}' AS message
+    FROM w
+    UNION ALL
+    SELECT 'orphan', conv_id, call_id, NULL, NULL, NULL, 1, NULL, NULL
+    FROM r WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)
+    """,
+)
+def tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    said = spark.sql(_CALL.format(g="").replace("FROM conversations", "FROM {turns}"), turns=turns)
+    calls = said.withColumn("arguments", F.expr(_ARGUMENTS)).withColumn("depends_on", F.array("before"))
+    results = turns.where(F.col("role") == "user").select(
+        "conv_id", F.expr("concat('c', conv_id, '-', turn - 1)").alias("call_id"), "turn", F.col("text").alias("content")
+    )
+    return toolcalls.link(calls, results, TOOLS)
