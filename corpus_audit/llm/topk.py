@@ -34,7 +34,7 @@ def scaled_vectors(vectors: DataFrame, key: str, vector: str, scale: int) -> Dat
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), dim)
 
 
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -78,7 +78,7 @@ def top_k(
     # the pivots of a dimension: the rows whose ids hash lowest, few and of a fixed number
     lowest = Window.partitionBy("dim").orderBy(F.xxhash64("vec_id"), "vec_id", "v")
     chosen = rows.withColumn("_n", F.row_number().over(lowest)).where(F.col("_n") <= pivots).select("dim", "v").collect()
-    frames = {d: np.array([r.v for r in chosen if r.dim == d], dtype=np.float64).reshape(-1, d) for d in sizes}
+    frames = {d: np.array([r.v for r in chosen if r.dim == d], dtype=np.float64).reshape(sum(r.dim == d for r in chosen), d) for d in sizes}
 
     def table(points: np.ndarray, dim: int, candidates: bool) -> np.ndarray:
         own, longest = frames[dim], sizes[dim][0]
@@ -125,8 +125,8 @@ def top_k(
             for r in batch.to_pylist():
                 dim, longest = r["dim"], sizes[r["dim"]][0]
                 qid, cid = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["ids"], np.int64)
-                q = np.frombuffer(r["q_vectors"], np.int64).reshape(-1, dim)
-                c = np.frombuffer(r["vectors"], np.int64).reshape(-1, dim)
+                q = np.frombuffer(r["q_vectors"], np.int64).reshape(len(qid), dim)
+                c = np.frombuffer(r["vectors"], np.int64).reshape(len(cid), dim)
                 tq = np.frombuffer(r["q_table"], np.float64).reshape(len(qid), -1)
                 tc = np.frombuffer(r["table"], np.float64).reshape(len(cid), -1).T.copy()
                 out_q, out_c, out_s = [], [], []
