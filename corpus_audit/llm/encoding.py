@@ -23,13 +23,20 @@ class _Words(dict):
         if len(self) >= self.limit:
             self.clear()
         core = word.rstrip(b".,")
-        if len(core) not in (0, len(word)):
+        if len(core) not in (0, len(word)) and self._closed(core):
             ids = self[core] + self[word[len(core) :]]
         else:
             ids = array("I", self._encode(word)).tobytes()
         self[word] = ids
         return ids
 
+    def _closed(self, core: bytes) -> bool:
+        """Does it end in a letter or digit, so that the punctuation behind it is a pre-token of its own?"""
+        if core[-1:].isalnum():
+            return True
+        last = self.tokenizer.normalizer.normalize_str(core.decode())[-1:]
+        return last.isalpha() or last.isdecimal()
+
     def _encode(self, word: bytes) -> list[int]:
         if word.isalpha():  # ASCII letters alone: one pre-token, to which normalisation only does the lower case
             return [t.id for t in self.tokenizer.model.tokenize(word.lower().decode())]
