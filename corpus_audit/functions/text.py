@@ -386,39 +386,26 @@ def blank_comments(c: Column | str) -> Column:
     )
 
 
-_LINE = T.StructType([T.StructField("line_no", T.IntegerType()), T.StructField("text", T.StringType())])
-_FENCE_VIEW = T.StructType(
-    [
-        T.StructField("lines", T.ArrayType(_LINE)),
-        T.StructField("unclosed_line", T.IntegerType()),
-    ]
+# a fenced block: from its opening mark to the line that closes it, or to the end of the text
+FENCED = (
+    r"(?:(?dms)^ {0,3}(?<run>(?<mark>`|~)\k<mark>{2,}+)[^\n]*"
+    r"(?:\n(?:.*?\n)?? {0,3}\k<run>[^\n]*(?=\n|\z)|.*\z))"
 )
+_HIDDEN = "\ufffe"  # a code point that is no character stands for a fenced line
 
 
-def _outside_fences(text: str):
-    import re
-
-    opened = None
-    for number, line in enumerate(text.splitlines(), 1):
-        mark = re.match(r" {0,3}(`{3,}|~{3,})", line)
-        if opened is None and mark:
-            opened = mark.group(1)
-        elif opened is None:
-            yield number, line
-        elif mark and mark.group(1)[0] == opened[0] and len(mark.group(1)) >= len(opened):
-            opened = None
-
-
-@F.pandas_udf(T.ArrayType(_LINE))
-def _unfenced(texts: pd.Series) -> pd.Series:
-    return texts.map(
-        lambda t: None if t is None else [{"line_no": n, "text": line} for n, line in _outside_fences(t)]
-    )
+def unfenced_lines(c: Column | str) -> Column:
+    """Lines outside code fences with their original numbers: array of (line_no, text)."""
 
+    def view(lines: Column) -> Column:
+        pieces = F.regexp_extract_all(F.array_join(lines, "\n"), F.lit(rf"(?dms)(.*?)({FENCED}|\z)"), F.lit(0))
+        closed = F.lit(FENCED + r"\z")
+        hidden = lambda p: F.regexp_replace(F.regexp_extract(p, FENCED + r"\z", 0), r"(?dm)^[^\n]*$", _HIDDEN)
+        shown = F.array_join(F.transform(pieces, lambda p: F.concat(F.regexp_replace(p, closed, F.lit("")), hidden(p))), "")
+        numbered = F.transform(F.split(shown, "\n", -1), lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("text")))
+        return F.when(F.size(lines) == 0, F.slice(numbered, 1, 0)).otherwise(F.filter(numbered, lambda x: x.text != _HIDDEN))
 
-def unfenced_lines(c: Column | str) -> Column:
-    """Lines outside code fences with their original numbers (the fence state machine runs over Arrow batches)."""
-    return _unfenced(col(c))
+    return let(display_lines(c), view)
 
 
 def visible_lines(c: Column | str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from corpus_audit.findings import as_findings, rule_findings
 from corpus_audit.functions import text as tx
-from corpus_audit.scale import broadcast_if_small, spread
+from corpus_audit.scale import broadcast_if_small
 
 # Thresholds, vocabularies and section names of the content contract.
 NGRAM_SIZE = 8
@@ -73,27 +73,20 @@ def ngram_overlap(
     """Share of a text's whitespace-free n-grams that also occur in its sources.
 
     ``texts(id_col, [key], text)``, ``sources([key], text)``.  The number of grams is arithmetic, so only
-    the membership test explodes; grams are counted per text before the join, the source side is distinct.
-    A source table of proven small size is broadcast and the text side then moves no gram at all.
+    the membership test explodes.  The source side is distinct, and only grams that it holds are counted.  A source
+    table of proven small size is broadcast and the text side then moves no gram at all; a scan with few splits is
+    best given redistributed.
     """
     key = key or []
-    squeezed = spread(texts).select(id_col, *key, tx.squeeze("text").alias("_squeezed"))
+    squeezed = texts.select(id_col, *key, tx.squeeze("text").alias("_squeezed"))
     totals = squeezed.select(
         id_col, F.greatest(F.length("_squeezed") - F.lit(size - 1), F.lit(0)).cast("bigint").alias("n_grams")
     )
     source_grams = text_windows(sources, key, tx.squeeze("text"), size).distinct()
     # a gram row is at most 4 bytes per character plus row overhead, against compressed text at the scan
     source_grams = broadcast_if_small(source_grams, base=sources, growth=(4 * size + 32) * 4)
-    counted = text_windows(squeezed, [id_col, *key], F.col("_squeezed"), size)
-    if not source_is_broadcast(source_grams):
-        counted = counted.groupBy(id_col, *key, "gram").agg(F.count(F.lit(1)).alias("_n"))
-    else:
-        counted = counted.withColumn("_n", F.lit(1).cast("bigint"))
-    hits = (
-        counted.join(source_grams, [*key, "gram"], "left_semi")
-        .groupBy(id_col)
-        .agg(F.sum("_n").alias("_hits"))
-    )
+    grams = text_windows(squeezed, [id_col, *key], F.col("_squeezed"), size)
+    hits = grams.join(source_grams, [*key, "gram"], "left_semi").groupBy(id_col).agg(F.count(F.lit(1)).alias("_hits"))
     return totals.join(hits, id_col, "left").select(
         id_col,
         "n_grams",
@@ -104,11 +97,6 @@ def ngram_overlap(
     )
 
 
-def source_is_broadcast(df: DataFrame) -> bool:
-    """Whether ``broadcast_if_small`` put a hint on the frame."""
-    return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-
 def overlap_violations(overlap: DataFrame, id_col: str, limit: float = OVERLAP_LIMIT, exempt: DataFrame | None = None) -> DataFrame:
     """Texts whose ratio is strictly above the limit; ids in ``exempt`` (official samples) are left out."""
     over = overlap.filter(F.col("ratio") > limit)

@@ -58,7 +58,7 @@ def project(rows: DataFrame, key: str, private: list[str] | None = None) -> Data
     kept = F.filter("reasons", lambda r: ~is_private(r))
     step = F.filter("reasons", lambda r: r.startswith("missing:") | (r == "thin-required-pages"))
     first = F.try_element_at(step, F.lit(1))
-    field = F.coalesce(F.nullif(F.trim(F.split_part(F.substring(first, 9, 1000), F.lit(","), F.lit(1))), F.lit("")), F.lit("pages"))
+    field = F.coalesce(F.nullif(F.trim(F.split_part(F.substr(first, F.lit(9)), F.lit(","), F.lit(1))), F.lit("")), F.lit("pages"))
     following = (
         F.when(first.startswith("missing:"), F.concat(F.lit("gap: "), field))
         .when(first.isNotNull(), F.lit("gap: 核验"))

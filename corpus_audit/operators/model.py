@@ -17,6 +17,7 @@ FOCUS_MARK = "本章重点"
 PAREN_LABEL = r"（([一二三四五六七八九十]+)）"
 POINT_ID = r"(intro|ch[0-9]{2}|ap[0-9]{2})-s[0-9]+-p[0-9]+"
 MIN_COVERAGE = 0.90
+GAP_RANGE = 1 << 16
 LEVELS = ["识记", "领会", "应用"]
 MANUAL_HEADING = "## 章节知识树"
 MANUAL_ELEMENT = r"^([0-9]+)\.([0-9]+)\s+(.*)$"
@@ -72,7 +73,12 @@ def missing_ordinals(units: DataFrame, key: str, block: int = 4096) -> DataFrame
     # a first ordinal of 0 or 1 opens no gap; any other first ordinal misses 1 .. first - 1
     start = F.when(F.col("_prev").isNull(), F.lit(1)).otherwise(F.col("_prev.ordinal") + 1)
     gap = prev.filter(F.col("ordinal") > start)
-    return gap.select(key, F.explode(F.sequence(start, F.col("ordinal") - 1)).alias("missing"))
+    # a wide gap is cut into ranges that are dealt out first, so that no row or task holds more than its ranges
+    last = F.col("ordinal") - 1
+    ranges = gap.select(key, last.alias("_last"), F.explode(F.sequence(start, last, F.lit(GAP_RANGE))).alias("_first"))
+    ranges = ranges.repartition(key, "_first")
+    own = F.sequence("_first", F.least(F.col("_last"), F.col("_first") + (GAP_RANGE - 1)))
+    return ranges.select(key, F.explode(own).alias("missing"))
 
 
 def ordinal_findings(units: DataFrame, key: str, block: int = 4096) -> DataFrame:
@@ -420,6 +426,6 @@ def unit_neighbors(units: DataFrame, key: str, block: int = 4096) -> DataFrame:
 
     ``units(key, unit_class INT 0/1, ordinal, slug)``.
     """
-    placed = units.withColumn("_pos", F.col("unit_class").cast("bigint") * (1 << 40) + F.col("ordinal"))
-    out = neighbors(placed, [key], ["_pos"], ["slug"], F.floor(F.col("_pos") / block), previous="_prev", following="_next")
+    slice_of = F.struct("unit_class", F.floor(F.col("ordinal") / block))
+    out = neighbors(units, [key], ["unit_class", "ordinal"], ["slug"], slice_of, previous="_prev", following="_next")
     return out.select(key, "unit_class", "ordinal", "slug", F.col("_prev.slug").alias("previous"), F.col("_next.slug").alias("following"))

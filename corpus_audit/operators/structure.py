@@ -250,7 +250,7 @@ def balanced_region(
 def drop_sections(lines: DataFrame, keys: list[str], titles: list[str]) -> DataFrame:
     """Lines outside H2 sections whose title starts with a listed title; the next H2 or H1 ends a section."""
     line = tx.strip_ws("text")
-    title = tx.strip_ws(F.substring(line, 4, 1 << 20))
+    title = tx.strip_ws(F.substr(line, F.lit(4)))
     listed = reduce(lambda a, b: a | b, [title.startswith(t) for t in titles])
     event = F.when(line.startswith("## "), F.when(listed, F.lit("drop")).otherwise(F.lit("keep"))).when(
         line.startswith("# "), F.lit("keep")

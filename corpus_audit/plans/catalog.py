@@ -44,19 +44,19 @@ def tier_waterfall(spark, sf):
 @query(
     "e2_find_declaring_doc",
     """
-WITH d AS (SELECT source || '/' || lpad(doc_id::VARCHAR, 8, '0') AS path, doc_id % 700 AS k, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'K' ELSE '7' END AS tail FROM documents)
-SELECT code, min(path) AS path FROM (SELECT lpad(k::VARCHAR, 6, '0') AS code, path FROM d WHERE tail <> '7' UNION ALL SELECT lpad(k::VARCHAR, 6, '0') || tail, path FROM d)
-WHERE code IN (SELECT lpad(p_partkey::VARCHAR, 6, '0') FROM part UNION SELECT lpad(p_partkey::VARCHAR, 6, '0') || 'K' FROM part) GROUP BY code
+WITH d AS (SELECT source || '/' || printf('%08d', doc_id) AS path, doc_id % 700 AS k, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'K' ELSE '7' END AS tail FROM documents)
+SELECT code, min(path) AS path FROM (SELECT printf('%06d', k) AS code, path FROM d WHERE tail <> '7' UNION ALL SELECT printf('%06d', k) || tail, path FROM d)
+WHERE code IN (SELECT printf('%06d', p_partkey) FROM part UNION SELECT printf('%06d', p_partkey) || 'K' FROM part) GROUP BY code
 """,
 )
 def find_declaring_doc(spark, sf):
     d = F.col("doc_id")
     tail = F.when(d % 3 == 0, "").when(d % 3 == 1, "K").otherwise("7")
     docs = table(spark, sf, "documents").select(
-        F.concat_ws("/", "source", F.lpad(d.cast("string"), 8, "0")).alias("path"),
-        F.concat("text", F.lit("\n专业代码： "), F.lpad((d % 700).cast("string"), 6, "0"), tail, F.lit("。")).alias("text"),
+        F.concat_ws("/", "source", inputs.padded(d, 8)).alias("path"),
+        F.concat("text", F.lit("\n专业代码： "), inputs.padded(d % 700, 6), tail, F.lit("。")).alias("text"),
     )
-    code = F.lpad(F.col("p_partkey").cast("string"), 6, "0")
+    code = inputs.padded(F.col("p_partkey"), 6)
     codes = table(spark, sf, "part").select(F.explode(F.array(code, F.concat(code, F.lit("K")))).alias("code"))
     return ops.find_declaring_doc(docs, codes)
 
@@ -133,10 +133,10 @@ def group_summary(spark, sf):
 
 # catalogue of parts under brand-qualified names; every third part shares its plain name with others
 CATALOG = """
-SELECT lpad(p_partkey::VARCHAR, 5, '0') AS code, CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE p_name || '（' || p_brand || ' ' || p_size || '）' END AS name, p_size % 3 + 1 AS tier FROM part
+SELECT printf('%05d', p_partkey) AS code, CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE p_name || '（' || p_brand || ' ' || p_size || '）' END AS name, p_size % 3 + 1 AS tier FROM part
 """
 QUERIES_SQL = """
-SELECT p_partkey AS query_id, CASE p_partkey % 5 WHEN 0 THEN lpad((p_partkey * 2)::VARCHAR, 5, '0') WHEN 1 THEN upper(replace(p_name, ' ', '  ')) WHEN 2 THEN p_name || '(' || p_brand || ' ' || p_size || ')'
+SELECT p_partkey AS query_id, CASE p_partkey % 5 WHEN 0 THEN printf('%05d', (p_partkey * 2)) WHEN 1 THEN upper(replace(p_name, ' ', '  ')) WHEN 2 THEN p_name || '(' || p_brand || ' ' || p_size || ')'
  WHEN 3 THEN replace(p_name || '（' || p_brand || ' ' || p_size || '）', ' ', '') ELSE '' END AS query FROM part
 """
 
@@ -144,7 +144,7 @@ SELECT p_partkey AS query_id, CASE p_partkey % 5 WHEN 0 THEN lpad((p_partkey * 2
 def catalog(spark, sf):
     qualified = F.concat("p_name", F.lit("（"), "p_brand", F.lit(" "), F.col("p_size").cast("string"), F.lit("）"))
     return table(spark, sf, "part").select(
-        F.lpad(F.col("p_partkey").cast("string"), 5, "0").alias("code"),
+        inputs.padded(F.col("p_partkey")).alias("code"),
         F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).otherwise(qualified).alias("name"),
         (F.col("p_size") % 3 + 1).alias("tier"),
     )
@@ -177,7 +177,7 @@ def resolve(spark, sf):
     k, name = F.col("p_partkey"), F.col("p_name")
     tail = F.concat("p_brand", F.lit(" "), F.col("p_size").cast("string"))
     q = (
-        F.when(k % 5 == 0, F.lpad((k * 2).cast("string"), 5, "0"))
+        F.when(k % 5 == 0, inputs.padded(k * 2))
         .when(k % 5 == 1, F.upper(F.replace(name, F.lit(" "), F.lit("  "))))
         .when(k % 5 == 2, F.concat(name, F.lit("("), tail, F.lit(")")))
         .when(k % 5 == 3, F.replace(F.concat(name, F.lit("（"), tail, F.lit("）")), F.lit(" "), F.lit("")))
@@ -215,17 +215,17 @@ def referential_check(spark, sf):
 @query(
     "e10_locator_check",
     f"""
-WITH l AS (SELECT doc_id, line_no, substr(text, 1, 20) || ' ' || lpad(doc_id::VARCHAR, 5, '0') || ' ' || lpad((doc_id * 7)::VARCHAR, 5, '0') || '1' AS text FROM ({inputs.LINES})),
-c AS (SELECT event_id AS cite_id, user_id AS doc_id, event_id % 12 + 1 AS line_no, lpad((user_id + (event_id % 3 = 2)::INT)::VARCHAR, 5, '0') AS code, CASE WHEN event_id % 4 = 0 THEN lpad((user_id * 7)::VARCHAR, 5, '0') END AS pair_code FROM events)
+WITH l AS (SELECT doc_id, line_no, text || ' ' || printf('%05d', doc_id) || ' ' || printf('%05d', (doc_id * 7)) || '1' AS text FROM ({inputs.LINES})),
+c AS (SELECT event_id AS cite_id, user_id AS doc_id, event_id % 12 + 1 AS line_no, printf('%05d', (user_id + (event_id % 3 = 2)::INT)) AS code, CASE WHEN event_id % 4 = 0 THEN printf('%05d', (user_id * 7)) END AS pair_code FROM events)
 SELECT cite_id, doc_id, line_no, CASE WHEN text IS NULL THEN 'out_of_range' ELSE 'code_absent' END AS problem FROM c LEFT JOIN l USING (doc_id, line_no)
 WHERE text IS NULL OR (pair_code IS NULL AND NOT contains(text, code)) OR (pair_code IS NOT NULL AND NOT (list_contains(string_split_regex(text, '[^0-9]+'), code) AND list_contains(string_split_regex(text, '[^0-9]+'), pair_code)))
 """,
 )
 def locator_check(spark, sf):
     d = F.col("doc_id")
-    five = lambda c: F.lpad(c.cast("string"), 5, "0")
+    five = lambda c: inputs.padded(c)
     lines = inputs.document_lines(spark, sf).withColumn(
-        "text", F.concat(F.substring("text", 1, 20), F.lit(" "), five(d), F.lit(" "), five(d * 7), F.lit("1"))
+        "text", F.concat("text", F.lit(" "), five(d), F.lit(" "), five(d * 7), F.lit("1"))
     )
     u, e = F.col("user_id"), F.col("event_id")
     cites = inputs.events(spark, sf).select(

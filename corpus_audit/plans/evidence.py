@@ -26,7 +26,7 @@ def locate_heading(spark, sf):
 # sheet lacks the corroborating word, every fifth repeats the header between code and token
 def sheet_lines(spark, sf):
     k = F.col("p_partkey")
-    code = F.lpad(k.cast("string"), 5, "0")
+    code = inputs.padded(k)
     rows = F.array(
         F.concat(code, F.lit("9 出版社 "), code), F.lit("教材代号 书名 出版社"), F.col("p_name"), code,
         F.when(k % 5 == 0, "教材代号 续").otherwise(F.col("p_brand")),
@@ -41,13 +41,13 @@ def sheet_lines(spark, sf):
 @query(
     "f2_windowed_match",
     """
-SELECT p_partkey, lpad(p_partkey::VARCHAR, 5, '0') AS code, 6::BIGINT AS line_no, substr(r, 1, 200) AS row, length(r) > 200 AS truncated FROM (
- SELECT *, lpad(p_partkey::VARCHAR, 5, '0') || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE ' ' || p_brand END || ' ' || lpad(p_partkey::VARCHAR, 5, '0') || '12 ' || p_type || ' 大学出版社 第二版' AS r
+SELECT p_partkey, printf('%05d', p_partkey) AS code, 6::BIGINT AS line_no, substr(r, 1, 200) AS row, length(r) > 200 AS truncated FROM (
+ SELECT *, printf('%05d', p_partkey) || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE ' ' || p_brand END || ' ' || printf('%05d', p_partkey) || '12 ' || p_type || ' 大学出版社 第二版' AS r
  FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 4 <> 0 AND p_size > 5)
 """,
 )
 def windowed_match(spark, sf):
-    codes = table(spark, sf, "part").filter(F.col("p_size") > 5).select(F.lpad(F.col("p_partkey").cast("string"), 5, "0").alias("code"))
+    codes = table(spark, sf, "part").filter(F.col("p_size") > 5).select(inputs.padded(F.col("p_partkey")).alias("code"))
     return ops.windowed_match(sheet_lines(spark, sf), ["p_partkey"], codes)
 
 
@@ -90,7 +90,7 @@ def eligibility(spark, sf):
 
 
 CATALOG_SQL = """
-SELECT lpad(p_partkey::VARCHAR, 5, '0') AS code, CASE WHEN p_partkey % 6 = 0 THEN '' ELSE p_name END AS name, CASE WHEN p_size > 10 THEN p_size END AS credits, p_type AS exam_method,
+SELECT printf('%05d', p_partkey) AS code, CASE WHEN p_partkey % 6 = 0 THEN '' ELSE p_name END AS name, CASE WHEN p_size > 10 THEN p_size END AS credits, p_type AS exam_method,
  CASE WHEN p_partkey % 11 <> 0 THEN p_brand END AS doc_id, 'plans/' || p_brand AS path, 'L' || p_partkey AS locator FROM part WHERE p_partkey % 13 <> 0
 """
 
@@ -98,7 +98,7 @@ SELECT lpad(p_partkey::VARCHAR, 5, '0') AS code, CASE WHEN p_partkey % 6 = 0 THE
 def catalog(spark, sf):
     k = F.col("p_partkey")
     return table(spark, sf, "part").filter(k % 13 != 0).select(
-        F.lpad(k.cast("string"), 5, "0").alias("code"), F.when(k % 6 == 0, "").otherwise(F.col("p_name")).alias("name"),
+        inputs.padded(k).alias("code"), F.when(k % 6 == 0, "").otherwise(F.col("p_name")).alias("name"),
         F.when(F.col("p_size") > 10, F.col("p_size")).alias("credits"), F.col("p_type").alias("exam_method"),
         F.when(k % 11 != 0, F.col("p_brand")).alias("doc_id"), F.concat(F.lit("plans/"), "p_brand").alias("path"),
         F.concat(F.lit("L"), k.cast("string")).alias("locator"),
@@ -106,7 +106,7 @@ def catalog(spark, sf):
 
 
 def codes(spark, sf):
-    return table(spark, sf, "part").select(F.lpad(F.col("p_partkey").cast("string"), 5, "0").alias("code"))
+    return table(spark, sf, "part").select(inputs.padded(F.col("p_partkey")).alias("code"))
 
 
 FACTS_SQL = f"""
@@ -116,7 +116,7 @@ SELECT code, field, CASE WHEN known THEN v END AS value, CASE WHEN known THEN 'v
  CASE WHEN NOT known THEN '官方专业计划表中的课程行' END AS next_evidence
 FROM (SELECT *, coalesce(v, '') <> '' AND doc_id IS NOT NULL AS known FROM (
  SELECT p.code, f.field, CASE f.field WHEN 'name' THEN c.name WHEN 'credits' THEN c.credits::VARCHAR ELSE c.exam_method END AS v, c.doc_id, c.path, c.locator
- FROM (SELECT lpad(p_partkey::VARCHAR, 5, '0') AS code FROM part) p LEFT JOIN ({CATALOG_SQL}) c USING (code), (VALUES ('name'), ('credits'), ('exam_method')) f(field)))
+ FROM (SELECT printf('%05d', p_partkey) AS code FROM part) p LEFT JOIN ({CATALOG_SQL}) c USING (code), (VALUES ('name'), ('credits'), ('exam_method')) f(field)))
 """
 
 
@@ -138,12 +138,12 @@ def cites(spark, sf):
         .when(n == 2, F.concat(F.substring("above", 1, 9), F.substring("below", -9, 9))).otherwise("no such value ¤")
     )
     return lines.select(
-        (F.col("doc_id") * 100000 + F.col("line_no")).alias("cite_id"), "doc_id", "line_no", value.alias("value")
+        F.concat_ws("-", F.col("doc_id").cast("string"), F.col("line_no").cast("string")).alias("cite_id"), "doc_id", "line_no", value.alias("value")
     ).filter(F.col("value") != "")
 
 
 CITES_SQL = f"""
-SELECT doc_id * 100000 + line_no AS cite_id, doc_id, line_no, CASE line_no % 4 WHEN 0 THEN substr(t, 1, 25) WHEN 1 THEN below WHEN 2 THEN substr(above, 1, 9) || right(below, 9) ELSE 'no such value ¤' END AS value
+SELECT concat_ws('-', doc_id, line_no) AS cite_id, doc_id, line_no, CASE line_no % 4 WHEN 0 THEN substr(t, 1, 25) WHEN 1 THEN below WHEN 2 THEN substr(above, 1, 9) || right(below, 9) ELSE 'no such value ¤' END AS value
 FROM (SELECT doc_id, line_no, t, lag(t) OVER w AS above, lead(t) OVER w AS below FROM (SELECT doc_id, line_no, {inputs.sql_fold('text')} AS t FROM ({inputs.LINES})) WINDOW w AS (PARTITION BY doc_id ORDER BY line_no))
 """
 
@@ -168,20 +168,20 @@ def supporting_locator(spark, sf):
     "f7_assemble",
     f"""
 WITH f AS (SELECT code, count(*) FILTER (WHERE status = 'verified') AS verified_facts, count(*) FILTER (WHERE status = 'named_gap') AS named_gaps, max(value) FILTER (WHERE field = 'name') AS name FROM ({FACTS_SQL}) GROUP BY code),
-s AS (SELECT lpad(s_suppkey::VARCHAR, 5, '0') AS code, s_name AS requirements_heading, 'L' || s_suppkey AS syllabus_locator FROM supplier),
-t AS (SELECT lpad(l_partkey::VARCHAR, 5, '0') AS code, max(l_suppkey) AS textbook_doc_id, max(l_returnflag) AS textbook_row FROM lineitem WHERE l_quantity > 45 GROUP BY 1),
-u AS (SELECT lpad(page_id::VARCHAR, 5, '0') AS code, url AS course_url FROM pages)
+s AS (SELECT printf('%05d', s_suppkey) AS code, s_name AS requirements_heading, 'L' || s_suppkey AS syllabus_locator FROM supplier),
+t AS (SELECT printf('%05d', l_partkey) AS code, max(l_suppkey) AS textbook_doc_id, max(l_returnflag) AS textbook_row FROM lineitem GROUP BY 1),
+u AS (SELECT printf('%05d', page_id) AS code, url AS course_url FROM pages)
 SELECT f.*, requirements_heading, syllabus_locator, textbook_doc_id, textbook_row, course_url, CASE WHEN s.code IS NULL THEN 'missing' ELSE 'extracted' END AS syllabus_status,
  CASE WHEN t.code IS NULL THEN 'missing' ELSE 'matched' END AS textbook_status, CASE WHEN s.code IS NOT NULL AND t.code IS NOT NULL THEN 'L1' ELSE 'blocked' END AS level
 FROM f LEFT JOIN s USING (code) LEFT JOIN t USING (code) LEFT JOIN u USING (code)
 """,
 )
 def assemble(spark, sf):
-    five = lambda c: F.lpad(F.col(c).cast("string"), 5, "0").alias("code")
+    five = lambda c: inputs.padded(F.col(c)).alias("code")
     syllabus = table(spark, sf, "supplier").select(
         five("s_suppkey"), F.col("s_name").alias("heading"), F.concat(F.lit("L"), F.col("s_suppkey").cast("string")).alias("locator")
     )
-    textbook = table(spark, sf, "lineitem").filter(F.col("l_quantity") > 45).groupBy(five("l_partkey")).agg(
+    textbook = table(spark, sf, "lineitem").groupBy(five("l_partkey")).agg(
         F.max("l_suppkey").alias("doc_id"), F.max("l_returnflag").alias("row")
     )
     urls = table(spark, sf, "pages").select(five("page_id"), "url")
@@ -259,7 +259,7 @@ def digest_drift(spark, sf):
 @query(
     "f11_url_provenance",
     """
-WITH e AS (SELECT o_orderkey, o_custkey, 'https://' || CASE WHEN o_orderkey % 3 = 0 THEN 'evilexample.cn' ELSE 'www.example.cn' END || '/' || o_custkey AS url FROM orders WHERE o_orderstatus <> 'P'),
+WITH e AS (SELECT o_orderkey, o_custkey, 'https://' || CASE WHEN o_orderkey % 3 = 0 THEN 'evilexample.cn' ELSE 'www.example.cn' END || '/' || o_custkey AS url FROM orders),
 b AS (SELECT 'https://' || h || '/' || c_custkey AS url, c_acctbal > 0 AS auth, c_nationkey AS nk FROM customer, (SELECT unnest(['evilexample.cn', 'www.example.cn']) AS h) WHERE c_custkey % 4 <> 0),
 j AS (SELECT e.*, b.url IS NOT NULL AS known, auth, nk FROM e LEFT JOIN b USING (url))
 SELECT 'url_unknown' AS rule, o_orderkey::VARCHAR AS entity FROM j WHERE NOT known UNION ALL
@@ -270,7 +270,7 @@ SELECT 'url_code', o_orderkey::VARCHAR FROM j WHERE known AND o_orderkey % 25 <>
 )
 def url_provenance(spark, sf):
     host = F.when(F.col("o_orderkey") % 3 == 0, "evilexample.cn").otherwise("www.example.cn")
-    ev = table(spark, sf, "orders").filter(F.col("o_orderstatus") != "P").select(
+    ev = table(spark, sf, "orders").select(
         "o_orderkey", (F.col("o_orderkey") % 25).alias("code"),
         F.concat(F.lit("https://"), host, F.lit("/"), F.col("o_custkey").cast("string")).alias("course_url"),
     )

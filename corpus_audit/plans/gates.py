@@ -169,8 +169,8 @@ def first_divergence(spark, sf):
 # Markdown pages made from orders: course and major pages with defects by key arithmetic
 def gate_pages(spark, sf):
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    code = F.when(k % 17 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(F.lpad((k % 100000).cast("string"), 5, "0"))
-    major = F.concat(F.lpad((k % 1000000).cast("string"), 6, "0"), F.when(k % 19 == 0, "ZZ").when(k % 3 == 0, "K").otherwise(""))
+    code = F.when(k % 17 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(inputs.padded(k))
+    major = F.concat(inputs.padded(k, 6), F.when(k % 19 == 0, "ZZ").when(k % 3 == 0, "K").otherwise(""))
     is_major = F.col("o_orderstatus") == "P"
     return wide(spark, sf, "orders").select(
         "o_orderkey",
@@ -186,7 +186,7 @@ def gate_pages(spark, sf):
 
 
 CONTENT_GATE_SQL = """
-WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus = 'P' AS major, lpad((o_orderkey % 100000)::VARCHAR, 5, '0') AS code, lpad((o_orderkey % 1000000)::VARCHAR, 6, '0') || CASE WHEN o_orderkey % 19 = 0 THEN 'ZZ' WHEN o_orderkey % 3 = 0 THEN 'K' ELSE '' END AS mcode FROM orders),
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus = 'P' AS major, printf('%05d', o_orderkey) AS code, printf('%06d', o_orderkey) || CASE WHEN o_orderkey % 19 = 0 THEN 'ZZ' WHEN o_orderkey % 3 = 0 THEN 'K' ELSE '' END AS mcode FROM orders),
 p AS (SELECT *, CASE WHEN major THEN 'a/majors/' || mcode || '-name/index.md' ELSE 'a/courses/' || CASE WHEN k % 17 = 0 THEN 'x' || k ELSE code END || '/index.md' END AS path FROM o)
 SELECT 'private_url' AS rule, path AS entity FROM p WHERE c % 23 = 0 UNION ALL SELECT 'completeness_value', path FROM p WHERE c % 11 = 0 UNION ALL
 SELECT 'lifecycle_value', path FROM p WHERE c % 7 = 0 UNION ALL SELECT 'verified_date', path FROM p WHERE c % 13 = 0 UNION ALL SELECT 'course_code', path FROM p WHERE NOT major AND k % 17 = 0 UNION ALL
@@ -204,9 +204,10 @@ def content_rules(spark, sf):
 
 
 MANIFEST_GATE_SQL = f"""
-WITH m AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '' ELSE path END AS src, path || '.xml' AS xml, path || '.txt' AS txt, CASE WHEN doc_id % 6 = 0 THEN 'zz' WHEN doc_id % 13 = 0 THEN repeat('0', 64) ELSE digest END AS sha, doc_id % 17 = 0 AS nopol FROM ({text_plans.FILES_SQL}) WHERE doc_id % 10 <> 0)
+WITH m AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '' ELSE path END AS src, path || '.xml' AS xml, path || '.txt' AS txt, CASE WHEN doc_id % 6 = 0 THEN 'zz' WHEN doc_id % 13 = 0 THEN repeat('0', 64) ELSE digest END AS sha, doc_id % 17 = 0 AS nopol FROM ({text_plans.FILES_SQL})),
+f AS (SELECT DISTINCT txt FROM m WHERE doc_id % 3 <> 0)
 SELECT 'path_empty' AS rule, doc_id::VARCHAR AS entity FROM m WHERE src = '' UNION ALL
-SELECT 'target_missing', doc_id::VARCHAR FROM m, (SELECT unnest(['txt', 'view']) AS c) WHERE c = 'view' OR doc_id % 3 = 0 UNION ALL
+SELECT 'target_missing', doc_id::VARCHAR FROM m, (SELECT unnest(['txt', 'view']) AS c) WHERE c = 'view' OR txt NOT IN (SELECT txt FROM f) UNION ALL
 SELECT 'digest_mismatch', doc_id::VARCHAR FROM m WHERE src <> '' AND (doc_id % 6 = 0 OR doc_id % 13 = 0) UNION ALL
 SELECT 'digest_shape', doc_id::VARCHAR FROM m WHERE doc_id % 6 = 0 UNION ALL SELECT 'policy_empty', doc_id::VARCHAR FROM m WHERE nopol
 """
@@ -214,7 +215,7 @@ SELECT 'digest_shape', doc_id::VARCHAR FROM m WHERE doc_id % 6 = 0 UNION ALL SEL
 
 def manifest_gate(spark, sf):
     d = F.col("doc_id")
-    listing = text_plans.source_files(spark, sf).filter(d % 10 != 0)
+    listing = text_plans.source_files(spark, sf)
     manifest = listing.select(
         d.alias("row_no"), F.when(d % 11 == 0, "").otherwise(F.replace("path", F.lit("/"), F.lit("\\"))).alias("source_pdf"),
         F.concat("path", F.lit(".xml")).alias("raw_xml"), F.concat("path", F.lit(".txt")).alias("raw_txt"), F.concat("path", F.lit(".view")).alias("raw_view_html"),
@@ -451,24 +452,24 @@ def remap(spark, sf):
 @query(
     "j14_gap_backlog",
     """
-SELECT n_nationkey AS pos, '[course-gap] ' || lpad(n_nationkey::VARCHAR, 5, '0') || ' ' || n_name || '：教材、' || n_regionkey AS issue_title, 'course-gap,p' || n_regionkey || ',materials-needed' AS labels,
- '课程：`' || lpad(n_nationkey::VARCHAR, 5, '0') || '` ' || n_name || chr(10) || chr(10) || '缺口：教材、' || n_regionkey || chr(10) || '优先级：P' || n_regionkey || chr(10) || 'materials线索：h' AS body FROM nation ORDER BY pos LIMIT 20
+SELECT n_nationkey AS pos, '[course-gap] ' || printf('%05d', n_nationkey) || ' ' || n_name || '：教材、' || n_regionkey AS issue_title, 'course-gap,p' || n_regionkey || ',materials-needed' AS labels,
+ '课程：`' || printf('%05d', n_nationkey) || '` ' || n_name || chr(10) || chr(10) || '缺口：教材、' || n_regionkey || chr(10) || '优先级：P' || n_regionkey || chr(10) || 'materials线索：h' AS body FROM nation
 """,
 )
 def gap_backlog(spark, sf):
     r = F.col("n_regionkey").cast("string")
     gaps = table(spark, sf, "nation").select(
-        F.col("n_nationkey").alias("pos"), F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("code"), F.col("n_name").alias("title"),
+        F.col("n_nationkey").alias("pos"), inputs.padded(F.col("n_nationkey")).alias("code"), F.col("n_name").alias("title"),
         F.concat(F.lit("P"), r).alias("priority"), F.array(F.lit("教材"), r).alias("gaps"), F.lit("h").alias("materials_hint"),
     )
-    return report.gap_backlog(gaps, 20)
+    return report.gap_backlog(gaps)
 
 
 @query(
     "j15_sitemap",
     """
 SELECT 'https://s.example/' || p AS loc, w AS priority FROM (VALUES ('', '1.0'), ('courses/', '0.9'), ('majors/', '0.9')) v(p, w) UNION ALL
-SELECT 'https://s.example/courses/' || lpad(page_id::VARCHAR, 5, '0') || '/', '0.8' FROM pages UNION ALL SELECT 'https://s.example/majors/' || lower(n_name) || '/', '0.7' FROM nation WHERE n_regionkey > 1
+SELECT 'https://s.example/courses/' || printf('%05d', page_id) || '/', '0.8' FROM pages UNION ALL SELECT 'https://s.example/majors/' || lower(n_name) || '/', '0.7' FROM nation WHERE n_regionkey > 1
 """,
 )
 def sitemap(spark, sf):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpus_audit.functions import text as tx
 from corpus_audit.plans.registry import table, wide
 
 # RE2 spelling of "any whitespace" for the SQL side.
@@ -107,18 +108,22 @@ def page_markdown(spark: SparkSession, sf: str) -> DataFrame:
     return lines.withColumn("path", page_path(F.col("page_id")))
 
 
+def padded(key: Column, width: int = 5) -> Column:
+    """The number with leading zeros; longer numbers are never cut."""
+    return F.when(key.isNotNull(), F.format_string(f"%0{width}d", key.cast("bigint")))
+
+
 def page_path(page_id: Column) -> Column:
-    return F.concat(F.lit("courses/"), F.lpad(page_id.cast("string"), 5, "0"), F.lit("/sources.md"))
+    return F.concat(F.lit("courses/"), padded(page_id), F.lit("/sources.md"))
 
 
-SQL_PAGE_PATH = "'courses/' || lpad(page_id::VARCHAR, 5, '0') || '/sources.md'"
-URL_TAIL = ".,;:。，、；)）]】>"
+SQL_PAGE_PATH = "'courses/' || printf('%05d', page_id) || '/sources.md'"
 
 # references written from the link table itself, not by matching Markdown
 PAGE_REFS = (
     "SELECT DISTINCT page_id, i + 1 AS line_no, url FROM ("
-    f"SELECT page_id, i, rtrim(base || href, '{URL_TAIL}') AS url FROM ({PAGE_LINKS}) UNION ALL "
-    f"SELECT page_id, i, rtrim(base || '/', '{URL_TAIL}') AS url FROM ({PAGE_LINKS}) WHERE i % 3 = 2)"
+    f"SELECT page_id, i, rtrim(base || href, '{tx.URL_TAIL}') AS url FROM ({PAGE_LINKS}) UNION ALL "
+    f"SELECT page_id, i, rtrim(base || '/', '{tx.URL_TAIL}') AS url FROM ({PAGE_LINKS}) WHERE i % 3 = 2)"
 )
 
 

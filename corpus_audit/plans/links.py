@@ -41,7 +41,7 @@ def collect_urls(spark, sf):
 @query(
     "d2_url_members",
     f"""
-SELECT DISTINCT url, 'code' AS member, lpad(page_id::VARCHAR, 5, '0') AS value FROM ({inputs.PAGE_REFS}) UNION ALL
+SELECT DISTINCT url, 'code' AS member, printf('%05d', page_id) AS value FROM ({inputs.PAGE_REFS}) UNION ALL
 SELECT DISTINCT url, 'section', '官方来源' FROM ({inputs.PAGE_REFS}) UNION ALL
 SELECT DISTINCT url, 'file', {inputs.SQL_PAGE_PATH} FROM ({inputs.PAGE_REFS})
 """,
@@ -171,13 +171,13 @@ def official_snapshot(spark, sf):
 @query(
     "d10_canonical_url_per_code",
     f"""
-SELECT lpad(l_partkey::VARCHAR, 5, '0') AS code, min(url) AS url FROM lineitem JOIN pages ON page_id = l_suppkey GROUP BY 1
+SELECT printf('%05d', l_partkey) AS code, min(url) AS url FROM lineitem JOIN pages ON page_id = l_suppkey GROUP BY 1
 """,
 )
 def canonical_url_per_code(spark, sf):
     pages = table(spark, sf, "pages")
     codes = table(spark, sf, "lineitem").join(pages, F.col("page_id") == F.col("l_suppkey")).select(
-        "url", F.lpad(F.col("l_partkey").cast("string"), 5, "0").alias("code")
+        "url", inputs.padded(F.col("l_partkey")).alias("code")
     )
     return ops.canonical_url_per_code(pages.select("url").distinct(), codes)
 
@@ -187,7 +187,7 @@ ENTRIES_SQL = """
 SELECT 'u' || o_orderkey AS url, CASE o_orderstatus WHEN 'F' THEN 'ok' WHEN 'O' THEN 'dead' ELSE CASE WHEN o_custkey % 9 = 0 THEN 'odd' ELSE 'inconclusive' END END AS status,
  CASE WHEN o_orderkey % 11 = 0 THEN 599 WHEN o_orderstatus = 'F' THEN 200 WHEN o_orderstatus = 'O' THEN 404 END AS http_code,
  o_custkey % 2 = 0 AS authoritative, CASE WHEN o_custkey % 2 = 0 AND o_orderkey % 13 <> 0 THEN sha256(o_orderpriority) WHEN o_orderkey % 17 = 0 THEN 'zz' END AS content_hash,
- CASE WHEN o_orderkey % 19 = 0 THEN '' ELSE o_orderpriority END AS section, CASE WHEN o_orderkey % 23 = 0 THEN 'x1' ELSE lpad(o_custkey::VARCHAR, 5, '0') END AS code FROM orders
+ CASE WHEN o_orderkey % 19 = 0 THEN '' ELSE o_orderpriority END AS section, CASE WHEN o_orderkey % 23 = 0 THEN 'x1' ELSE printf('%05d', o_custkey) END AS code FROM orders
 """
 
 
@@ -204,7 +204,7 @@ SELECT 'hash_missing', url FROM e WHERE authoritative AND status = 'ok' AND NOT
 SELECT 'hash_shape', url FROM e WHERE authoritative AND status <> 'ok' AND content_hash IS NOT NULL AND NOT regexp_full_match(content_hash, '[0-9a-f]{{64}}') UNION ALL
 SELECT 'sections_empty', url FROM e WHERE section = '' UNION ALL
 SELECT 'code_shape', url FROM e WHERE NOT regexp_full_match(code, '[0-9]{{5}}') UNION ALL
-SELECT 'code_unknown', url FROM e WHERE regexp_full_match(code, '[0-9]{{5}}') AND code NOT IN (SELECT lpad(c_custkey::VARCHAR, 5, '0') FROM customer WHERE c_acctbal > 0)
+SELECT 'code_unknown', url FROM e WHERE regexp_full_match(code, '[0-9]{{5}}') AND code NOT IN (SELECT printf('%05d', c_custkey) FROM customer WHERE c_acctbal > 0)
 """,
 )
 def coherence(spark, sf):
@@ -216,10 +216,10 @@ def coherence(spark, sf):
         (cust % 2 == 0).alias("authoritative"),
         F.when((cust % 2 == 0) & (key % 13 != 0), F.sha2("o_orderpriority", 256)).when(key % 17 == 0, "zz").alias("content_hash"),
         F.when(key % 19 == 0, "").otherwise(F.col("o_orderpriority")).alias("section"),
-        F.when(key % 23 == 0, "x1").otherwise(F.lpad(cust.cast("string"), 5, "0")).alias("code"),
+        F.when(key % 23 == 0, "x1").otherwise(inputs.padded(cust)).alias("code"),
     )
     catalog = table(spark, sf, "customer").filter(F.col("c_acctbal") > 0).select(
-        F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("code")
+        inputs.padded(F.col("c_custkey")).alias("code")
     )
     found = ops.coherence(entries, entries.select("url", "code"), entries.select("url", "section"), catalog)
     return found.select("rule", "entity")
@@ -266,7 +266,7 @@ def broken_relative(spark, sf):
     "d14_missing_edges",
     """
 WITH e AS (SELECT DISTINCT page_id AS entity, CASE WHEN event_type = 'view' THEN 'index' WHEN event_type = 'click' THEN 'plan' ELSE 'sources' END AS src,
-  CASE event_id % 3 WHEN 0 THEN 'index' WHEN 1 THEN 'plan' ELSE 'sources' END AS dst FROM events JOIN pages ON page_id = user_id WHERE value > 60),
+  CASE event_id % 3 WHEN 0 THEN 'index' WHEN 1 THEN 'plan' ELSE 'sources' END AS dst FROM events JOIN pages ON page_id = user_id),
 k AS (SELECT unnest(['index', 'plan', 'sources']) AS kind)
 SELECT page_id AS entity, a.kind AS src, b.kind AS dst, 'missing' AS problem FROM pages, k a, k b WHERE a.kind <> b.kind
  AND NOT EXISTS (SELECT 1 FROM e WHERE e.entity = page_id AND e.src = a.kind AND e.dst = b.kind)
@@ -279,7 +279,6 @@ def missing_edges(spark, sf):
     e, i = F.col("event_type"), F.col("event_id") % 3
     edges = (
         inputs.events(spark, sf)
-        .filter(F.col("value") > 60)
         .join(pages, F.col("user_id") == F.col("entity"))
         .select(
             "entity",

@@ -130,12 +130,12 @@ POINTS_SQL = f"""
 WITH c AS (SELECT * FROM ({CLASSIFIED_SQL}) WHERE role = 'requirement'),
 p AS (SELECT doc_id, idx, title AS unit_title, section_line, section_index, requirement, line_no, generate_subscripts(ph, 1) AS k, unnest(ph) AS title FROM (SELECT *, [x FOR x IN [trim(rtrim({inputs.sql_fold('y')}, '。'), ' ') FOR y IN string_split(body, '；')] IF x <> ''] AS ph FROM c)),
 n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, idx, section_line ORDER BY line_no, k) AS seq FROM p)
-SELECT doc_id, idx, lpad(doc_id::VARCHAR, 5, '0') || '-ch0' || idx || '-s' || section_index || '-p' || seq AS point_id, section_line, section_index, seq, title, requirement, 'L' || line_no AS locator FROM n
+SELECT doc_id, idx, printf('%05d', doc_id) || '-ch0' || idx || '-s' || section_index || '-p' || seq AS point_id, section_line, section_index, seq, title, requirement, 'L' || line_no AS locator FROM n
 """
 
 
 def points(spark, sf):
-    prefix = F.concat(F.lpad(F.col("doc_id").cast("string"), 5, "0"), F.lit("-ch0"), F.col("idx").cast("string"))
+    prefix = F.concat(inputs.padded(F.col("doc_id")), F.lit("-ch0"), F.col("idx").cast("string"))
     return ops.points(classified(spark, sf).withColumnRenamed("title", "unit_title"), ["doc_id", "idx"], prefix)
 
 
@@ -220,7 +220,7 @@ def coverage(spark, sf):
 # a hand-kept tree per document: heading missing in every seventh, every ninth line unnumbered
 MANUAL_SQL = """
 SELECT doc_id, 1::BIGINT AS line_no, CASE WHEN doc_id % 7 = 0 THEN '## 知识点总览' ELSE ' ## 章节知识树 ' END AS text FROM documents UNION ALL
-SELECT doc_id, i + 1, CASE WHEN i % 9 = 0 THEN '#### x ' || substr(x, 1, 5) ELSE '#### ' || (i // 4) || '.' || (i % 4 + 1) || ' ' || substr(x, 1, 9) || ' — ' || CASE WHEN i % 2 = 0 THEN '🟢🔴' ELSE '🟡' END END
+SELECT doc_id, i + 1, CASE WHEN i % 9 = 0 THEN '#### x ' || x ELSE '#### ' || (i // 4) || '.' || (i % 4 + 1) || ' ' || x || ' — ' || CASE WHEN i % 2 = 0 THEN '🟢🔴' ELSE '🟡' END END
  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), unnest(range(1, len(l) + 1)) u(i), (SELECT 1) one, unnest([l[i]]) v(x) UNION ALL
 SELECT doc_id, len(string_split(text, chr(10))) + 2, '## end' FROM documents UNION ALL SELECT doc_id, len(string_split(text, chr(10))) + 3, '#### 9.9 after' FROM documents
 """
@@ -230,8 +230,8 @@ def manual_lines(spark, sf):
     docs = table(spark, sf, "documents").withColumn("l", F.split("text", "\n", -1))
     head = F.array(F.when(F.col("doc_id") % 7 == 0, "## 知识点总览").otherwise(" ## 章节知识树 "))
     body = F.expr(
-        "transform(l, (x, j) -> CASE WHEN (j + 1) % 9 = 0 THEN '#### x ' || substr(x, 1, 5) ELSE '#### ' || ((j + 1) div 4) || '.' || ((j + 1) % 4 + 1) || ' ' "
-        "|| substr(x, 1, 9) || ' — ' || CASE WHEN (j + 1) % 2 = 0 THEN '🟢🔴' ELSE '🟡' END END)"
+        "transform(l, (x, j) -> CASE WHEN (j + 1) % 9 = 0 THEN '#### x ' || x ELSE '#### ' || ((j + 1) div 4) || '.' || ((j + 1) % 4 + 1) || ' ' "
+        "|| x || ' — ' || CASE WHEN (j + 1) % 2 = 0 THEN '🟢🔴' ELSE '🟡' END END)"
     )
     whole = F.concat(head, body, F.array(F.lit("## end"), F.lit("#### 9.9 after")))
     return docs.select("doc_id", F.posexplode(whole).alias("_p", "text")).select("doc_id", (F.col("_p") + 1).cast("bigint").alias("line_no"), "text")
@@ -260,7 +260,7 @@ def parse_manual(spark, sf):
     "g13_diff_ledger",
     """
 WITH m AS (SELECT o_orderkey AS k, '「' || o_orderpriority || '」' AS title, CASE WHEN o_orderstatus = 'F' THEN 'A,R' ELSE 'N' END AS lv FROM orders),
-o AS (SELECT l_orderkey AS k, min(l_linenumber) AS fp, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS lv, min(l_partkey) AS pk FROM lineitem WHERE l_quantity > 20 GROUP BY 1),
+o AS (SELECT l_orderkey AS k, min(l_linenumber) AS fp, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS lv, min(l_partkey) AS pk FROM lineitem GROUP BY 1),
 j AS (SELECT coalesce(m.k, o.k) AS k, m.title AS mt, CASE WHEN pk % 3 = 0 THEN m.title WHEN pk % 3 = 1 THEN translate(m.title, '「」', '“”') ELSE 'z' END AS ot, m.lv AS ml, o.lv AS ol, m.k AS mk, o.k AS ok, fp FROM m FULL JOIN o ON m.k = o.k)
 SELECT k AS order_key, CASE WHEN mk IS NOT NULL AND ok IS NOT NULL THEN 'matched' WHEN mk IS NOT NULL THEN 'manual_only' ELSE 'model_only' END AS kind, fp AS first_point,
  concat_ws(';', CASE WHEN ml <> ol THEN 'levels_differ' END, CASE WHEN ok IS NOT NULL AND mk IS NOT NULL THEN CASE WHEN ot = mt THEN NULL WHEN ot <> 'z' THEN 'quote_style' ELSE 'title_differs' END END) AS note FROM j
@@ -274,7 +274,7 @@ def diff_ledger(spark, sf):
         F.when(F.col("o_orderstatus") == "F", F.array(F.lit("A"), F.lit("R"))).otherwise(F.array(F.lit("N"))).alias("levels"),
     )
     # return flags are a closed list of three, so the level set per order is bounded
-    made = table(spark, sf, "lineitem").filter(F.col("l_quantity") > 20).groupBy("l_orderkey").agg(
+    made = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         F.collect_set("l_returnflag").alias("levels"), F.min("l_linenumber").alias("first_point"), F.min("l_partkey").alias("pk")
     )
     made = made.join(orders, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
@@ -285,7 +285,7 @@ def diff_ledger(spark, sf):
 
 
 POINT_ROWS = """
-SELECT lpad((p_partkey // 4)::VARCHAR, 5, '0') AS code, lpad((p_partkey // 4 + (p_partkey % 17 = 0)::INT)::VARCHAR, 5, '0') || CASE WHEN p_partkey % 13 = 0 THEN '-bad-' ELSE '-ch01-' END || 's1-p' || CASE WHEN p_partkey % 10 = 0 THEN 2 ELSE p_partkey % 4 + 1 END AS point_id,
+SELECT printf('%05d', (p_partkey // 4)) AS code, printf('%05d', (p_partkey // 4 + (p_partkey % 17 = 0)::INT)) || CASE WHEN p_partkey % 13 = 0 THEN '-bad-' ELSE '-ch01-' END || 's1-p' || CASE WHEN p_partkey % 10 = 0 THEN 2 ELSE p_partkey % 4 + 1 END AS point_id,
  CASE WHEN p_partkey % 9 = 0 THEN '  ' WHEN p_partkey % 7 = 0 THEN repeat(p_name, 8) ELSE p_name END AS quote FROM part
 """
 
@@ -301,7 +301,7 @@ SELECT 'point_duplicate', code FROM p GROUP BY code, point_id HAVING count(*) >
 )
 def validate_points(spark, sf):
     k = F.col("p_partkey")
-    five = lambda c: F.lpad(c.cast("string"), 5, "0")
+    five = lambda c: inputs.padded(c)
     rows = table(spark, sf, "part").select(
         five(F.expr("p_partkey div 4")).alias("code"),
         F.concat(

@@ -95,7 +95,7 @@ def table_rows(spark, sf):
 # wrapped around its row, every seventh row has two method tokens
 PLAN_ROWS = """
 SELECT p_brand, p_partkey, k, p_partkey * 3 + k AS line_no, CASE
- WHEN k = 1 THEN '  ' || (p_partkey % 40 + 1) || '   ' || lpad(p_partkey::VARCHAR, 5, '0') || '   ' || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_name || '   ' END || p_size || '   '
+ WHEN k = 1 THEN '  ' || (p_partkey % 40 + 1) || '   ' || printf('%05d', p_partkey) || '   ' || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_name || '   ' END || p_size || '   '
    || CASE WHEN p_partkey % 7 = 0 THEN '笔试 实践' WHEN p_size % 2 = 0 THEN '笔试' ELSE '机考' END
  WHEN p_partkey % 5 = 0 THEN '            ' || CASE WHEN k = 0 THEN split_part(p_name, ' ', 1) ELSE split_part(p_name, ' ', 2) || '  学分' END
  ELSE '' END AS text FROM part, (SELECT unnest([0, 1, 2]) AS k)
@@ -105,7 +105,7 @@ SELECT p_brand, p_partkey, k, p_partkey * 3 + k AS line_no, CASE
 def plan_lines(spark, sf):
     key, name = F.col("p_partkey"), F.col("p_name")
     row = F.concat(
-        F.lit("  "), (key % 40 + 1).cast("string"), F.lit("   "), F.lpad(key.cast("string"), 5, "0"), F.lit("   "),
+        F.lit("  "), (key % 40 + 1).cast("string"), F.lit("   "), inputs.padded(key), F.lit("   "),
         F.when(key % 5 == 0, "").otherwise(F.concat(name, F.lit("   "))), F.col("p_size").cast("string"), F.lit("   "),
         F.when(key % 7 == 0, "笔试 实践").when(F.col("p_size") % 2 == 0, "笔试").otherwise("机考"),
     )
@@ -120,7 +120,7 @@ def plan_lines(spark, sf):
 @query(
     "c5_fixed_width_parsed",
     """
-SELECT p_partkey, p_partkey * 3 + 1 AS line_no, lpad(p_partkey::VARCHAR, 5, '0') AS code, CASE WHEN p_partkey % 5 = 0 THEN replace(p_name, ' ', '') ELSE p_name END AS name,
+SELECT p_partkey, p_partkey * 3 + 1 AS line_no, printf('%05d', p_partkey) AS code, CASE WHEN p_partkey % 5 = 0 THEN replace(p_name, ' ', '') ELSE p_name END AS name,
  p_size AS credits, CASE WHEN p_size % 2 = 0 THEN '笔试' ELSE '机考' END AS exam_method FROM part WHERE p_partkey % 7 <> 0
 """,
 )

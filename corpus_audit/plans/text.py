@@ -70,11 +70,11 @@ def url_slug(spark, sf):
 
 @query(
     "b5_entity_code_from_path",
-    "SELECT page_id, CASE WHEN page_id % 4 < 3 THEN lpad(page_id::VARCHAR, 5, '0') END AS code, CASE WHEN page_id % 4 < 3 THEN '/courses/' || lpad(page_id::VARCHAR, 5, '0') || '/' END AS route FROM pages",
+    "SELECT page_id, CASE WHEN page_id % 4 < 3 THEN printf('%05d', page_id) END AS code, CASE WHEN page_id % 4 < 3 THEN '/courses/' || printf('%05d', page_id) || '/' END AS route FROM pages",
 )
 def entity_code(spark, sf):
     i = F.col("page_id")
-    code = F.lpad(i.cast("string"), 5, "0")
+    code = inputs.padded(i)
     path = (
         F.when(i % 4 == 0, F.concat(F.lit("courses/"), code, F.lit(".md")))
         .when(i % 4 == 1, F.concat(F.lit("x/"), code, F.lit("/sources.MD")))
@@ -86,10 +86,10 @@ def entity_code(spark, sf):
 
 @query(
     "b6_content_fingerprint",
-    f"SELECT page_id, sha256({inputs.sql_fold("regexp_replace('id ' || lpad(page_id::VARCHAR, 9, '7') || html, '[0-9]{6,}', '#', 'g')")}) AS digest FROM pages",
+    f"SELECT page_id, sha256({inputs.sql_fold("regexp_replace('id ' || '7777777' || page_id::VARCHAR || html, '[0-9]{6,}', '#', 'g')")}) AS digest FROM pages",
 )
 def content_fingerprint(spark, sf):
-    volatile = F.concat(F.lit(" id  "), F.lpad(F.col("page_id").cast("string"), 9, "7"), "html", F.lit("\n"))
+    volatile = F.concat(F.lit(" id  "), F.lit("7777777"), F.col("page_id").cast("string"), "html", F.lit("\n"))
     return table(spark, sf, "pages").select("page_id", tx.content_fingerprint(volatile).alias("digest"))
 
 
@@ -484,7 +484,7 @@ SELECT page_id, i, CASE WHEN i % 5 <> 3 THEN rtrim(substr(raw, 13), '{po.REF_TAI
 """,
 )
 def parse_ref(spark, sf):
-    return _refs(spark, sf).select("page_id", "i", po.parse_ref("raw").alias("r"), po.ref_policy_error(F.substring("raw", 13, 1000)).alias("policy")).select(
+    return _refs(spark, sf).select("page_id", "i", po.parse_ref("raw").alias("r"), po.ref_policy_error(F.substr(F.col("raw"), F.lit(13))).alias("policy")).select(
         "page_id", "i", "r.path", "r.state", "policy"
     )
 
@@ -532,7 +532,7 @@ def keyed_counts(spark, sf):
 @query(
     "b34_normalize_href",
     f"""
-SELECT page_id, i, CASE i % 6 WHEN 0 THEN '/base' || href WHEN 1 THEN '/base/majors/m' || page_id || '/#top' WHEN 2 THEN '/base/courses/' || lpad(page_id::VARCHAR, 5, '0') || '/'
+SELECT page_id, i, CASE i % 6 WHEN 0 THEN '/base' || href WHEN 1 THEN '/base/majors/m' || page_id || '/#top' WHEN 2 THEN '/base/courses/' || printf('%05d', page_id) || '/'
  WHEN 3 THEN 'notes' || href WHEN 4 THEN url ELSE '#' || i END AS href FROM ({inputs.PAGE_LINKS})
 """,
 )
@@ -540,7 +540,7 @@ def normalize_href(spark, sf):
     i, p = F.col("i") % 6, F.col("page_id").cast("string")
     raw = (
         F.when(i == 0, F.col("href")).when(i == 1, F.concat(F.lit("../../majors/m"), p, F.lit("#top")))
-        .when(i == 2, F.concat(F.lit("../courses/"), F.lpad(p, 5, "0"), F.lit(".md")))
+        .when(i == 2, F.concat(F.lit("../courses/"), inputs.padded(F.col("page_id")), F.lit(".md")))
         .when(i == 3, F.concat(F.lit(" notes"), "href", F.lit(".md"))).when(i == 4, F.col("url"))
         .otherwise(F.concat(F.lit("#"), F.col("i").cast("string")))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,9 +31,13 @@ def local_session(app: str, cpus: str | None = None, shuffle_partitions: int = 8
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; only a session that names none gets a local one."""
+    """The cluster's shared checkpoint folder; only a local session that names none gets a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder or tempfile.mkdtemp(prefix="corpus-audit-")
+    if folder:
+        return folder
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="corpus-audit-")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -38,8 +38,9 @@ def test_ranked_and_neighbors_equal_plain_windows_on_a_hot_key(spark):
 
 def test_broadcast_is_size_checked(spark):
     small = spark.range(10)
-    assert content.source_is_broadcast(scale.broadcast_if_small(small))
-    assert not content.source_is_broadcast(scale.broadcast_if_small(small, growth=10**9))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(scale.broadcast_if_small(small))
+    assert not hinted(scale.broadcast_if_small(small, growth=10**9))
 
 
 # -- content ------------------------------------------------------------------------------------
