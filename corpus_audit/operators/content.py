@@ -206,7 +206,8 @@ def _windows_at(texts: DataFrame, hits: DataFrame, id_col: str, size: int, piece
     """Digests of the windows around anchors: (id, pos from 1, digest).
 
     A window that holds the anchor starts at most ``size - piece`` characters before it.  Starts are grouped in
-    cells of half a window; a cell's strip is cut from the text once, however many anchors ask for it.
+    cells of half a window; a cell's strip is cut from the text once, however many anchors ask for it.  The cells
+    wanted of a text are gathered first (no more than the text has), so a text without a common anchor is never cut.
     """
     cell = size // 2
     first = F.floor(F.greatest(F.col("at") - (size - piece), F.lit(0)) / cell)
@@ -214,11 +215,12 @@ def _windows_at(texts: DataFrame, hits: DataFrame, id_col: str, size: int, piece
     strips = F.regexp_extract_all(
         F.col("text"), F.lit(rf"(?s)(?=(.{{1,{cell + size - 1}}}+)).{{1,{cell}}}+"), F.lit(1)
     )
-    pieces = texts.select(id_col, F.posexplode(strips).alias("cell", "_strip")).filter(F.length("_strip") >= size)
+    cells = wanted.groupBy(id_col).agg(F.collect_list("cell").alias("_cells"))
+    picked = tx.let(strips, lambda s: F.transform("_cells", lambda c: F.struct(c.alias("cell"), F.get(s, c).alias("_strip"))))
+    pieces = texts.join(cells, id_col).select(id_col, F.inline(picked)).filter(F.length("_strip") >= size)
     grams = F.regexp_extract_all(F.col("_strip"), F.lit(rf"(?s)(?=(.{{{size}}})).{{1}}"), F.lit(1))
     return (
-        pieces.join(wanted, [id_col, "cell"], "left_semi")
-        .select(id_col, "cell", F.posexplode(grams).alias("_in", "_gram"))
+        pieces.select(id_col, "cell", F.posexplode(grams).alias("_in", "_gram"))
         .select(id_col, (F.col("cell") * cell + F.col("_in") + 1).cast("bigint").alias("pos"), F.unhex(F.sha2("_gram", 256)).alias("digest"))
     )
 

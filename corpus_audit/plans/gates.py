@@ -606,11 +606,11 @@ def rot_alerts(spark, sf):
 
 @query("k3_new_documents", f"SELECT url, count(*) AS n_refs FROM ({inputs.PAGE_REFS}) GROUP BY url")
 def new_documents(spark, sf):
-    """Derived Markdown pages land as files, a stream picks them up and extracts their in-scope links."""
+    """Derived Markdown pages land as files, one for each page; a stream picks them up and extracts their links."""
     base = scratch_dir(spark, "intake")
     pages = inputs.page_markdown(spark, sf)
-    ordered = pages.repartition(F.col("page_id")).sortWithinPartitions("page_id", "line_no").select("text")
-    ordered.write.option("compression", "none").text(f"{base}/pages")
+    ordered = pages.repartition(F.col("page_id")).sortWithinPartitions("page_id", "line_no").select("page_id", "text")
+    ordered.write.option("compression", "none").partitionBy("page_id").text(f"{base}/pages")
     docs = monitor.new_documents(spark, f"{base}/pages", "*.txt")
     run = monitor.start_link_intake(docs, ["来源"], f"{base}/refs", f"{base}/checkpoint")
     run.awaitTermination()

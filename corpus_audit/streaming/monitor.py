@@ -2,7 +2,8 @@
 
 Transitions use ``foreachBatch`` over set-based plans instead of a per-key Python function: probes of one url
 may be any number and need event-time order, which the two-level ``neighbors`` gives without a per-url task.
-State lives in a versioned table in shared storage; replaying a batch rewrites the same version.
+State lives in hash buckets in shared storage, of which a batch rewrites those it touches; replaying it rewrites the same
+version.
 
 A stream cannot see that a url is gone from the pages: dropping keys happens only in the batch ``next_baseline``.
 """
@@ -10,19 +11,21 @@ A stream cannot see that a url is gone from the pages: dropping keys happens onl
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from corpus_audit.functions import text as tx
 from corpus_audit.operators import links
 from corpus_audit.operators.structure import heading_scope
 from corpus_audit.scale import neighbors
-from corpus_audit.sources.files import read_lines
+from corpus_audit.sources.files import read_display_lines
 
 STATE_DDL = "url string, status string, content_hash string, ts timestamp"
+STATE_BUCKETS = 64
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
@@ -64,28 +67,49 @@ def transitions(probes: DataFrame, state: DataFrame, slice_by: str = "day") -> t
     return changes, settled.unionByName(undecided)
 
 
-def _read_versions(spark: SparkSession, state_dir: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(STATE_DDL + ", version bigint").parquet(state_dir)
-    except AnalysisException:
+def _path(spark: SparkSession, place: str):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _versions(spark: SparkSession, state_dir: str) -> DataFrame | None:
+    """All kept state rows with their version and bucket; None before the first batch.  Any other fault surfaces."""
+    store, path = _path(spark, state_dir)
+    if not store.exists(path):
         return None
+    return spark.read.schema(STATE_DDL + ", version bigint, bucket int").parquet(state_dir)
 
 
-def transitions_handler(state_dir: str, changes_dir: str) -> Callable[[DataFrame, int], None]:
-    """Batch function: read the newest earlier state version, write this batch's changes and state version."""
+def transitions_handler(state_dir: str, changes_dir: str, buckets: int = STATE_BUCKETS) -> Callable[[DataFrame, int], None]:
+    """Batch function: compare with the state before this batch, write its changes and the state of its urls' buckets.
+
+    The state is cut into hash buckets of urls, ``version=<batch>/bucket=<n>``; a batch rewrites the buckets it
+    touches, and of each bucket the two newest versions are kept, so that a replayed batch finds what it saw before.
+    """
+    bucket = F.pmod(F.xxhash64("url"), F.lit(buckets)).cast("int")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        versions = _read_versions(spark, state_dir)
-        state = empty_state(spark)
-        if versions is not None:
-            earlier = versions.filter(F.col("version") < batch_id)
-            newest = earlier.agg(F.max("version").alias("v")).first().v
-            if newest is not None:
-                state = earlier.filter(F.col("version") == newest).drop("version")
-        changes, following = transitions(batch, state)
-        changes.write.mode("overwrite").parquet(f"{changes_dir}/batch={batch_id}")
-        following.write.mode("overwrite").parquet(f"{state_dir}/version={batch_id}")
+        batch = batch.persist()
+        try:
+            touched = {r.b for r in batch.select(bucket.alias("b")).distinct().collect()}  # at most ``buckets`` numbers
+            versions, state, kept = _versions(spark, state_dir), empty_state(spark), {}
+            if versions is not None:
+                for r in versions.filter(F.col("version") < batch_id).select("bucket", "version").distinct().collect():
+                    kept.setdefault(r.bucket, []).append(r.version)
+                newest = [(F.col("bucket") == b) & (F.col("version") == max(v)) for b, v in kept.items() if b in touched]
+                if newest:
+                    state = versions.filter(reduce(or_, newest)).drop("version", "bucket")
+            changes, following = transitions(batch, state)
+            changes.write.mode("overwrite").parquet(f"{changes_dir}/batch={batch_id}")
+            following.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{state_dir}/version={batch_id}")
+            for b in touched & kept.keys():
+                for version in sorted(kept[b])[:-1]:
+                    store, path = _path(spark, f"{state_dir}/version={version}/bucket={b}")
+                    store.delete(path, True)
+        finally:
+            batch.unpersist()
 
     return handle
 
@@ -127,10 +151,10 @@ def new_documents(spark: SparkSession, folder: str, glob: str = "*.md") -> DataF
 
 
 def start_link_intake(docs: DataFrame, keywords: list[str], refs_dir: str, checkpoint: str) -> StreamingQuery:
-    """Lines, scope and links of every newly arrived document, appended per batch and replay-safe."""
+    """Display lines, scope and links of every newly arrived document, appended per batch and replay-safe."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        scoped = heading_scope(read_lines(batch, "path"), ["path"], keywords)
+        scoped = heading_scope(read_display_lines(batch, "path"), ["path"], keywords)
         links.extract(scoped, ["path"]).write.mode("overwrite").parquet(f"{refs_dir}/batch={batch_id}")
 
     return docs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

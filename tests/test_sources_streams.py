@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +75,31 @@ def test_stream_in_three_batches_equals_one_batch(spark, tmp_path):
     assert sorted((r.seq, r.change) for r in got.collect()) == CHANGES
 
 
+def test_batches_touch_their_buckets_and_replay(spark, tmp_path):
+    state, changes = str(tmp_path / "state"), str(tmp_path / "changes")
+    handle = monitor.transitions_handler(state, changes, buckets=4)
+    for batch in range(5):
+        handle(probes(spark, [(f"http://h.cn/{k}", batch, 10 * batch + k, "ok", f"h{batch}", True) for k in range(3)]), batch)
+    versions = {}
+    for p in (tmp_path / "state").glob("version=*/bucket=*"):
+        versions.setdefault(p.name, set()).add(int(p.parent.name[8:]))
+    assert versions and all(v == {3, 4} for v in versions.values())
+    seen = sorted((r.seq, r.change) for r in spark.read.parquet(f"{changes}/batch=4").collect())
+    assert seen == [(40, "content_changed"), (41, "content_changed"), (42, "content_changed")]
+    handle(probes(spark, [(f"http://h.cn/{k}", 4, 40 + k, "ok", "h4", True) for k in range(3)]), 4)
+    assert sorted((r.seq, r.change) for r in spark.read.parquet(f"{changes}/batch=4").collect()) == seen
+    handle(probes(spark, [("http://h.cn/late", 0, 50, "ok", "x", True), ("http://h.cn/late", -1, 49, "dead", None, True)]), 5)
+    assert sorted((r.seq, r.change) for r in spark.read.parquet(f"{changes}/batch=5").collect()) == [(49, "new"), (50, "recovered")]
+
+
+def test_a_broken_state_is_an_error(spark, tmp_path):
+    (tmp_path / "state" / "version=0" / "bucket=0").mkdir(parents=True)
+    (tmp_path / "state" / "version=0" / "bucket=0" / "part-0.parquet").write_bytes(b"not parquet")
+    handle = monitor.transitions_handler(str(tmp_path / "state"), str(tmp_path / "changes"), buckets=1)
+    with pytest.raises(Exception, match="(?i)parquet|footer|corrupt"):
+        handle(probes(spark, [("http://h.cn/a", 0, 1, "ok", "h", True)]), 1)
+
+
 def test_rot_alerts_as_a_stream(spark, tmp_path):
     data = [(f"http://h.cn/{i}", 0, i, "dead", None, False) for i in range(3)] + [("http://ok.cn/x", 0, 9, "ok", None, False)]
     late = [("http://z.cn/", 40, 99, "ok", None, False)]
