@@ -244,6 +244,22 @@ SELECT ref_id, path, CASE WHEN ref_id % 7 = 1 THEN 'invalid:path-escape' WHEN re
 """,
 )
 def resolve_refs(spark, sf):
+    return ops.resolve_refs(*_refs_and_listing(spark, sf))
+
+
+@query(
+    "j4_prefix_candidates",
+    """
+WITH f AS (SELECT 'en/' || (page_id % 40) || '/' || page_id || CASE page_id % 4 WHEN 0 THEN ' title.pdf' WHEN 1 THEN '-b-c.pdf' WHEN 2 THEN '（卷）.pdf' ELSE '.pdf' END AS path FROM pages),
+r AS (SELECT DISTINCT CASE page_id % 7 WHEN 0 THEN 'en/' || (page_id % 40) || '/' || page_id || '.pdf' WHEN 2 THEN 'en/' || (page_id % 40) WHEN 4 THEN 'en/' || (page_id % 40) || '/' || page_id || '-b' ELSE 'en/' || (page_id % 40) || '/' || page_id END AS path FROM pages WHERE page_id % 7 NOT IN (1, 3))
+SELECT r.path, f.path AS file FROM r JOIN f ON starts_with(f.path, r.path || ' ') OR starts_with(f.path, r.path || '-') OR starts_with(f.path, r.path || '（') WHERE r.path NOT IN (SELECT path FROM f)
+""",
+)
+def prefix_candidates(spark, sf):
+    return ops.prefix_candidates(*_refs_and_listing(spark, sf)).select("path", "file")
+
+
+def _refs_and_listing(spark, sf):
     from corpus_audit.functions.policy import parse_ref
 
     i = F.col("page_id")
@@ -257,7 +273,7 @@ def resolve_refs(spark, sf):
         .when(m == 3, F.concat(F.lit("en/secret"), s)).when(m == 4, F.concat(own, F.lit("-b"))).otherwise(own)
     )
     refs = table(spark, sf, "pages").select(i.alias("ref_id"), parse_ref(raw).alias("r")).select("ref_id", "r.path", "r.state")
-    return ops.resolve_refs(refs, listing)
+    return refs, listing
 
 
 REQUIRED = {"plan.md": ["tion", "the "], "sources.md": ["href"], "index.md": ["<nav>"]}
@@ -435,6 +451,11 @@ SELECT o_orderkey, coalesce(life, status, '(none)') AS old_status, nl AS lifecyc
 """
 
 
+@query("j13_change_report", f"SELECT old_status, lifecycle, count(*) AS pages, count(*) FILTER (WHERE changed) AS changed FROM ({REMAP_SQL}) GROUP BY ALL")
+def change_report(spark, sf):
+    return maturity.change_report(remap(spark, sf))
+
+
 @query("j13_remap", REMAP_SQL)
 def remap(spark, sf):
     k, c = F.col("o_orderkey"), F.col("o_custkey")

@@ -48,6 +48,20 @@ def section_slice(spark, sf):
     return ops.section_slice(inputs.markdown_lines(spark, sf), ["doc_id"], t.startswith("## "), t.rlike("^#{1,2} "))
 
 
+@query(
+    "c2_section_bodies",
+    f"""
+WITH m AS ({inputs.MD_LINES}), s AS (SELECT doc_id, min(line_no) AS a FROM m WHERE text LIKE '## %' GROUP BY doc_id),
+e AS (SELECT doc_id, min(line_no) AS z FROM m JOIN s USING (doc_id) WHERE line_no > a AND regexp_matches(text, '^#{{1,2}} ') GROUP BY doc_id),
+b AS (SELECT doc_id, string_agg(text, chr(10) ORDER BY line_no) AS body FROM m JOIN s USING (doc_id) LEFT JOIN e USING (doc_id) WHERE line_no > a AND line_no < coalesce(z, 1000000000) GROUP BY doc_id)
+SELECT doc_id, coalesce(body, '') AS body FROM s LEFT JOIN b USING (doc_id)
+""",
+)
+def section_bodies(spark, sf):
+    t = F.col("text")
+    return ops.section_bodies(inputs.markdown_lines(spark, sf), ["doc_id"], t.startswith("## "), t.rlike("^#{1,2} "))
+
+
 @query(
     "c3_anchor_sections",
     f"""
@@ -91,6 +105,34 @@ def table_rows(spark, sf):
     )
 
 
+@query(
+    "c4_course_table_rows",
+    """
+WITH r AS (SELECT p_partkey, p_partkey % 7 AS k, CASE WHEN p_partkey % 5 = 0 THEN '  ' ELSE p_name END AS name, CASE WHEN p_partkey % 3 = 0 THEN 'x' ELSE p_size::VARCHAR END AS credits FROM part WHERE p_partkey < 100000)
+SELECT p_partkey, 'parsed' AS state, printf('%05d', p_partkey) AS code, nullif(trim(name), '') AS name, TRY_CAST(credits AS INTEGER) AS credits, CASE k % 3 WHEN 0 THEN '笔试' WHEN 1 THEN '实践' ELSE '机考' END AS exam_method, NULL AS reason FROM r WHERE k <> 6
+UNION ALL SELECT p_partkey, 'dropped', NULL, NULL, NULL, NULL, '现行课程表行列位不足' FROM r WHERE k = 6
+""",
+)
+def course_table_rows(spark, sf):
+    """Codes of this table have exactly five digits; parts with longer keys cannot stand in it on either side."""
+    key, k = F.col("p_partkey"), F.col("p_partkey") % 7
+    cells = [
+        key.cast("string"), inputs.padded(key), F.when(key % 5 == 0, "  ").otherwise(F.col("p_name")),
+        F.when(key % 3 == 0, "x").otherwise(F.col("p_size").cast("string")),
+        F.when(k == 6, "").when(k % 3 == 0, "笔试").when(k % 3 == 1, "实践").otherwise("机考"),
+    ]
+    row = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    lines = table(spark, sf, "part").select("p_partkey", F.lit(1).cast("bigint").alias("line_no"), row.alias("text"))
+    parsed, dropped = ops.course_table_rows(lines, ["p_partkey"])
+    none = lambda t: F.lit(None).cast(t)
+    return parsed.select(
+        "p_partkey", F.lit("parsed").alias("state"), "code", "name", "credits", "exam_method", none("string").alias("reason")
+    ).unionByName(dropped.select(
+        "p_partkey", F.lit("dropped").alias("state"), none("string").alias("code"), none("string").alias("name"),
+        none("int").alias("credits"), none("string").alias("exam_method"), "reason",
+    ))
+
+
 # fixed-width plan lines rendered from part: each part is one sheet of three lines; every fifth name is
 # wrapped around its row, every seventh row has two method tokens
 PLAN_ROWS = """
@@ -226,6 +268,16 @@ def unit_titles(spark, sf):
     return titles(spark, sf).select("doc_id", F.col("idx").cast("bigint").alias("idx"), "title", "origin")
 
 
+@query(
+    "c10_missing_titles",
+    f"""SELECT 'unit_titles_missing' AS rule, doc_id::VARCHAR AS entity FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM ({TITLES_SQL}) WHERE doc_id % 3 <> 0)""",
+)
+def missing_titles(spark, sf):
+    found = titles(spark, sf).filter(F.col("doc_id") % 3 != 0)
+    return ops.missing_titles(inputs.syllabus_lines(spark, sf), found, ["doc_id"]).select("rule", "entity")
+
+
 # unit bodies by carrying the last title line below the content part forward
 SLICES_SQL = f"""
 WITH f AS ({FOLDED}), p AS (SELECT doc_id, min(line_no) AS a FROM f WHERE text = 'Ⅲ 课程内容与考核要求' GROUP BY doc_id),
