@@ -11,6 +11,10 @@ directory, by joins on the paths of its ancestors.
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,43 +43,35 @@ THRESHOLD, FILE_SHARE, SALTS = 0.6, 5, 16
 _TERMS = "regexp_replace(lower({0}), '[^a-z0-9]+', ' ')"
 
 
-def _values(templates: dict[str, str]) -> str:
-    quoted = lambda s: s.replace("\\", "\\\\").replace("'", "\\'")
-    return ", ".join(f"('{quoted(k)}', '{quoted(v)}')" for k, v in sorted(templates.items()))
-
-
-def template_weights(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """(license, term, weight, idf): unit vectors of the templates; its size is that of the template list."""
-    terms = spark.sql(
-        f"""SELECT license, term, count(*) AS tf
-            FROM (SELECT license, explode(split(trim({_TERMS.format('notice')}), ' ')) AS term
-                  FROM VALUES {_values(templates)} AS t(license, notice))
-            GROUP BY license, term"""
-    )
-    n = float(len(templates))
-    df = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = df.select("term", (F.log(F.lit(1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
-    weighted = terms.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = weighted.groupBy("license").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(F.broadcast(norm), "license").select("license", "term", (F.col("w") / F.col("norm")).alias("weight"), "idf")
+def template_weights(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(license, term, weight) and (term, idf): unit vectors of the templates, worked out once from the parameter."""
+    values = lambda rows, names: spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({names})")
+    counts = {k: Counter(re.sub("[^a-z0-9]+", " ", v.lower()).split()) for k, v in templates.items()}
+    df = Counter(t for c in counts.values() for t in c)
+    idf = {t: math.log((1 + len(templates)) / (1 + n)) + 1 for t, n in df.items()}
+    rows = []
+    for name, c in sorted(counts.items()):
+        norm = math.sqrt(sum((n * idf[t]) ** 2 for t, n in c.items()))
+        named = name.replace("\\", "\\\\").replace("'", "\\'")
+        rows += [f"('{named}', '{t}', {n * idf[t] / norm!r}D)" for t, n in sorted(c.items())]
+    return values(rows, "license, term, weight"), values([f"('{t}', {v!r}D)" for t, v in sorted(idf.items())], "term, idf")
 
 
 def line_licenses(lines: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
     """(line, license, score) of the distinct lines of at least ``threshold``; ties go to the smaller licence id."""
     spark = lines.sparkSession
-    weights = template_weights(spark, templates)
-    idf = weights.select("term", "idf").distinct()
+    weights, idf = template_weights(spark, templates)
     rare = F.log(F.lit(1.0 + len(templates))) + 1
     terms = F.explode(F.split(F.trim(F.expr(_TERMS.format("line"))), " "))
     counted = lines.select("line").distinct().select("line", terms.alias("term")).groupBy("line", "term").agg(F.count(F.lit(1)).alias("tf"))
     vector = counted.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", rare)).drop("idf", "tf")
     norm = vector.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = vector.join(F.broadcast(weights.drop("idf")), "term").groupBy("line", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    dots = vector.join(F.broadcast(weights), "term").groupBy("line", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     scored = dots.join(norm, "line").withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
     best = F.max_by(F.struct("license", "score"), F.struct("score", F.col("rank")))
-    order = F.expr("map_from_entries(transform(sequence(1, {0}), i -> struct(element_at(array({1}), i), -i)))".format(
-        len(templates), ", ".join(f"'{k}'" for k in sorted(templates))))
-    ranked = scored.where(F.col("score") >= threshold).withColumn("rank", F.element_at(order, F.col("license")))
+    # ties in score go to the smaller licence id
+    names = F.array(*[F.lit(k) for k in sorted(templates, reverse=True)])
+    ranked = scored.where(F.col("score") >= threshold).withColumn("rank", F.array_position(names, F.col("license")))
     return ranked.groupBy("line").agg(best.alias("b")).select("line", "b.license", "b.score")
 
 
