@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FINDING_COLUMNS = ["layer", "rule", "entity", "locator", "message", "severity"]
@@ -55,6 +55,17 @@ def rule_findings(
     )
 
 
+def no_findings(spark: SparkSession) -> DataFrame:
+    """A layer that found nothing."""
+    return spark.createDataFrame([], ", ".join(f"{c} string" for c in FINDING_COLUMNS))
+
+
+def whole_findings(rows: DataFrame, layer: str) -> DataFrame:
+    """Rows that carry some of the finding columns, with the others as nulls."""
+    given = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in FINDING_COLUMNS}
+    return rows.select(*[(F.lit(layer) if c == "layer" else v).alias(c) for c, v in given.items()])
+
+
 def as_findings(
     df: DataFrame, layer: str, rule: str, entity: Column, message: Column | str,
     locator: Column | None = None, severity: str = "error",

@@ -70,16 +70,18 @@ def field_values(records: DataFrame, entity: str, fields: dict[str, Column], ord
     return long.groupBy(entity, "field", "key").agg(first).select(entity, "field", "key", "_f.*")
 
 
-def conflicts(records: DataFrame, entity: str, fields: dict[str, Column], order: list[str]) -> DataFrame:
+def conflicts(
+    records: DataFrame, entity: str, fields: dict[str, Column], order: list[str], slice_by: list[str] | None = None
+) -> DataFrame:
     """Fields with more than one distinct value: one row per value with its first provenance and position.
 
-    Values are reduced to distinct ones first; their number is an aggregate and their position a two-level rank
-    over slices of the first order column.
+    Values are reduced to distinct ones first; their number is an aggregate and their position a two-level rank over
+    slices by ``slice_by``, leading columns of the order (default: the first two) that cut a busy entity finely.
     """
     values = field_values(records, entity, fields, order)
     sizes = values.groupBy(entity, "field").agg(F.count(F.lit(1)).alias("n_values")).filter(F.col("n_values") > 1)
     several = values.join(sizes, [entity, "field"])
-    placed = ranked(several, [entity, "field"], [F.col(c) for c in order], F.col(order[0]), "position")
+    placed = ranked(several, [entity, "field"], [F.col(c) for c in order], F.struct(*(slice_by or order[:2])), "position")
     return placed.select(entity, "field", *order, "value", "n_values", "position")
 
 
@@ -102,6 +104,14 @@ def members(records: DataFrame, entity: str, group: list[str]) -> DataFrame:
     return records.select(entity, *group).distinct()
 
 
+def ordered_sources(records: DataFrame, entity: str, group: list[str], order: list[str]) -> DataFrame:
+    """Distinct (entity, group...) rows with their ``position`` from 1, by the first record of each in ``order``."""
+    first = records.groupBy(entity, *group).agg(F.min(F.struct(*order)).alias("_first"))
+    keys = [F.col(f"_first.{c}") for c in order]
+    placed = ranked(first, [entity], keys, F.struct(*keys[:2]), "position")
+    return placed.select(entity, *group, F.col("position").cast("bigint").alias("position"))
+
+
 def group_summary(rows: DataFrame, group: str, code: str = "code", method: str = "exam_method") -> DataFrame:
     """Per group: parsed rows, distinct codes, distinct codes examined by practice."""
     per_code = rows.groupBy(group, code).agg(

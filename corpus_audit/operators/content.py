@@ -365,7 +365,9 @@ def canonical_order(blocks: DataFrame, order: DataFrame, kinds: list[str]) -> Da
     ``order(point_id, unit_class, ordinal, section_pos, point_pos)``.
     """
     kind_order = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("kind")).cast("int")
-    joined = blocks.join(order.withColumn("_known", F.lit(True)), "point_id", "left")
+    # course-level blocks have no point id and stay out of the join
+    pointed = blocks.filter(F.col("point_id").isNotNull()).join(order.withColumn("_known", F.lit(True)), "point_id", "left")
+    joined = pointed.unionByName(blocks.filter(F.col("point_id").isNull()), allowMissingColumns=True)
     problem = F.when(kind_order == 0, F.lit("unknown kind")).when(
         F.col("point_id").isNotNull() & F.col("_known").isNull(), F.lit("unknown point")
     )

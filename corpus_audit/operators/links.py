@@ -156,6 +156,11 @@ def next_baseline(current: DataFrame, prior: DataFrame) -> DataFrame:
     )
 
 
+def next_members(refs: DataFrame) -> DataFrame:
+    """Codes and sections of the state to persist: (url, member, value) rows, always those of the current run."""
+    return url_members(refs).filter(F.col("member").isin("code", "section"))
+
+
 def summary(findings: DataFrame) -> DataFrame:
     """One row of totals by status and by change."""
     statuses = [F.count_if(F.col("status") == s).alias(s) for s in (OK, DEAD, INCONCLUSIVE)]

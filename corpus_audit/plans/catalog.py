@@ -120,6 +120,14 @@ def members(spark, sf):
     return ops.members(records(spark, sf), "code", ["path", "tier"])
 
 
+@query(
+    "e6_ordered_sources",
+    f"SELECT code, path, row_number() OVER (PARTITION BY code ORDER BY min({ORD})) AS position FROM ({RECORDS}) GROUP BY code, path",
+)
+def ordered_sources(spark, sf):
+    return ops.ordered_sources(records(spark, sf), "code", ["path"], ORDER)
+
+
 @query(
     "e7_group_summary",
     f"""

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpus_audit.findings import no_findings, whole_findings
 from corpus_audit.functions import text as tx
 from corpus_audit.operators import maturity, report
 from corpus_audit.operators import gates as ops
 from corpus_audit.operators import schedule as sched
+from corpus_audit.plans import content as content_plans
+from corpus_audit.plans import evidence as evidence_plans
 from corpus_audit.plans import inputs
 from corpus_audit.plans import text as text_plans
-from corpus_audit.plans.registry import query, table, wide
+from corpus_audit.plans.registry import ORACLES, query, table, wide
 from corpus_audit.session import scratch_dir
 from corpus_audit.streaming import monitor
 
@@ -554,6 +557,10 @@ def schema_rules(spark, sf):
 
 GATE_SQLS = {
     "content": CONTENT_GATE_SQL, "manifest": MANIFEST_GATE_SQL, "pages": PAGES_GATE_SQL, "frontmatter": FRONT_GATE_SQL, "publish": PUBLISH_GATE_SQL, "schema": SCHEMA_SQL,
+    "materials": f"SELECT resolution AS rule FROM ({ORACLES['j4_resolve_refs']}) WHERE resolution NOT IN ('ok', 'ok-prefix')",
+    "maturity-check": f"SELECT problem AS rule FROM ({ORACLES['j12_projection_drift']})",
+    "evidence": f"SELECT rule FROM ({ORACLES['f8_validate_facts']}) UNION ALL SELECT rule FROM ({ORACLES['f11_url_provenance']})",
+    "ai-content": f"SELECT rule FROM ({ORACLES['h7_validate_blocks']}) UNION ALL SELECT rule FROM ({ORACLES['h16_enforce_scope']})",
 }
 
 
@@ -562,13 +569,21 @@ def layers(spark, sf):
         "content": content_gate(spark, sf), "manifest": manifest_gate(spark, sf), "pages": pages_gate(spark, sf), "frontmatter": front_gate(spark, sf),
         "publish": publish_gate(spark, sf),
         "schema": schema_gate(spark, sf),
-        "clean": pages_gate(spark, sf).filter(F.col("rule") == "no such rule"),
+        "materials": ops.materials_rules(resolve_refs(spark, sf)),
+        "maturity-check": whole_findings(projection_drift(spark, sf).withColumn("rule", F.col("problem")), "maturity-check"),
+        "evidence": whole_findings(evidence_plans.validate_facts(spark, sf), "evidence").unionByName(
+            whole_findings(evidence_plans.url_provenance(spark, sf), "evidence")
+        ),
+        "ai-content": whole_findings(content_plans.validate_blocks(spark, sf), "ai-content").unionByName(
+            whole_findings(content_plans.enforce_scope(spark, sf), "ai-content")
+        ),
+        "clean": no_findings(spark),
     }
 
 
 @query(
     "j1_run_gates",
-    "SELECT layer, count(rule) AS n_findings, CASE WHEN count(rule) > 0 THEN 'failed' ELSE 'ok' END AS state FROM (SELECT unnest(['content', 'manifest', 'pages', 'frontmatter', 'publish', 'schema', 'clean']) AS layer) LEFT JOIN ("
+    "SELECT layer, count(rule) AS n_findings, CASE WHEN count(rule) > 0 THEN 'failed' ELSE 'ok' END AS state FROM (SELECT unnest(['content', 'manifest', 'pages', 'frontmatter', 'publish', 'schema', 'materials', 'maturity-check', 'evidence', 'ai-content', 'clean']) AS layer) LEFT JOIN ("
     + " UNION ALL ".join(f"SELECT '{n}' AS layer, rule FROM ({q})" for n, q in GATE_SQLS.items())
     + ") USING (layer) GROUP BY layer",
 )

@@ -151,6 +151,17 @@ def next_baseline(spark, sf):
     return persisted(spark, sf)
 
 
+@query(
+    "d7_next_members",
+    f"""
+SELECT DISTINCT url, 'code' AS member, printf('%05d', page_id) AS value FROM ({inputs.PAGE_REFS}) UNION ALL
+SELECT DISTINCT url, 'section', '官方来源' FROM ({inputs.PAGE_REFS})
+""",
+)
+def next_members(spark, sf):
+    return ops.next_members(inputs.page_refs(spark, sf))
+
+
 @query(
     "d8_summary",
     f"""
