@@ -4,13 +4,18 @@ Sets of at least the wanted similarity differ by few elements, at most k = 2r(1-
 elements.  Sizes fall into bands [l, l/g]; sets that may link lie in one band or in neighbours, so a set takes part in
 the instances of its own band and of the next.  An instance splits the hash domain into n1 = ceil((k+1)/2) partitions of
 three parts each: with at most k differences some partition has at most one, so two of its three parts agree.  The
-signatures of a set are, for every partition and every two of its parts, a hash of the elements there.
+signatures of a set are, for every partition and every two of its parts, a hash of the elements there.  Parts that hold
+``SPARSE`` elements at most say little and would be shared by many unlike sets.  There the next partition is looked at:
+on a ring of partitions with fewer than two differences each on average, one starts a chain with at most one difference
+in itself and at most three together with the next, so of five finer parts of the next at least two agree, and the
+signature is made once for every two of those.
 
 Equal sets are one node.  Nodes that share a signature form a bucket; a bucket emits no pairs but a star: its smallest
-member against the others.  The links found are joined to components, the star's centre has met everybody and leaves,
-and only buckets that still hold members of different components go on.  After ``ROUNDS`` stars the members of different
-components that are left meet directly.  A pair is dropped without its sets when the sizes or the parity of 256 hash
-classes already prove too many differences; every other pair is verified on the sets themselves.
+member against the others.  Each member first meets the centre with which it shares most buckets; the links found are
+joined to components, and of the other pairs only those between different components are verified.  A star's centre has
+then met everybody and leaves, and only buckets that still hold members of different components go on.  After ``ROUNDS``
+stars the members of different components that are left meet directly.  A pair is dropped without its sets when the
+sizes or the parity of 1024 hash classes already prove too many differences; every other pair is verified on the sets.
 
 Shingles and sets are identified by 64-bit hashes.
 """
@@ -26,9 +31,12 @@ from pyspark.sql import functions as F
 
 from corpus_audit.llm.common import keyed_texts, sliced, stash, text_bytes
 from corpus_audit.llm.components import connected_components
+from corpus_audit.scale import broadcast_if_small
 
-ROUNDS, HOT_PAIRS, MAX_WORDS = 3, 1000, 500_000
+ROUNDS, HOT_PAIRS, MAX_WORDS, CLASSES = 3, 1000, 500_000, 1024
+SPARSE = 1
 _PAIRS_OF_PARTS = list(combinations(range(3), 2))
+_PAIRS_OF_FIVE = list(combinations(range(5), 2))
 _P, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -92,12 +100,28 @@ class PartEnum:
             n1 = self.partitions(instance)
             if not n1:
                 continue
+            where = (elements % np.uint64(3 * n1)).astype(np.int64)
             parts = np.zeros(3 * n1, np.uint64)
-            np.add.at(parts, (elements % np.uint64(3 * n1)).astype(np.int64), content)
+            np.add.at(parts, where, content)
             parts = parts.reshape(n1, 3)
+            held = np.bincount(where, minlength=3 * n1).reshape(n1, 3)
+            finer = None
             place = (np.arange(n1, dtype=np.uint64) + np.uint64(instance) * np.uint64(1 << 32)) * np.uint64(4)
             for which, (a, b) in enumerate(_PAIRS_OF_PARTS):
-                out.append(_mixed(_mixed(parts[:, a] + _A) * _P + parts[:, b] + (place + np.uint64(which)) * _B))
+                own_parts = _mixed(_mixed(parts[:, a] + _A) * _P + parts[:, b] + (place + np.uint64(which)) * _B)
+                sparse = np.flatnonzero(held[:, a] + held[:, b] <= SPARSE) if n1 > 1 else ()
+                if len(sparse):
+                    if finer is None:
+                        finer = np.zeros(5 * n1, np.uint64)
+                        fifth = (elements // np.uint64(3 * n1) % np.uint64(5)).astype(np.int64)
+                        np.add.at(finer, where // 3 * 5 + fifth, content)
+                        finer = finer.reshape(n1, 5)
+                    following = finer[(sparse + 1) % n1]
+                    for turn, (u, v) in enumerate(_PAIRS_OF_FIVE, 1):
+                        more = _mixed(_mixed(following[:, u] + _B) * _P + following[:, v] + np.uint64(turn))
+                        out.append(_mixed(own_parts[sparse] * _P + more))
+                    own_parts = np.delete(own_parts, sparse)
+                out.append(own_parts)
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -113,27 +137,29 @@ def _node(elements: np.ndarray) -> int:
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, text_hash, n (set size), node (hash of the set, null when empty), p0..p3 (parity of 256 hash classes)."""
+    """doc_id, text_hash, n (set size), node (hash of the set, null when empty), parity (of 1024 hash classes)."""
     rows = keyed_texts(docs).withColumn("text_hash", F.xxhash64("text"))
 
     def run(batches):
         shingles = Shingler(words)
         for batch in sliced(batches):
             sets = [shingles(t) for t in text_bytes(batch.column(1))]
-            parity = np.array([np.packbits(np.bincount((s >> np.uint64(8)).astype(np.uint8), minlength=256) & 1) for s in sets], np.uint8)
-            parity = parity.view(np.int64).reshape(len(sets), 4)
+            parity = [
+                np.packbits(np.bincount((s >> np.uint64(8)).astype(np.int64) % CLASSES, minlength=CLASSES).astype(np.uint8) & 1)
+                for s in sets
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
-                    *(pa.array(np.ascontiguousarray(parity[:, k])) for k in range(4)),
+                    pa.array([x.view(np.int64) for x in parity], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_hash", "n", "node", "p0", "p1", "p2", "p3"],
+                ["doc_id", "text_hash", "n", "node", "parity"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, text_hash long, n long, node long, p0 long, p1 long, p2 long, p3 long")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n long, node long, parity array<long>")
 
 
 def signatures(docs: DataFrame, words: int, share: int) -> DataFrame:
@@ -160,87 +186,148 @@ def signatures(docs: DataFrame, words: int, share: int) -> DataFrame:
     return keyed_texts(docs).mapInArrow(run, "sig long, node long")
 
 
-def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(node, elements) of the texts given."""
+def first_texts(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(node, text) of the rows named by ``firsts`` (doc_id, text_hash, node); the text as a zstandard frame.
+
+    The names are broadcast where their table is small, so that no other text moves.
+    """
+    import zstandard
+
+    names = broadcast_if_small(firsts.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "node"))
+    rows = keyed_texts(docs).withColumn("text_hash", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    picked = rows.join(names, same).select("node", "text")
 
     def run(batches):
-        shingles = Shingler(words)
+        press = zstandard.ZstdCompressor(level=3)
         for batch in sliced(batches):
-            sets = [shingles(t) for t in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_node(s) for s in sets], pa.int64()),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                ],
-                ["node", "elements"],
-            )
+            frames = [press.compress(t) for t in text_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(frames, pa.binary())], ["node", "text"])
 
-    return keyed_texts(texts).mapInArrow(run, "node long, elements array<long>")
+    return picked.mapInArrow(run, "node long, text binary")
 
 
 def _promising(pairs: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
-    """Pairs (a, b) that neither their sizes nor their parities rule out."""
-    side = lambda s: nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "p0", "p1", "p2", "p3")])
+    """Pairs (a, b, ...) that neither their sizes nor their parities rule out."""
+    side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"), F.col("parity").alias(f"{s}_parity"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    odd = sum((F.bit_count(F.col(f"a_p{k}").bitwiseXOR(F.col(f"b_p{k}"))) for k in range(1, 4)), F.bit_count(F.col("a_p0").bitwiseXOR(F.col("b_p0"))))
+    odd = F.aggregate(
+        F.zip_with("a_parity", "b_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
+    )
     n = F.col("a_n") + F.col("b_n")
     sizes = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * share
-    return both.where(sizes & (odd * (100 + share) <= n * (100 - share))).select("a", "b")
+    return both.where(sizes & (odd * (100 + share) <= n * (100 - share))).select(*pairs.columns)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> DataFrame:
     """Pairs (a, b) whose sets reach the similarity.  A node with many pairs is met in slices of ``HOT_PAIRS``."""
     slices = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HOT_PAIRS).cast("int").alias("k"))
-    left = slices.join(sets.withColumnRenamed("node", "a"), "a").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    left = slices.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
+    left = left.select("a", "a_text", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("slice"))
     right = pairs.join(slices, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("k")).cast("int")).drop("k")
-    right = right.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("others")), "b")
-    both = right.join(left.drop("k"), ["a", "slice"])
-    common = F.size(F.array_intersect("elements", "others")).cast("long")
-    union = F.size("elements") + F.size("others") - common
-    return both.where(common * 100 >= union * share).select("a", "b")
+    right = right.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
 
+    def run(batches):
+        import zstandard
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return members.withColumn("component", F.col("node"))
-    return members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        press, shingles = zstandard.ZstdDecompressor(), Shingler(words)
+        last, elements = None, None
+        for batch in sliced(batches):
+            a, b = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            kept = []
+            for k, (x, one, other) in enumerate(zip(a, batch.column(1).to_pylist(), batch.column(3).to_pylist())):
+                if x != last:
+                    last, elements = x, shingles(press.decompress(one))
+                others = shingles(press.decompress(other))
+                common = len(np.intersect1d(elements, others, assume_unique=True))
+                if common * 100 >= (len(elements) + len(others) - common) * share:
+                    kept.append(k)
+            yield pa.RecordBatch.from_pydict({"a": pa.array([a[k] for k in kept], pa.int64()), "b": pa.array([b[k] for k in kept], pa.int64())})
+
+    both = right.join(left, ["a", "slice"]).select("a", "a_text", "b", "b_text")
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
+def _labelled(members: DataFrame, labels: DataFrame, node: str = "node", name: str = "component") -> DataFrame:
+    known = labels.select(F.col("node").alias(node), F.col("component").alias(name))
+    return members.join(known, node, "left").withColumn(name, F.coalesce(name, node))
+
+
+def _thinned(buckets: DataFrame) -> DataFrame:
+    """One of all buckets that hold the same members: they would only bring the same pairs again."""
+    marks = buckets.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
+    )
+    return buckets.join(marks.groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig"), "sig", "left_semi")
+
+
+class _Links:
+    """The components that the links found so far make; texts are fetched once for each node that is asked about."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, words: int, share: int):
+        self.docs, self.nodes, self.words, self.share = docs, nodes, words, share
+        self.texts = self.labels = None
+
+    def verify(self, pairs: DataFrame) -> None:
+        if pairs.isEmpty():
+            return
+        asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        if self.texts is not None:
+            asked = asked.join(self.texts.select("node"), "node", "left_anti")
+        firsts = stash(asked.join(self.nodes, "node").select("doc_id", "text_hash", "node"), "firsts")
+        if not firsts.isEmpty():
+            texts = stash(first_texts(self.docs, firsts), "texts")
+            self.texts = texts if self.texts is None else self.texts.unionByName(texts)
+        if self.texts is not None:
+            links = stash(_verified(pairs, self.texts, self.words, self.share), "links")
+            if self.labels is not None:  # what is joined already counts as one link from each node to its component
+                links = links.unionByName(self.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            self.labels = stash(connected_components(links), "labels")
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose ends are not in one component yet."""
+        both = _labelled(_labelled(pairs, self.labels, "a", "_a"), self.labels, "b", "_b")
+        return both.where(F.col("_a") != F.col("_b")).select("a", "b")
+
+    def settle(self, pairs: DataFrame) -> None:
+        """Find the links among ``pairs`` (a, b, shared) that join components: the most promising of each b first."""
+        pairs = stash(_promising(pairs, self.nodes, self.share), "pairs")
+        nearest = F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")
+        self.verify(stash(pairs.groupBy("b").agg(nearest).select("a", "b"), "nearest"))
+        if self.labels is not None:
+            self.verify(stash(self.apart(pairs), "apart"))
 
 
 def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int, rounds: int = ROUNDS) -> DataFrame:
     """(node, component) of every node that has a link."""
     buckets = Window.partitionBy("sig")
-    members = stash(
-        signatures(docs, words, share).withColumn("a", F.min("node").over(buckets)).where(F.col("a") != F.col("node")), "buckets"
-    )
-    needed = members.select("node").unionByName(members.select(F.col("a").alias("node"))).distinct()
-    firsts = needed.join(nodes, "node").select("doc_id", "node")
-    texts = keyed_texts(docs).join(firsts.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = stash(shingle_sets(texts, words).join(firsts.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
-    links, labels = None, None
-    pairs = members.select("a", F.col("node").alias("b")).distinct()
-    left = 0
-    while True:
-        found = stash(_verified(stash(_promising(pairs, nodes, share), "pairs"), sets, share), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = stash(connected_components(links), "labels")
-        left += 1
-        if left > rounds:
-            return labels
+    counted = lambda rows: rows.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    shared = signatures(docs, words, share).withColumn("a", F.min("node").over(buckets)).where(F.col("a") != F.col("node"))
+    members = stash(shared.distinct(), "buckets")
+    links = _Links(docs, nodes, words, share)
+    links.settle(counted(members))
+    for done in range(1, rounds + 1):
+        if links.labels is None:
+            break
         # the centres have met every member of their buckets; go on with the others where components differ
-        rest = _labelled(members.select("sig", "node"), labels)
+        rest = _labelled(members.select("sig", "node"), links.labels)
         rest = rest.withColumn("_low", F.min("component").over(buckets)).withColumn("_high", F.max("component").over(buckets))
         rest = stash(rest.where(F.col("_low") != F.col("_high")).select("sig", "node", "component"), "open")
+        rest = stash(_thinned(rest), "thinned")
         if rest.isEmpty():
-            return labels
-        if left == rounds:
+            break
+        if done == rounds:
             other = rest.select("sig", F.col("node").alias("b"), F.col("component").alias("_c"))
             meet = rest.withColumnRenamed("node", "a").join(other, "sig")
-            pairs = meet.where((F.col("a") < F.col("b")) & (F.col("component") != F.col("_c"))).select("a", "b").distinct()
-            continue
+            meet = meet.where((F.col("a") < F.col("b")) & (F.col("component") != F.col("_c")))
+            links.settle(meet.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
+            break
         centre = F.min(F.struct("node", "component")).over(buckets)
         star = rest.withColumn("_centre", centre).where(F.col("_centre.node") != F.col("node"))
-        members = stash(star.select("sig", "node", F.col("_centre.node").alias("a"), "component", F.col("_centre.component").alias("_c")), "buckets")
-        pairs = members.where(F.col("component") != F.col("_c")).select("a", F.col("node").alias("b")).distinct()
+        star = star.select("sig", "node", F.col("_centre.node").alias("a"), "component", F.col("_centre.component").alias("_c"))
+        members = stash(star, "buckets")
+        links.settle(counted(members.where(F.col("component") != F.col("_c"))))
+    return links.labels if links.labels is not None else nodes.limit(0).select("node", F.col("node").alias("component"))
 
 
 def components(docs: DataFrame, words: int, share: int) -> DataFrame:
@@ -252,10 +339,12 @@ def components(docs: DataFrame, words: int, share: int) -> DataFrame:
     whether or not their ids repeat; a null id is never the smallest but where no row of the component has one.
     """
     rows = stash(described(docs, words), "described")
+    first = F.min_by(F.struct("doc_id", "text_hash"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
     nodes = stash(
         rows.where(F.col("node").isNotNull())
         .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), *[F.min(c).alias(c) for c in ("n", "p0", "p1", "p2", "p3")]),
+        .agg(first.alias("f"), *[F.min(c).alias(c) for c in ("n", "parity")])
+        .select("node", "f.doc_id", "f.text_hash", "n", "parity"),
         "nodes",
     )
     labels = linked_nodes(docs, nodes, words, share)
