@@ -35,8 +35,8 @@ from corpus_audit.scale import broadcast_if_small
 
 ROUNDS, HOT_PAIRS, MAX_WORDS, CLASSES = 3, 1000, 500_000, 1024
 SPARSE = 1
-_PAIRS_OF_PARTS = list(combinations(range(3), 2))
-_PAIRS_OF_FIVE = list(combinations(range(5), 2))
+_ONE, _OTHER = np.array(list(combinations(range(3), 2))).T  # two of three parts
+_FIRST, _SECOND = np.array(list(combinations(range(5), 2))).T  # two of five finer parts
 _P, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -105,23 +105,21 @@ class PartEnum:
             np.add.at(parts, where, content)
             parts = parts.reshape(n1, 3)
             held = np.bincount(where, minlength=3 * n1).reshape(n1, 3)
-            finer = None
-            place = (np.arange(n1, dtype=np.uint64) + np.uint64(instance) * np.uint64(1 << 32)) * np.uint64(4)
-            for which, (a, b) in enumerate(_PAIRS_OF_PARTS):
-                own_parts = _mixed(_mixed(parts[:, a] + _A) * _P + parts[:, b] + (place + np.uint64(which)) * _B)
-                sparse = np.flatnonzero(held[:, a] + held[:, b] <= SPARSE) if n1 > 1 else ()
-                if len(sparse):
-                    if finer is None:
-                        finer = np.zeros(5 * n1, np.uint64)
-                        fifth = (elements // np.uint64(3 * n1) % np.uint64(5)).astype(np.int64)
-                        np.add.at(finer, where // 3 * 5 + fifth, content)
-                        finer = finer.reshape(n1, 5)
-                    following = finer[(sparse + 1) % n1]
-                    for turn, (u, v) in enumerate(_PAIRS_OF_FIVE, 1):
-                        more = _mixed(_mixed(following[:, u] + _B) * _P + following[:, v] + np.uint64(turn))
-                        out.append(_mixed(own_parts[sparse] * _P + more))
-                    own_parts = np.delete(own_parts, sparse)
-                out.append(own_parts)
+            code = np.arange(n1, dtype=np.uint64)[:, None] + np.uint64(instance) * np.uint64(1 << 32)
+            code = code * np.uint64(4) + np.arange(3, dtype=np.uint64)
+            own_parts = _mixed(_mixed(parts[:, _ONE] + _A) * _P + parts[:, _OTHER] + code * _B)
+            thin = held[:, _ONE] + held[:, _OTHER] <= SPARSE
+            if n1 > 1 and thin.any():
+                fifth = (elements // np.uint64(3 * n1) % np.uint64(5)).astype(np.int64)
+                finer = np.zeros(5 * n1, np.uint64)
+                np.add.at(finer, where // 3 * 5 + fifth, content)
+                row, which = np.nonzero(thin)
+                following = finer.reshape(n1, 5)[(row + 1) % n1]
+                more = _mixed(_mixed(following[:, _FIRST] + _B) * _P + following[:, _SECOND] + np.arange(1, 11, dtype=np.uint64))
+                out.append(_mixed(own_parts[row, which][:, None] * _P + more).ravel())
+                out.append(own_parts[~thin])
+            else:
+                out.append(own_parts.ravel())
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
