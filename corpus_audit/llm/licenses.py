@@ -1,10 +1,17 @@
-"""Licence scan in DataFrame functions alone: sparse TF-IDF cosine of licence lines to templates, then inheritance.
+"""Licence scan in DataFrame functions alone: sparse TF-IDF cosine of lines, blocks and texts to templates, then inheritance.
 
-A licence line is a line of the whole text that holds a marker word.  Its vector is the count of each term times the
-term's inverse document frequency among the templates, ln((1 + T) / (1 + df)) + 1, where terms that no template holds
-have df 0; it is scored by cosine against each template.  Lines are scored once however often they are repeated.
+The scored units are every line, every block (adjoining lines joined; a line without a letter or digit ends a block) and
+the whole text.  A unit's vector is the count of each term times the term's inverse document frequency among the
+templates, ln((1 + T) / (1 + df)) + 1, where terms that no template holds have df 0; it is scored by cosine against each
+template.  Units are scored once however often they are repeated.
 
-A file whose licence lines make at least a fifth of its words is a licence file and stands for its directory.  A file
+Only units that can reach the threshold are scored, by two bounds that lose none.  The cosine is at most the root of the
+sum of squared template weights of the shared terms, so one of the terms must be there that are left when terms whose
+squares sum to less than the squared threshold are taken away.  And n words outside the templates, d of them different,
+add at least n * n / d times their squared weight to the squared norm.
+
+A file whose licence lines make at least a fifth of its words, or whose whole text reaches the threshold, is a licence
+file and stands for its directory.  A block that scores higher than each of its lines counts as licence lines.  A file
 without a licence of its own inherits that of the nearest directory above it that has one; this is decided once per
 directory, by joins on the paths of its ancestors.
 """
@@ -14,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,29 +42,76 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "proprietary": "All rights reserved.",
 }
-#: A line is looked at when it holds one of these words.
+#: The lines that the SQL looks at; the operator looks at all.
 MARKERS = ("cc0", "licence", "licenced", "license", "licensed", "redistribution", "reserved")
 MARKER = rf"\b({'|'.join(MARKERS)})\b"
 THRESHOLD, FILE_SHARE, SALTS = 0.6, 5, 16
+#: The bounds stay below the threshold by more than the rounding of a score.
+SLACK = 1e-5
+#: Between blocks: a line end, lines without a letter or digit, a line end.
+_BETWEEN = "\\n[^A-Za-z0-9]*\\n"
 
 #: Terms of a line in SQL; both engines read it alike.
 _TERMS = "regexp_replace(lower({0}), '[^a-z0-9]+', ' ')"
 
 
-def template_weights(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """(license, term, weight) and (term, idf): unit vectors of the templates, worked out once from the parameter."""
-    values = lambda rows, names: spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({names})")
+def template_vectors(templates: dict[str, str]) -> tuple[dict[str, dict[str, float]], dict[str, float]]:
+    """Unit vector of each template and the inverse document frequency of each term, worked out once from the parameter."""
     counts = {k: Counter(re.sub("[^a-z0-9]+", " ", v.lower()).split()) for k, v in templates.items()}
     df = Counter(t for c in counts.values() for t in c)
     idf = {t: math.log((1 + len(templates)) / (1 + n)) + 1 for t, n in df.items()}
+    norms = {k: math.sqrt(sum((n * idf[t]) ** 2 for t, n in c.items())) for k, c in counts.items()}
+    return {k: {t: n * idf[t] / norms[k] for t, n in sorted(c.items())} for k, c in sorted(counts.items())}, idf
+
+
+def template_weights(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(license, term, weight) and (term, idf)."""
+    values = lambda rows, names: spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({names})")
+    vectors, idf = template_vectors(templates)
     rows = []
-    for name, c in sorted(counts.items()):
-        norm = math.sqrt(sum((n * idf[t]) ** 2 for t, n in c.items()))
+    for name, vector in vectors.items():
         named = name.replace("\\", "\\\\").replace("'", "\\'")
-        rows += [f"('{named}', '{t}', {n * idf[t] / norm!r}D)" for t, n in sorted(c.items())]
+        rows += [f"('{named}', '{t}', {w!r}D)" for t, w in vector.items()]
     return values(rows, "license, term, weight"), values([f"('{t}', {v!r}D)" for t, v in sorted(idf.items())], "term, idf")
 
 
+def needed_terms(vectors: dict[str, dict[str, float]], threshold: float) -> list[str]:
+    """Terms of which every unit of at least ``threshold`` holds one; short ones, which texts hold most, are left away first."""
+    needed = set()
+    for vector in vectors.values():
+        left = 0.0
+        for t in sorted(vector, key=lambda t: (len(t), t)):
+            if left + vector[t] ** 2 < max(threshold - SLACK, 0.0) ** 2:
+                left += vector[t] ** 2
+            else:
+                needed.add(t)
+    return sorted(needed)
+
+
+def candidates(units: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
+    """The rows of ``units`` whose ``line`` can reach ``threshold``; a superset of those that do."""
+    vectors, idf = template_vectors(templates)
+    known, rare = sorted(idf), math.log(1 + len(templates)) + 1
+    # explode of one element: a filter on the value is not moved below it, so the value is worked out once
+    held = lambda df, name, c: df.select("*", F.explode(F.array(c)).alias(name))
+    rows = held(units, "_s", F.concat(F.lit(" "), F.trim(F.expr(_TERMS.format("line"))), F.lit(" ")))
+    rows = rows.where(F.col("_s").rlike(f" (?:{'|'.join(needed_terms(vectors, threshold))}) "))
+    shared = F.regexp_replace("_s", f" (?!(?:{'|'.join(known)}) )[a-z0-9]+", "")
+    rows = held(rows, "_shared", F.split(F.trim(shared), " "))
+    count = lambda t: F.size("_shared") - F.size(F.array_remove("_shared", t))
+    rows = held(rows, "_tf", F.transform(F.array(*[F.lit(t) for t in known]), count))
+    tf = {t: F.col("_tf")[k].cast("double") for k, t in enumerate(known)}
+    total = lambda parts: reduce(lambda a, b: a + b, parts)
+    dots = [total([tf[t] * (idf[t] * w) for t, w in vector.items()]) for vector in vectors.values()]
+    inside = total([tf[t] * tf[t] * idf[t] ** 2 for t in known])
+    others = F.length("_s") - F.length(F.replace("_s", F.lit(" "), F.lit(""))) - 1 - F.size("_shared")
+    values = F.struct(F.greatest(*dots, F.lit(0.0)).alias("dot"), inside.alias("inside"), F.greatest(others, F.lit(0)).cast("double").alias("n"))
+    rows = held(rows, "_v", values)
+    reach = lambda outside: F.col("_v.dot") >= (threshold - SLACK) * F.sqrt(F.col("_v.inside") + outside * rare**2)
+    rows = held(rows.where(reach(F.col("_v.n"))), "_d", F.size(F.array_distinct(F.split(F.trim("_s"), " "))) - F.size(F.array_distinct("_shared")))
+    return rows.where(reach(F.col("_v.n") * F.col("_v.n") / F.greatest(F.col("_d"), F.lit(1)))).select(*units.columns)
+
+
 def line_licenses(lines: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
     """(line, license, score) of the distinct lines of at least ``threshold``; ties go to the smaller licence id."""
     spark = lines.sparkSession
@@ -86,26 +141,40 @@ def scan(
 ) -> DataFrame:
     """doc_id, path, license, score, basis and from_path for every row of ``files``.
 
-    ``basis`` is "own" (the best of the file's licence lines; ties to the smaller licence id), "inherited" (``from_path``
+    ``basis`` is "own" (the best of the file's lines, blocks and whole text; ties to the smaller licence id), "inherited" (``from_path``
     is the licence file: of one directory the best score, then the smallest licence and path) or "none" with nulls.
     Null and empty texts have no line; a null path inherits nothing; a path without a slash lies in the directory "".
     Repeated rows are returned each; rows that share id and path count as one file.  Other columns are ignored.
     """
     rows = files.select(F.col(key).cast("long").alias("doc_id"), F.col(path).cast("string").alias("path"), F.col(text).cast("string").alias("text"))
-    marked = F.filter(F.split("text", "\n"), lambda x: F.lower(x).rlike(MARKER))
-    words = F.size(F.split(F.trim(F.regexp_replace("text", "[ \\t\\n]+", " ")), " "))
-    held = rows.where(F.lower("text").rlike(MARKER)).select("doc_id", "path", words.alias("n_words"), F.posexplode(marked).alias("at", "line"))
+    n_words = lambda c: F.size(F.split(F.trim(F.regexp_replace(c, "[ \\t\\n]+", " ")), " "))
+    blocks = rows.where(F.col("text").isNotNull()).select("doc_id", "path", "text", F.posexplode(F.split("text", _BETWEEN)).alias("block", "body"))
+    # a block with its lines; the whole text, where it has more than one block, goes with the first one
+    several = F.split("body", "\n")
+    unit = lambda kind, c: F.transform(c, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("line")))
+    joined = F.when(F.size(several) > 1, F.array("body")).otherwise(F.array().cast("array<string>"))
+    whole = F.when((F.col("block") == 0) & F.col("text").rlike(_BETWEEN), F.array("text")).otherwise(F.array().cast("array<string>"))
+    units = blocks.select("doc_id", "path", "text", "block", F.posexplode(F.concat(unit("line", several), unit("block", joined), unit("text", whole))).alias("at", "u"))
+    units = units.select("doc_id", "path", "text", "block", "at", "u.kind", "u.line")
+    held = candidates(units, templates, threshold).withColumn("n_words", n_words("text")).drop("text")
     lines = stash(held.distinct(), "licence-lines")
     found = lines.join(line_licenses(lines, templates, threshold), "line")
-    size = F.size(F.split(F.trim(F.regexp_replace("line", "[ \\t\\n]+", " ")), " "))
     best = F.min(F.struct((-F.col("score")).alias("s"), "license"))
+    of = lambda kind, c: F.when(F.col("kind") == kind, c)
+    by_block = found.withColumn("size", n_words("line")).groupBy("doc_id", "path", "n_words", "block").agg(
+        best.alias("b"),
+        F.max(of("line", F.col("score"))).alias("line_score"), F.coalesce(F.sum(of("line", F.col("size"))), F.lit(0)).alias("n_lines"),
+        F.max(of("block", F.col("score"))).alias("block_score"), F.max(of("block", F.col("size"))).alias("n_block"),
+        F.max(F.col("kind") == "text").alias("whole"),
+    )
+    size = F.when(F.col("block_score") > F.coalesce("line_score", F.lit(0.0)), F.col("n_block")).otherwise(F.col("n_lines"))
     own = stash(
-        found.groupBy("doc_id", "path").agg(best.alias("b"), F.sum(size).alias("n_licence"), F.max("n_words").alias("n_words"))
-        .select("doc_id", "path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), "n_licence", "n_words"),
+        by_block.groupBy("doc_id", "path").agg(F.min("b").alias("b"), F.sum(size).alias("n_licence"), F.max("n_words").alias("n_words"), F.max("whole").alias("whole"))
+        .select("doc_id", "path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), "n_licence", "n_words", "whole"),
         "licences",
     )
     folder = F.regexp_replace("path", "/?[^/]*$", "")
-    standing = own.where((F.col("n_licence") * file_share >= F.col("n_words")) & F.col("path").isNotNull())
+    standing = own.where((F.col("whole") | (F.col("n_licence") * file_share >= F.col("n_words"))) & F.col("path").isNotNull())
     chosen = F.min(F.struct((-F.col("score")).alias("s"), "license", "path"))
     of_folder = standing.groupBy(folder.alias("above")).agg(chosen.alias("c")).select("above", "c.license", F.col("c.path").alias("from_path"), (-F.col("c.s")).alias("score"))
     folders = rows.where(F.col("path").isNotNull()).select(folder.alias("folder")).distinct()

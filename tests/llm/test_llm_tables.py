@@ -140,6 +140,34 @@ def test_licences_are_found_and_inherited(spark):
     assert licenses.scan(docs.limit(0)).collect() == []
 
 
+def test_licences_without_a_marker_word_or_wrapped_over_lines(spark):
+    rows = [
+        (1, "m/a.c", "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */\n\nint x;"),
+        (2, "c/b.txt", "Dedicated to the public domain."),
+        (3, "c/d/e.txt", "nothing of its own"),
+        (4, "w/x.txt", "# This work is licensed\n# under the GNU General\n# Public License,\n# version 3.\n#\n# " + "some other words " * 5),
+        (5, "w/y.txt", "some use of the others, and more of that"),
+        (6, "r/a.txt", "Released under\n\nthe MIT License" + "\n-\n" * 3),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.basis, r.from_path) for r in licenses.scan(docs).collect()}
+    assert got == {
+        1: ("MPL-2.0", "own", None), 2: ("CC0-1.0", "own", None), 3: ("CC0-1.0", "inherited", "c/b.txt"),
+        4: ("GPL-3.0", "own", None), 5: ("GPL-3.0", "inherited", "w/x.txt"), 6: ("MIT", "own", None),
+    }
+
+
+def test_licence_candidates_hold_every_unit_that_reaches_the_threshold(spark):
+    rng = random.Random(5)
+    words = sorted({w for t in licenses.TEMPLATES.values() for w in t.split()})
+    lines = list({" ".join(rng.choices(rng.choice([words, t.split()]), k=rng.randint(1, 12)) + ["x", "y", "z"][: rng.randint(0, 3)]) for t in licenses.TEMPLATES.values() for _ in range(60)})
+    rows = spark.createDataFrame([(x,) for x in lines], "line string")
+    for threshold in (0.3, 0.6, 0.9):
+        reached = {r.line for r in licenses.line_licenses(rows, licenses.TEMPLATES, threshold).collect()}
+        kept = {r.line for r in licenses.candidates(rows, licenses.TEMPLATES, threshold).collect()}
+        assert reached and reached <= kept and len(kept) < len(lines)
+
+
 CALLS = "conv_id long, call_id string, turn long, name string, arguments string, depends_on array<string>, content int"
 RESULTS = "conv_id long, call_id string, turn long, content string, name string"
 TOOLS = {"f": {"x": ("integer", True), "y": ("string", False)}, "g": {"v": ("number", True), "l": ("array", False)}}
