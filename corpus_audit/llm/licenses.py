@@ -10,10 +10,10 @@ sum of squared template weights of the shared terms, so one of the terms must be
 squares sum to less than the squared threshold are taken away.  And n words outside the templates, d of them different,
 add at least n * n / d times their squared weight to the squared norm.
 
-A file whose licence lines make at least a fifth of its words, or whose whole text reaches the threshold, is a licence
-file and stands for its directory.  A block that scores higher than each of its lines counts as licence lines.  A file
-without a licence of its own inherits that of the nearest directory above it that has one; this is decided once per
-directory, by joins on the paths of its ancestors.
+A file with a licence of its own stands for its directory when its name marks it as a licence file, when its licence
+lines make at least a fifth of its words, or when its whole text reaches the threshold.  A block that scores higher than
+each of its lines counts as licence lines.  A file without a licence of its own inherits that of the nearest directory
+above it that has one; this is decided once per directory, by joins on the paths of its ancestors.
 """
 
 from __future__ import annotations
@@ -46,6 +46,8 @@ TEMPLATES = {
 MARKERS = ("cc0", "licence", "licenced", "license", "licensed", "redistribution", "reserved")
 MARKER = rf"\b({'|'.join(MARKERS)})\b"
 THRESHOLD, FILE_SHARE, SALTS = 0.6, 5, 16
+#: Names of licence files: any beginning in capitals; otherwise the word alone or with the ending of a text.
+LICENCE_FILE = r"(?:^|/)(?:(?:LICEN[CS]E|COPYING|NOTICE)[^/]*|(?i:licen[cs]es?|copying|notices?)(?i:\.(?:txt|md|rst|html?))?)$"
 #: The bounds stay below the threshold by more than the rounding of a score.
 SLACK = 1e-5
 #: Between blocks: a line end, lines without a letter or digit, a line end.
@@ -174,7 +176,7 @@ def scan(
         "licences",
     )
     folder = F.regexp_replace("path", "/?[^/]*$", "")
-    standing = own.where((F.col("whole") | (F.col("n_licence") * file_share >= F.col("n_words"))) & F.col("path").isNotNull())
+    standing = own.where((F.col("whole") | F.col("path").rlike(LICENCE_FILE) | (F.col("n_licence") * file_share >= F.col("n_words"))) & F.col("path").isNotNull())
     chosen = F.min(F.struct((-F.col("score")).alias("s"), "license", "path"))
     of_folder = standing.groupBy(folder.alias("above")).agg(chosen.alias("c")).select("above", "c.license", F.col("c.path").alias("from_path"), (-F.col("c.s")).alias("score"))
     folders = rows.where(F.col("path").isNotNull()).select(folder.alias("folder")).distinct()

@@ -157,6 +157,22 @@ def test_licences_without_a_marker_word_or_wrapped_over_lines(spark):
     }
 
 
+def test_licence_files_stand_for_their_directory_by_name(spark):
+    body = "\n\nGranted is a right to deal in it, free of charge, to any person who got a copy of it and its files. " * 20
+    rows = [
+        (1, "a/LICENSE", "MIT License" + body), (2, "a/b/x.py", "import x"),
+        (3, "c/licence.md", "The MIT License" + body), (4, "c/x.py", "import x"),
+        (5, "d/license.py", "MIT License" + body), (6, "d/x.py", "import x"),
+        (7, "e/COPYING", "no such text"), (8, "e/x.py", "import x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.from_path) for r in licenses.scan(docs).collect()}
+    assert got == {
+        1: ("MIT", None), 2: ("MIT", "a/LICENSE"), 3: ("MIT", None), 4: ("MIT", "c/licence.md"),
+        5: ("MIT", None), 6: (None, None), 7: (None, None), 8: (None, None),
+    }
+
+
 def test_licence_candidates_hold_every_unit_that_reaches_the_threshold(spark):
     rng = random.Random(5)
     words = sorted({w for t in licenses.TEMPLATES.values() for w in t.split()})
