@@ -30,6 +30,7 @@ TOC_MARK = "大纲目录"
 BODY_MARK = "课程内容与考核要求"
 TYPE_DECLARATION = r"(?:主要题型一般有|可能采用的题型有[：:]?)(.+?)(?:等|。|$)"
 EXAM_METHODS = "笔试|实践|机考"
+FIVE_DIGITS, FIVE_OR_MORE = "[0-9]{5}", "[0-9]{5,}"
 ROW_HEAD = r"^\s*(?:[0-9]{1,3}\s+)?([0-9]{5})(?=\s|$)"
 CODE_TOKEN = r"(?<![0-9])[0-9]{5}(?![0-9])"
 NO_METHOD = "行内未找到唯一的考试方式单元格"
@@ -130,11 +131,16 @@ def table_rows(lines: DataFrame, keys: list[str], header: Column, min_cells: int
     )
 
 
-def course_table_rows(lines: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+def row_head(digits: str = FIVE_DIGITS) -> str:
+    """``ROW_HEAD`` for codes of these digits."""
+    return ROW_HEAD.replace(FIVE_DIGITS, digits)
+
+
+def course_table_rows(lines: DataFrame, keys: list[str], digits: str = FIVE_DIGITS) -> tuple[DataFrame, DataFrame]:
     """Rows ``| n | code | name | credits | method |`` of a current course table: parsed, and dropped with reason."""
-    row = r"^\|\s*[0-9]+\s*\|\s*([0-9]{5})\s*\|\s*([^|]*?)\s*\|\s*([^|]*?)\s*\|\s*(" + EXAM_METHODS + r")\s*\|"
+    row = r"^\|\s*[0-9]+\s*\|\s*(" + digits + r")\s*\|\s*([^|]*?)\s*\|\s*([^|]*?)\s*\|\s*(" + EXAM_METHODS + r")\s*\|"
     t = F.col("text")
-    candidates = lines.filter(t.rlike(r"^\|\s*[0-9]+\s*\|\s*[0-9]{5}\s*\|"))
+    candidates = lines.filter(t.rlike(r"^\|\s*[0-9]+\s*\|\s*" + digits + r"\s*\|"))
     parsed = candidates.filter(t.rlike(row)).select(
         *keys, "line_no",
         F.regexp_extract(t, row, 1).alias("code"),
@@ -148,18 +154,21 @@ def course_table_rows(lines: DataFrame, keys: list[str]) -> tuple[DataFrame, Dat
     return parsed, dropped
 
 
-def fixed_width_rows(lines: DataFrame, keys: list[str], wrapped: bool = True) -> tuple[DataFrame, DataFrame]:
+def fixed_width_rows(
+    lines: DataFrame, keys: list[str], wrapped: bool = True, digits: str = FIVE_DIGITS
+) -> tuple[DataFrame, DataFrame]:
     """Course rows of a fixed-width plan: (parsed, dropped with reason).
 
-    A candidate starts with a standalone five-digit code; it parses when exactly one method token stands alone
+    A candidate starts with a standalone code (five digits unless ``digits`` says otherwise); it parses when exactly one method token stands alone
     in the rest.  Left of it: name, then trailing integer credits.  With ``wrapped`` an empty name is rebuilt
     from the neighbouring physical lines.
     """
-    code = F.regexp_extract("text", ROW_HEAD, 1)
-    rest = F.regexp_extract("text", r"(?s)" + ROW_HEAD + r"(.*)$", 2)
+    head = row_head(digits)
+    code = F.regexp_extract("text", head, 1)
+    rest = F.regexp_extract("text", r"(?s)" + head + r"(.*)$", 2)
     token = rf"(?:(?<=\s)|^)({EXAM_METHODS})(?=\s|$)"
-    source = wrapped_value(lines, keys) if wrapped else lines.withColumn("wrapped", F.lit(None).cast("string"))
-    cand = source.filter(F.col("text").rlike(ROW_HEAD)).withColumn("_rest", rest)
+    source = wrapped_value(lines, keys, digits) if wrapped else lines.withColumn("wrapped", F.lit(None).cast("string"))
+    cand = source.filter(F.col("text").rlike(head)).withColumn("_rest", rest)
     cand = cand.withColumn("_methods", F.regexp_extract_all("_rest", F.lit(token), F.lit(1)))
     one = F.size("_methods") == 1
     left = tx.strip_ws(F.regexp_extract("_rest", rf"(?s)^(.*?){token}", 1))
@@ -175,19 +184,19 @@ def fixed_width_rows(lines: DataFrame, keys: list[str], wrapped: bool = True) ->
     return parsed, dropped
 
 
-def name_fragment(c: Column) -> Column:
+def name_fragment(c: Column, digits: str = FIVE_DIGITS) -> Column:
     """First name cell of a neighbouring line; '' when the line is blank or holds a code."""
     line = tx.strip_ws(c)
     cells = F.filter(F.split(line, r"(?U)\s{2,}", -1), lambda x: (x != "") & ~x.rlike(r"^\s*[0-9]+\s*$"))
     first = F.coalesce(F.try_element_at(cells, F.lit(1)), F.lit(""))
     cleaned = F.regexp_replace(first, r"\s+(?:不计学分|不计|学分)$", "")
-    return F.when(line.isNull() | (line == "") | line.rlike(CODE_TOKEN), F.lit("")).otherwise(cleaned)
+    return F.when(line.isNull() | (line == "") | line.rlike(CODE_TOKEN.replace(FIVE_DIGITS, digits)), F.lit("")).otherwise(cleaned)
 
 
-def wrapped_value(lines: DataFrame, keys: list[str]) -> DataFrame:
+def wrapped_value(lines: DataFrame, keys: list[str], digits: str = FIVE_DIGITS) -> DataFrame:
     """Adds ``wrapped``: the cleaned fragments of the previous and next physical line, null when both are empty."""
     w = Window.partitionBy(*keys).orderBy("line_no")
-    joined = F.concat(name_fragment(F.lag("text").over(w)), name_fragment(F.lead("text").over(w)))
+    joined = F.concat(name_fragment(F.lag("text").over(w), digits), name_fragment(F.lead("text").over(w), digits))
     return lines.withColumn("wrapped", F.nullif(tx.fold_ws(joined), F.lit("")))
 
 

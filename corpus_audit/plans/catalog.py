@@ -69,7 +69,7 @@ SELECT p_brand, count(*) FILTER (WHERE p_partkey % 7 <> 0) AS parsed, count(*) F
 )
 def dropped_ledger(spark, sf):
     brands = table(spark, sf, "part").select("p_partkey", "p_brand")
-    parsed, dropped = structure.fixed_width_rows(plan_lines(spark, sf), ["p_partkey"])
+    parsed, dropped = structure.fixed_width_rows(plan_lines(spark, sf), ["p_partkey"], digits=structure.FIVE_OR_MORE)
     return ops.dropped_ledger(parsed.join(brands, "p_partkey"), dropped.join(brands, "p_partkey"), ["p_brand"])
 
 

@@ -114,7 +114,7 @@ UNION ALL SELECT p_partkey, 'dropped', NULL, NULL, NULL, NULL, '现行课程表
 """,
 )
 def course_table_rows(spark, sf):
-    """Codes of this table have exactly five digits; parts with longer keys cannot stand in it on either side."""
+    """Every part; the SQL leaves out those from 100,000 on."""
     key, k = F.col("p_partkey"), F.col("p_partkey") % 7
     cells = [
         key.cast("string"), inputs.padded(key), F.when(key % 5 == 0, "  ").otherwise(F.col("p_name")),
@@ -123,7 +123,7 @@ def course_table_rows(spark, sf):
     ]
     row = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
     lines = table(spark, sf, "part").select("p_partkey", F.lit(1).cast("bigint").alias("line_no"), row.alias("text"))
-    parsed, dropped = ops.course_table_rows(lines, ["p_partkey"])
+    parsed, dropped = ops.course_table_rows(lines, ["p_partkey"], digits=ops.FIVE_OR_MORE)
     none = lambda t: F.lit(None).cast(t)
     return parsed.select(
         "p_partkey", F.lit("parsed").alias("state"), "code", "name", "credits", "exam_method", none("string").alias("reason")
@@ -167,7 +167,7 @@ SELECT p_partkey, p_partkey * 3 + 1 AS line_no, printf('%05d', p_partkey) AS cod
 """,
 )
 def fixed_width_parsed(spark, sf):
-    return ops.fixed_width_rows(plan_lines(spark, sf), ["p_partkey"])[0]
+    return ops.fixed_width_rows(plan_lines(spark, sf), ["p_partkey"], digits=ops.FIVE_OR_MORE)[0]
 
 
 @query(
@@ -175,7 +175,7 @@ def fixed_width_parsed(spark, sf):
     f"SELECT p_partkey, line_no, trim(text) AS raw, '{ops.NO_METHOD}' AS reason FROM ({PLAN_ROWS}) WHERE k = 1 AND p_partkey % 7 = 0",
 )
 def fixed_width_dropped(spark, sf):
-    return ops.fixed_width_rows(plan_lines(spark, sf), ["p_partkey"])[1]
+    return ops.fixed_width_rows(plan_lines(spark, sf), ["p_partkey"], digits=ops.FIVE_OR_MORE)[1]
 
 
 @query(
@@ -185,8 +185,8 @@ SELECT p_partkey, line_no, replace(p_name, ' ', '') AS wrapped FROM ({PLAN_ROWS}
 """,
 )
 def wrapped_value(spark, sf):
-    out = ops.wrapped_value(plan_lines(spark, sf), ["p_partkey"])
-    return out.filter(F.col("text").rlike(ops.ROW_HEAD) & F.col("wrapped").isNotNull()).select("p_partkey", "line_no", "wrapped")
+    out = ops.wrapped_value(plan_lines(spark, sf), ["p_partkey"], ops.FIVE_OR_MORE)
+    return out.filter(F.col("text").rlike(ops.row_head(ops.FIVE_OR_MORE)) & F.col("wrapped").isNotNull()).select("p_partkey", "line_no", "wrapped")
 
 
 @query(

@@ -82,3 +82,26 @@ def test_fences(spark):
     rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", tx.unfenced_lines("t").alias("v")).collect()
     for r in rows:
         assert [(x.line_no, x.text) for x in r.v] == cases[r.t], repr(r.t)
+
+
+def test_parts_with_keys_of_six_digits_stay_in_course_tables(spark, tmp_path):
+    import duckdb
+
+    from corpus_audit.plans import load_all
+    from corpus_audit.plans.registry import ORACLES, QUERIES
+
+    load_all()
+    keys = [7, 99_999, *range(100_000, 100_040), 1_234_567]
+    rows = [(k, f"red {'abcdefg'[k % 7]}x", f"B{k % 3}", "t", k % 50 + 1, 1.0) for k in keys]
+    schema = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    for name in ("c5_fixed_width_parsed", "c5_fixed_width_dropped", "c6_wrapped_value", "e3_dropped_ledger"):
+        want = con.execute(ORACLES[name])
+        names = [d[0] for d in want.description]
+        assert sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).select(*names).collect()), key=str) == sorted(want.fetchall(), key=str)
+    got = QUERIES["c4_course_table_rows"](spark, str(tmp_path)).collect()
+    assert sorted((r.p_partkey, r.state, r.code) for r in got) == sorted(
+        (k, "dropped", None) if k % 7 == 6 else (k, "parsed", f"{k:05d}") for k in keys
+    )
