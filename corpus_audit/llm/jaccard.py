@@ -304,11 +304,10 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int, roun
     members = stash(shared.distinct(), "buckets")
     links = _Links(docs, nodes, words, share)
     links.settle(counted(members))
+    none = nodes.limit(0).select("node", F.col("node").alias("component"))
     for done in range(1, rounds + 1):
-        if links.labels is None:
-            break
         # the centres have met every member of their buckets; go on with the others where components differ
-        rest = _labelled(members.select("sig", "node"), links.labels)
+        rest = _labelled(members.select("sig", "node"), none if links.labels is None else links.labels)
         rest = rest.withColumn("_low", F.min("component").over(buckets)).withColumn("_high", F.max("component").over(buckets))
         rest = stash(rest.where(F.col("_low") != F.col("_high")).select("sig", "node", "component"), "open")
         rest = stash(_thinned(rest), "thinned")
@@ -325,7 +324,7 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int, roun
         star = star.select("sig", "node", F.col("_centre.node").alias("a"), "component", F.col("_centre.component").alias("_c"))
         members = stash(star, "buckets")
         links.settle(counted(members.where(F.col("component") != F.col("_c"))))
-    return links.labels if links.labels is not None else nodes.limit(0).select("node", F.col("node").alias("component"))
+    return none if links.labels is None else links.labels
 
 
 def components(docs: DataFrame, words: int, share: int) -> DataFrame:

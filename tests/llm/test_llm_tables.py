@@ -103,6 +103,25 @@ def test_one_of_each_keeps_columns_and_one_row(spark):
     assert jaccard.one_of_each(docs.limit(0)).collect() == []
 
 
+def test_members_meet_where_the_centre_is_ruled_out_for_all(spark):
+    # one partition (k = 1): three sets agree in two of its parts, and only the two larger hashes are alike
+    shingles, enum, found = jaccard.Shingler(1), jaccard.PartEnum(85), []
+    assert enum.partitions(enum.band(6)) == 1
+    parts = defaultdict(list)
+    for k in range(200):
+        parts[int(shingles(f"w{k}".encode())[0] % np.uint64(3))].append(f"w{k}")
+    q, r, p = parts[0][0], parts[1][0], parts[2]
+    for k in range(0, len(p) - 9, 9):
+        texts = [" ".join([q, r, *p[k : k + 4]]), " ".join([q, r, *p[k + 4 : k + 8]]), " ".join([q, r, *p[k + 4 : k + 9]])]
+        nodes = [jaccard._node(shingles(t.encode())) for t in texts]
+        if nodes[0] < min(nodes[1:]):
+            found = list(enumerate(texts, 1))
+            break
+    assert found
+    rows = jaccard.components(spark.createDataFrame(found, "doc_id long, text string"), words=1, share=85).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == [(1, 6, 1), (2, 6, 2), (3, 7, 2)]
+
+
 def test_connected_components_of_a_long_path(spark):
     links = [(i, i + 1) for i in range(1, 70)] + [(200, 201), (205, 201), (7, 7), (300, 300)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
