@@ -328,7 +328,7 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int, roun
 
 
 def components(docs: DataFrame, words: int, share: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id for every row of ``docs``.
+    """doc_id, text_hash, n_shingles, component_id for every row of ``docs``: components only, no links.
 
     Two rows link when 100 * |common shingles| >= share * |all shingles|; ``component_id`` is the smallest doc_id that
     links lead to, the row's own included.  A text with fewer words than a shingle is one shingle; null and empty
