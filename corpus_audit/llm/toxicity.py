@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from corpus_audit.llm.common import held_out, keyed_texts, sliced
+from corpus_audit.llm.common import held_out, keyed_texts, sliced, stash
 
 SAMPLE_PER_CLASS, VOCABULARY, LEAST_Z = 6000, 4096, 3.5
 STEPS, RATE, PENALTY = 300, 0.1, 1e-5
@@ -80,12 +80,15 @@ class Model:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[DataFrame, dict[int, int]]:
-    """(text, y, weight) and the rows of each class: of each class the ``per_class`` labelled rows, not held out, whose ids hash lowest.
+    """(text, y, weight) and the rows of each class: of each class the ``per_class`` labelled rows of ``docs``, not held out, whose ids hash lowest.
 
+    Labels of ids that ``docs`` does not hold are neither drawn nor counted.
     Their number is bounded, so their ids are broadcast and no text moves.  ``weight`` restores the share of the class.
     """
     marks = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    # a null id meets none; the ids of all documents are read once
+    marks = stash(marks.join(keyed_texts(docs).select("doc_id"), "doc_id", "left_semi"), "marks")
     counts = {r.y: r["count"] for r in marks.groupBy("y").count().collect()}
     parts = [
         marks.where(F.col("y") == y)

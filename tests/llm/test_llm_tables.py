@@ -203,6 +203,15 @@ def test_licence_candidates_hold_every_unit_that_reaches_the_threshold(spark):
         assert reached and reached <= kept and len(kept) < len(lines)
 
 
+def test_toxicity_sample_draws_and_counts_only_labels_of_given_documents(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(400) if i % 4 > 1], "doc_id long, text string")
+    for per_class, least in ((40, 40), (1000, 50)):
+        sample, n = toxicity.training_sample(docs, labels, "toxic", per_class)
+        drawn = {y: sample.where(F.col("y") == y).count() for y in (0, 1)}
+        assert drawn == n and min(n.values()) >= least
+
+
 CALLS = "conv_id long, call_id string, turn long, name string, arguments string, depends_on array<string>, content int"
 RESULTS = "conv_id long, call_id string, turn long, content string, name string"
 TOOLS = {"f": {"x": ("integer", True), "y": ("string", False)}, "g": {"v": ("number", True), "l": ("array", False)}}
