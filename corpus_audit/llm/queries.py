@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_audit.llm import binary, decontaminate, jaccard, licenses, packing, quality, token_counts, toolcalls, topk, toxicity
+from corpus_audit.llm import binary, decontaminate, jaccard, licenses, negatives, packing, quality, token_counts, toolcalls, topk, toxicity
 from corpus_audit.llm.common import held_out, keyed_texts, query, table
 from corpus_audit.session import scratch_dir
 
@@ -164,3 +164,34 @@ def tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.expr("concat('c', conv_id, '-', turn - 1)").alias("call_id"), "turn", F.col("text").alias("content")
     )
     return toolcalls.link(calls, results, TOOLS)
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+      SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+             CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0
+    ), p AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+             row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS w FROM s WHERE same
+    ), n AS (
+      SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.w ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+       AND 100 * s.score BETWEEN 50 * p.positive_score AND 95 * p.positive_score
+      WHERE p.w <= 5
+    )
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+    """,
+)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.hard_negatives(vectors, lambda key: key % 50 == 0)
