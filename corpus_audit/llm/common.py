@@ -42,6 +42,14 @@ def keyed_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def held_out(key: Column) -> Column:
     """Rows whose labels are never learned: crc32 of the id as text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))

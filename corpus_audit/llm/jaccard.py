@@ -12,10 +12,12 @@ signature is made once for every two of those.
 
 Equal sets are one node.  Nodes that share a signature form a bucket; a bucket emits no pairs but a star: its smallest
 member against the others.  Each member first meets the centre with which it shares most buckets; the links found are
-joined to components, and of the other pairs only those between different components are verified.  A star's centre has
-then met everybody and leaves, and only buckets that still hold members of different components go on.  After ``ROUNDS``
-stars the members of different components that are left meet directly.  A pair is dropped without its sets when the
-sizes or the parity of 1024 hash classes already prove too many differences; every other pair is verified on the sets.
+joined to components, and of the other pairs only those between different components are verified.  Only buckets that
+still hold members of different components go on.  Those with at most ``SMALL`` pairs left are compared inside one
+task, which emits the pairs that sizes and parities of 1,024 hash classes do not rule out.  The members of larger ones
+are signed again on the second level: fewer partitions, each cut into ``FINER`` parts, of which all but ``SPARED`` agree in
+some partition, so that unlike sets part.  A bucket that is still large there is cut into slices, and each two
+slices meet in a task of their own; nothing is dropped.  Every pair that is emitted is verified on the sets.
 
 Shingles and sets are identified by 64-bit hashes.
 """
@@ -29,14 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpus_audit.llm.common import keyed_texts, sliced, stash, text_bytes
+from corpus_audit.llm.common import keyed_texts, sliced, stash, text_bytes, unused
 from corpus_audit.llm.components import connected_components
 from corpus_audit.scale import broadcast_if_small
 
-ROUNDS, HOT_PAIRS, MAX_WORDS, CLASSES = 3, 1000, 500_000, 1024
+HOT_PAIRS, MAX_WORDS, CLASSES = 1000, 500_000, 1024
+#: pairs that a bucket may have left to be compared in one task, members of a slice of a larger one
+SMALL, SLICE = 65_536, 512
 SPARSE = 1
+#: second level: parts of a partition, and how many of them may differ
+FINER, SPARED = 8, 3
 _ONE, _OTHER = np.array(list(combinations(range(3), 2))).T  # two of three parts
 _FIRST, _SECOND = np.array(list(combinations(range(5), 2))).T  # two of five finer parts
+_AGREE = np.array(list(combinations(range(FINER), FINER - SPARED)))
 _P, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -122,6 +129,25 @@ class PartEnum:
                 out.append(own_parts.ravel())
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
+    def finer(self, elements: np.ndarray) -> np.ndarray:
+        """Second-level signatures: one partition of n1 = ceil((k + 1) / (SPARED + 1)) has at most ``SPARED`` differences."""
+        own, out = self.band(len(elements)), []
+        placed, content = _mixed(elements + _B), _mixed(elements * _A)
+        for instance in (own, own + 1):
+            if not self.partitions(instance):
+                continue
+            k = 2 * self.bands[instance][1] * (100 - self.share) // (100 + self.share)
+            n1 = k // (SPARED + 1) + 1
+            parts = np.zeros(FINER * n1, np.uint64)
+            np.add.at(parts, (placed % np.uint64(FINER * n1)).astype(np.int64), content)
+            parts = _mixed(parts.reshape(n1, FINER) + np.arange(FINER, dtype=np.uint64) * _P)
+            sums = np.zeros((n1, len(_AGREE)), np.uint64)
+            for c in range(_AGREE.shape[1]):
+                sums = _mixed(sums * _P + parts[:, _AGREE[:, c]])
+            code = np.arange(n1, dtype=np.uint64)[:, None] + np.uint64(instance) * np.uint64(1 << 32)
+            out.append(_mixed(sums + (code * np.uint64(64) + np.arange(len(_AGREE), dtype=np.uint64)) * _A).ravel())
+        return np.concatenate(out) if out else np.empty(0, np.uint64)
+
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
@@ -266,16 +292,19 @@ class _Links:
         self.docs, self.nodes, self.words, self.share = docs, nodes, words, share
         self.texts = self.labels = None
 
-    def verify(self, pairs: DataFrame) -> None:
-        if pairs.isEmpty():
-            return
-        asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    def fetch(self, asked: DataFrame) -> None:
+        """Make sure that ``texts`` holds the texts of the nodes asked for, each once."""
         if self.texts is not None:
             asked = asked.join(self.texts.select("node"), "node", "left_anti")
         firsts = stash(asked.join(self.nodes, "node").select("doc_id", "text_hash", "node"), "firsts")
         if not firsts.isEmpty():
             texts = stash(first_texts(self.docs, firsts), "texts")
             self.texts = texts if self.texts is None else self.texts.unionByName(texts)
+
+    def verify(self, pairs: DataFrame) -> None:
+        if pairs.isEmpty():
+            return
+        self.fetch(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
         if self.texts is not None:
             links = stash(_verified(pairs, self.texts, self.words, self.share), "links")
             if self.labels is not None:  # what is joined already counts as one link from each node to its component
@@ -296,37 +325,139 @@ class _Links:
             self.verify(stash(self.apart(pairs), "apart"))
 
 
-def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int, rounds: int = ROUNDS) -> DataFrame:
+def undecided(members: DataFrame, key: str) -> DataFrame:
+    """key, pairs: the pairs of each group that lie between components, where there are any."""
+    sizes = members.groupBy(key, "component").agg(F.count(F.lit(1)).alias("k"))
+    sizes = sizes.groupBy(key).agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("own"))
+    pairs = (F.col("m") * F.col("m") - F.col("own")) / 2
+    return sizes.select(key, F.col("m").cast("long").alias("m"), pairs.cast("long").alias("pairs")).where("pairs > 0")
+
+
+def stars(members: DataFrame, key: str, turn: int, share: int) -> DataFrame:
+    """(a, b, shared): the centre of each group with the members of other components that its size allows."""
+    pick = F.struct(F.xxhash64("node", F.lit(turn)), "node", "component", "n")
+    centres = members.groupBy(key).agg(F.min(pick).alias("c"))
+    star = members.join(centres, key).where(F.col("component") != F.col("c.component"))
+    star = star.where(F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * share)
+    return star.groupBy(F.col("c.node").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+
+
+def exhaustive(members: DataFrame, key: str, nodes: DataFrame, share: int) -> DataFrame:
+    """(a, b) between components of a group that neither sizes nor parities rule out; compared inside the group's task.
+
+    ``members`` (key, node, component, and optionally side) are groups of bounded size; with sides only members of
+    different sides meet, or all where the group has one side.
+    """
+    extra = ["side"] if "side" in members.columns else []
+    rows = members.select(F.col(key).alias("key"), "component", "node", *extra).join(nodes.select("node", "n", "parity"), "node")
+    rows = rows.select("key", "node", "component", "n", "parity", *extra).repartition("key").sortWithinPartitions("key")
+
+    def pairs(node, component, n, parity, side):
+        out = []
+        apart = side is not None and (side != side[0]).any()
+        for i in range(len(node) - 1):
+            other = component[i + 1 :] != component[i]
+            if apart:
+                other &= side[i + 1 :] != side[i]
+            j = np.flatnonzero(other) + i + 1
+            j = j[np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * share]
+            odd = np.bitwise_count(parity[j] ^ parity[i]).sum(1).astype(np.int64)
+            j = j[odd * (100 + share) <= (n[j] + n[i]) * (100 - share)]
+            out += [(min(node[i], node[k]), max(node[i], node[k])) for k in j]
+        return out
+
+    def emit(whole):
+        if not whole.num_rows:
+            return
+        key, node, component, n = (whole.column(c).to_numpy() for c in ("key", "node", "component", "n"))
+        side = whole.column("side").to_numpy() if extra else None
+        parity = whole.column("parity").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(key), -1)
+        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]
+        for start in range(0, len(cuts) - 1, 256):
+            found = set()
+            for x, y in zip(cuts[start : start + 256], cuts[start + 1 : start + 257]):
+                found.update(pairs(node[x:y], component[x:y], n[x:y], parity[x:y], None if side is None else side[x:y]))
+            found = sorted(found)
+            yield pa.RecordBatch.from_pydict({c: pa.array([int(p[k]) for p in found], pa.int64()) for k, c in enumerate("ab")})
+
+    def run(batches):
+        held = None  # the rows of the last key go on with the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = pa.Table.from_batches([batch])
+            held = own if held is None else pa.concat_tables([held, own])
+            key = held.column("key").to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            yield from emit(held.slice(0, cut))
+            held = held.slice(cut)
+        if held is not None:
+            yield from emit(held)
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def _sliced(members: DataFrame) -> DataFrame:
+    """Groups (path, node, component, side) in which each two slices of a large bucket (sig, m) meet."""
+    slices = F.ceil(F.col("m") / SLICE).cast("int")
+    own = F.pmod(F.xxhash64("node"), slices).cast("int")
+    cut = members.select("sig", "node", "component", own.alias("side"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("other"))
+    return cut.select(F.xxhash64("sig", F.least("side", "other"), F.greatest("side", "other")).alias("path"), "node", "component", "side")
+
+
+def _signed_again(asked: DataFrame, texts: DataFrame, words: int, share: int) -> DataFrame:
+    """(sig, node): the second-level signatures of the nodes asked for."""
+
+    def run(batches):
+        import zstandard
+
+        press, shingles, enum = zstandard.ZstdDecompressor(), Shingler(words), PartEnum(share)
+        for batch in sliced(batches):
+            own = [enum.finer(shingles(press.decompress(t))) for t in batch.column(1).to_pylist()]
+            nodes = np.repeat(batch.column(0).to_numpy(), [len(x) for x in own])
+            yield pa.RecordBatch.from_arrays([_signed(np.concatenate(own)), pa.array(nodes, pa.int64())], ["sig", "node"])
+
+    return asked.join(texts, "node").select("node", "text").mapInArrow(run, "sig long, node long")
+
+
+def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> DataFrame:
     """(node, component) of every node that has a link."""
-    buckets = Window.partitionBy("sig")
-    counted = lambda rows: rows.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    shared = signatures(docs, words, share).withColumn("a", F.min("node").over(buckets)).where(F.col("a") != F.col("node"))
-    members = stash(shared.distinct(), "buckets")
     links = _Links(docs, nodes, words, share)
-    links.settle(counted(members))
     none = nodes.limit(0).select("node", F.col("node").alias("component"))
-    for done in range(1, rounds + 1):
-        # the centres have met every member of their buckets; go on with the others where components differ
-        rest = _labelled(members.select("sig", "node"), none if links.labels is None else links.labels)
-        rest = rest.withColumn("_low", F.min("component").over(buckets)).withColumn("_high", F.max("component").over(buckets))
-        rest = stash(rest.where(F.col("_low") != F.col("_high")).select("sig", "node", "component"), "open")
-        rest = stash(_thinned(rest), "thinned")
-        if rest.isEmpty():
-            break
-        if done == rounds:
-            other = rest.select("sig", F.col("node").alias("b"), F.col("component").alias("_c"))
-            meet = rest.withColumnRenamed("node", "a").join(other, "sig")
-            meet = meet.where((F.col("a") < F.col("b")) & (F.col("component") != F.col("_c")))
-            links.settle(meet.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
+    known = lambda rows: _labelled(rows, none if links.labels is None else links.labels)
+    sizes = nodes.select("node", "n")
+
+    first = signatures(docs, words, share).withColumn("a", F.min("node").over(Window.partitionBy("sig")))
+    members = stash(first.where(F.col("a") != F.col("node")).distinct(), "buckets")
+    links.settle(members.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared")))
+    # the centres have met every member of their buckets; go on with the others where components differ
+    members = members.select("sig", "node")
+    for level in range(2):
+        left = known(members)
+        left = stash(_thinned(left.join(undecided(left, "sig"), "sig").drop("m", "pairs")), "open")
+        links.settle(stash(stars(left.join(sizes, "node"), "sig", level, share), "stars"))
+        left = known(left.select("sig", "node"))
+        left = stash(left.join(undecided(left, "sig"), "sig"), "undecided")
+        links.verify(stash(exhaustive(left.where(F.col("pairs") <= SMALL), "sig", nodes, share), "pairs"))
+        large = known(left.where(F.col("pairs") > SMALL).select("sig", "node"))
+        large = stash(large.join(undecided(large, "sig"), "sig"), "large")
+        if large.isEmpty():
             break
-        centre = F.min(F.struct("node", "component")).over(buckets)
-        star = rest.withColumn("_centre", centre).where(F.col("_centre.node") != F.col("node"))
-        star = star.select("sig", "node", F.col("_centre.node").alias("a"), "component", F.col("_centre.component").alias("_c"))
-        members = stash(star, "buckets")
-        links.settle(counted(members.where(F.col("component") != F.col("_c"))))
+        if level:
+            links.verify(stash(exhaustive(_sliced(large), "path", nodes, share), "pairs"))
+        else:
+            asked = large.select("node").distinct()
+            links.fetch(asked)
+            members = _shared(stash(_signed_again(asked, links.texts, words, share), "finer"))
     return none if links.labels is None else links.labels
 
 
+def _shared(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one."""
+    more = members.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("sig")
+    return members.join(more, "sig", "left_semi")
+
+
 def components(docs: DataFrame, words: int, share: int) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id for every row of ``docs``: components only, no links.
 
@@ -356,14 +487,17 @@ def components(docs: DataFrame, words: int, share: int) -> DataFrame:
 def one_of_each(docs: DataFrame, words: int = 5, share: int = 80) -> DataFrame:
     """``docs`` with one row of every component, the columns unchanged: the smallest doc_id, then text hash.
 
-    Rows without words stay, repeated ones once.
+    Rows without words (null and empty texts too) stay, repeated ones once; a null id is taken only where a component
+    has no other.  Repeated rows and equal texts are one component.  Other columns may have any name; an empty table
+    gives no row.
     """
     found = components(docs, words, share)
     alone = found.where(F.col("n_shingles") == 0).select("doc_id", "text_hash")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("_first")
     kept = found.where(F.col("n_shingles") > 0).groupBy("component_id").agg(first).select("_first.doc_id", "_first.text_hash")
-    keys = kept.unionByName(alone).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    marked = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
-    same = F.col("l._id").eqNullSafe(F.col("r._id")) & (F.col("l._hash") == F.col("r._hash"))
+    own, text = unused(docs, "_id"), unused(docs, "_hash")
+    keys = kept.unionByName(alone).select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash")).distinct()
+    marked = docs.withColumn(own, F.col("doc_id").cast("long")).withColumn(text, F.xxhash64(F.col("text").cast("string")))
+    same = F.col(f"l.{own}").eqNullSafe(F.col("r.k_id")) & (F.col(f"l.{text}") == F.col("r.k_hash"))
     rows = marked.alias("l").join(keys.alias("r"), same, "left_semi")
-    return rows.dropDuplicates(["_id", "_hash"]).drop("_id", "_hash")
+    return rows.dropDuplicates([own, text]).drop(own, text)

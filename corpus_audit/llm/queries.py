@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_audit.llm import binary, decontaminate, jaccard, licenses, negatives, packing, quality, token_counts, toolcalls, topk, toxicity
+from corpus_audit.llm import binary, chosen_path, decontaminate, jaccard, licenses, negatives, packing, quality, repair, token_counts, toolcalls, topk, toxicity
 from corpus_audit.llm.common import held_out, keyed_texts, query, table
 from corpus_audit.session import scratch_dir
 
@@ -195,3 +195,92 @@ def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
     return negatives.hard_negatives(vectors, lambda key: key % 50 == 0)
+
+
+@query("op13_chosen_path")
+def chosen_path_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), words=5, share=85).drop("text_hash")
+
+
+#: crc32 of an ASCII string, byte by byte and bit by bit
+_CRC = """
+  xor(CAST(list_reduce(list_concat([4294967295], list_transform(string_split({0}, ''), lambda c: CAST(ord(c) AS BIGINT))),
+      lambda acc, b: list_reduce(list_concat([xor(acc, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+                                 lambda v, z: CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END)) AS BIGINT), 4294967295)
+"""
+
+
+@query(
+    "op11_conversation_repair",
+    f"""
+    WITH RECURSIVE named AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+      FROM conversations
+    ), kinds AS (SELECT *, {_CRC.format("name")} % 20 AS kind FROM named),
+    damaged AS (
+      SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+      FROM kinds WHERE kind <> 0
+    ), placed AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i FROM damaged
+    ), seen AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth, left(role, 1) AS head,
+             right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+      FROM placed
+    ), faulted AS (
+      SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                     WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+             lag(head) OVER (PARTITION BY conv_id ORDER BY i) || head AS pair
+      FROM seen
+    ), counts AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+      FROM faulted GROUP BY conv_id
+    ), best AS (
+      -- x0 .. x3: least (cost, audit) with the output at its start, after s, after u, after a
+      SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': ''}} AS x0, {{'c': 1000000000, 'a': ''}} AS x1,
+             {{'c': 2, 'a': 'I'}} AS x2, {{'c': 4, 'a': 'II'}} AS x3 FROM counts
+      UNION ALL
+      SELECT conv_id, i, y0, y1,
+             list_min([y2, {{'c': y0.c + 2, 'a': y0.a || 'I'}}, {{'c': y1.c + 2, 'a': y1.a || 'I'}}, {{'c': y3.c + 2, 'a': y3.a || 'I'}}]),
+             list_min([y3, {{'c': y2.c + 2, 'a': y2.a || 'I'}}, {{'c': y0.c + 4, 'a': y0.a || 'II'}}, {{'c': y1.c + 4, 'a': y1.a || 'II'}}])
+      FROM (
+        SELECT b.conv_id, f.i, {{'c': x0.c + 3, 'a': x0.a || 'D'}} AS y0,
+               list_min([{{'c': x1.c + 3, 'a': x1.a || 'D'}}, {{'c': x0.c + CASE WHEN head = 's' THEN t ELSE 1000000000 END, 'a': x0.a || 'K'}}]) AS y1,
+               list_min([{{'c': x2.c + 3, 'a': x2.a || 'D'}},
+                         {{'c': x0.c + k, 'a': x0.a || e}}, {{'c': x1.c + k, 'a': x1.a || e}}, {{'c': x3.c + k, 'a': x3.a || e}}]) AS y2,
+               list_min([{{'c': x3.c + 3, 'a': x3.a || 'D'}}, {{'c': x2.c + g, 'a': x2.a || h}}]) AS y3
+        FROM best b JOIN (
+          SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 WHEN fault = 'truncated' THEN 1 ELSE 0 END AS t,
+                 t + CASE WHEN head = 'u' THEN 0 ELSE 2 END AS k, CASE WHEN head = 'u' THEN 'K' ELSE 'R' END AS e,
+                 t + CASE WHEN head = 'a' THEN 0 ELSE 2 END AS g, CASE WHEN head = 'a' THEN 'K' ELSE 'R' END AS h
+          FROM faulted
+        ) f ON b.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = b.i + 1
+      )
+    ), chosen AS (
+      SELECT c.*, list_min([x0, x3]) AS x FROM counts c JOIN best b ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND b.i = c.n
+    ), letters AS (
+      SELECT conv_id, unnest(string_split(x.a, '')) AS letter, generate_subscripts(string_split(x.a, ''), 1) AS j FROM chosen WHERE x.a <> ''
+    ), steps AS (
+      SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv_id ORDER BY j) AS i,
+             count(*) FILTER (letter <> 'D') OVER (PARTITION BY conv_id ORDER BY j) - 1 AS k,
+             count(*) FILTER (letter <> 'D') OVER (PARTITION BY conv_id) % 2 AS odd
+      FROM letters
+    ), repaired AS (
+      SELECT s.conv_id, string_agg(CASE WHEN letter = 'K' THEN f.role WHEN k % 2 = odd THEN 'user' ELSE 'assistant' END
+                                   || ':' || CASE WHEN letter = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY j) AS body
+      FROM steps s LEFT JOIN faulted f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND s.i = f.i WHERE letter <> 'D' GROUP BY s.conv_id
+    )
+    SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+           coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, CAST(coalesce(c.x.c, 0) AS BIGINT) AS cost,
+           coalesce(c.x.a, '') AS audit, sha256(coalesce(r.body, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN chosen c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN repaired r ON o.conv_id IS NOT DISTINCT FROM r.conv_id
+    """,
+)
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
