@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from corpus_audit.llm.common import keyed_texts, sliced
+from corpus_audit.llm.common import keyed_texts, sliced, unused
 
 RATE, BLOCK_CHARS = 0.06, 2_000_000
 
@@ -174,10 +174,15 @@ _ARROW = pa.schema(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text: str = "text", chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with the columns they came with."""
+    """The rows of ``docs`` that hold no test item, with the columns they came with, whatever their names.
+
+    Null and empty texts hold nothing and stay, as all rows do where ``benchmark`` is empty; repeated rows stay or go
+    alike; an empty table gives no row.
+    """
+    name = unused(docs, "_holds")
     for block in item_blocks(benchmark, "item_id", "text", chars):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        schema = StructType([*docs.schema.fields, StructField("_holds", BooleanType())])
+        schema = StructType([*docs.schema.fields, StructField(name, BooleanType())])
         at = docs.columns.index(text)
 
         def run(batches, shared=shared, schema=schema, at=at):
@@ -186,5 +191,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text: str =
                 holds = [bool(matcher.search(folded(t or ""))) for t in batch.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(holds, pa.bool_())], schema.names)
 
-        docs = docs.mapInArrow(run, schema).where(~F.col("_holds")).drop("_holds")
+        docs = docs.mapInArrow(run, schema).where(~F.col(name)).drop(name)
     return docs

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from corpus_audit.llm.common import keyed_texts, sliced, stash, text_bytes
+from corpus_audit.llm.common import keyed_texts, sliced, stash, text_bytes, unused
 from corpus_audit.llm.encoding import WordEncoder
 from corpus_audit.scale import ranked
 
@@ -130,14 +130,15 @@ def best_two_fit(pieces: DataFrame, capacity: int = CAPACITY, lanes: int = LANES
         histogram[size] = n
     slots = _slots(best_two_fit_bins(histogram), capacity)
     lane = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(lanes))
-    placed = ranked(data, ["length"], [F.col("doc_id"), F.col("piece")], lane, "_rank")
+    order = unused(data, "_order")
+    placed = ranked(data, ["length"], [F.col("doc_id"), F.col("piece")], lane, order)
     schema = StructType([*data.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
     names = data.columns
 
     def run(batches):
         for batch in batches:
             size = batch.column("length").to_numpy(zero_copy_only=False)
-            rank = batch.column("_rank").to_numpy(zero_copy_only=False) - 1
+            rank = batch.column(order).to_numpy(zero_copy_only=False) - 1
             sequence, offset = np.empty(len(size), np.int64), np.empty(len(size), np.int64)
             for value in np.unique(size):
                 own = np.flatnonzero(size == value)
@@ -149,7 +150,7 @@ def best_two_fit(pieces: DataFrame, capacity: int = CAPACITY, lanes: int = LANES
             columns = [batch.column(n) for n in names] + [pa.array(sequence), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(columns, [*names, "sequence_id", "offset"])
 
-    return placed.select(*[F.col(f"`{n}`") for n in names], F.col("_rank").cast("long").alias("_rank")).mapInArrow(run, schema)
+    return placed.select(*[F.col(f"`{n}`") for n in names], F.col(order).cast("long").alias(order)).mapInArrow(run, schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, ids: bool = True) -> DataFrame:

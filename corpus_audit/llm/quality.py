@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from corpus_audit.llm.common import held_out, keyed_texts, sliced, stash
+from corpus_audit.llm.common import held_out, keyed_texts, sliced, stash, unused
 
 POOLED, RIDGE = 0.85, 0.02
 
@@ -242,5 +242,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
 
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose score reaches ``threshold``, with the columns they came with."""
-    return score(docs, fit(docs, labels), name="_quality").where(F.col("_quality") >= threshold).drop("_quality")
+    """The rows of ``docs`` whose score reaches ``threshold``, with the columns they came with, whatever their names.
+
+    Null texts score as empty ones; repeated rows score alike and each stays or goes; an empty table gives no row.
+    """
+    name = unused(docs, "_quality")
+    return score(docs, fit(docs, labels), name=name).where(F.col(name) >= threshold).drop(name)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from corpus_audit.llm.common import held_out, keyed_texts, sliced, stash
+from corpus_audit.llm.common import held_out, keyed_texts, sliced, stash, unused
 
 SAMPLE_PER_CLASS, VOCABULARY, LEAST_Z = 6000, 4096, 3.5
 STEPS, RATE, PENALTY = 300, 0.1, 1e-5
@@ -234,5 +234,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
 
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with the columns they came with."""
-    return score(docs, fit(docs, labels), name="_toxic").where(F.col("_toxic") < threshold).drop("_toxic")
+    """The rows of ``docs`` that score below ``threshold``, with the columns they came with, whatever their names.
+
+    Null texts score as empty ones; repeated rows score alike and each stays or goes; an empty table gives no row.
+    """
+    name = unused(docs, "_toxic")
+    return score(docs, fit(docs, labels), name=name).where(F.col(name) < threshold).drop(name)

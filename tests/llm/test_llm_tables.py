@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -55,10 +56,12 @@ def near_copies(seed, n=70):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "n", "share", "rounds"), [(1, 4, 85, 3), (2, 5, 80, 1), (3, 2, 60, 2)])
-def test_components_match_all_pairs(spark, monkeypatch, seed, n, share, rounds):
+@pytest.mark.parametrize(("seed", "n", "share", "small"), [(1, 4, 85, 65_536), (2, 5, 80, 0), (3, 2, 60, 4)])
+def test_components_match_all_pairs(spark, monkeypatch, seed, n, share, small):
+    """With few pairs allowed in a task, buckets go to the second level, and its buckets to slices."""
     rows = near_copies(seed) + [(5000, None), (5001, ""), (5002, " \t"), (5003, "One"), (5004, "one"), (5005, "Ünï ünï")]
-    monkeypatch.setattr(jaccard.linked_nodes, "__defaults__", (rounds,))
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "SLICE", 3)
     docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, node int, component string").repartition(3)
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.components(docs, n, share).collect())
     assert got == sorted(brute_components(rows, n, share))
@@ -88,6 +91,52 @@ def test_similar_sets_share_a_signature():
         common, union = size - drop, size + add
         if common * 100 >= 80 * union and drop + add:
             assert set(enum(np.unique(a)).tolist()) & set(enum(np.unique(b)).tolist())
+            assert set(enum.finer(np.unique(a)).tolist()) & set(enum.finer(np.unique(b)).tolist())
+
+
+def test_second_level_parts_unlike_sets():
+    """Copies of one text that keep three quarters of it share far fewer signatures of the second level."""
+    rng, enum = np.random.default_rng(6), jaccard.PartEnum(85)
+    first = rng.integers(0, 2**63, 150, dtype=np.uint64)
+    copies = [np.unique(np.where(rng.random(150) < 0.75, first, rng.integers(0, 2**63, 150, dtype=np.uint64))) for _ in range(60)]
+    meet = lambda sign: sum(bool(set(x.tolist()) & set(y.tolist())) for x, y in combinations([sign(c) for c in copies], 2))
+    assert meet(enum.finer) < 0.5 * meet(enum)
+
+
+def test_third_of_the_rows_in_buckets_of_unlike_sets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL", 30)
+    monkeypatch.setattr(jaccard, "SLICE", 8)
+    rng = random.Random(5)
+    first = [f"w{rng.randint(0, 9000)}" for _ in range(120)]
+    rows = []
+    for k in range(60):
+        own = list(first)
+        for _ in range(rng.choice([0, 1, 3, 6, 9])):
+            own[rng.randrange(len(own))] = f"w{rng.randint(0, 9000)}"
+        rows.append((k, " ".join(own)))
+    rows += [(k, " ".join(f"w{rng.randint(0, 9000)}" for _ in range(60))) for k in range(60, 180)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.components(docs, 4, 85).collect())
+    assert got == sorted(brute_components(rows, 4, 85))
+
+
+@pytest.mark.parametrize("name", ["_id", "_hash", "_ID", "_quality", "_toxic", "_holds", "_rank", "l", "r", "k_id", "node", "component"])
+def test_filters_leave_columns_of_any_name(spark, name):
+    from corpus_audit.llm import decontaminate, packing
+
+    docs = spark.createDataFrame(
+        [(1, "a b c d e f g", 5), (2, "a b c d e f g", 6), (3, None, 7)], f"doc_id long, text string, `{name}` long"
+    )
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "nothing of this is in any of the documents above")], "item_id long, text string")
+    assert sorted(tuple(r) for r in jaccard.one_of_each(docs).collect()) == [(1, "a b c d e f g", 5), (3, None, 7)]
+    for kept in (quality.keep(docs, labels, 0.0), toxicity.keep(docs, labels, 1.1), decontaminate.clean(docs, bench)):
+        assert kept.columns == docs.columns
+        assert sorted(tuple(r) for r in kept.collect()) == sorted(tuple(r) for r in docs.collect())
+    pieces = spark.createDataFrame([(1, 0, 4, 8), (2, 0, 4, 9)], f"doc_id long, piece int, length long, `{name}` long")
+    placed = packing.best_two_fit(pieces, 8)
+    assert placed.columns == [*pieces.columns, "sequence_id", "offset"]
+    assert sorted((r.doc_id, r[name], r.offset) for r in placed.collect()) in ([(1, 8, 0), (2, 9, 4)], [(1, 8, 4), (2, 9, 0)])
 
 
 def test_one_of_each_keeps_columns_and_one_row(spark):
