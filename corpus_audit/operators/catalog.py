@@ -140,16 +140,16 @@ def name_index(catalog: DataFrame) -> DataFrame:
     )
 
 
-def resolve(queries: DataFrame, catalog: DataFrame) -> DataFrame:
+def resolve(queries: DataFrame, catalog: DataFrame, digits: str = tx.FIVE_DIGITS) -> DataFrame:
     """Batch lookup ``queries(query_id, query)`` in ``catalog(code, name, tier)``.
 
-    An exact five-digit code, else name or alias by comparison key; several hits are narrowed to the best
+    An exact code (five digits unless ``digits`` says otherwise), else name or alias by comparison key; several hits are narrowed to the best
     tier, and several of those stay ambiguous.  The catalogue is reduced to one row per key before the join,
     so a name shared by many codes never multiplies queries by codes; ``resolve_candidates`` lists the codes
     of an ambiguous key once.
     """
     raw = tx.strip_ws(F.coalesce("query", F.lit("")))
-    q = queries.select("query_id", raw.alias("_raw")).withColumn("_is_code", tx.matches_code("_raw"))
+    q = queries.select("query_id", raw.alias("_raw")).withColumn("_is_code", tx.matches_code("_raw", digits=digits))
     by_code = catalog.groupBy(F.col("code").alias("_raw")).agg(F.min("name").alias("name"))
     coded = q.filter("_is_code").join(by_code.withColumn("_hit", F.lit(True)), "_raw", "left").select(
         "query_id",
@@ -199,13 +199,13 @@ def referential_check(children: DataFrame, parents: DataFrame, groups: DataFrame
     )
 
 
-def locator_check(citations: DataFrame, lines: DataFrame, key: str) -> DataFrame:
+def locator_check(citations: DataFrame, lines: DataFrame, key: str, digits: str = tx.FIVE_DIGITS) -> DataFrame:
     """Citations (cite_id, key, line_no, code, pair_code nullable) whose line is out of range or lacks a code.
 
     A single citation asks the line to contain the code; a pair asks for both as standalone codes.
     """
     joined = citations.join(lines.select(key, "line_no", F.col("text").alias("_text")), [key, "line_no"], "left")
-    standalone = F.regexp_extract_all("_text", F.lit(CODE_TOKEN), F.lit(0))
+    standalone = F.regexp_extract_all("_text", F.lit(CODE_TOKEN.replace(tx.FIVE_DIGITS, digits)), F.lit(0))
     single = F.col("_text").contains(F.col("code"))
     pair = F.array_contains(standalone, F.col("code")) & F.array_contains(standalone, F.col("pair_code"))
     holds = F.when(F.col("pair_code").isNull(), single).otherwise(pair)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from corpus_audit.findings import as_findings, rule_findings
 from corpus_audit.functions import text as tx
-from corpus_audit.operators.structure import CODE_TOKEN, contains_any
+from corpus_audit.operators.structure import CODE_TOKEN, FIVE_DIGITS, contains_any
 
 # Region header, corroborating words, limits, fields and gap texts.
 REQUIREMENTS_HEADING = r"^[一二三四五六七八九十]+、考核知识点与考核要求$"
@@ -42,12 +42,12 @@ def locate_heading(lines: DataFrame, keys: list[str], pattern: str = REQUIREMENT
     return found.select(*keys, "heading", F.concat(F.lit("L"), F.col("_at").cast("string")).alias("locator"), "has_marker")
 
 
-def windowed_match(lines: DataFrame, keys: list[str], codes: DataFrame) -> DataFrame:
+def windowed_match(lines: DataFrame, keys: list[str], codes: DataFrame, digits: str = FIVE_DIGITS) -> DataFrame:
     """Rows of a textbook list that name a code: (keys, code, line_no, row, truncated).
 
     Below the region header a token ``<code><1-3 digits>`` hits when the five lines around it, header lines
-    removed and clipped to the region, hold the standalone code and a corroborating word.  Tokens join the
-    codes by their five-digit prefix.
+    removed and clipped to the region, hold the standalone code and a corroborating word.  The heads of a token that
+    have the ``digits`` of a code, one to three digits shorter than it, are joined with the codes.
     """
     whole = Window.partitionBy(*keys)
     w = Window.partitionBy(*keys).orderBy("line_no")
@@ -57,12 +57,18 @@ def windowed_match(lines: DataFrame, keys: list[str], codes: DataFrame) -> DataF
     offsets = range(-WINDOW_RADIUS, WINDOW_RADIUS + 1)
     region = region.withColumn("_shown", shown)
     around = [F.lag("_shown", -o).over(w) if o < 0 else F.lead("_shown", o).over(w) if o else F.col("_shown") for o in offsets]
-    tokens = F.filter(F.split(tx.strip_ws("text"), tx.SPACE + "+", -1), lambda t: t.rlike(r"\A[0-9]{6,8}\z"))
+    tokens = F.filter(F.split(tx.strip_ws("text"), tx.SPACE + "+", -1), lambda t: t.rlike(rf"\A{digits}[0-9]{{1,3}}\z"))
+
+
+    def heads(token: Column) -> Column:
+        shorter = F.array(*[F.substring(token, F.lit(1), F.length(token) - n) for n in (1, 2, 3)])
+        return F.filter(shorter, lambda head: head.rlike(rf"\A{digits}\z"))
+
     hits = (
         region.withColumn("_near", tx.fold_ws(F.concat_ws(" ", *around)))
-        .select(*keys, "line_no", "_near", F.explode(F.array_distinct(F.transform(tokens, lambda t: F.substring(t, 1, 5)))).alias("code"))
+        .select(*keys, "line_no", "_near", F.explode(F.array_distinct(F.flatten(F.transform(tokens, heads)))).alias("code"))
         .filter(contains_any(F.col("_near"), CORROBORATION))
-        .filter(F.array_contains(F.regexp_extract_all("_near", F.lit(CODE_TOKEN), F.lit(0)), F.col("code")))
+        .filter(F.array_contains(F.regexp_extract_all("_near", F.lit(CODE_TOKEN.replace(FIVE_DIGITS, digits)), F.lit(0)), F.col("code")))
     )
     return hits.join(codes.select("code").distinct(), "code", "left_semi").select(
         *keys, "code", "line_no", F.substring("_near", 1, ROW_CHARS).alias("row"), (F.length("_near") > ROW_CHARS).alias("truncated")

@@ -35,13 +35,13 @@ def extract(scoped: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def collect(refs: DataFrame, authoritative_hosts: list[str]) -> DataFrame:
+def collect(refs: DataFrame, authoritative_hosts: list[str], digits: str = tx.FIVE_DIGITS) -> DataFrame:
     """One row per url: host, authority, occurrence count, and how many distinct codes, sections and files.
 
     The member lists themselves are rows of ``url_members``: a url may be cited by any number of pages, so no
     per-url array is built.
     """
-    counts = url_members(refs).groupBy("url").agg(
+    counts = url_members(refs, digits).groupBy("url").agg(
         F.count_if(F.col("member") == "code").alias("n_codes"),
         F.count_if(F.col("member") == "section").alias("n_sections"),
         F.count_if(F.col("member") == "file").alias("n_files"),
@@ -54,10 +54,10 @@ def collect(refs: DataFrame, authoritative_hosts: list[str]) -> DataFrame:
     )
 
 
-def url_members(refs: DataFrame) -> DataFrame:
+def url_members(refs: DataFrame, digits: str = tx.FIVE_DIGITS) -> DataFrame:
     """Distinct (url, member, value) with member ``code``, ``section`` or ``file``; blanks left out."""
     members = F.array(
-        F.struct(F.lit("code").alias("member"), tx.entity_code_from_path("path").alias("value")),
+        F.struct(F.lit("code").alias("member"), tx.entity_code_from_path("path", digits).alias("value")),
         F.struct(F.lit("section").alias("member"), F.col("section").alias("value")),
         F.struct(F.lit("file").alias("member"), F.col("path").alias("value")),
     )
@@ -156,9 +156,9 @@ def next_baseline(current: DataFrame, prior: DataFrame) -> DataFrame:
     )
 
 
-def next_members(refs: DataFrame) -> DataFrame:
+def next_members(refs: DataFrame, digits: str = tx.FIVE_DIGITS) -> DataFrame:
     """Codes and sections of the state to persist: (url, member, value) rows, always those of the current run."""
-    return url_members(refs).filter(F.col("member").isin("code", "section"))
+    return url_members(refs, digits).filter(F.col("member").isin("code", "section"))
 
 
 def summary(findings: DataFrame) -> DataFrame:
@@ -181,7 +181,9 @@ def canonical_url_per_code(urls: DataFrame, codes: DataFrame) -> DataFrame:
     return codes.join(urls.select("url"), "url").groupBy("code").agg(F.min("url").alias("url"))
 
 
-def coherence(entries: DataFrame, codes: DataFrame, sections: DataFrame, catalog: DataFrame) -> DataFrame:
+def coherence(
+    entries: DataFrame, codes: DataFrame, sections: DataFrame, catalog: DataFrame, digits: str = tx.FIVE_DIGITS
+) -> DataFrame:
     """Findings on a baseline: status against http code, hash against authority, sections, catalogued codes.
 
     ``entries(url, status, http_code, authoritative, content_hash)``, ``codes(url, code)``,
@@ -203,8 +205,8 @@ def coherence(entries: DataFrame, codes: DataFrame, sections: DataFrame, catalog
     rows = rule_findings(entries, "baseline", F.col("url"), rules)
     named = sections.filter(F.coalesce("section", F.lit("")) != "").select("url").distinct()
     bare = as_findings(entries.join(named, "url", "left_anti"), "baseline", "sections_empty", F.col("url"), "sections")
-    shape = as_findings(codes.filter(~tx.matches_code("code")), "baseline", "code_shape", F.col("url"), F.col("code"))
-    unknown = codes.filter(tx.matches_code("code")).join(catalog.select("code").distinct(), "code", "left_anti")
+    shape = as_findings(codes.filter(~tx.matches_code("code", digits=digits)), "baseline", "code_shape", F.col("url"), F.col("code"))
+    unknown = codes.filter(tx.matches_code("code", digits=digits)).join(catalog.select("code").distinct(), "code", "left_anti")
     unknown = as_findings(unknown, "baseline", "code_unknown", F.col("url"), F.col("code"))
     return rows.unionByName(bare).unionByName(shape).unionByName(unknown)
 

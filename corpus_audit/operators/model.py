@@ -372,13 +372,13 @@ def diff_ledger(manual: DataFrame, model: DataFrame, keys: list[str]) -> DataFra
     return j.select(*keys, kind.alias("kind"), "first_point", note.alias("note"))
 
 
-def validate_points(point_rows: DataFrame, key: str, coverage_rows: DataFrame) -> DataFrame:
+def validate_points(point_rows: DataFrame, key: str, coverage_rows: DataFrame, digits: str = tx.FIVE_DIGITS) -> DataFrame:
     """Identifier grammar per entity, duplicates, quotes, coverage below the minimum.
 
     ``point_rows(key, point_id, quote)``, ``coverage_rows(key, ratio)``; the entity code is the id prefix.
     """
     pid, quote = F.col("point_id"), F.col("quote")
-    shaped = F.coalesce(pid.startswith(F.concat(F.col(key).cast("string"), F.lit("-"))) & pid.rlike(rf"\A[0-9]{{5}}-{POINT_ID}\z"), F.lit(False))
+    shaped = F.coalesce(pid.startswith(F.concat(F.col(key).cast("string"), F.lit("-"))) & pid.rlike(rf"\A{digits}-{POINT_ID}\z"), F.lit(False))
     blank = F.coalesce(tx.strip_ws(quote), F.lit("")) == ""
     rules = [
         ("point_id", ~shaped, pid),

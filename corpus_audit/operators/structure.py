@@ -30,7 +30,7 @@ TOC_MARK = "大纲目录"
 BODY_MARK = "课程内容与考核要求"
 TYPE_DECLARATION = r"(?:主要题型一般有|可能采用的题型有[：:]?)(.+?)(?:等|。|$)"
 EXAM_METHODS = "笔试|实践|机考"
-FIVE_DIGITS, FIVE_OR_MORE = "[0-9]{5}", "[0-9]{5,}"
+FIVE_DIGITS, FIVE_OR_MORE = tx.FIVE_DIGITS, tx.FIVE_OR_MORE
 ROW_HEAD = r"^\s*(?:[0-9]{1,3}\s+)?([0-9]{5})(?=\s|$)"
 CODE_TOKEN = r"(?<![0-9])[0-9]{5}(?![0-9])"
 NO_METHOD = "行内未找到唯一的考试方式单元格"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpus_audit.functions.text import FIVE_OR_MORE
 from corpus_audit.operators import catalog as ops
 from corpus_audit.operators import structure
 from corpus_audit.plans import inputs
@@ -191,7 +192,7 @@ def resolve(spark, sf):
         .when(k % 5 == 3, F.replace(F.concat(name, F.lit("（"), tail, F.lit("）")), F.lit(" "), F.lit("")))
         .otherwise("")
     )
-    return ops.resolve(table(spark, sf, "part").select(k.alias("query_id"), q.alias("query")), catalog(spark, sf))
+    return ops.resolve(table(spark, sf, "part").select(k.alias("query_id"), q.alias("query")), catalog(spark, sf), FIVE_OR_MORE)
 
 
 @query(
@@ -240,7 +241,7 @@ def locator_check(spark, sf):
         e.alias("cite_id"), u.alias("doc_id"), (e % 12 + 1).alias("line_no"),
         five(u + F.when(e % 3 == 2, 1).otherwise(0)).alias("code"), F.when(e % 4 == 0, five(u * 7)).alias("pair_code"),
     )
-    return ops.locator_check(cites, lines, "doc_id")
+    return ops.locator_check(cites, lines, "doc_id", FIVE_OR_MORE)
 
 
 @query(

@@ -48,7 +48,7 @@ SELECT p_partkey, printf('%05d', p_partkey) AS code, 6::BIGINT AS line_no, subst
 )
 def windowed_match(spark, sf):
     codes = table(spark, sf, "part").filter(F.col("p_size") > 5).select(inputs.padded(F.col("p_partkey")).alias("code"))
-    return ops.windowed_match(sheet_lines(spark, sf), ["p_partkey"], codes)
+    return ops.windowed_match(sheet_lines(spark, sf), ["p_partkey"], codes, digits=tx.FIVE_OR_MORE)
 
 
 @query(

@@ -198,7 +198,7 @@ SELECT 'major_code', path FROM p WHERE major AND k % 19 = 0 UNION ALL SELECT 'pd
 
 
 def content_gate(spark, sf):
-    return ops.content_rules(gate_pages(spark, sf), "path", "text", "private-store")
+    return ops.content_rules(gate_pages(spark, sf), "path", "text", "private-store", tx.FIVE_OR_MORE)
 
 
 @query("j2_content_rules", CONTENT_GATE_SQL)
@@ -497,7 +497,7 @@ SELECT 'https://s.example/courses/' || printf('%05d', page_id) || '/', '0.8' FRO
 """,
 )
 def sitemap(spark, sf):
-    courses = table(spark, sf, "pages").select(tx.entity_route(inputs.page_path(F.col("page_id"))).alias("route"))
+    courses = table(spark, sf, "pages").select(tx.entity_route(inputs.page_path(F.col("page_id")), tx.FIVE_OR_MORE).alias("route"))
     majors = table(spark, sf, "nation").select(F.lower("n_name").alias("slug"), (F.col("n_regionkey") > 1).alias("present"))
     return report.sitemap("https://s.example", courses, majors)
 

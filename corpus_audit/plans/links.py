@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpus_audit.functions.text import FIVE_OR_MORE
 from corpus_audit.operators import links as ops
 from corpus_audit.plans import inputs
 from corpus_audit.plans.registry import query, table
@@ -35,7 +36,7 @@ FROM ({inputs.PAGE_REFS}) GROUP BY url
 """,
 )
 def collect_urls(spark, sf):
-    return ops.collect(inputs.page_refs(spark, sf), AUTH_HOSTS)
+    return ops.collect(inputs.page_refs(spark, sf), AUTH_HOSTS, FIVE_OR_MORE)
 
 
 @query(
@@ -47,7 +48,7 @@ SELECT DISTINCT url, 'file', {inputs.SQL_PAGE_PATH} FROM ({inputs.PAGE_REFS})
 """,
 )
 def url_members(spark, sf):
-    return ops.url_members(inputs.page_refs(spark, sf))
+    return ops.url_members(inputs.page_refs(spark, sf), FIVE_OR_MORE)
 
 
 # probe attempts: five events of one user make one run over that user's page
@@ -159,7 +160,7 @@ SELECT DISTINCT url, 'section', '官方来源' FROM ({inputs.PAGE_REFS})
 """,
 )
 def next_members(spark, sf):
-    return ops.next_members(inputs.page_refs(spark, sf))
+    return ops.next_members(inputs.page_refs(spark, sf), FIVE_OR_MORE)
 
 
 @query(
@@ -214,8 +215,8 @@ SELECT 'hash_unexpected', url FROM e WHERE NOT authoritative AND content_hash IS
 SELECT 'hash_missing', url FROM e WHERE authoritative AND status = 'ok' AND NOT coalesce(regexp_full_match(content_hash, '[0-9a-f]{{64}}'), false) UNION ALL
 SELECT 'hash_shape', url FROM e WHERE authoritative AND status <> 'ok' AND content_hash IS NOT NULL AND NOT regexp_full_match(content_hash, '[0-9a-f]{{64}}') UNION ALL
 SELECT 'sections_empty', url FROM e WHERE section = '' UNION ALL
-SELECT 'code_shape', url FROM e WHERE NOT regexp_full_match(code, '[0-9]{{5}}') UNION ALL
-SELECT 'code_unknown', url FROM e WHERE regexp_full_match(code, '[0-9]{{5}}') AND code NOT IN (SELECT printf('%05d', c_custkey) FROM customer WHERE c_acctbal > 0)
+SELECT 'code_shape', url FROM e WHERE NOT regexp_full_match(code, '{FIVE_OR_MORE}') UNION ALL
+SELECT 'code_unknown', url FROM e WHERE regexp_full_match(code, '{FIVE_OR_MORE}') AND code NOT IN (SELECT printf('%05d', c_custkey) FROM customer WHERE c_acctbal > 0)
 """,
 )
 def coherence(spark, sf):
@@ -232,7 +233,7 @@ def coherence(spark, sf):
     catalog = table(spark, sf, "customer").filter(F.col("c_acctbal") > 0).select(
         inputs.padded(F.col("c_custkey")).alias("code")
     )
-    found = ops.coherence(entries, entries.select("url", "code"), entries.select("url", "section"), catalog)
+    found = ops.coherence(entries, entries.select("url", "code"), entries.select("url", "section"), catalog, FIVE_OR_MORE)
     return found.select("rule", "entity")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from corpus_audit.functions import text as tx
 from corpus_audit.operators import model as ops
 from corpus_audit.operators import structure
 from corpus_audit.plans import inputs
@@ -294,7 +295,7 @@ SELECT printf('%05d', (p_partkey // 4)) AS code, printf('%05d', (p_partkey // 4
     "g14_validate_points",
     f"""
 WITH p AS ({POINT_ROWS}), c AS (SELECT code, (count(*) FILTER (WHERE length(trim(quote)) > 9) / count(*)) AS ratio FROM p GROUP BY code)
-SELECT 'point_id' AS rule, code AS entity FROM p WHERE NOT (starts_with(point_id, code || '-') AND regexp_full_match(point_id, '[0-9]{{5}}-(intro|ch[0-9]{{2}}|ap[0-9]{{2}})-s[0-9]+-p[0-9]+')) UNION ALL
+SELECT 'point_id' AS rule, code AS entity FROM p WHERE NOT (starts_with(point_id, code || '-') AND regexp_full_match(point_id, '{tx.FIVE_OR_MORE}-(intro|ch[0-9]{{2}}|ap[0-9]{{2}})-s[0-9]+-p[0-9]+')) UNION ALL
 SELECT 'quote_missing', code FROM p WHERE trim(quote) = '' UNION ALL SELECT 'quote_long', code FROM p WHERE trim(quote) <> '' AND length(quote) > 60 UNION ALL
 SELECT 'point_duplicate', code FROM p GROUP BY code, point_id HAVING count(*) > 1 UNION ALL SELECT 'coverage_low', code FROM c WHERE ratio < 0.9
 """,
@@ -311,7 +312,7 @@ def validate_points(spark, sf):
         F.when(k % 9 == 0, "  ").when(k % 7 == 0, F.repeat("p_name", 8)).otherwise(F.col("p_name")).alias("quote"),
     )
     cover = rows.groupBy("code").agg((F.count_if(F.length(F.trim("quote")) > 9) / F.count(F.lit(1))).alias("ratio"))
-    return ops.validate_points(rows, "code", cover).select("rule", "entity")
+    return ops.validate_points(rows, "code", cover, tx.FIVE_OR_MORE).select("rule", "entity")
 
 
 @query(

@@ -81,7 +81,7 @@ def entity_code(spark, sf):
         .when(i % 4 == 2, code)
         .otherwise(F.concat(F.lit("x/"), code, F.lit("/sources.txt")))
     )
-    return table(spark, sf, "pages").select("page_id", tx.entity_code_from_path(path).alias("code"), tx.entity_route(path).alias("route"))
+    return table(spark, sf, "pages").select("page_id", tx.entity_code_from_path(path, tx.FIVE_OR_MORE).alias("code"), tx.entity_route(path, tx.FIVE_OR_MORE).alias("route"))
 
 
 @query(
@@ -544,7 +544,7 @@ def normalize_href(spark, sf):
         .when(i == 3, F.concat(F.lit(" notes"), "href", F.lit(".md"))).when(i == 4, F.col("url"))
         .otherwise(F.concat(F.lit("#"), F.col("i").cast("string")))
     )
-    return inputs.page_links(spark, sf).select("page_id", "i", tx.normalize_href(raw, "/base").alias("href"))
+    return inputs.page_links(spark, sf).select("page_id", "i", tx.normalize_href(raw, "/base", tx.FIVE_OR_MORE).alias("href"))
 
 
 @query(
