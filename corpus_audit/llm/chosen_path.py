@@ -28,7 +28,7 @@ from corpus_audit.llm.common import keyed_texts, sliced, stash, text_bytes
 from corpus_audit.llm.jaccard import CLASSES, Shingler, _labelled, _Links, _mixed, _node, exhaustive, stars, undecided
 
 #: levels that the recall is reckoned over, pairs that a node may have left to be compared exhaustively, levels of a later step
-LEVELS, SMALL, STEP = 3, 2048, 2
+LEVELS, SMALL, STEP = 3, 65_536, 2
 _P, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
