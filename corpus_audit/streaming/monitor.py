@@ -1,22 +1,19 @@
 """The link monitor as a stream: state transitions, host alerts per run window, newly arrived documents.
 
-Transitions use ``foreachBatch`` over set-based plans instead of a per-key Python function: probes of one url
-may be any number and need event-time order, which the two-level ``neighbors`` gives without a per-url task.
-State lives in hash buckets in shared storage, of which a batch rewrites those it touches; replaying it rewrites the same
-version.
+``transitions`` is the batch form: probes of one url may be any number, and the two-level ``neighbors`` orders them without
+a per-url task.  ``stream_changes`` is the same as keyed state: per url the last definitive probe and what the watermark
+has not passed yet, woken by event-time timers.
 
 A stream cannot see that a url is gone from the pages: dropping keys happens only in the batch ``next_baseline``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-from operator import or_
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from corpus_audit.functions import text as tx
 from corpus_audit.operators import links
@@ -25,7 +22,6 @@ from corpus_audit.scale import neighbors
 from corpus_audit.sources.files import read_display_lines
 
 STATE_DDL = "url string, status string, content_hash string, ts timestamp"
-STATE_BUCKETS = 64
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
@@ -67,60 +63,164 @@ def transitions(probes: DataFrame, state: DataFrame, slice_by: str = "day") -> t
     return changes, settled.unionByName(undecided)
 
 
-def _path(spark: SparkSession, place: str):
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(place)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
-
+class _Transitions(StatefulProcessor):
+    """State of one url: its last definitive probe, and the probes that the watermark has not passed yet.
 
-def _versions(spark: SparkSession, state_dir: str) -> DataFrame | None:
-    """All kept state rows with their version and bucket; None before the first batch.  Any other fault surfaces."""
-    store, path = _path(spark, state_dir)
-    if not store.exists(path):
-        return None
-    return spark.read.schema(STATE_DDL + ", version bigint, bucket int").parquet(state_dir)
-
-
-def transitions_handler(state_dir: str, changes_dir: str, buckets: int = STATE_BUCKETS) -> Callable[[DataFrame, int], None]:
-    """Batch function: compare with the state before this batch, write its changes and the state of its urls' buckets.
-
-    The state is cut into hash buckets of urls, ``version=<batch>/bucket=<n>``; a batch rewrites the buckets it
-    touches, and of each bucket the two newest versions are kept, so that a replayed batch finds what it saw before.
+    A probe is judged once the watermark passes its event time, so all probes before it have arrived or are too late to
+    count; what is judged leaves ``pending``.  One timer per url and batch stands at the oldest pending probe.
     """
-    bucket = F.pmod(F.xxhash64("url"), F.lit(buckets)).cast("int")
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            touched = {r.b for r in batch.select(bucket.alias("b")).distinct().collect()}  # at most ``buckets`` numbers
-            versions, state, kept = _versions(spark, state_dir), empty_state(spark), {}
-            if versions is not None:
-                for r in versions.filter(F.col("version") < batch_id).select("bucket", "version").distinct().collect():
-                    kept.setdefault(r.bucket, []).append(r.version)
-                newest = [(F.col("bucket") == b) & (F.col("version") == max(v)) for b, v in kept.items() if b in touched]
-                if newest:
-                    state = versions.filter(reduce(or_, newest)).drop("version", "bucket")
-            changes, following = transitions(batch, state)
-            changes.write.mode("overwrite").parquet(f"{changes_dir}/batch={batch_id}")
-            following.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{state_dir}/version={batch_id}")
-            for b in touched & kept.keys():
-                for version in sorted(kept[b])[:-1]:
-                    store, path = _path(spark, f"{state_dir}/version={version}/bucket={b}")
-                    store.delete(path, True)
-        finally:
-            batch.unpersist()
-
-    return handle
-
-
-def start_transitions(probes: DataFrame, state_dir: str, changes_dir: str, checkpoint: str) -> StreamingQuery:
-    return (
-        probes.writeStream.foreachBatch(transitions_handler(state_dir, changes_dir))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    def __init__(self, retention_us: int | None):
+        self.retention_us = retention_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "status string, content_hash string, at bigint, definitive boolean")
+        self.pending = handle.getListState("pending", "at bigint, seq bigint, status string, content_hash string, authoritative boolean")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.last.update((initialState.status, initialState.content_hash, initialState.at, initialState.status != links.INCONCLUSIVE))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        arrived = [(r.at, r.seq, r.status, r.content_hash, r.authoritative) for r in rows]
+        if arrived:
+            self.pending.appendList(arrived)
+            self._wake(min(p[0] for p in arrived))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        probes = {tuple(p) for p in self.pending.get()} if self.pending.exists() else set()  # a replayed probe counts once
+        ripe = sorted((p for p in probes if p[0] <= passed), key=lambda p: (p[0], p[1]))
+        later = [p for p in probes if p[0] > passed]
+        if ripe:
+            if later:
+                self.pending.put(later)
+                self._wake(min(p[0] for p in later))
+            else:
+                self.pending.clear()
+        last = tuple(self.last.get()) if self.last.exists() else None
+        out, before = [], last
+        for at, seq, status, digest, authoritative in ripe:
+            if last is not None and self.retention_us is not None and at - last[2] > self.retention_us:
+                last = None  # forgotten, whether or not its timer has fired by now
+            change = None
+            decided = status != links.INCONCLUSIVE
+            if last is None:
+                change = "new"
+            elif decided and last[3]:
+                if status == links.DEAD and last[0] == links.OK:
+                    change = "went_dead"
+                elif status == links.OK and last[0] == links.DEAD:
+                    change = "recovered"
+                elif authoritative and status == links.OK and None not in (digest, last[1]) and digest != last[1]:
+                    change = "content_changed"
+            if change:
+                out.append(Row(url=key[0], at=at, seq=seq, change=change))
+            if decided:
+                last = (status, digest, at, True)
+            elif last is None or not last[3]:
+                last = (status, None, at, False)
+        if last is not None and self.retention_us is not None and not later:
+            if last[2] + self.retention_us <= passed:
+                self.last.clear()
+                return iter(out)
+            if last != before:
+                self._wake(last[2] + self.retention_us)
+        if last is not None and last != before:
+            self.last.update(last)
+        return iter(out)
+
+    def _wake(self, at_us: int) -> None:
+        self.handle.registerTimer(-(-at_us // 1000))
+
+    def close(self) -> None:
+        pass
+
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_BEAT = "url string, ts timestamp, seq bigint, status string, content_hash string, authoritative boolean"
+
+
+def heartbeat(spark: SparkSession, folder: str, ts: Column) -> None:
+    """Let event time move on to ``ts`` where no probe does: a row without a url, which only the watermark sees."""
+    none = [F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in _BEAT.split(", ")) if c != "ts"]
+    spark.range(1).select(ts.cast("timestamp").alias("ts"), *none).select(*[x.split()[0] for x in _BEAT.split(", ")]).coalesce(1).write.mode(
+        "append"
+    ).parquet(folder)
+
+
+def stream_changes(
+    probes: DataFrame, lateness: str = "1 day", retention_days: int | None = None, initial: DataFrame | None = None
+) -> DataFrame:
+    """Streaming (url, ts, seq, change) for probes (url, ts, seq, status, content_hash, authoritative), keyed by url.
+
+    Equal to ``transitions`` over all probes that arrive within ``lateness`` of the newest one, in whatever order and
+    however often they arrive; later ones are dropped.  State is kept per url, so a batch reads and writes
+    the urls it holds and those whose timers fire.  With ``retention_days`` a url without a definitive probe for so
+    long is forgotten, and is new when it comes again.  ``initial`` (url, status, content_hash, ts) is a baseline to
+    start from.  Rows without url or time take no part, a null time also leaves the watermark alone.
+    """
+    # one condition that needs the time: a filter on the url alone would be pushed below the watermark and hide heartbeats
+    keyed = probes.withWatermark("ts", lateness).where(F.when(F.col("ts").isNotNull(), F.col("url")).isNotNull())
+    keyed = keyed.withColumn("at", F.unix_micros("ts"))
+    known = None
+    if initial is not None:
+        known = initial.select("url", "status", "content_hash", F.unix_micros("ts").alias("at")).groupBy("url")
+    retention = None if retention_days is None else retention_days * 86_400_000_000
+    changes = keyed.groupBy("url").transformWithState(
+        _Transitions(retention), "url string, at bigint, seq bigint, change string", "append", "EventTime", known
     )
+    return changes.select("url", F.timestamp_micros("at").alias("ts"), "seq", "change")
+
+
+def start_transitions(
+    probes: DataFrame,
+    changes_dir: str,
+    checkpoint: str,
+    lateness: str = "1 day",
+    retention_days: int | None = None,
+    initial: DataFrame | None = None,
+    beats: str | None = None,
+) -> StreamingQuery:
+    """Append the changes to ``changes_dir``; a replayed batch is committed once by the file sink.
+
+    State lives in the checkpoint, in as many parts as ``spark.sql.shuffle.partitions`` says at the first start.  ``beats``
+    is a folder for ``heartbeat``; it must be there on every start of a checkpoint or on none.
+    """
+    spark = probes.sparkSession
+    if beats is not None:
+        store, path = _path(spark, beats)
+        store.mkdirs(path)
+        columns = [x.split()[0] for x in _BEAT.split(", ")]
+        probes = probes.select(*columns).unionByName(spark.readStream.schema(_BEAT).parquet(beats))
+    changes = stream_changes(probes, lateness, retention_days, initial)
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKS)  # the query takes a copy of the settings as it starts
+    try:
+        return (
+            changes.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", changes_dir)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(name, before)
+
+
+def current_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(url, status, content_hash, ts) as the last committed batch left it: a baseline for ``stream_changes`` or ``diff``."""
+    last = spark.read.format("statestore").option("stateVarName", "last").load(checkpoint)
+    return last.select("key.url", "value.status", "value.content_hash", F.timestamp_micros("value.at").alias("ts"))
+
+
+def _path(spark: SparkSession, place: str):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
 def rot_alerts(probes: DataFrame, run: str = "7 days", lateness: str = "1 day", min_urls: int = links.ROT_MIN_URLS, percent: int = links.ROT_PERCENT, host: Column | None = None) -> DataFrame:

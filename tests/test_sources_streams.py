@@ -2,8 +2,8 @@
 
 import datetime as dt
 import hashlib
+import random
 
-import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,44 +60,53 @@ HISTORY = [
 CHANGES = [(1, "new"), (3, "went_dead"), (4, "recovered"), (5, "content_changed"), (6, "new"), (8, "went_dead")]
 
 
-def test_stream_in_three_batches_equals_one_batch(spark, tmp_path):
-    once, _ = monitor.transitions(probes(spark, HISTORY), monitor.empty_state(spark))
-    assert sorted((r.seq, r.change) for r in once.collect()) == CHANGES
-    src = tmp_path / "in"
+def feed(spark, tmp_path, batches, **how):
+    """One run of the stream per batch, then a heartbeat far ahead; the changes as (seq, change)."""
+    schema = probes(spark, HISTORY).schema
+    (tmp_path / "in").mkdir(exist_ok=True)
     run = lambda: monitor.start_transitions(
-        spark.readStream.schema(probes(spark, HISTORY).schema).parquet(str(src)), str(tmp_path / "state"), str(tmp_path / "changes"), str(tmp_path / "cp")
+        spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "changes"), str(tmp_path / "cp"), beats=str(tmp_path / "beats"), **how
     ).awaitTermination()
-    for lo, hi in ((0, 1), (2, 2), (3, 9)):
-        part = [p for p in HISTORY if lo <= p[1] <= hi]
-        probes(spark, part).coalesce(1).write.mode("append").parquet(str(src))
+    for part in batches:
+        probes(spark, part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         run()
-    got = spark.read.parquet(str(tmp_path / "changes"))
-    assert sorted((r.seq, r.change) for r in got.collect()) == CHANGES
-
-
-def test_batches_touch_their_buckets_and_replay(spark, tmp_path):
-    state, changes = str(tmp_path / "state"), str(tmp_path / "changes")
-    handle = monitor.transitions_handler(state, changes, buckets=4)
-    for batch in range(5):
-        handle(probes(spark, [(f"http://h.cn/{k}", batch, 10 * batch + k, "ok", f"h{batch}", True) for k in range(3)]), batch)
-    versions = {}
-    for p in (tmp_path / "state").glob("version=*/bucket=*"):
-        versions.setdefault(p.name, set()).add(int(p.parent.name[8:]))
-    assert versions and all(v == {3, 4} for v in versions.values())
-    seen = sorted((r.seq, r.change) for r in spark.read.parquet(f"{changes}/batch=4").collect())
-    assert seen == [(40, "content_changed"), (41, "content_changed"), (42, "content_changed")]
-    handle(probes(spark, [(f"http://h.cn/{k}", 4, 40 + k, "ok", "h4", True) for k in range(3)]), 4)
-    assert sorted((r.seq, r.change) for r in spark.read.parquet(f"{changes}/batch=4").collect()) == seen
-    handle(probes(spark, [("http://h.cn/late", 0, 50, "ok", "x", True), ("http://h.cn/late", -1, 49, "dead", None, True)]), 5)
-    assert sorted((r.seq, r.change) for r in spark.read.parquet(f"{changes}/batch=5").collect()) == [(49, "new"), (50, "recovered")]
-
-
-def test_a_broken_state_is_an_error(spark, tmp_path):
-    (tmp_path / "state" / "version=0" / "bucket=0").mkdir(parents=True)
-    (tmp_path / "state" / "version=0" / "bucket=0" / "part-0.parquet").write_bytes(b"not parquet")
-    handle = monitor.transitions_handler(str(tmp_path / "state"), str(tmp_path / "changes"), buckets=1)
-    with pytest.raises(Exception, match="(?i)parquet|footer|corrupt"):
-        handle(probes(spark, [("http://h.cn/a", 0, 1, "ok", "h", True)]), 1)
+    monitor.heartbeat(spark, str(tmp_path / "beats"), F.lit("2099-01-01"))
+    run()
+    return sorted((r.seq, r.change) for r in spark.read.parquet(str(tmp_path / "changes")).collect())
+
+
+def test_stream_in_three_batches_equals_one_batch(spark, tmp_path):
+    once, _ = monitor.transitions(probes(spark, HISTORY), monitor.empty_state(spark))
+    assert sorted((r.seq, r.change) for r in once.collect()) == CHANGES
+    assert feed(spark, tmp_path, [[p for p in HISTORY if lo <= p[1] <= hi] for lo, hi in ((0, 1), (2, 2), (3, 9))]) == CHANGES
+    state = {r.url: (r.status, r.content_hash) for r in monitor.current_state(spark, str(tmp_path / "cp")).collect()}
+    assert state == {"http://h.cn/a": ("ok", "h2"), "http://h.cn/b": ("dead", None)}
+
+
+def test_shuffled_late_and_replayed_batches_equal_one_batch(spark, tmp_path):
+    rng = random.Random(8)
+    rows = []
+    for k in range(160):
+        status = rng.choice(["ok", "ok", "dead", "inconclusive"])
+        url = f"http://h.cn/{min(rng.randrange(9), 5)}"  # one url holds a third of the probes
+        rows.append((url, k / 8, k, status, f"h{rng.randrange(3)}" if status == "ok" else None, url[-1] in "135"))
+    rows += [(None, 3.0, 900, "ok", "h", True)]
+    once, _ = monitor.transitions(probes(spark, [r for r in rows if r[0]]), monitor.empty_state(spark))
+    want = sorted((r.seq, r.change) for r in once.collect())
+    arrival = sorted(rows, key=lambda r: r[1] + rng.random() * 2.5)  # up to two and a half days out of order
+    batches = [arrival[k : k + 45] for k in range(0, len(arrival), 45)]
+    for k in range(1, len(batches)):
+        batches[k] += rng.sample(arrival[: 45 * k], 10)  # seen before
+    assert feed(spark, tmp_path, batches, lateness="3 days") == want
+
+
+def test_a_baseline_to_start_from_and_urls_that_are_forgotten(spark, tmp_path):
+    known = spark.createDataFrame([("http://h.cn/a", "dead", None, dt.datetime(2024, 1, 1)), ("http://h.cn/u", "inconclusive", None, dt.datetime(2024, 1, 1))], monitor.STATE_DDL)
+    first = [("http://h.cn/a", 0, 1, "ok", "h1", True), ("http://h.cn/u", 0, 2, "ok", "h1", True), ("http://h.cn/z", 0, 3, "ok", "h1", True)]
+    later = [("http://h.cn/a", 9, 4, "dead", None, True), ("http://h.cn/z", 30, 5, "dead", None, True)]
+    got = feed(spark, tmp_path, [first, later[:1], later[1:]], retention_days=20, initial=known)
+    # z was forgotten after 20 days: its later probe is its first again; u never had a definitive probe before
+    assert got == [(1, "recovered"), (3, "new"), (4, "went_dead"), (5, "new")]
 
 
 def test_rot_alerts_as_a_stream(spark, tmp_path):
