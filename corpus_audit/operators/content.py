@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from corpus_audit.findings import as_findings, rule_findings
 from corpus_audit.functions import text as tx
-from corpus_audit.scale import broadcast_if_small
+from corpus_audit.scale import BROADCAST_LIMIT_BYTES, estimated_bytes
 
 # Thresholds, vocabularies and section names of the content contract.
 NGRAM_SIZE = 8
@@ -67,15 +67,66 @@ def text_windows(
     )
 
 
+#: bits of the gram filter for each gram the source may hold, words of a filter row, positions a gram sets in its word
+FILTER_BITS, FILTER_WORDS, FILTER_HITS = 16, 1024, 4
+#: share of grams outside the source that the filter lets pass when it is as full as it was laid out for
+FILTER_FALSE = 0.01
+
+
+def _filter_place(keys: list[str], rows: int) -> dict[str, Column]:
+    """Row of the filter, word in it, and the bits of the word for a gram: parts of one 64-bit hash."""
+    h = F.xxhash64(*keys, "gram")
+    bits = [F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(h, 10 + 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(FILTER_HITS)]
+    mask = bits[0]
+    for bit in bits[1:]:
+        mask = mask.bitwiseOR(bit)
+    segment = F.pmod(F.shiftrightunsigned(h, 34), F.lit(rows))
+    return {"_segment": segment, "_word": h.bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int"), "_mask": mask}
+
+
+def gram_filter(grams: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """A Bloom filter of ``grams(keys, gram)`` as ``rows`` rows (_segment, _words), 8 KiB each whatever the grams are.
+
+    The bits of a word are or-ed as a mergeable aggregate, so a task sends each word it touches once.  A row gathers
+    a fixed number of words.
+    """
+    place = _filter_place(keys, rows)
+    set_bits = grams.select(*[c.alias(n) for n, c in place.items()])
+    every = grams.sparkSession.range(rows * FILTER_WORDS).select(
+        F.expr(f"id div {FILTER_WORDS}").alias("_segment"), (F.col("id") % FILTER_WORDS).cast("int").alias("_word"), F.lit(0).cast("bigint").alias("_mask")
+    )
+    words = set_bits.unionByName(every).groupBy("_segment", "_word").agg(F.bit_or("_mask").alias("_mask"))
+    packed = words.groupBy("_segment").agg(F.sort_array(F.collect_list(F.struct("_word", "_mask"))).alias("_w"))
+    return packed.select("_segment", F.col("_w._mask").alias("_words"))
+
+
+def pass_filter(grams: DataFrame, keys: list[str], source_filter: DataFrame, rows: int) -> DataFrame:
+    """The grams whose bits are all set: every gram of the source, and few others.  Broadcast, so no gram moves."""
+    place = _filter_place(keys, rows)
+    marked = grams.withColumns(place)
+    held = F.get("_words", F.col("_word")).bitwiseAND(F.col("_mask")) == F.col("_mask")
+    table = F.broadcast(source_filter.withColumnRenamed("_segment", "_row"))
+    return marked.join(table, (F.col("_segment") == F.col("_row")) & held, "left_semi").drop(*place)
+
+
 def ngram_overlap(
-    texts: DataFrame, sources: DataFrame, id_col: str, size: int = NGRAM_SIZE, key: list[str] | None = None
+    texts: DataFrame,
+    sources: DataFrame,
+    id_col: str,
+    size: int = NGRAM_SIZE,
+    key: list[str] | None = None,
+    grams_limit: int = BROADCAST_LIMIT_BYTES,
+    filter_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Share of a text's whitespace-free n-grams that also occur in its sources.
 
     ``texts(id_col, [key], text)``, ``sources([key], text)``.  The number of grams is arithmetic, so only
-    the membership test explodes.  The source side is distinct, and only grams that it holds are counted.  A source
-    table of proven small size is broadcast and the text side then moves no gram at all; a scan with few splits is
-    best given redistributed.
+    the membership test explodes.  The source side is distinct, and only grams that it holds are counted.  By the
+    size that the source table can reach, (1) its grams are broadcast and the text side moves no gram at all; (2) beyond
+    ``grams_limit`` a Bloom filter of them is broadcast, about a thirtieth of that, and the text side moves the grams that it
+    lets pass, counted per text: those of the source and at most ``FILTER_FALSE`` of the others, which the exact join drops;
+    (3) beyond ``filter_limit`` all grams are counted per text and moved.  The three give the same rows.  A scan with few
+    splits is best given redistributed.
     """
     key = key or []
     squeezed = texts.select(id_col, *key, tx.squeeze("text").alias("_squeezed"))
@@ -83,10 +134,18 @@ def ngram_overlap(
         id_col, F.greatest(F.length("_squeezed") - F.lit(size - 1), F.lit(0)).cast("bigint").alias("n_grams")
     )
     source_grams = text_windows(sources, key, tx.squeeze("text"), size).distinct()
-    # a gram row is at most 4 bytes per character plus row overhead, against compressed text at the scan
-    source_grams = broadcast_if_small(source_grams, base=sources, growth=(4 * size + 32) * 4)
     grams = text_windows(squeezed, [id_col, *key], F.col("_squeezed"), size)
-    hits = grams.join(source_grams, [*key, "gram"], "left_semi").groupBy(id_col).agg(F.count(F.lit(1)).alias("_hits"))
+    # at most one gram per byte of text, four bytes of text per compressed byte at the scan; a gram row is at most
+    # 4 bytes per character plus row overhead
+    most = estimated_bytes(sources) * 4
+    if most * (4 * size + 32) <= grams_limit:
+        hits = grams.join(F.broadcast(source_grams), [*key, "gram"], "left_semi").groupBy(id_col).agg(F.count(F.lit(1)).alias("_hits"))
+    else:
+        rows = max(1, -(-most * FILTER_BITS // (64 * FILTER_WORDS)))
+        if rows * FILTER_WORDS * 8 <= filter_limit:
+            grams = pass_filter(grams, key, gram_filter(source_grams, key, rows), rows)
+        counted = grams.groupBy(id_col, *key, "gram").agg(F.count(F.lit(1)).alias("_k"))
+        hits = counted.join(source_grams, [*key, "gram"], "left_semi").groupBy(id_col).agg(F.sum("_k").alias("_hits"))
     return totals.join(hits, id_col, "left").select(
         id_col,
         "n_grams",

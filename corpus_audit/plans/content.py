@@ -30,9 +30,9 @@ FROM documents d LEFT JOIN c ON c.id = d.doc_id
 """
 
 
-def _overlap(spark, sf):
+def _overlap(spark, sf, **limits):
     return ops.ngram_overlap(
-        wide(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark").select("text"), "doc_id"
+        wide(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark").select("text"), "doc_id", **limits
     )
 
 
@@ -41,6 +41,12 @@ def ngram_overlap(spark, sf):
     return _overlap(spark, sf)
 
 
+@query("h12_filtered_overlap", OVERLAP_SQL)
+def filtered_overlap(spark, sf):
+    """The same where the source's grams are taken as too many to broadcast: a Bloom filter stands before the shuffle."""
+    return _overlap(spark, sf, grams_limit=0)
+
+
 @query(
     "h13_overlap_violations",
     f"SELECT o.doc_id, n_shared, ratio, quality FROM ({OVERLAP_SQL}) o LEFT JOIN labels l USING (doc_id) WHERE ratio > 0.2",

@@ -65,6 +65,44 @@ def test_ngram_overlap_against_brute_force(spark, monkeypatch, slice_chars):
     assert {r.id for r in keyed.filter("n_shared > 0").collect()} <= {1, 3, 5}
 
 
+SIDES = {"broadcast": {"grams_limit": 2**62}, "filter": {"grams_limit": 0, "filter_limit": 2**62}, "shuffle": {"grams_limit": 0, "filter_limit": 0}}
+
+
+@pytest.mark.parametrize("side", SIDES)
+@pytest.mark.parametrize("key", [None, ["k"]])
+def test_overlap_is_the_same_on_every_side(spark, tmp_path, monkeypatch, side, key):
+    rng = random.Random(2)
+    pick = lambda n: "".join(rng.choice("abcdefgh 中") for _ in range(n))
+    sources = [(k % 2, pick(300)) for k in range(6)] + [(0, None), (1, "short")]
+    texts = [(i, i % 2, pick(200) + (sources[i % 6][1][50 : 50 + 10 * i] if i % 3 else "")) for i in range(20)] + [(90, 0, None), (91, 1, sources[1][1] * 3)]
+    spark.createDataFrame(sources, "k long, text string").coalesce(1).write.parquet(str(tmp_path / "s"))  # a table of known size
+    src = spark.read.parquet(str(tmp_path / "s"))
+    passed = []
+    real = content.pass_filter
+    monkeypatch.setattr(content, "pass_filter", lambda *a: passed.append(1) or real(*a))
+    got = content.ngram_overlap(spark.createDataFrame(texts, "id long, k long, text string"), src, "id", key=key, **SIDES[side])
+    squeeze = lambda t: "".join((t or "").split())
+    want = {}
+    for i, k, t in texts:
+        known = {squeeze(x)[j : j + 8] for g, x in sources if not key or g == k for j in range(len(squeeze(x)) - 7)}
+        grams = [squeeze(t)[j : j + 8] for j in range(len(squeeze(t)) - 7)]
+        want[i] = (len(grams) if t is not None else None, sum(g in known for g in grams))
+    assert {r.id: (r.n_grams, r.n_shared) for r in got.collect()} | {90: (None, 0)} == want
+    assert bool(passed) == (side == "filter")
+
+
+def test_gram_filter_passes_all_of_the_source_and_few_others(spark):
+    rows = 3
+    full = rows * content.FILTER_WORDS * 64 // content.FILTER_BITS  # as many as it is laid out for
+    source = spark.range(full).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("gram"))
+    table = content.gram_filter(source, [], rows).cache()
+    assert table.count() == rows and {len(r._words) for r in table.collect()} == {content.FILTER_WORDS}
+    assert content.pass_filter(source, [], table, rows).count() == full
+    others = spark.range(200_000).select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("gram"))
+    assert content.pass_filter(others, [], table, rows).count() <= 200_000 * content.FILTER_FALSE
+    table.unpersist()
+
+
 def test_verbatim_run_of_200_passes_and_201_leaks(spark):
     rng = random.Random(3)
     base = "".join(rng.choice("abcdefghij 中文") for _ in range(900))
