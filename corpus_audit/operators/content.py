@@ -715,15 +715,6 @@ def count_reconcile(
     )
 
 
-def field_reach(expected: DataFrame, sections: DataFrame, keys: list[str]) -> DataFrame:
-    """Expected strings absent from the text of their section (an absent section misses them all).
-
-    ``expected(keys, field, value)``, ``sections(keys, body)``.
-    """
-    joined = expected.filter(F.coalesce("value", F.lit("")) != "").join(sections, keys, "left")
-    return joined.filter(~F.coalesce(F.col("body").contains(F.col("value")), F.lit(False))).select(*keys, "field", "value")
-
-
 def ordered_names_equal(left: DataFrame, right: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Positions where two ordered name lists differ (missing positions count)."""
     l = left.select(*keys, "pos", F.col(name).alias("left_name"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpus_audit.functions import text as tx
 from corpus_audit.operators import content as ops
+from corpus_audit.operators import reach
 from corpus_audit.plans import inputs
 from corpus_audit.plans.registry import query, table, wide
 
@@ -658,7 +659,7 @@ def count_reconcile(spark, sf):
 WITH b AS ({BLOCKS_SQL}), x AS (SELECT course, point_id, 'answer' AS field, answer_md AS value FROM b WHERE answer_md IS NOT NULL UNION ALL
  SELECT course, point_id, 'lead', substr(text_md, 1, 30) FROM b WHERE point_id IS NOT NULL),
 s AS (SELECT course, point_id, max(text_md || coalesce(answer_md, '')) AS body FROM b WHERE role = 'assistant' AND turn < 8 GROUP BY ALL)
-SELECT x.* FROM x LEFT JOIN s USING (course, point_id) WHERE NOT coalesce(contains(body, value), false)
+SELECT DISTINCT x.* FROM x LEFT JOIN s USING (course, point_id) WHERE NOT coalesce(contains(body, value), false)
 """,
 )
 def field_reach(spark, sf):
@@ -678,7 +679,115 @@ def field_reach(spark, sf):
         .groupBy("course", "point_id")
         .agg(F.max(F.concat("text_md", F.coalesce("answer_md", F.lit("")))).alias("body"))
     )
-    return ops.field_reach(fields, page, ["course", "point_id"])
+    return reach.missing_values(fields, page, ["course", "point_id"]).select("course", "point_id", "field", "value")
+
+
+# practice pages made from orders: a heading with the point id for each line number, but for one in eight, which
+# every third page has as the head of a longer id
+PRACTICE_IDS = "SELECT o_orderkey, j, printf('%05d', o_orderkey) || '-ch01-s2-p' || j AS id, (o_orderkey + j) % 8 = 0 AS lost FROM orders, unnest(range(1, 8)) AS u(j)"
+
+
+def practice_pages(spark, sf):
+    k = F.col("o_orderkey")
+
+    def line(j):
+        point = F.concat(F.lit("### "), inputs.padded(k), F.lit(f"-ch01-s2-p{j}"))
+        return F.when((k + j) % 8 != 0, point).when(k % 3 == 0, F.concat(point, F.lit("0")))
+
+    fold = F.when(k % 20 == 0, "x <details>").when(k % 10 != 0, "<details><summary>答案</summary>")
+    text = F.concat_ws("\n", F.lit("# 练习"), *[line(j) for j in range(1, 8)], fold, F.lit("end"))
+    return table(spark, sf, "orders").where(k % 29 != 0).select(k.alias("entity"), F.lit(reach.PRACTICE_PAGE).alias("page"), text.alias("text"))
+
+
+def drill_blocks(spark, sf):
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    point = F.when(n % 7 != 0, F.concat(inputs.padded(k), F.lit("-ch01-s2-p"), n.cast("string")))
+    return table(spark, sf, "lineitem").select(k.alias("entity"), F.when(F.col("l_returnflag") == "N", "explain").otherwise("drill").alias("kind"), point.alias("point_id"))
+
+
+DRILL_REACH_SQL = f"""
+WITH d AS (SELECT l_orderkey AS k, l_linenumber AS j FROM lineitem WHERE l_returnflag <> 'N'),
+i AS (SELECT o_orderkey AS k, count(*) FILTER (NOT lost OR o_orderkey % 3 = 0) AS shown FROM ({PRACTICE_IDS}) WHERE o_orderkey % 29 <> 0 GROUP BY 1),
+n AS (SELECT k, count(*) AS drills, any_value(coalesce(shown, 0)) AS shown FROM d LEFT JOIN i USING (k) GROUP BY k)
+SELECT 'drill_headings' AS rule, k::VARCHAR AS entity, shown || ' of ' || drills AS message FROM n WHERE shown < drills UNION ALL
+SELECT 'answers_unfolded', k::VARCHAR, 'practice.md' FROM n WHERE k % 10 = 0 OR k % 29 = 0 UNION ALL
+SELECT DISTINCT 'drill_anchor', k::VARCHAR, printf('%05d', k) || '-ch01-s2-p' || j FROM d WHERE j % 7 <> 0 AND (k % 29 = 0 OR ((k + j) % 8 = 0 AND k % 3 <> 0))
+"""
+
+
+def drill_findings(spark, sf):
+    return reach.drill_reach(drill_blocks(spark, sf), practice_pages(spark, sf), "entity", tx.FIVE_OR_MORE)
+
+
+@query("h18_drill_reach", DRILL_REACH_SQL)
+def drill_reach(spark, sf):
+    return drill_findings(spark, sf).select("rule", "entity", "message")
+
+
+# study plans made from orders, with one kind of defect per divisor
+PLAN_STAGES = ", ".join(f"({i}, '{name}')" for i, name in enumerate(ops.STAGES, 1))
+PLAN_REACH_SQL = f"""
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderpriority AS p FROM orders), s AS (SELECT * FROM (VALUES {PLAN_STAGES}) v(i, stage))
+SELECT 'stage_names' AS rule, k::VARCHAR AS entity, (SELECT string_agg(stage, '|' ORDER BY i) FROM s WHERE i <> 3) AS message FROM o WHERE k % 7 = 0 AND k % 31 <> 0 UNION ALL
+SELECT 'stage_names', k::VARCHAR, '' FROM o WHERE k % 31 = 0 UNION ALL
+SELECT 'done_when', k::VARCHAR, stage FROM o, s WHERE (k % 5 = 0 AND i = 2) OR k % 31 = 0 UNION ALL
+SELECT 'inputs', k::VARCHAR, stage FROM o, s WHERE (k % 11 = 0 AND i = 4) OR k % 31 = 0 UNION ALL
+SELECT f, k::VARCHAR, stage FROM o, s, unnest(['goal', 'how', 'outputs']) AS u(f) WHERE k % 31 = 0 UNION ALL
+SELECT 'strategy_section', k::VARCHAR, 'st' || k FROM o WHERE k % 13 = 0 OR k % 31 = 0 UNION ALL
+SELECT 'strategy_text', k::VARCHAR, 'st' || k FROM o WHERE k % 6 = 0 AND k % 13 <> 0 AND k % 31 <> 0 UNION ALL
+SELECT 'gap_section', k::VARCHAR, '命名缺口' FROM o WHERE c % 2 = 0 AND k % 17 = 0 UNION ALL
+SELECT 'gap_impact', k::VARCHAR, '影响' || k || '。' FROM o WHERE c % 2 = 0 AND k % 17 <> 0 AND k % 9 = 0 UNION ALL
+SELECT 'tier', k::VARCHAR, '强化' FROM o WHERE c % 2 <> 0 AND k % 10 = 0
+"""
+
+
+def plan_contents(spark, sf):
+    k = F.col("o_orderkey").cast("string")
+
+    def stage(i, name):
+        items = {f: F.array(F.concat(F.lit(f"{f}{i}-"), k, F.lit("。"))) for f in reach.STAGE_LISTS}
+        items["inputs"] = F.array(F.concat(F.lit(f"inputs{i}-"), k, F.lit("。")), F.lit(""), F.concat(F.lit(f"资料{i}-"), F.col("o_custkey").cast("string"), F.lit("。")))
+        done = F.concat(F.lit(f"done{i} "), "o_orderpriority", F.lit("。"))
+        return F.struct(F.lit(name).alias("stage"), *[v.alias(f) for f, v in items.items()], done.alias("done_when"))
+
+    gap = F.col("o_custkey") % 2 == 0
+    schedule = F.struct(
+        F.when(gap, reach.NAMED_GAP).otherwise("planned").alias("status"), F.concat(F.lit("影响"), k, F.lit("。")).alias("gap_impact"),
+        F.concat(F.lit("证据"), k, F.lit("。")).alias("next_evidence"), F.array(*map(F.lit, ("基础", "标准", "强化"))).alias("tiers"),
+    )
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("entity"), "o_custkey", F.array(*[stage(i, n) for i, n in enumerate(ops.STAGES, 1)]).alias("stage_plan"),
+        F.array(F.struct(F.concat(F.lit("st"), k).alias("block_id"), F.concat(F.lit(" 策略"), k, F.lit("。\n")).alias("text_md"))).alias("strategies"), schedule.alias("schedule"),
+    )
+
+
+def plan_pages(spark, sf):
+    content, k = plan_contents(spark, sf), F.col("entity")
+
+    def lines(i, name):
+        s = F.col("stage_plan")[i - 1]
+        values = [s["goal"][0], s["how"][0], s["outputs"][0], s["inputs"][0], F.when(F.lit(i != 4) | (k % 11 != 0), s["inputs"][2])]
+        return [F.when(F.lit(i != 3) | (k % 7 != 0), f"### 阶段：{name} "), *values, F.when(F.lit(i != 2) | (k % 5 != 0), s["done_when"])]
+
+    text = F.trim(F.col("strategies")[0]["text_md"])
+    strategy = [F.when(k % 13 != 0, "## 应试策略"), F.when(k % 6 != 0, text), F.lit("## 其他"), F.when(k % 6 == 0, text)]
+    plan = F.concat_ws("\n", F.lit("# 计划"), *[x for i, n in enumerate(ops.STAGES, 1) for x in lines(i, n)], *strategy)
+    schedule, gap = F.col("schedule"), F.col("o_custkey") % 2 == 0
+    impact = schedule["gap_impact"]
+    review = F.when(
+        gap, F.concat_ws("\n", F.when(k % 9 == 0, impact), F.when(k % 17 != 0, "## 命名缺口"), F.when(k % 9 != 0, impact), schedule["next_evidence"])
+    ).otherwise(F.concat_ws("\n", F.lit("第一档（基础）第二档（标准）"), F.when(k % 10 != 0, "（强化）")))
+    both = F.array(F.struct(F.lit(reach.PLAN_PAGE).alias("page"), plan.alias("text")), F.struct(F.lit(reach.REVIEW_PAGE).alias("page"), review.alias("text")))
+    return content.select("entity", F.inline(both)).where((F.col("page") != reach.PLAN_PAGE) | (k % 31 != 0))
+
+
+def plan_findings(spark, sf):
+    return reach.plan_reach(plan_contents(spark, sf), plan_pages(spark, sf), "entity")
+
+
+@query("h19_plan_reach", PLAN_REACH_SQL)
+def plan_reach(spark, sf):
+    return plan_findings(spark, sf).select("rule", "entity", "message")
 
 
 @query(
