@@ -323,7 +323,7 @@ def brute_top_k(rows, k, is_query):
     return sorted(out)
 
 
-def test_top_k_is_exact(spark):
+def test_top_k_is_exact(spark, monkeypatch):
     rng = np.random.default_rng(8)
     rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(300)]
     rows += [(i, rows[i % 7][1]) for i in range(300, 330)]  # ties
@@ -331,13 +331,45 @@ def test_top_k_is_exact(spark):
     bad = [(500, None), (None, [1.0] * 6), (520, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (540, [float("nan")] * 6), (560, [float("inf")] * 6)]
     schema = "vec_id long, embedding array<float>, score int, rank int"
     data = spark.createDataFrame([(i, v, 1, 2) for i, v in rows + bad], schema).repartition(3)
-    got = topk.top_k(data, lambda c: c % 20 == 0, k=9, pivots=4, lanes=3).collect()
+    monkeypatch.setattr(topk, "RUN", 16)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 4)
+    got = topk.top_k(data, lambda c: c % 20 == 0, k=9, pivots=4, block_rows=60).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute_top_k(rows, 9, lambda i: i % 20 == 0)
     few = data.where("vec_id < 5")
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(few, lambda c: c == 0, k=9).collect()) == brute_top_k(rows[:5], 9, lambda i: i == 0)
     assert topk.top_k(data.limit(0), lambda c: c % 20 == 0, k=9).collect() == []
 
 
+def test_blocks_of_dense_ids_use_most_lanes(spark):
+    rows = topk.slotted(spark.range(0, 50 * 40, 1, 3).withColumnRenamed("id", "vec_id"))
+    sizes = [r["count"] for r in rows.groupBy(F.pmod("slot", F.lit(50))).count().collect()]
+    assert len(sizes) == 50 and max(sizes) < 3 * 40
+
+
+def test_runs_are_left_out_by_pivots():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 400, (8, 5))
+    points = np.floor(np.repeat(centres, 200, 0) + rng.normal(0, 5, (1600, 5))).astype(np.int64)
+    own = topk._Pivots(list(points[::200]), 5, float((points.astype(float) ** 2).sum(1).max()))
+    far = own.distances(points.astype(float), True)
+    order = np.lexsort((far.min(1), far.argmin(1)))
+    points, far, starts, asked = points[order], far[order], np.arange(0, 1600, topk.RUN // 8), []
+    real = topk._exact
+    topk._exact = lambda a, b: asked.append(a.shape[0] * b.shape[0]) or real(a, b)
+    try:
+        names, vec, score = topk._chunk(
+            np.arange(1600), points, starts, np.minimum.reduceat(far, starts), np.maximum.reduceat(far, starts),
+            np.arange(5000, 5010), points[:1600:160], np.full(10, topk._NONE), own, 4,
+        )
+    finally:
+        topk._exact = real
+    every = points[:1600:160] @ points.T
+    for n in range(10):
+        want = sorted(((-s, i) for i, s in enumerate(every[n])))[:4]
+        assert [(-s, v) for v, s in zip(vec[names == 5000 + n], score[names == 5000 + n])] == want
+    assert sum(asked) < 10 * 1600
+
+
 def scored(spark, query):
     import __spark_entry__
 
