@@ -129,7 +129,7 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> D
     known = lambda rows: _labelled(rows, none if links.labels is None else links.labels)
     members, turn = stash(_shared(nodes.select(F.explode("paths").alias("path"), "node", "n")), "members"), 0
     while not members.isEmpty():
-        links.settle(stash(stars(known(members), "path", turn, share), "centred"))
+        links.nearest(stars(known(members), "path", turn, share))
         left = known(members)
         left = stash(left.join(undecided(left, "path"), "path"), "undecided")
         small = exhaustive(left.where(F.col("pairs") <= SMALL), "path", nodes, share)

@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from corpus_audit.llm.common import stash
 
 
-def _mark(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+def _settled(edges: DataFrame) -> bool:
+    """Every node points at one node only, and none that is pointed at points on: the edges are stars around their smallest."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("held"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("n"), F.lit(0).alias("out"), F.lit(1).alias("held")))
+    ends = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("held").alias("held"))
+    return ends.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("held") > 0))).isEmpty()
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -21,17 +25,13 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     a, b = F.col(a), F.col(b)
     edges = stash(links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-    mark = _mark(edges)
-    while mark[0]:
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stash(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        before, mark = mark, _mark(edges)
-        if mark == before:
-            break
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(roots).distinct()

@@ -316,6 +316,11 @@ class _Links:
         both = _labelled(_labelled(pairs, self.labels, "a", "_a"), self.labels, "b", "_b")
         return both.where(F.col("_a") != F.col("_b")).select("a", "b")
 
+    def nearest(self, pairs: DataFrame) -> None:
+        """Find links among ``pairs`` (a, b, shared): only the most promising of each b is looked at."""
+        nearest = F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")
+        self.verify(stash(_promising(pairs, self.nodes, self.share).groupBy("b").agg(nearest).select("a", "b"), "nearest"))
+
     def settle(self, pairs: DataFrame) -> None:
         """Find the links among ``pairs`` (a, b, shared) that join components: the most promising of each b first."""
         pairs = stash(_promising(pairs, self.nodes, self.share), "pairs")
@@ -435,7 +440,7 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> D
     for level in range(2):
         left = known(members)
         left = stash(_thinned(left.join(undecided(left, "sig"), "sig").drop("m", "pairs")), "open")
-        links.settle(stash(stars(left.join(sizes, "node"), "sig", level, share), "stars"))
+        links.nearest(stars(left.join(sizes, "node"), "sig", level, share))
         left = known(left.select("sig", "node"))
         left = stash(left.join(undecided(left, "sig"), "sig"), "undecided")
         links.verify(stash(exhaustive(left.where(F.col("pairs") <= SMALL), "sig", nodes, share), "pairs"))
