@@ -62,7 +62,7 @@ def no_findings(spark: SparkSession) -> DataFrame:
 
 def whole_findings(rows: DataFrame, layer: str) -> DataFrame:
     """Rows that carry some of the finding columns, with the others as nulls."""
-    given = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in FINDING_COLUMNS}
+    given = {c: F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string") for c in FINDING_COLUMNS}
     return rows.select(*[(F.lit(layer) if c == "layer" else v).alias(c) for c, v in given.items()])
 
 

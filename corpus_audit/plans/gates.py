@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpus_audit.findings import no_findings, whole_findings
@@ -13,7 +16,7 @@ from corpus_audit.plans import content as content_plans
 from corpus_audit.plans import evidence as evidence_plans
 from corpus_audit.plans import inputs
 from corpus_audit.plans import text as text_plans
-from corpus_audit.plans.registry import ORACLES, query, table, wide
+from corpus_audit.plans.registry import ORACLES, QUERIES, query, table, wide
 from corpus_audit.session import scratch_dir
 from corpus_audit.streaming import monitor
 
@@ -555,42 +558,81 @@ def schema_rules(spark, sf):
     return schema_gate(spark, sf).select("rule", "entity", "locator")
 
 
+# the rule groups of the layers that are made of other queries: their rows as findings, by column
+GROUPS = {
+    "materials": [
+        ("j4_resolve_refs", {"rule": "resolution", "entity": "path", "message": "path"}, "resolution NOT IN ('ok', 'ok-prefix')"),
+        ("b29_leak_patterns", {"rule": "rule", "entity": "doc_id", "locator": "line_no"}, "true"),
+    ],
+    "maturity-check": [("j12_projection_drift", {"rule": "problem", "entity": "doc_id"}, "true")],
+    "evidence": [
+        ("f8_validate_facts", {"rule": "rule", "entity": "entity"}, "true"),
+        ("f9_rederive", {"rule": "rule", "entity": "entity"}, "true"),
+        ("f10_digest_drift", {"rule": "problem", "entity": "doc_id", "locator": "path"}, "true"),
+        ("f11_url_provenance", {"rule": "rule", "entity": "entity"}, "true"),
+        ("f12_forbidden_artifacts", {"rule": "'forbidden_artifact'", "entity": "l_orderkey", "locator": "artifact"}, "true"),
+        ("g10_denominator_status", {"rule": "problem", "entity": "o_orderkey"}, "problem IS NOT NULL"),
+        ("g14_validate_points", {"rule": "rule", "entity": "entity"}, "true"),
+        ("g15_ordered_list_equal", {"rule": "rule", "entity": "entity", "locator": "locator", "message": "message"}, "true"),
+    ],
+    "ai-content": [
+        ("h7_validate_blocks", {"rule": "rule", "entity": "entity"}, "true"),
+        ("h9_validate_stages", {"rule": "rule", "entity": "entity", "locator": "locator"}, "true"),
+        ("h10_official_sample_rules", {"rule": "rule", "entity": "entity"}, "true"),
+        ("h13_overlap_violations", {"rule": "'overlap'", "entity": "doc_id", "message": "n_shared"}, "true"),
+        ("h16_enforce_scope", {"rule": "rule", "entity": "entity", "locator": "locator", "message": "message"}, "true"),
+        ("h17_point_reach", {"rule": "problem", "entity": "course", "locator": "point_id", "message": "kind"}, "true"),
+        ("h18_count_reconcile", {"rule": "'count'", "entity": "course", "locator": "kind", "message": "rendered"}, "true"),
+        ("h18_drill_reach", {"rule": "rule", "entity": "entity", "message": "message"}, "true"),
+        ("h19_plan_reach", {"rule": "rule", "entity": "entity", "message": "message"}, "true"),
+        ("h20_page_marks", {"rule": "rule", "entity": "entity"}, "true"),
+        ("h21_blockquote_rules", {"rule": "rule", "entity": "entity", "locator": "locator"}, "true"),
+        ("h22_orphan_products", {"rule": "problem", "entity": "order_key", "message": "banner_pages"}, "true"),
+    ],
+}
 GATE_SQLS = {
     "content": CONTENT_GATE_SQL, "manifest": MANIFEST_GATE_SQL, "pages": PAGES_GATE_SQL, "frontmatter": FRONT_GATE_SQL, "publish": PUBLISH_GATE_SQL, "schema": SCHEMA_SQL,
-    "materials": f"SELECT resolution AS rule FROM ({ORACLES['j4_resolve_refs']}) WHERE resolution NOT IN ('ok', 'ok-prefix')",
-    "maturity-check": f"SELECT problem AS rule FROM ({ORACLES['j12_projection_drift']})",
-    "evidence": f"SELECT rule FROM ({ORACLES['f8_validate_facts']}) UNION ALL SELECT rule FROM ({ORACLES['f11_url_provenance']})",
-    "ai-content": f"SELECT rule FROM ({ORACLES['h7_validate_blocks']}) UNION ALL SELECT rule FROM ({ORACLES['h16_enforce_scope']})",
+    **{n: " UNION ALL ".join(f"SELECT {c['rule']} AS rule FROM ({ORACLES[q]}) WHERE {only}" for q, c, only in groups) for n, groups in GROUPS.items()},
 }
 
 
+def group_findings(spark, sf, layer):
+    """The findings of a layer that is made of other queries, all of its rule groups."""
+    parts = []
+    for name, columns, only in GROUPS[layer]:
+        rows = QUERIES[name](spark, sf).where(only).select(*[F.expr(e).cast("string").alias(c) for c, e in columns.items()])
+        parts.append(whole_findings(rows.withColumn("severity", F.lit("error")), layer))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def layers(spark, sf):
     return {
         "content": content_gate(spark, sf), "manifest": manifest_gate(spark, sf), "pages": pages_gate(spark, sf), "frontmatter": front_gate(spark, sf),
-        "publish": publish_gate(spark, sf),
-        "schema": schema_gate(spark, sf),
-        "materials": ops.materials_rules(resolve_refs(spark, sf)),
-        "maturity-check": whole_findings(projection_drift(spark, sf).withColumn("rule", F.col("problem")), "maturity-check"),
-        "evidence": whole_findings(evidence_plans.validate_facts(spark, sf), "evidence").unionByName(
-            whole_findings(evidence_plans.url_provenance(spark, sf), "evidence")
-        ),
-        "ai-content": whole_findings(content_plans.validate_blocks(spark, sf), "ai-content").unionByName(
-            whole_findings(content_plans.enforce_scope(spark, sf), "ai-content")
-        ),
+        "publish": publish_gate(spark, sf), "schema": schema_gate(spark, sf),
+        **{n: group_findings(spark, sf, n) for n in GROUPS},
         "clean": no_findings(spark),
     }
 
 
+ALL_LAYERS = [*GATE_SQLS, "clean"]
+_RULES_SQL = " UNION ALL ".join(f"SELECT '{n}' AS layer, rule FROM ({q})" for n, q in GATE_SQLS.items())
+
+
 @query(
     "j1_run_gates",
-    "SELECT layer, count(rule) AS n_findings, CASE WHEN count(rule) > 0 THEN 'failed' ELSE 'ok' END AS state FROM (SELECT unnest(['content', 'manifest', 'pages', 'frontmatter', 'publish', 'schema', 'materials', 'maturity-check', 'evidence', 'ai-content', 'clean']) AS layer) LEFT JOIN ("
-    + " UNION ALL ".join(f"SELECT '{n}' AS layer, rule FROM ({q})" for n, q in GATE_SQLS.items())
-    + ") USING (layer) GROUP BY layer",
+    "SELECT layer, count(rule) AS n_findings, CASE WHEN count(rule) > 0 THEN 'failed' ELSE 'ok' END AS state "
+    f"FROM (SELECT unnest({ALL_LAYERS}) AS layer) LEFT JOIN ({_RULES_SQL}) USING (layer) GROUP BY layer",
 )
 def run_gates(spark, sf):
     return ops.run(layers(spark, sf))[1]
 
 
+@query("j1_rule_counts", f"SELECT layer, rule, count(*) AS n FROM ({_RULES_SQL}) GROUP BY ALL")
+def rule_counts(spark, sf):
+    """What the gates found, by layer and rule: every rule group of every layer is in the one staged table."""
+    return ops.run(layers(spark, sf))[0].groupBy("layer", "rule").agg(F.count(F.lit(1)).alias("n"))
+
+
 # -- streaming ----------------------------------------------------------------------------------
 
 PROBE_ROWS = f"SELECT url, ts, event_id AS seq, status, content_hash, authoritative FROM ({inputs.PROBES})"
