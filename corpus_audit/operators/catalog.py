@@ -79,18 +79,24 @@ def conflicts(
     slices by ``slice_by``, leading columns of the order (default: the first two) that cut a busy entity finely.
     """
     values = field_values(records, entity, fields, order)
-    sizes = values.groupBy(entity, "field").agg(F.count(F.lit(1)).alias("n_values")).filter(F.col("n_values") > 1)
+    # counting the provenance keeps this branch's columns those of the others, so all of them share one reduction
+    sizes = values.groupBy(entity, "field").agg(F.count("value").alias("n_values")).filter(F.col("n_values") > 1)
     several = values.join(sizes, [entity, "field"])
     placed = ranked(several, [entity, "field"], [F.col(c) for c in order], F.struct(*(slice_by or order[:2])), "position")
     return placed.select(entity, "field", *order, "value", "n_values", "position")
 
 
-def consolidate(records: DataFrame, entity: str, fields: list[str], keys: dict[str, Column], order: list[str], group: list[str]) -> DataFrame:
+def consolidate(
+    records: DataFrame, entity: str, fields: list[str], keys: dict[str, Column], order: list[str], group: list[str], name: str | None = None
+) -> DataFrame:
     """One row per entity: first values, counts of distinct groups, source rows and conflicting fields.
 
+    With ``name``, one of the fields, also ``aliases``: the spelling variants of the first name (none without a name).
     Group and source members are rows of ``members``; they have no size bound, so no array holds them.
     """
     merged = first_value(records, entity, fields, order)
+    if name is not None:
+        merged = merged.withColumn("aliases", tx.aliases_for(name))
     sizes = records.groupBy(entity, *group).agg(F.count(F.lit(1)).alias("_n"))
     sizes = sizes.groupBy(entity).agg(F.count(F.lit(1)).alias("n_groups"), F.sum("_n").alias("n_sources"))
     clash = field_values(records, entity, keys, order).groupBy(entity, "field").agg(F.count(F.lit(1)).alias("_v"))

@@ -23,6 +23,14 @@ FACT_GAPS = {
     "credits": ("读者无法判断该课的学分权重与备考投入", "官方专业计划表中的课程行"),
     "exam_method": ("读者无法判断该课是笔试、机考还是实践考核", "官方专业计划表中的课程行"),
 }
+SYLLABUS_GAP = (
+    "缺官方考纲 → 无章目 / 考核要求 / 题型依据，AI 备考层一律不生成（放行等级非 L1）",
+    "jseea.cn 公开的该课自学考试大纲原件（入库并抽取为 document.extracted.md）",
+)
+TEXTBOOK_GAP = (
+    "缺官方教材计划行 → 读者无法核对指定教材，知识点无法与教材章节对齐",
+    "官方《开考课程教材计划》抽取件中出现该课码的教材代号行（`<code>\\d{1,3}`）",
+)
 FACT_STATUSES = ["verified", "named_gap"]
 REQUIRED_KEYS = {
     ("syllabus", "extracted"): ["path", "sha256", "requirements_heading"],
@@ -189,24 +197,43 @@ def supporting_locator(cites: DataFrame, lines: DataFrame, key: str) -> DataFram
 
 
 def assemble(codes: DataFrame, syllabus: DataFrame, textbook: DataFrame, urls: DataFrame, fact_rows: DataFrame) -> DataFrame:
-    """One evidence row per code; missing parts become explicit statuses.
+    """One evidence row per code; missing parts become explicit statuses with their gap texts.
 
-    ``syllabus(code, heading, locator)``, ``textbook(code, doc_id, row)``, ``urls(code, url)``, ``facts`` rows.
+    ``syllabus(code, path, sha256, heading, locator, has_sample)``: a document without heading is a candidate only, its digest
+    is not evidence; ``textbook(code, doc_id, path, locator, row, row_truncated)``, ``urls(code, url)``, ``facts`` rows.
+    Of a code that repeats in a part, the row with the least path (document, url) counts.
     """
     f = fact_rows.groupBy("code").agg(
         F.count_if(F.col("status") == "verified").alias("verified_facts"),
         F.count_if(F.col("status") == "named_gap").alias("named_gaps"),
         F.max(F.when(F.col("field") == "name", F.col("value"))).alias("name"),
     )
-    s = syllabus.select("code", F.col("heading").alias("requirements_heading"), F.col("locator").alias("syllabus_locator"))
-    t = textbook.select("code", F.col("doc_id").alias("textbook_doc_id"), F.col("row").alias("textbook_row"))
-    out = codes.select("code").distinct().join(f, "code", "left").join(s, "code", "left").join(t, "code", "left").join(
-        urls.select("code", F.col("url").alias("course_url")), "code", "left"
+    first = lambda df, names, by: df.groupBy("code").agg(F.min_by(F.struct(*names), F.struct(*by)).alias("_x")).select("code", "_x.*")
+    s = first(syllabus, ["path", "sha256", "heading", "locator", "has_sample"], ["path"])
+    s = s.select("code", *[F.col(c).alias(f"_{c}") for c in s.columns[1:]])
+    t = first(textbook, ["doc_id", "path", "locator", "row", "row_truncated"], ["path", "doc_id"])
+    t = t.select("code", *[F.col(c).alias(f"textbook_{c}") for c in ("doc_id", "path", "locator", "row")], F.col("row_truncated"))
+    u = first(urls.select("code", F.col("url").alias("course_url")), ["course_url"], ["course_url"])
+    out = codes.select("code").distinct()
+    for part in (f, s, t, u):
+        out = out.join(part, "code", "left")
+    extracted, matched = F.col("_heading").isNotNull(), F.col("textbook_doc_id").isNotNull()
+    out = out.withColumn("syllabus_status", F.when(extracted, F.lit("extracted")).otherwise(F.lit("missing"))).withColumn(
+        "textbook_status", F.when(matched, F.lit("matched")).otherwise(F.lit("missing"))
+    )
+    verdict = eligibility(F.col("syllabus_status"), F.col("textbook_status"))
+    return out.select(
+        "code", "course_url", "name", "verified_facts", "named_gaps", "syllabus_status",
+        F.when(extracted, F.concat(F.lit("syllabus:"), "code")).alias("syllabus_doc_id"),
+        F.when(extracted, F.col("_path")).alias("syllabus_path"), F.when(extracted, F.col("_sha256")).alias("syllabus_sha256"),
+        F.when(~extracted, F.col("_path")).alias("candidate_path"), extracted.alias("has_assessment_requirements"),
+        F.coalesce("_has_sample", F.lit(False)).alias("has_sample_paper"), F.col("_heading").alias("requirements_heading"),
+        F.when(extracted, F.col("_locator")).alias("syllabus_locator"),
+        F.when(~extracted, F.lit(SYLLABUS_GAP[0])).alias("syllabus_gap_impact"), F.when(~extracted, F.lit(SYLLABUS_GAP[1])).alias("syllabus_next_evidence"),
+        "textbook_status", "textbook_doc_id", "textbook_path", "textbook_locator", "textbook_row", "row_truncated",
+        F.when(~matched, F.lit(TEXTBOOK_GAP[0])).alias("textbook_gap_impact"), F.when(~matched, F.lit(TEXTBOOK_GAP[1])).alias("textbook_next_evidence"),
+        verdict.level.alias("level"), verdict.reasons.alias("reasons"),
     )
-    out = out.withColumn(
-        "syllabus_status", F.when(F.col("requirements_heading").isNotNull(), F.lit("extracted")).otherwise(F.lit("missing"))
-    ).withColumn("textbook_status", F.when(F.col("textbook_doc_id").isNotNull(), F.lit("matched")).otherwise(F.lit("missing")))
-    return out.withColumn("level", eligibility(F.col("syllabus_status"), F.col("textbook_status")).level)
 
 
 # -- validation ---------------------------------------------------------------------------------

@@ -38,30 +38,31 @@ def extract(scoped: DataFrame, keys: list[str]) -> DataFrame:
 def collect(refs: DataFrame, authoritative_hosts: list[str], digits: str = tx.FIVE_DIGITS) -> DataFrame:
     """One row per url: host, authority, occurrence count, and how many distinct codes, sections and files.
 
-    The member lists themselves are rows of ``url_members``: a url may be cited by any number of pages, so no
-    per-url array is built.
+    One scan: every reference becomes one row per member, equal ones are combined before they move, and the totals
+    are sums of those counts.  The member lists themselves are rows of ``url_members``: a url may be cited by any number
+    of pages, so no per-url array is built.
     """
-    counts = url_members(refs, digits).groupBy("url").agg(
-        F.count_if(F.col("member") == "code").alias("n_codes"),
-        F.count_if(F.col("member") == "section").alias("n_sections"),
-        F.count_if(F.col("member") == "file").alias("n_files"),
-    )
-    totals = refs.groupBy("url").agg(F.count(F.lit(1)).alias("n_refs"))
+    per = refs.select("url", F.inline(_members(digits))).groupBy("url", "member", F.coalesce("value", F.lit("")).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    given = lambda name: F.count_if((F.col("member") == name) & (F.col("value") != ""))
     host = tx.host_of("url")
-    return totals.join(counts, "url").select(
-        "url", host.alias("host"), host.isin(authoritative_hosts).alias("authoritative"),
-        "n_refs", "n_codes", "n_sections", "n_files",
-    )
+    return per.groupBy("url").agg(
+        # every reference gives one row of each member, blank or not
+        F.sum(F.when(F.col("member") == "file", F.col("n"))).alias("n_refs"),
+        given("code").alias("n_codes"), given("section").alias("n_sections"), given("file").alias("n_files"),
+    ).select("url", host.alias("host"), host.isin(authoritative_hosts).alias("authoritative"), "n_refs", "n_codes", "n_sections", "n_files")
 
 
-def url_members(refs: DataFrame, digits: str = tx.FIVE_DIGITS) -> DataFrame:
-    """Distinct (url, member, value) with member ``code``, ``section`` or ``file``; blanks left out."""
-    members = F.array(
+def _members(digits: str) -> Column:
+    return F.array(
         F.struct(F.lit("code").alias("member"), tx.entity_code_from_path("path", digits).alias("value")),
         F.struct(F.lit("section").alias("member"), F.col("section").alias("value")),
         F.struct(F.lit("file").alias("member"), F.col("path").alias("value")),
     )
-    return refs.select("url", F.inline(members)).filter(F.coalesce("value", F.lit("")) != "").distinct()
+
+
+def url_members(refs: DataFrame, digits: str = tx.FIVE_DIGITS) -> DataFrame:
+    """Distinct (url, member, value) with member ``code``, ``section`` or ``file``; blanks left out."""
+    return refs.select("url", F.inline(_members(digits))).filter(F.coalesce("value", F.lit("")) != "").distinct()
 
 
 def classify_probes(attempts: DataFrame) -> DataFrame:

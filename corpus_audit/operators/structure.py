@@ -381,6 +381,54 @@ def body_slices(lines: DataFrame, titles: DataFrame, keys: list[str]) -> DataFra
     )
 
 
+def document_slices(docs: DataFrame, keys: list[str], lines: Column) -> DataFrame:
+    """The rows of ``body_slices`` of ``unit_titles``, folded from each document's own line array: no shuffle, one scan.
+
+    (keys, idx, title, line_no, text).  ``lines`` is the array of a document's lines; a null array has no units.  The fold
+    over the titles carries the line of the last anchor found, so each title looks only below it.
+    """
+    line = lambda x, i: tx.let(
+        tx.fold_ws(x),
+        lambda f: F.struct(
+            (i + 1).cast("bigint").alias("n"), x.alias("raw"), f.alias("f"), f.rlike(CHAPTER_TITLE).alias("label"),
+            (f.rlike(PART_LABEL) | f.rlike(APPENDIX_TITLE)).alias("bound"),
+        ),
+    )
+    rows = docs.select(*keys, F.transform(lines, line).alias("_l")).withColumn("_labels", F.filter("_l", lambda x: x.label))
+    first_line = lambda c, test: F.get(F.filter(c, test), F.lit(0)).n
+    rows = rows.withColumns({"_toc": first_line("_l", lambda x: x.f == TOC_MARK), "_body": first_line("_l", lambda x: x.f.contains(BODY_MARK))})
+    rows = rows.withColumn("_first", first_line("_labels", lambda x: x.n > F.col("_toc")))
+    other = lambda x: (x.n > F.col("_first")) & ~x.label & (x.f != "") & ~x.f.rlike(PAGE_NUMBER)
+    stop = F.coalesce(first_line("_l", other), F.size("_l").cast("bigint") + 1)
+    rows = rows.withColumn("_start", F.when(F.col("_first").isNotNull(), stop).otherwise(F.col("_body")))
+    listed = F.transform(F.filter("_labels", lambda x: (x.n >= F.col("_first")) & (x.n < F.col("_start"))), lambda x: x.f)
+    found = F.array_distinct(F.transform(F.filter("_labels", lambda x: x.n > F.col("_body")), lambda x: x.f))
+    rows = rows.withColumn("_titles", F.when(F.col("_first").isNotNull(), listed).otherwise(found))
+    rows = rows.withColumns(
+        {
+            "_labels": F.filter("_labels", lambda x: x.n >= F.col("_start")),
+            "_bounds": F.transform(F.filter("_l", lambda x: x.bound), lambda x: x.n),
+        }
+    )
+    none = F.struct(F.lit(0).cast("bigint").alias("cursor"), F.array().cast("array<bigint>").alias("anchors"))
+
+    def step(acc: Column, title: Column) -> Column:
+        hit = first_line("_labels", lambda x: (x.f == title) & (x.n > acc.cursor))
+        return tx.let(hit, lambda h: F.struct(F.coalesce(h, acc.cursor).alias("cursor"), F.concat(acc.anchors, F.array(h)).alias("anchors")))
+
+    rows = rows.withColumn("_anchors", F.aggregate("_titles", none, step).anchors)
+    unit = F.filter(
+        F.transform("_titles", lambda t, i: F.struct(i.alias("idx"), t.alias("title"), F.get("_anchors", i).alias("anchor"))), lambda u: u.anchor.isNotNull()
+    )
+    rows = rows.select(*keys, "_l", "_anchors", "_bounds", F.explode(unit).alias("_u"))
+    after = F.array_min(F.filter("_anchors", lambda a: a > F.col("_u.anchor")))
+    edge = F.array_min(F.filter("_bounds", lambda b: b >= F.col("_u.anchor")))
+    end = F.least(F.coalesce(after, F.size("_l") + 1), F.coalesce(edge, F.size("_l") + 1))
+    cut = F.slice("_l", F.col("_u.anchor").cast("int"), (end - F.col("_u.anchor")).cast("int"))
+    rows = rows.select(*keys, "_u.idx", "_u.title", F.explode(cut).alias("_x"))
+    return rows.select(*keys, "idx", "title", F.col("_x.n").alias("line_no"), F.col("_x.raw").alias("text"))
+
+
 def appendix_slices(lines: DataFrame, keys: list[str], starts: DataFrame | None = None) -> DataFrame:
     """Lines of each numbered, titled appendix: (keys, anchor, title, line_no, text).
 

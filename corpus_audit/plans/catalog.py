@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpus_audit.functions import text as tx
 from corpus_audit.functions.text import FIVE_OR_MORE
 from corpus_audit.operators import catalog as ops
 from corpus_audit.operators import structure
@@ -116,6 +117,27 @@ def consolidate(spark, sf):
     return out
 
 
+# every part is a record of the course that is its brand; the name is missing in every fourth
+NAMED = "SELECT p_brand AS code, p_partkey AS line, CASE WHEN p_partkey % 4 <> 0 THEN p_name || '（' || p_size || '）' END AS name, p_size % 3 AS path FROM part"
+
+
+@query(
+    "e6_course_aliases",
+    f"""
+WITH c AS (SELECT code, arg_min(name, line) FILTER (WHERE name IS NOT NULL) AS name, count(DISTINCT path) AS n_groups, count(*) AS n_sources, count(DISTINCT lower(name)) > 1 AS clash FROM ({NAMED}) GROUP BY code)
+SELECT code, name, n_groups, n_sources, clash::BIGINT AS n_conflicts,
+ array_to_string(list_sort(list_distinct([a FOR a IN [replace(name, ' ', ''), replace(replace(name, '（', '('), '）', ')')] IF a <> '' AND a <> name])), '|') AS aliases FROM c
+""",
+)
+def course_aliases(spark, sf):
+    """Consolidated courses with the spelling variants of their first name in the row."""
+    key = F.col("p_partkey")
+    name = F.when(key % 4 != 0, F.concat("p_name", F.lit("（"), F.col("p_size").cast("string"), F.lit("）")))
+    rows = table(spark, sf, "part").select(F.col("p_brand").alias("code"), key.alias("line"), name.alias("name"), (F.col("p_size") % 3).alias("path"))
+    out = ops.consolidate(rows, "code", ["name"], {"name": tx.name_key("name")}, ["line"], ["path"], name="name")
+    return out.withColumn("aliases", F.concat_ws("|", "aliases"))
+
+
 @query("e6_members", f"SELECT DISTINCT code, path, tier FROM ({RECORDS})")
 def members(spark, sf):
     return ops.members(records(spark, sf), "code", ["path", "tier"])

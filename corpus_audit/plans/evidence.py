@@ -164,28 +164,42 @@ def supporting_locator(spark, sf):
     return ops.supporting_locator(cites(spark, sf), inputs.document_lines(spark, sf), "doc_id")
 
 
+SYL_GAP, BOOK_GAP = ops.SYLLABUS_GAP, ops.TEXTBOOK_GAP
+
+
 @query(
     "f7_assemble",
     f"""
 WITH f AS (SELECT code, count(*) FILTER (WHERE status = 'verified') AS verified_facts, count(*) FILTER (WHERE status = 'named_gap') AS named_gaps, max(value) FILTER (WHERE field = 'name') AS name FROM ({FACTS_SQL}) GROUP BY code),
-s AS (SELECT printf('%05d', s_suppkey) AS code, s_name AS requirements_heading, 'L' || s_suppkey AS syllabus_locator FROM supplier),
-t AS (SELECT printf('%05d', l_partkey) AS code, max(l_suppkey) AS textbook_doc_id, max(l_returnflag) AS textbook_row FROM lineitem GROUP BY 1),
+s AS (SELECT printf('%05d', s_suppkey) AS code, 'syl/' || s_suppkey AS path, sha256(s_name) AS sha, CASE WHEN s_suppkey % 4 <> 0 THEN s_name END AS heading, s_suppkey % 3 = 0 AS sample, s_suppkey FROM supplier),
+t AS (SELECT printf('%05d', l_partkey) AS code, max(l_suppkey) AS doc, max(l_returnflag) AS r FROM lineitem WHERE l_partkey % 9 <> 0 GROUP BY 1),
 u AS (SELECT printf('%05d', page_id) AS code, url AS course_url FROM pages)
-SELECT f.*, requirements_heading, syllabus_locator, textbook_doc_id, textbook_row, course_url, CASE WHEN s.code IS NULL THEN 'missing' ELSE 'extracted' END AS syllabus_status,
- CASE WHEN t.code IS NULL THEN 'missing' ELSE 'matched' END AS textbook_status, CASE WHEN s.code IS NOT NULL AND t.code IS NOT NULL THEN 'L1' ELSE 'blocked' END AS level
+SELECT f.*, course_url, CASE WHEN heading IS NULL THEN 'missing' ELSE 'extracted' END AS syllabus_status, CASE WHEN heading IS NOT NULL THEN 'syllabus:' || f.code END AS syllabus_doc_id,
+ CASE WHEN heading IS NOT NULL THEN path END AS syllabus_path, CASE WHEN heading IS NOT NULL THEN sha END AS syllabus_sha256, CASE WHEN heading IS NULL THEN path END AS candidate_path,
+ heading IS NOT NULL AS has_assessment_requirements, coalesce(sample, false) AS has_sample_paper, heading AS requirements_heading, CASE WHEN heading IS NOT NULL THEN 'L' || s_suppkey END AS syllabus_locator,
+ CASE WHEN heading IS NULL THEN '{SYL_GAP[0]}' END AS syllabus_gap_impact, CASE WHEN heading IS NULL THEN '{SYL_GAP[1]}' END AS syllabus_next_evidence,
+ CASE WHEN t.code IS NULL THEN 'missing' ELSE 'matched' END AS textbook_status, doc AS textbook_doc_id, 'book/' || doc AS textbook_path, 'L' || doc AS textbook_locator, r AS textbook_row, r = 'R' AS row_truncated,
+ CASE WHEN t.code IS NULL THEN '{BOOK_GAP[0]}' END AS textbook_gap_impact, CASE WHEN t.code IS NULL THEN '{BOOK_GAP[1]}' END AS textbook_next_evidence,
+ CASE WHEN heading IS NOT NULL AND t.code IS NOT NULL THEN 'L1' ELSE 'blocked' END AS level,
+ 'syllabus:' || CASE WHEN heading IS NULL THEN 'missing' ELSE 'extracted' END || ',textbook_plan:' || CASE WHEN t.code IS NULL THEN 'missing' ELSE 'matched' END AS reasons
 FROM f LEFT JOIN s USING (code) LEFT JOIN t USING (code) LEFT JOIN u USING (code)
 """,
 )
 def assemble(spark, sf):
     five = lambda c: inputs.padded(F.col(c)).alias("code")
+    key = F.col("s_suppkey")
+    named = lambda prefix, c: F.concat(F.lit(prefix), c.cast("string"))
     syllabus = table(spark, sf, "supplier").select(
-        five("s_suppkey"), F.col("s_name").alias("heading"), F.concat(F.lit("L"), F.col("s_suppkey").cast("string")).alias("locator")
-    )
-    textbook = table(spark, sf, "lineitem").groupBy(five("l_partkey")).agg(
-        F.max("l_suppkey").alias("doc_id"), F.max("l_returnflag").alias("row")
+        five("s_suppkey"), named("syl/", key).alias("path"), F.sha2("s_name", 256).alias("sha256"), F.when(key % 4 != 0, F.col("s_name")).alias("heading"),
+        named("L", key).alias("locator"), (key % 3 == 0).alias("has_sample"),
     )
+    doc = F.col("doc_id")
+    textbook = (
+        table(spark, sf, "lineitem").where(F.col("l_partkey") % 9 != 0).groupBy(five("l_partkey")).agg(F.max("l_suppkey").alias("doc_id"), F.max("l_returnflag").alias("row"))
+    ).select("code", "doc_id", named("book/", doc).alias("path"), named("L", doc).alias("locator"), "row", (F.col("row") == "R").alias("row_truncated"))
     urls = table(spark, sf, "pages").select(five("page_id"), "url")
-    return ops.assemble(codes(spark, sf), syllabus, textbook, urls, ops.facts(codes(spark, sf), catalog(spark, sf)))
+    out = ops.assemble(codes(spark, sf), syllabus, textbook, urls, ops.facts(codes(spark, sf), catalog(spark, sf)))
+    return out.withColumn("reasons", F.concat_ws(",", "reasons"))
 
 
 FACT_ROWS = """

@@ -288,8 +288,14 @@ SYLLABUS = (
 )
 
 
-def syllabus_lines(spark: SparkSession, sf: str) -> DataFrame:
+def syllabus_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, lines): the syllabus of each document as an array."""
     docs = wide(spark, sf, "documents").select("doc_id", "source", "lang", F.split("text", "\n", -1).alias("l"))
-    return docs.select("doc_id", F.posexplode(F.expr(_syllabus("spark"))).alias("_p", "text")).select(
+    return docs.select("doc_id", F.expr(_syllabus("spark")).alias("lines"))
+
+
+def syllabus_lines(spark: SparkSession, sf: str) -> DataFrame:
+    docs = syllabus_documents(spark, sf)
+    return docs.select("doc_id", F.posexplode("lines").alias("_p", "text")).select(
         "doc_id", (F.col("_p") + 1).cast("bigint").alias("line_no"), "text"
     )

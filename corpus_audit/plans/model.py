@@ -18,7 +18,7 @@ LOGICAL = sp.logical_sql(sp.SLICES_SQL, KEYS_SQL)
 
 
 def logical(spark, sf):
-    return structure.logical_lines(sp.slices(spark, sf), KEYS)
+    return structure.logical_lines(sp.unit_lines(spark, sf), KEYS)
 
 
 def _numbers(n: int) -> str:

@@ -199,16 +199,17 @@ def marked_blocks(spark, sf):
     block = F.concat(
         F.lit("<!-- manual:begin id=b"), (F.col("turn") % 3).cast("string"), F.lit(" -->\n"), "text", F.lit("\n<!-- manual:end -->")
     )
-    turns = F.array_sort(F.collect_list(F.when(F.col("late") == 1, F.struct("turn", "block"))))
-    early = F.array_sort(F.collect_list(F.when(F.col("late") == 0, F.struct("turn", "block"))))
-    join = lambda a: F.array_join(F.transform(a, lambda x: x.block), "\n")
-    pages = (
+    late = F.col("turn") >= 4
+    last = lambda c: F.max_by("block", F.when(c, F.col("turn")))
+    # the last block of a slot wins, so a page needs only that of each of its three slots
+    slots = (
         table(spark, sf, "conversations")
         .withColumn("block", block)
-        .withColumn("late", (F.col("turn") >= 4).cast("int"))
-        .groupBy("conv_id")
-        .agg(join(turns).alias("target"), join(early).alias("fallback"))
+        .groupBy("conv_id", (F.col("turn") % 3).alias("slot"))
+        .agg(last(late).alias("late"), last(~late).alias("early"))
     )
+    join = lambda c: F.array_join(F.sort_array(F.collect_list(c)), "\n")
+    pages = slots.groupBy("conv_id").agg(join("late").alias("target"), join("early").alias("fallback"))
     merged = ops.merge_marked(ops.marked_blocks("fallback"), ops.marked_blocks("target"))
     return pages.select("conv_id", F.explode(merged).alias("id", "body")).select(
         "conv_id", F.substring("id", 2, 9).cast("bigint").alias("slot"), "body"
@@ -292,6 +293,16 @@ def slices(spark, sf):
     return ops.body_slices(lines, titles(spark, sf), ["doc_id"])
 
 
+def unit_lines(spark, sf):
+    """The same rows by one scan and no shuffle, which the model queries start from."""
+    return ops.document_slices(inputs.syllabus_documents(spark, sf), ["doc_id"], F.col("lines"))
+
+
+@query("c11_document_slices", SLICES_SQL)
+def document_slices(spark, sf):
+    return unit_lines(spark, sf).select("doc_id", F.col("idx").cast("bigint").alias("idx"), "title", "line_no", tx.fold_ws("text").alias("text"))
+
+
 @query("c11_body_slices", SLICES_SQL)
 def body_slices(spark, sf):
     return slices(spark, sf).select("doc_id", F.col("idx").cast("bigint").alias("idx"), "title", "line_no", tx.fold_ws("text").alias("text"))

@@ -409,3 +409,15 @@ def test_results_do_not_depend_on_partitioning(spark):
     once = rows(catalog.conflicts(df.coalesce(1), "code", {"credits": F.col("credits")}, order), "value", "position", "path", "line")
     for parts in (3, 11):
         assert rows(catalog.conflicts(df.repartition(parts), "code", {"credits": F.col("credits")}, order), "value", "position", "path", "line") == once
+
+
+def test_units_folded_per_document_equal_the_window_form(spark):
+    rng = random.Random(12)
+    pool = ["大纲目录", "导论", "绪 论", "第一章 甲", "第 2 章 乙", "第一章 甲 ", "Ⅰ 性质", "Ⅲ 课程内容与考核要求", "附录一 丙", "3", "", "文 字", "1.节", "第二章"]
+    texts = [[rng.choice(pool) for _ in range(rng.randint(0, 25))] for _ in range(150)] + [None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k long, lines array<string>")
+    lines = docs.select("k", F.posexplode("lines").alias("p", "text")).select("k", (F.col("p") + 1).cast("long").alias("line_no"), "text")
+    want = structure.body_slices(lines, structure.unit_titles(lines, ["k"]), ["k"])
+    got = structure.document_slices(docs, ["k"], F.col("lines"))
+    columns = ["k", "idx", "title", "line_no", "text"]
+    assert rows(got, *columns) == rows(want, *columns) != []
