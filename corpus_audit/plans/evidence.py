@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpus_audit.functions import text as tx
+from corpus_audit.operators import drift
 from corpus_audit.operators import evidence as ops
 from corpus_audit.plans import inputs
-from corpus_audit.plans.registry import query, table
+from corpus_audit.plans.registry import query, table, wide
 from corpus_audit.plans.text import FILES_SQL, source_files
 
 
@@ -306,6 +307,40 @@ def forbidden_artifacts(spark, sf):
     return ops.forbidden_artifacts(ev, made, "l_orderkey")
 
 
+# stored and fresh evidence as JSON, with one kind of defect per divisor; stamps differ everywhere
+DRIFT_SQL = """
+SELECT o_orderkey, '' AS path, 'only_left' AS problem FROM orders WHERE o_orderkey % 10 = 0 UNION ALL
+SELECT o_orderkey, '/status', 'differs' FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey % 10 <> 0 UNION ALL
+SELECT o_orderkey, '/facts/1/value', 'kind' FROM orders WHERE o_orderkey % 11 = 0 AND o_orderkey % 10 <> 0 UNION ALL
+SELECT o_orderkey, '/facts/2', 'only_right' FROM orders WHERE o_orderkey % 13 = 0 AND o_orderkey % 10 <> 0 UNION ALL
+SELECT o_orderkey, '/syllabus/a~1b', 'only_left' FROM orders WHERE o_orderkey % 17 = 0 AND o_orderkey % 10 <> 0 UNION ALL
+SELECT o_orderkey, '/syllabus', 'kind' FROM orders WHERE o_orderkey % 17 <> 0 AND o_orderkey % 19 = 0 AND o_orderkey % 10 <> 0
+"""
+
+
+@query("f13_drift_paths", DRIFT_SQL)
+def drift_paths(spark, sf):
+    k = F.col("o_orderkey")
+
+    def side(fresh):
+        hit = lambda n: (k % n == 0) if fresh else F.lit(False)
+        fact = lambda v: F.concat(F.lit('{"value": '), v, F.lit(f', "generated_at": "{int(fresh)}"}}'))
+        facts = F.concat_ws(
+            ", ", fact(F.concat(k.cast("string"), F.lit(".0" if fresh else ""))), fact(F.when(hit(11), "null").otherwise('"v"')), F.when(hit(13), '{"more": []}')
+        )
+        nested = F.concat(F.lit('{"a/b": '), k.cast("string"), F.lit(', "c": {}}'))
+        syllabus = F.when(hit(17), '{"c": {}}').when(hit(19), "[1]").otherwise(nested)
+        body = F.concat(
+            F.lit(f'{{"generated_at": "{int(fresh)}", "status": "'), F.when(hit(7), "X").otherwise(F.col("o_orderstatus")), F.lit('", "facts": ['), facts,
+            F.lit('], "syllabus": '), syllabus, F.lit("}"),
+        )
+        return body.alias("json")
+
+    orders = wide(spark, sf, "orders")
+    out = drift.value_drift(orders.select("o_orderkey", side(False)), orders.where(k % 10 != 0).select("o_orderkey", side(True)), "o_orderkey", "json")
+    return out.select("o_orderkey", "path", "problem")
+
+
 @query(
     "f13_fresh_equal",
     """
