@@ -9,14 +9,15 @@ recall is reached: a pair of just the wanted similarity stays together over ``LE
 at least similarity ** LEVELS.
 
 All trees go down together, a written table of (path, set) per step, so a lost executor costs one step.  Equal sets are one
-set.  Each step first compares the sets of a node with one centre of it and joins what links to components; only pairs
-between different components are left to decide, so a large group of near copies is settled by its centres and is never
-expanded to pairs.  A pair is dropped without its texts when sizes or the parities of 1,024 hash classes prove too many
+set.  Each step first compares every set with the nearest centre of its nodes; sets whose links lead to the same centre are
+one group, and only pairs between groups are left to decide, so many near copies are settled by their centres and
+never expanded to pairs.  The links of all steps make the components in the end.  A pair is dropped without its texts when sizes or the parities of 1,024 hash classes prove too many
 differences; every other pair is verified on the full sets.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil, log
 
 import numpy as np
@@ -25,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpus_audit.llm.common import keyed_texts, sliced, stash, text_bytes
-from corpus_audit.llm.jaccard import CLASSES, Shingler, _labelled, _Links, _mixed, _node, exhaustive, stars, undecided
+from corpus_audit.llm.components import connected_components
+from corpus_audit.llm.jaccard import CLASSES, Shingler, _labelled, _mixed, _node, _verified, exhaustive, first_texts, undecided
 
 #: levels that the recall is reckoned over, pairs that a node may have left to be compared exhaustively, levels of a later step
 LEVELS, SMALL, STEP = 3, 65_536, 2
@@ -122,26 +124,50 @@ def _shared(members: DataFrame) -> DataFrame:
     return members.join(more, "path", "left_semi")
 
 
+def _nearest(members: DataFrame, share: int) -> DataFrame:
+    """(a, b): every set with the centre, of those of its nodes, from which the fewest hash classes set it apart.
+
+    ``members`` (path, node, component, n, parity).  Centres of the same component, and those that sizes or parities rule
+    out, are left out.  A centre's hash is the least of its node, so links always lead to a smaller hash.
+    """
+    pick = F.struct(F.xxhash64("node"), "node", "component", "n", "parity")
+    star = members.join(members.groupBy("path").agg(F.min(pick).alias("c")), "path").where(F.col("component") != F.col("c.component"))
+    odd = F.aggregate(F.zip_with("parity", "c.parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+    sizes = F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * share
+    close = star.where(sizes).withColumn("odd", odd).where(F.col("odd") * (100 + share) <= (F.col("n") + F.col("c.n")) * (100 - share))
+    return close.groupBy(F.col("node").alias("b")).agg(F.min_by("c.node", F.struct("odd", "c.node")).alias("a")).select("a", "b")
+
+
+def _pointers(near: DataFrame) -> DataFrame:
+    """(node, component): up to four links up from every set.  It only saves comparisons: the links decide the components."""
+    up = near.groupBy(F.col("b").alias("node")).agg(F.min_by("a", F.xxhash64("a")).alias("component"))
+    above = up.select(F.col("node").alias("component"), F.col("component").alias("_above"))
+    twice = up.join(above, "component", "left").select("node", F.coalesce("_above", "component").alias("component"))
+    above = twice.select(F.col("node").alias("component"), F.col("component").alias("_above"))
+    return twice.join(above, "component", "left").select("node", F.coalesce("_above", "component").alias("component"))
+
+
 def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> DataFrame:
     """(node, component) of every set that has a link."""
-    links = _Links(docs, nodes, words, share)
-    none = nodes.limit(0).select("node", F.col("node").alias("component"))
-    known = lambda rows: _labelled(rows, none if links.labels is None else links.labels)
-    members, turn = stash(_shared(nodes.select(F.explode("paths").alias("path"), "node", "n")), "members"), 0
+    members = stash(_shared(nodes.select(F.explode("paths").alias("path"), "node", "n")), "members")
+    asked = members.select("node").distinct().join(nodes, "node").select("doc_id", "text_hash", "node")
+    texts, near, links = None, [], []
+    known = lambda rows: _labelled(rows, labels) if near else rows.withColumn("component", F.col("node"))
     while not members.isEmpty():
-        links.nearest(stars(known(members), "path", turn, share))
-        left = known(members)
+        if texts is None:
+            texts = stash(first_texts(docs, stash(asked, "firsts")), "texts")
+        marked = known(members.select("path", "node")).join(nodes.select("node", "n", "parity"), "node")
+        near.append(stash(_verified(_nearest(marked, share), texts, words, share), "near"))
+        labels = stash(_pointers(reduce(DataFrame.unionByName, near)), "pointers")
+        left = known(members.select("path", "node", "n"))
         left = stash(left.join(undecided(left, "path"), "path"), "undecided")
         small = exhaustive(left.where(F.col("pairs") <= SMALL), "path", nodes, share)
-        links.verify(stash(small, "pairs"))
-        # large nodes go down; what the exhaustive nodes have joined in the meantime is taken out first
-        large = known(left.where(F.col("pairs") > SMALL).select("path", "node", "n"))
-        large = stash(large.join(undecided(large, "path"), "path", "left_semi").select("path", "node", "n"), "large")
-        if large.isEmpty():
-            break
-        links.fetch(large.select("node").distinct())
-        members, turn = stash(_shared(_deeper(large, links.texts, words, share)), "members"), turn + 1
-    return none if links.labels is None else links.labels
+        links.append(stash(_verified(small, texts, words, share), "links"))
+        large = left.where(F.col("pairs") > SMALL).select("path", "node", "n")
+        members = stash(_shared(_deeper(large, texts, words, share)), "members")
+    if not links:
+        return nodes.limit(0).select("node", F.col("node").alias("component"))
+    return stash(connected_components(reduce(DataFrame.unionByName, [*near, *links])), "labels")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, share: int = 85, recall: float = 0.9999) -> DataFrame:

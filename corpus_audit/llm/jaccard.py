@@ -35,7 +35,7 @@ from corpus_audit.llm.common import keyed_texts, sliced, stash, text_bytes, unus
 from corpus_audit.llm.components import connected_components
 from corpus_audit.scale import broadcast_if_small
 
-HOT_PAIRS, MAX_WORDS, CLASSES = 1000, 500_000, 1024
+MAX_WORDS, CLASSES = 500_000, 1024
 #: pairs that a bucket may have left to be compared in one task, members of a slice of a larger one
 SMALL, SLICE = 65_536, 512
 SPARSE = 1
@@ -244,12 +244,13 @@ def _promising(pairs: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> DataFrame:
-    """Pairs (a, b) whose sets reach the similarity.  A node with many pairs is met in slices of ``HOT_PAIRS``."""
-    slices = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HOT_PAIRS).cast("int").alias("k"))
-    left = slices.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
-    left = left.select("a", "a_text", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("slice"))
-    right = pairs.join(slices, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("k")).cast("int")).drop("k")
-    right = right.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
+    """Pairs (a, b) whose sets reach the similarity.
+
+    The text of b joins its pair first, then that of a; an ``a`` with very many pairs is a skewed key of that join, which
+    adaptive execution splits.  A task reads the set of an ``a`` once for its neighbouring pairs.
+    """
+    other = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
+    both = other.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a").select("a", "a_text", "b", "b_text")
 
     def run(batches):
         import zstandard
@@ -268,8 +269,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> Dat
                     kept.append(k)
             yield pa.RecordBatch.from_pydict({"a": pa.array([a[k] for k in kept], pa.int64()), "b": pa.array([b[k] for k in kept], pa.int64())})
 
-    both = right.join(left, ["a", "slice"]).select("a", "a_text", "b", "b_text")
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(run, "a long, b long")
 
 
 def _labelled(members: DataFrame, labels: DataFrame, node: str = "node", name: str = "component") -> DataFrame:
