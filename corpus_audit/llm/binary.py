@@ -30,12 +30,15 @@ from pyspark.sql import functions as F
 
 from corpus_audit.llm.common import keyed_texts, sliced, text_bytes
 from corpus_audit.llm.encoding import WordEncoder
+from corpus_audit.scale import estimated_bytes
 
 MAGIC, TAIL = b"TOKFILE1", b"TOKINDEX"
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("offset", "<u8"), ("size", "<u4"), ("n_tokens", "<u8")])
 SAMPLE_DOCS, SAMPLE_TOKENS, DICTIONARY_BYTES, LEVEL = 1000, 4096, 65536, 3
 
 FILES = "part int, file string, n_docs long, n_tokens long, bytes long"
+#: text bytes that a file holds about, and the most files that one table is cut into
+FILE_BYTES, MOST_FILES, UNKNOWN = 256 << 20, 100_000, 1 << 60
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids binary"
 
 
@@ -68,8 +71,14 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> byte
 
 
 def sample_ids(docs: DataFrame, tokenizer: str, item: str, n: int, tokens: int) -> list[bytes]:
-    """Serialized ids of the ``n`` documents with the smallest hash, ``tokens`` ids of each at most, for training."""
-    picked = keyed_texts(docs).orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(n)
+    """Serialized ids of the ``n`` documents with the smallest hash, ``tokens`` ids of each at most, for training.
+
+    Their ids and hashes are picked first, then their texts are read where they lie, so no other text moves.
+    """
+    rows = keyed_texts(docs).withColumn("h", F.xxhash64("doc_id", "text"))
+    names = rows.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).orderBy("_h", "_id").limit(n).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
+    picked = rows.join(F.broadcast(names), same, "left_semi").dropDuplicates(["doc_id", "h"]).select("doc_id", "text")
 
     def run(batches):
         encoder = WordEncoder(tokenizer)
@@ -146,17 +155,25 @@ def write_token_files(
             }
         )
 
-    ordered = keyed_texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # as many files as the bytes ask for: a compressed byte of the scan is at most four of text; a plan of unknown size
+    # keeps the session's number
+    parts, size = int(spark.conf.get("spark.sql.shuffle.partitions")), estimated_bytes(docs)
+    if size < UNKNOWN:
+        parts = max(parts, min(4 * size // FILE_BYTES + 1, MOST_FILES))
+    ordered = keyed_texts(docs).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, FILES).write.parquet(f"{folder}/manifest")
     # the dictionary was fitted before, so a rerun of a task writes the same frames
 
 
-def _open_index(data: bytes) -> tuple[dict, np.ndarray]:
-    if data[:8] != MAGIC or data[-8:] != TAIL:
+def _open_index(f) -> tuple[dict, np.ndarray]:
+    """Header and index of an open token file, by reads of their ranges alone."""
+    size = f.size()
+    end = f.read_at(24, size - 24) if size >= 24 else b""
+    if f.read_at(8, 0) != MAGIC or end[16:] != TAIL:
         raise ValueError("not a token file")
-    at, n = struct.unpack("<QQ", data[-24:-8])
-    (size,) = struct.unpack("<I", data[8:12])
-    return json.loads(data[12 : 12 + size]), np.frombuffer(data, INDEX, n, at)
+    at, n = struct.unpack("<QQ", end[:16])
+    (width,) = struct.unpack("<I", f.read_at(4, 8))
+    return json.loads(f.read_at(width, 12)), np.frombuffer(f.read_at(n * INDEX.itemsize, at), INDEX)
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -169,28 +186,27 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         shared = None
         for batch in batches:
             for name, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = _read(f"{folder}/files/{name}")
-                header, index = _open_index(data)
-                shared = shared or _checked(_read(f"{folder}/dictionary"), header["dictionary"])
-                press = zstandard.ZstdDecompressor(dict_data=shared)
-                start = base + np.cumsum(index["n_tokens"].astype(np.int64)) - index["n_tokens"].astype(np.int64)
-                for k in range(0, len(index), 256):
-                    rows = index[k : k + 256]
-                    ids = [
-                        np.frombuffer(press.decompress(data[r["offset"] : r["offset"] + r["size"]]), header["item"])
-                        .astype("<u4")
-                        .tobytes()
-                        for r in rows
-                    ]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(rows["doc_id"], pa.int64(), mask=rows["known"] == 0),
-                            pa.array(start[k : k + 256]),
-                            pa.array([len(x) // 4 for x in ids], pa.int64()),
-                            pa.array(ids, pa.binary()),
-                        ],
-                        ["doc_id", "start", "n_tokens", "ids"],
-                    )
+                store, path = _place(f"{folder}/files/{name}")
+                with store.open_input_file(path) as f:
+                    header, index = _open_index(f)
+                    shared = shared or _checked(_read(f"{folder}/dictionary"), header["dictionary"])
+                    press = zstandard.ZstdDecompressor(dict_data=shared)
+                    start = base + np.cumsum(index["n_tokens"].astype(np.int64)) - index["n_tokens"].astype(np.int64)
+                    for k in range(0, len(index), 256):
+                        rows = index[k : k + 256]
+                        low = int(rows["offset"][0])  # frames of neighbours lie together: one read for all
+                        data = f.read_at(int(rows["offset"][-1]) + int(rows["size"][-1]) - low, low)
+                        frames = [data[int(r["offset"]) - low : int(r["offset"]) - low + int(r["size"])] for r in rows]
+                        ids = [np.frombuffer(press.decompress(x), header["item"]).astype("<u4").tobytes() for x in frames]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(rows["doc_id"], pa.int64(), mask=rows["known"] == 0),
+                                pa.array(start[k : k + 256]),
+                                pa.array([len(x) // 4 for x in ids], pa.int64()),
+                                pa.array(ids, pa.binary()),
+                            ],
+                            ["doc_id", "start", "n_tokens", "ids"],
+                        )
 
     n = max(1, manifest.count())
     return files.select("file", "base").repartition(n).mapInArrow(run, DOCUMENTS)
@@ -200,11 +216,7 @@ def read_document(folder: str, file: str, doc_id: int) -> list[int]:
     """Ids of one document: the index of its file is read, then its frame alone."""
     store, path = _place(f"{folder}/files/{file}")
     with store.open_input_file(path) as f:
-        size = f.size()
-        at, n = struct.unpack("<QQ", f.read_at(24, size - 24)[:16])
-        (width,) = struct.unpack("<I", f.read_at(4, 8))
-        header = json.loads(f.read_at(width, 12))
-        index = np.frombuffer(f.read_at(n * INDEX.itemsize, at), INDEX)
+        header, index = _open_index(f)
         own = index[(index["doc_id"] == doc_id) & (index["known"] == 1)]
         if not len(own):
             raise KeyError(doc_id)
