@@ -72,6 +72,7 @@ def toxicity_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
         F.size("offending").alias("n_offending"),
+        "offending",
     )
 
 

@@ -448,3 +448,87 @@ def test_pipeline_stages_take_effect(spark):
         result = stage(spark, empty, SF)
         assert result.count() == 0
         empty = result if "text" in result.columns else empty
+
+
+def marked_documents(seed, n=400):
+    """Documents of two kinds that differ in words and layout, with labels of both kinds."""
+    rng = random.Random(seed)
+    docs, labels = [], []
+    for k in range(n):
+        good = rng.random() < 0.6
+        words = [rng.choice(["alpha", "beta", "gamma", "delta"] if good or rng.random() < 0.5 else ["BUY!!", "###", "x1x", "click"]) for _ in range(rng.randint(5, 80))]
+        text = "".join(w + rng.choice([" ", " ", ". ", "\n"]) for w in words)
+        rude = rng.random() < 0.3
+        if rude:
+            text += f". You {rng.choice(['vile', 'rotten'])} fool."
+        text += " More here."
+        docs.append((k, text))
+        if rng.random() < 0.9:
+            labels.append((k, int(good), int(rude)))
+    return docs, labels
+
+
+def test_discriminant_equals_a_direct_fit(spark):
+    docs, labels = marked_documents(31)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = quality.fit(frame, marks)
+    own = {k: zlib.crc32(str(k).encode()) % 3 != 1 for k, _ in docs}
+    texts = dict(docs)
+    train = [(quality.statistics(texts[k]), q) for k, q, _ in labels if own[k]]
+    x, y = np.array([t for t, _ in train]), np.array([q for _, q in train])
+    center, scale = x.mean(0), np.sqrt(np.maximum(x.var(0), 1e-6))
+    z = (x - center) / scale
+    covs = [np.cov(z[y == c].T) for c in (0, 1)]
+    within = sum((np.sum(y == c) - 1) * covs[c] for c in (0, 1)) / (len(y) - 2)
+    d, all_z = z.shape[1], (np.array([quality.statistics(t) for _, t in docs]) - center) / scale
+    density = []
+    for c in (0, 1):
+        cov = (1 - quality.POOLED) * covs[c] + quality.POOLED * within
+        cov = (1 - quality.RIDGE) * cov + quality.RIDGE * (np.trace(cov) / d + 1e-3) * np.eye(d)
+        gap = all_z - z[y == c].mean(0)
+        density.append(-0.5 * np.einsum("ij,jk,ik->i", gap, np.linalg.inv(cov), gap) - 0.5 * np.linalg.slogdet(cov)[1])
+    slope, shift = model.line
+    want = 1 / (1 + np.exp(-(slope * np.arcsinh(density[1] - density[0]) + shift)))
+    got = {r.doc_id: r.score for r in quality.score(frame, model).collect()}
+    assert np.allclose([got[k] for k, _ in docs], want, atol=1e-6)
+    held = [(got[k] >= 0.5) == bool(q) for k, q, _ in labels if not own[k]]
+    assert slope > 0 and np.mean(held) > 0.8
+
+
+def test_noisy_or_equals_a_plain_loop(spark):
+    docs, labels = marked_documents(32)
+    frame = spark.createDataFrame(docs + [(9000, None), (9001, "")], "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(frame, marks)
+
+    def plain(text):
+        low, clean, spans = text.lower(), 1.0, []
+        for a, b in toxicity.sentences(low):
+            z = model.bias + sum(model.weights.get(f, 0.0) for w in set(toxicity._WORD.findall(low, a, b)) for f in toxicity.features(w))
+            p = 1 - np.exp(-np.logaddexp(0, min(z, 500.0)))
+            clean *= 1 - p
+            if p >= 0.5:
+                spans.append((a, b, low[a:b]))
+        return 1 - clean, spans
+
+    got = {r.doc_id: r for r in toxicity.score(frame, model, offending="found").collect()}
+    for k, text in docs:
+        value, spans = plain(text)
+        assert got[k].score == pytest.approx(value, abs=1e-9)
+        assert [(s.start, s.end, s.sentence) for s in got[k].found] == spans
+    assert got[9000].score == got[9001].score == 0 and got[9000].found == []
+    # every held-out toxic document is found, and its sentence is the one that offends
+    for k, _, toxic in labels:
+        if zlib.crc32(str(k).encode()) % 3 == 1:
+            assert (got[k].score >= 0.7) == bool(toxic)
+            assert bool(got[k].found) == bool(toxic) and all("fool" in s.sentence for s in got[k].found)
+
+
+def test_toxicity_recall_on_held_out_labels(spark):
+    pairs = scored(spark, "op6_toxicity_instances")
+    toxic = [got for got, label in pairs if label.toxic == 1]
+    clean = [got for got, label in pairs if label.toxic == 0]
+    assert np.mean([g.predicted for g in toxic]) >= 0.75
+    assert np.mean([g.predicted for g in clean]) <= 0.01
+    assert all(len(g.offending) == g.n_offending for g in toxic + clean)
