@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from corpus_audit.llm.common import keyed_texts, sliced, stash, text_bytes
 from corpus_audit.llm.components import connected_components
-from corpus_audit.llm.jaccard import CLASSES, Shingler, _labelled, _mixed, _node, _verified, exhaustive, first_texts, undecided
+from corpus_audit.llm.jaccard import CLASSES, Shingler, _labelled, _mixed, _node, _verified, exhaustive, first_texts, pointers, undecided
 
 #: levels that the recall is reckoned over, pairs that a node may have left to be compared exhaustively, levels of a later step
 LEVELS, SMALL, STEP = 3, 65_536, 2
@@ -128,9 +128,9 @@ def _nearest(members: DataFrame, share: int) -> DataFrame:
     """(a, b): every set with the centre, of those of its nodes, from which the fewest hash classes set it apart.
 
     ``members`` (path, node, component, n, parity).  Centres of the same component, and those that sizes or parities rule
-    out, are left out.  A centre's hash is the least of its node, so links always lead to a smaller hash.
+    out, are left out.  A centre is the smallest of its node's sets, so links always lead to a smaller one.
     """
-    pick = F.struct(F.xxhash64("node"), "node", "component", "n", "parity")
+    pick = F.struct("node", "component", "n", "parity")
     star = members.join(members.groupBy("path").agg(F.min(pick).alias("c")), "path").where(F.col("component") != F.col("c.component"))
     odd = F.aggregate(F.zip_with("parity", "c.parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
     sizes = F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * share
@@ -138,15 +138,6 @@ def _nearest(members: DataFrame, share: int) -> DataFrame:
     return close.groupBy(F.col("node").alias("b")).agg(F.min_by("c.node", F.struct("odd", "c.node")).alias("a")).select("a", "b")
 
 
-def _pointers(near: DataFrame) -> DataFrame:
-    """(node, component): up to four links up from every set.  It only saves comparisons: the links decide the components."""
-    up = near.groupBy(F.col("b").alias("node")).agg(F.min_by("a", F.xxhash64("a")).alias("component"))
-    above = up.select(F.col("node").alias("component"), F.col("component").alias("_above"))
-    twice = up.join(above, "component", "left").select("node", F.coalesce("_above", "component").alias("component"))
-    above = twice.select(F.col("node").alias("component"), F.col("component").alias("_above"))
-    return twice.join(above, "component", "left").select("node", F.coalesce("_above", "component").alias("component"))
-
-
 def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> DataFrame:
     """(node, component) of every set that has a link."""
     members = stash(_shared(nodes.select(F.explode("paths").alias("path"), "node", "n")), "members")
@@ -158,7 +149,7 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> D
             texts = stash(first_texts(docs, stash(asked, "firsts")), "texts")
         marked = known(members.select("path", "node")).join(nodes.select("node", "n", "parity"), "node")
         near.append(stash(_verified(_nearest(marked, share), texts, words, share), "near"))
-        labels = stash(_pointers(reduce(DataFrame.unionByName, near)), "pointers")
+        labels = stash(pointers(reduce(DataFrame.unionByName, near)), "pointers")
         left = known(members.select("path", "node", "n"))
         left = stash(left.join(undecided(left, "path"), "path"), "undecided")
         small = exhaustive(left.where(F.col("pairs") <= SMALL), "path", nodes, share)

@@ -11,9 +11,8 @@ in itself and at most three together with the next, so of five finer parts of th
 signature is made once for every two of those.
 
 Equal sets are one node.  Nodes that share a signature form a bucket; a bucket emits no pairs but a star: its smallest
-member against the others.  Each member first meets the centre with which it shares most buckets; the links found are
-joined to components, and of the other pairs only those between different components are verified.  Only buckets that
-still hold members of different components go on.  Those with at most ``SMALL`` pairs left are compared inside one
+member against the others.  Each member first meets the centre with which it shares most buckets; members whose links lead
+to the same centre are one group, and only buckets that still hold members of different groups go on.  Those with at most ``SMALL`` pairs left are compared inside one
 task, which emits the pairs that sizes and parities of 1,024 hash classes do not rule out.  The members of larger ones
 are signed again on the second level: fewer partitions, each cut into ``FINER`` parts, of which all but ``SPARED`` agree in
 some partition, so that unlike sets part.  A bucket that is still large there is cut into slices, and each two
@@ -24,6 +23,7 @@ Shingles and sets are identified by 64-bit hashes.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -285,49 +285,55 @@ def _thinned(buckets: DataFrame) -> DataFrame:
     return buckets.join(marks.groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig"), "sig", "left_semi")
 
 
+def pointers(near: DataFrame) -> DataFrame:
+    """(node, component): up to four links up from every b of ``near`` (a, b), where a always comes before b in one order.
+
+    It only saves comparisons: the links decide the components.
+    """
+    up = near.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
+    for _ in range(2):
+        above = up.select(F.col("node").alias("component"), F.col("component").alias("_above"))
+        up = up.join(above, "component", "left").select("node", F.coalesce("_above", "component").alias("component"))
+    return up
+
+
 class _Links:
-    """The components that the links found so far make; texts are fetched once for each node that is asked about."""
+    """The links found so far; texts are fetched once for each node that is asked about."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, words: int, share: int):
         self.docs, self.nodes, self.words, self.share = docs, nodes, words, share
         self.texts = self.labels = None
+        self.near, self.others = [], []
 
     def fetch(self, asked: DataFrame) -> None:
         """Make sure that ``texts`` holds the texts of the nodes asked for, each once."""
         if self.texts is not None:
             asked = asked.join(self.texts.select("node"), "node", "left_anti")
         firsts = stash(asked.join(self.nodes, "node").select("doc_id", "text_hash", "node"), "firsts")
-        if not firsts.isEmpty():
-            texts = stash(first_texts(self.docs, firsts), "texts")
-            self.texts = texts if self.texts is None else self.texts.unionByName(texts)
+        texts = stash(first_texts(self.docs, firsts), "texts")
+        self.texts = texts if self.texts is None else self.texts.unionByName(texts)
 
-    def verify(self, pairs: DataFrame) -> None:
-        if pairs.isEmpty():
-            return
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        pairs = stash(pairs, "pairs")
         self.fetch(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
-        if self.texts is not None:
-            links = stash(_verified(pairs, self.texts, self.words, self.share), "links")
-            if self.labels is not None:  # what is joined already counts as one link from each node to its component
-                links = links.unionByName(self.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            self.labels = stash(connected_components(links), "labels")
-
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose ends are not in one component yet."""
-        both = _labelled(_labelled(pairs, self.labels, "a", "_a"), self.labels, "b", "_b")
-        return both.where(F.col("_a") != F.col("_b")).select("a", "b")
+        return stash(_verified(pairs, self.texts, self.words, self.share), "links")
 
     def nearest(self, pairs: DataFrame) -> None:
-        """Find links among ``pairs`` (a, b, shared): only the most promising of each b is looked at."""
+        """Find links among ``pairs`` (a, b, shared) with a < b: only the most promising of each b is looked at."""
         nearest = F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")
-        self.verify(stash(_promising(pairs, self.nodes, self.share).groupBy("b").agg(nearest).select("a", "b"), "nearest"))
+        self.near.append(self.verified(_promising(pairs, self.nodes, self.share).groupBy("b").agg(nearest).select("a", "b")))
+        self.labels = stash(pointers(reduce(DataFrame.unionByName, self.near)), "pointers")
 
-    def settle(self, pairs: DataFrame) -> None:
-        """Find the links among ``pairs`` (a, b, shared) that join components: the most promising of each b first."""
-        pairs = stash(_promising(pairs, self.nodes, self.share), "pairs")
-        nearest = F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")
-        self.verify(stash(pairs.groupBy("b").agg(nearest).select("a", "b"), "nearest"))
-        if self.labels is not None:
-            self.verify(stash(self.apart(pairs), "apart"))
+    def every(self, pairs: DataFrame) -> None:
+        """Find all links among ``pairs`` (a, b)."""
+        self.others.append(self.verified(pairs))
+
+    def known(self, members: DataFrame) -> DataFrame:
+        """``members`` with the ``component`` of each as far as it is known."""
+        return _labelled(members, self.labels)
+
+    def components(self) -> DataFrame:
+        return stash(connected_components(reduce(DataFrame.unionByName, [*self.near, *self.others])), "labels")
 
 
 def undecided(members: DataFrame, key: str) -> DataFrame:
@@ -338,10 +344,9 @@ def undecided(members: DataFrame, key: str) -> DataFrame:
     return sizes.select(key, F.col("m").cast("long").alias("m"), pairs.cast("long").alias("pairs")).where("pairs > 0")
 
 
-def stars(members: DataFrame, key: str, turn: int, share: int) -> DataFrame:
-    """(a, b, shared): the centre of each group with the members of other components that its size allows."""
-    pick = F.struct(F.xxhash64("node", F.lit(turn)), "node", "component", "n")
-    centres = members.groupBy(key).agg(F.min(pick).alias("c"))
+def stars(members: DataFrame, key: str, share: int) -> DataFrame:
+    """(a, b, shared): the smallest node of each group with the members of other components that its size allows."""
+    centres = members.groupBy(key).agg(F.min(F.struct("node", "component", "n")).alias("c"))
     star = members.join(centres, key).where(F.col("component") != F.col("c.component"))
     star = star.where(F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * share)
     return star.groupBy(F.col("c.node").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
@@ -427,34 +432,28 @@ def _signed_again(asked: DataFrame, texts: DataFrame, words: int, share: int) ->
 
 def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> DataFrame:
     """(node, component) of every node that has a link."""
-    links = _Links(docs, nodes, words, share)
-    none = nodes.limit(0).select("node", F.col("node").alias("component"))
-    known = lambda rows: _labelled(rows, none if links.labels is None else links.labels)
-    sizes = nodes.select("node", "n")
-
-    first = signatures(docs, words, share).withColumn("a", F.min("node").over(Window.partitionBy("sig")))
-    members = stash(first.where(F.col("a") != F.col("node")).distinct(), "buckets")
-    links.settle(members.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared")))
-    # the centres have met every member of their buckets; go on with the others where components differ
+    links, sizes, bucket = _Links(docs, nodes, words, share), nodes.select("node", "n"), Window.partitionBy("sig")
+    first = signatures(docs, words, share).withColumns({"a": F.min("node").over(bucket), "z": F.max("node").over(bucket)})
+    members = stash(first.where(F.col("a") != F.col("z")).select("sig", "node", "a").distinct(), "buckets")
+    star = members.where(F.col("a") != F.col("node"))
+    links.nearest(star.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared")))
     members = members.select("sig", "node")
     for level in range(2):
-        left = known(members)
-        left = stash(_thinned(left.join(undecided(left, "sig"), "sig").drop("m", "pairs")), "open")
-        links.nearest(stars(left.join(sizes, "node"), "sig", level, share))
-        left = known(left.select("sig", "node"))
-        left = stash(left.join(undecided(left, "sig"), "sig"), "undecided")
-        links.verify(stash(exhaustive(left.where(F.col("pairs") <= SMALL), "sig", nodes, share), "pairs"))
-        large = known(left.where(F.col("pairs") > SMALL).select("sig", "node"))
-        large = stash(large.join(undecided(large, "sig"), "sig"), "large")
-        if large.isEmpty():
-            break
         if level:
-            links.verify(stash(exhaustive(_sliced(large), "path", nodes, share), "pairs"))
-        else:
-            asked = large.select("node").distinct()
-            links.fetch(asked)
-            members = _shared(stash(_signed_again(asked, links.texts, words, share), "finer"))
-    return none if links.labels is None else links.labels
+            links.nearest(stars(links.known(members).join(sizes, "node"), "sig", share))
+        left = links.known(members)
+        left = stash(_thinned(left.join(undecided(left, "sig"), "sig")), "open")
+        links.every(exhaustive(left.where(F.col("pairs") <= SMALL), "sig", nodes, share))
+        large = left.where(F.col("pairs") > SMALL)
+        if level:
+            links.every(exhaustive(_sliced(large), "path", nodes, share))
+            break
+        asked = stash(large.select("node").distinct(), "asked")
+        if asked.isEmpty():
+            break
+        links.fetch(asked)
+        members = stash(_shared(_signed_again(asked, links.texts, words, share)), "finer")
+    return links.components()
 
 
 def _shared(members: DataFrame) -> DataFrame:
