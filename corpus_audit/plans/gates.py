@@ -272,14 +272,42 @@ def _refs_and_listing(spark, sf):
     s, folder = i.cast("string"), (i % 40).cast("string")
     tail = F.when(i % 4 == 0, " title.pdf").when(i % 4 == 1, "-b-c.pdf").when(i % 4 == 2, "（卷）.pdf").otherwise(".pdf")
     listing = table(spark, sf, "pages").select(F.concat(F.lit("en/"), folder, F.lit("/"), s, tail).alias("path"))
+    refs = table(spark, sf, "pages").select(i.alias("ref_id"), parse_ref(_reference(i)).alias("r")).select("ref_id", "r.path", "r.state")
+    return refs, listing
+
+
+def _reference(i):
+    s, folder, m = i.cast("string"), (i % 40).cast("string"), i % 7
     own = F.concat(F.lit("en/"), folder, F.lit("/"), s)
-    m = i % 7
-    raw = (
+    return (
         F.when(m == 0, F.concat(own, F.lit(".pdf"))).when(m == 1, "en/../x").when(m == 2, F.concat(F.lit("en/"), folder))
         .when(m == 3, F.concat(F.lit("en/secret"), s)).when(m == 4, F.concat(own, F.lit("-b"))).otherwise(own)
     )
-    refs = table(spark, sf, "pages").select(i.alias("ref_id"), parse_ref(raw).alias("r")).select("ref_id", "r.path", "r.state")
-    return refs, listing
+
+
+# two lines a page: one that names its reference, one that leaks a file in every eleventh page
+MATERIAL_SQL = f"""
+WITH j AS ({ORACLES['j4_resolve_refs']})
+SELECT 'ref_policy' AS rule, ref_id::VARCHAR AS entity, 'L1' AS locator, 'bad materials path' AS message FROM j WHERE ref_id % 7 = 1 UNION ALL
+SELECT 'ref_policy', ref_id::VARCHAR, 'L1', 'sensitive word in path' FROM j WHERE ref_id % 7 = 3 UNION ALL
+SELECT 'ref_unresolved', ref_id::VARCHAR, 'L1', resolution || ' ' || path FROM j WHERE resolution NOT IN ('ok', 'ok-prefix') UNION ALL
+SELECT 'line_leak', page_id::VARCHAR, 'L2', 'private or raw file' FROM pages WHERE page_id % 11 = 0 AND page_id % 22 <> 0
+"""
+
+
+def material_lines(spark, sf):
+    i = F.col("page_id")
+    named = F.concat(F.lit("see materials://"), _reference(i), F.lit("`, or materials://<path>"))
+    leak = F.when(i % 22 == 0, "official.example papers/2020.pdf").when(i % 11 == 0, "in papers/2020.pdf").otherwise("papers")
+    both = F.array(F.struct(F.lit(1).cast("bigint").alias("line_no"), named.alias("text")), F.struct(F.lit(2).cast("bigint").alias("line_no"), leak.alias("text")))
+    return table(spark, sf, "pages").select("page_id", F.inline(both))
+
+
+@query("j4_material_findings", MATERIAL_SQL)
+def material_findings(spark, sf):
+    _, listing = _refs_and_listing(spark, sf)
+    found = ops.material_findings(material_lines(spark, sf), listing, "page_id", "official.example", "private-store")
+    return found.select("rule", "entity", "locator", "message")
 
 
 REQUIRED = {"plan.md": ["tion", "the "], "sources.md": ["href"], "index.md": ["<nav>"]}
@@ -561,7 +589,7 @@ def schema_rules(spark, sf):
 # the rule groups of the layers that are made of other queries: their rows as findings, by column
 GROUPS = {
     "materials": [
-        ("j4_resolve_refs", {"rule": "resolution", "entity": "path", "message": "path"}, "resolution NOT IN ('ok', 'ok-prefix')"),
+        ("j4_material_findings", {"rule": "rule", "entity": "entity", "locator": "locator", "message": "message"}, "true"),
         ("b29_leak_patterns", {"rule": "rule", "entity": "doc_id", "locator": "line_no"}, "true"),
     ],
     "maturity-check": [("j12_projection_drift", {"rule": "problem", "entity": "doc_id"}, "true")],

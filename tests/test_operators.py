@@ -421,3 +421,34 @@ def test_units_folded_per_document_equal_the_window_form(spark):
     got = structure.document_slices(docs, ["k"], F.col("lines"))
     columns = ["k", "idx", "title", "line_no", "text"]
     assert rows(got, *columns) == rows(want, *columns) != []
+
+
+def test_material_findings_name_document_and_line(spark):
+    lines = [
+        ("d", 1, "ok materials://a/b.pdf and materials://a/b`"), ("d", 2, "materials://a/../x"), ("d", 3, "materials://a/my-secret"),
+        ("d", 4, "materials://<path> materials://...x"), ("d", 5, "materials://gone"), ("d", 6, "see (papers/x.pdf"), ("d", 7, "materials://a papers/x.pdf"),
+        ("e", 1, "official.example papers/x.pdf"), ("e", 2, None),
+    ]
+    frame = spark.createDataFrame(lines, "doc string, line_no long, text string")
+    files_ = spark.createDataFrame([("a/b.pdf",), ("a/b c.pdf",)], "path string")
+    got = gates.material_findings(frame, files_, "doc", "official.example", "private")
+    assert rows(got, "rule", "entity", "locator", "message") == [
+        ("line_leak", "d", "L6", "private or raw file"), ("ref_policy", "d", "L2", "bad materials path"), ("ref_policy", "d", "L3", "sensitive word in path"),
+        ("ref_unresolved", "d", "L2", "invalid:path-escape a/../x"), ("ref_unresolved", "d", "L3", "invalid:sensitive a/my-secret"), ("ref_unresolved", "d", "L5", "missing gone"),
+    ]
+    assert {r.rule for r in gates.material_findings(frame, None, "doc", "official.example", "private").collect()} == {"ref_policy", "ref_unresolved", "line_leak"}
+
+
+def test_findings_and_report_come_from_one_write(spark):
+    from corpus_audit.findings import as_findings, no_findings
+
+    df = spark.createDataFrame([(k,) for k in range(5)], "k long")
+    one = as_findings(df, "x", "odd", F.col("k"), "m")
+    two = as_findings(df.where("k < 2"), "x", "low", F.col("k"), "m")
+    spark.sparkContext.setJobGroup("gates", "gates")
+    findings, report = gates.run({"a": one, "b": two, "c": no_findings(spark)})
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("gates"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 2  # the write, and the listing of what it wrote
+    assert rows(report, "layer", "n_findings", "state") == [("a", 5, "failed"), ("b", 2, "failed"), ("c", 0, "ok")]
+    assert rows(findings, "layer", "rule", "entity") == sorted([("a", "odd", str(k)) for k in range(5)] + [("b", "low", str(k)) for k in range(2)])
