@@ -718,9 +718,10 @@ def rot_alerts(spark, sf):
 def new_documents(spark, sf):
     """Derived Markdown pages land as files, one for each page; a stream picks them up and extracts their links."""
     base = scratch_dir(spark, "intake")
-    pages = inputs.page_markdown(spark, sf)
-    ordered = pages.repartition(F.col("page_id")).sortWithinPartitions("page_id", "line_no").select("page_id", "text")
-    ordered.write.option("compression", "none").partitionBy("page_id").text(f"{base}/pages")
+    line = F.struct("line_no", "text")
+    pages = inputs.page_markdown(spark, sf).groupBy("page_id").agg(F.array_sort(F.collect_list(line)).alias("l"))  # the lines of one page
+    text = F.array_join(F.transform("l", lambda x: x.text), "\n")
+    pages.select(text.alias("text")).write.option("compression", "none").option("maxRecordsPerFile", 1).text(f"{base}/pages")
     docs = monitor.new_documents(spark, f"{base}/pages", "*.txt")
     run = monitor.start_link_intake(docs, ["来源"], f"{base}/refs", f"{base}/checkpoint")
     run.awaitTermination()

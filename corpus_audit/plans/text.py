@@ -12,7 +12,7 @@ from corpus_audit.operators import schedule as sched
 from corpus_audit.plans import inputs
 from corpus_audit.plans.registry import query, table
 from corpus_audit.session import scratch_dir
-from corpus_audit.sources import files
+from corpus_audit.sources import digests, files
 
 # -- urls and paths -----------------------------------------------------------------------------
 
@@ -677,6 +677,25 @@ def canonical(spark, sf):
     return files.canonical(df, ["n_nationkey"])
 
 
+@query(
+    "a9_output_difference",
+    """
+SELECT c_custkey, CASE WHEN c_custkey % 101 = 0 THEN 'only_left' ELSE 'differs' END AS problem FROM customer WHERE c_custkey % 101 = 0 OR c_custkey % 97 = 0
+UNION ALL SELECT -1 - c_custkey, 'only_right' FROM customer WHERE c_custkey % 103 = 0
+""",
+)
+def output_difference(spark, sf):
+    """Two written versions of the customers: changed, dropped and new rows, found by their trees of digests."""
+    k = F.col("c_custkey")
+    old = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", F.array("c_mktsegment", F.lit("a")).alias("tags"))
+    new = old.where(k % 101 != 0).withColumn("c_mktsegment", F.when(k % 97 == 0, "changed").otherwise(F.col("c_mktsegment")))
+    new = new.unionByName(old.where(k % 103 == 0).withColumn("c_custkey", -1 - k))
+    places = [scratch_dir(spark, f"output-{name}") for name in ("old", "new")]
+    for df, place in zip((old, new), places):
+        digests.write_digested(df, ["c_custkey"], place, depth=2)
+    return digests.output_difference(spark, *places, ["c_custkey"], "c_custkey bigint", depth=2).select("c_custkey", "problem")
+
+
 @query(
     "a1_read_tree",
     """

@@ -139,16 +139,19 @@ def plan_moves(files: DataFrame, rules: list[tuple[str, str]], default: str, roo
     )
 
 
-def canonical(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Fixed field order, sorted arrays, rows range-sorted by key, one JSON text per row."""
+def canonical_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, json): fixed field order, sorted arrays, one JSON text per row."""
     cols = []
     for field in df.schema.fields:
         c = F.col(field.name)
         cols.append((F.array_sort(c) if isinstance(field.dataType, T.ArrayType) else c).alias(field.name))
     body = df.select(*cols)
-    return body.orderBy(*keys).select(
-        *keys, F.to_json(F.struct(*[F.col(c) for c in body.columns]), {"ignoreNullFields": "false"}).alias("json")
-    )
+    return body.select(*keys, F.to_json(F.struct(*[F.col(c) for c in body.columns]), {"ignoreNullFields": "false"}).alias("json"))
+
+
+def canonical(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``canonical_rows`` range-sorted by key."""
+    return canonical_rows(df, keys).orderBy(*keys)
 
 
 def write_canonical(df: DataFrame, keys: list[str], path: str) -> None:

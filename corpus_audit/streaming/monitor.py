@@ -9,7 +9,7 @@ A stream cannot see that a url is gone from the pages: dropping keys happens onl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -258,3 +258,41 @@ def start_link_intake(docs: DataFrame, keywords: list[str], refs_dir: str, check
         links.extract(scoped, ["path"]).write.mode("overwrite").parquet(f"{refs_dir}/batch={batch_id}")
 
     return docs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+INTAKE_DDL = "path string, digest string, modified timestamp"
+
+
+def intake_changed(
+    spark: SparkSession, folder: str, state_dir: str, handle: Callable[[DataFrame, int], None], glob: str = "*.md"
+) -> int:
+    """Hand over every content that was not seen before, as (path, digest, text), and remember it; the number of the run.
+
+    A file counts by the sha256 of its bytes: a copy under another name, or a file that was only touched, is not handed
+    over again, a file that changed under its name is.  Several new files of one content are handed over once, under
+    their smallest path.  Only files that changed since the newest one of the state (less a second) are read.
+
+    The state is a folder per run, written after ``handle`` returns: if that fails, the next call has the same number and
+    sees the same contents, so ``handle`` should overwrite what it wrote under its number.  Bytes that are no UTF-8 text give
+    a null text.
+    """
+    store, path = _path(spark, state_dir)
+    runs = [int(f.getPath().getName()[4:]) for f in store.listStatus(path) if f.getPath().getName().startswith("run=")] if store.exists(path) else []
+    run = max(runs, default=-1) + 1
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    known = spark.createDataFrame([], INTAKE_DDL)
+    if runs:
+        known = spark.read.schema(INTAKE_DDL).parquet(*[f"{state_dir}/run={r}" for r in sorted(runs)])
+        newest = known.agg(F.date_format(F.max("modified") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("t")).first().t
+        files = files.option("modifiedAfter", newest).option("timeZone", spark.conf.get("spark.sql.session.timeZone")) if newest else files
+    found = files.load(folder).select(
+        "path", F.sha2("content", 256).alias("digest"), F.col("modificationTime").alias("modified"), F.try_validate_utf8(F.col("content").cast("string")).alias("text")
+    )
+    fresh = found.join(known.select("digest").distinct(), "digest", "left_anti")
+    fresh = fresh.groupBy("digest").agg(F.min_by(F.struct("path", "modified", "text"), "path").alias("f")).select("f.path", "digest", "f.modified", "f.text")
+    pending = f"{state_dir}/pending"
+    fresh.write.mode("overwrite").parquet(pending)  # what this run hands over and remembers, read once
+    taken = spark.read.schema(INTAKE_DDL + ", text string").parquet(pending)
+    handle(taken.select("path", "digest", "text"), run)
+    taken.drop("text").write.mode("overwrite").parquet(f"{state_dir}/run={run}")
+    return run

@@ -2,12 +2,14 @@
 
 import datetime as dt
 import hashlib
+import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpus_audit.sources import files
+from corpus_audit.sources import digests, files
 from corpus_audit.streaming import monitor
 
 
@@ -46,6 +48,27 @@ def test_canonical_output_is_reproducible(spark, tmp_path):
     assert read("x") == read("y") == '{"k":1,"v":[]}\n{"k":2,"v":["a","b"]}\n{"k":3,"v":null}\n'
 
 
+def test_outputs_are_compared_by_their_trees(spark, tmp_path):
+    rng = random.Random(6)
+    data = [(k, rng.choice("abc"), [rng.choice("xyz") for _ in range(3)]) for k in range(300)] + [(7, "dup", []), (7, "dup", []), (None, "n", None)]
+    frame = lambda d, parts: spark.createDataFrame(d, "k long, v string, t array<string>").repartition(parts)
+    changed = [(k, "new" if k == 40 else v, t) for k, v, t in data if k != 90] + [(7, "dup", [])]
+    shuffled = [(k, v, t[::-1] if t else t) for k, v, t in data]
+    for name, (d, parts) in {"a": (data, 2), "b": (shuffled, 5), "c": (changed, 3), "none": ([], 1)}.items():
+        digests.write_digested(frame(d, parts), ["k"], str(tmp_path / name), depth=1)
+    at = lambda n: str(tmp_path / n)
+    root = {n: digests.root_digest(spark, at(n)) for n in ("a", "b", "c", "none")}
+    assert root["a"] == root["b"] != root["c"] and root["none"] is None
+    texts = lambda n: {p.parent.name: [r.json for r in spark.read.parquet(str(p)).collect()] for p in (tmp_path / n / "rows").glob("leaf=*/*.parquet")}
+    assert texts("a") == texts("b")
+    assert digests.differing_leaves(spark, at("a"), at("b"), 1) == []
+    assert digests.output_difference(spark, at("a"), at("b"), ["k"], "k bigint", 1).collect() == []
+    assert 1 <= len(digests.differing_leaves(spark, at("a"), at("c"), 1)) <= 3  # a changed, a dropped and a repeated row: of 16 folders
+    got = digests.output_difference(spark, at("a"), at("c"), ["k"], "k bigint", 1).collect()
+    assert sorted((r.k, r.problem) for r in got) == [(7, "differs"), (40, "differs"), (90, "only_left")]
+    assert {r.problem for r in digests.output_difference(spark, at("none"), at("a"), ["k"], "k bigint", 1).collect()} == {"only_right"}
+
+
 def probes(spark, data):
     ts = lambda m: dt.datetime(2024, 1, 1, 12) + dt.timedelta(days=m)
     rows = [(u, ts(d), s, st, h, a) for u, d, s, st, h, a in data]
@@ -135,3 +158,37 @@ def test_new_documents_are_taken_once(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "refs"))
     assert sorted(r.url for r in got.select("url").collect()) == ["http://a.cn/1", "http://b.cn/2"]
     assert got.filter(F.col("section") == "官方来源").count() == 1
+
+
+def test_contents_are_taken_once_under_any_name(spark, tmp_path):
+    folder, state, seen = tmp_path / "docs", str(tmp_path / "state"), {}
+    folder.mkdir()
+
+    def put(name, text, age):
+        (folder / name).write_bytes(text)
+        os.utime(folder / name, (1_700_000_000 + age, 1_700_000_000 + age))
+
+    def take(fail=False):
+        def handle(rows, run):
+            if fail:
+                raise RuntimeError("stopped")
+            seen[run] = sorted((r.path.rsplit("/", 1)[1], r.text) for r in rows.collect())
+
+        return seen[monitor.intake_changed(spark, str(folder), state, handle)]
+
+    put("a.md", b"one", 0)
+    put("b.md", b"two", 10)
+    put("copy.md", b"two", 10)
+    assert take() == [("a.md", "one"), ("b.md", "two")]
+    assert take() == []
+    put("renamed.md", b"one", 20)  # a copy under another name
+    put("b.md", b"two", 30)  # only touched
+    put("a.md", b"one, changed", 40)
+    put("bytes.md", b"\xff\xfe", 41)
+    put("c.txt", b"no", 50)
+    with pytest.raises(RuntimeError):
+        take(fail=True)
+    assert take() == [("a.md", "one, changed"), ("bytes.md", None)]  # the failed run is taken again
+    put("a.md", b"one", 60)  # back to what it was: known
+    assert take() == []
+    assert sorted(seen) == [0, 1, 2, 3]
