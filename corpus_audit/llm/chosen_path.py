@@ -17,7 +17,6 @@ differences; every other pair is verified on the full sets.
 
 from __future__ import annotations
 
-from functools import reduce
 from math import ceil, log
 
 import numpy as np
@@ -26,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpus_audit.llm.common import keyed_texts, sliced, stash, text_bytes
-from corpus_audit.llm.components import connected_components
-from corpus_audit.llm.jaccard import CLASSES, Shingler, _labelled, _mixed, _node, _verified, exhaustive, first_texts, pointers, undecided
+from corpus_audit.llm.jaccard import CLASSES, Shingler, _Links, _mixed, _node, exhaustive, stars, undecided
 
-#: levels that the recall is reckoned over, pairs that a node may have left to be compared exhaustively, levels of a later step
-LEVELS, SMALL, STEP = 3, 65_536, 2
+#: levels that the recall is reckoned over, levels of a later step
+LEVELS, STEP = 3, 2
+#: a node is small with so many pairs left to decide, and so many sets: what one task compares at once
+SMALL, MEMBERS = 1 << 21, 1 << 16
 _P, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -124,41 +124,25 @@ def _shared(members: DataFrame) -> DataFrame:
     return members.join(more, "path", "left_semi")
 
 
-def _nearest(members: DataFrame, share: int) -> DataFrame:
-    """(a, b): every set with the centre, of those of its nodes, from which the fewest hash classes set it apart.
-
-    ``members`` (path, node, component, n, parity).  Centres of the same component, and those that sizes or parities rule
-    out, are left out.  A centre is the smallest of its node's sets, so links always lead to a smaller one.
-    """
-    pick = F.struct("node", "component", "n", "parity")
-    star = members.join(members.groupBy("path").agg(F.min(pick).alias("c")), "path").where(F.col("component") != F.col("c.component"))
-    odd = F.aggregate(F.zip_with("parity", "c.parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
-    sizes = F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * share
-    close = star.where(sizes).withColumn("odd", odd).where(F.col("odd") * (100 + share) <= (F.col("n") + F.col("c.n")) * (100 - share))
-    return close.groupBy(F.col("node").alias("b")).agg(F.min_by("c.node", F.struct("odd", "c.node")).alias("a")).select("a", "b")
-
-
 def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> DataFrame:
     """(node, component) of every set that has a link."""
+    links = _Links(docs, nodes, words, share)
     members = stash(_shared(nodes.select(F.explode("paths").alias("path"), "node", "n")), "members")
-    asked = members.select("node").distinct().join(nodes, "node").select("doc_id", "text_hash", "node")
-    texts, near, links = None, [], []
-    known = lambda rows: _labelled(rows, labels) if near else rows.withColumn("component", F.col("node"))
     while not members.isEmpty():
-        if texts is None:
-            texts = stash(first_texts(docs, stash(asked, "firsts")), "texts")
-        marked = known(members.select("path", "node")).join(nodes.select("node", "n", "parity"), "node")
-        near.append(stash(_verified(_nearest(marked, share), texts, words, share), "near"))
-        labels = stash(pointers(reduce(DataFrame.unionByName, near)), "pointers")
-        left = known(members.select("path", "node", "n"))
+        before = links.known(members) if links.near else members.withColumn("component", F.col("node"))
+        links.nearest(stars(before, "path", share))
+        left = links.known(members)
         left = stash(left.join(undecided(left, "path"), "path"), "undecided")
-        small = exhaustive(left.where(F.col("pairs") <= SMALL), "path", nodes, share)
-        links.append(stash(_verified(small, texts, words, share), "links"))
-        large = left.where(F.col("pairs") > SMALL).select("path", "node", "n")
-        members = stash(_shared(_deeper(large, texts, words, share)), "members")
-    if not links:
+        few = (F.col("pairs") <= SMALL) & (F.col("m") <= MEMBERS)
+        links.every(exhaustive(left.where(few), "path", nodes, share))
+        large = stash(left.where(~few).select("path", "node", "n"), "large")
+        if large.isEmpty():
+            break
+        links.fetch(large.select("node").distinct())
+        members = stash(_shared(_deeper(large, links.texts, words, share)), "members")
+    if not links.near:
         return nodes.limit(0).select("node", F.col("node").alias("component"))
-    return stash(connected_components(reduce(DataFrame.unionByName, [*near, *links])), "labels")
+    return links.components()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, share: int = 85, recall: float = 0.9999) -> DataFrame:

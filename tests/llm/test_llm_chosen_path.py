@@ -23,7 +23,7 @@ def wanted(rows, n, share):
     return sorted(((*r, r[0] == r[2]) for r in brute_components(rows, n, share)), key=str)
 
 
-@pytest.mark.parametrize(("seed", "small"), [(11, 65_536), (13, 3)])
+@pytest.mark.parametrize(("seed", "small"), [(11, 1 << 21), (13, 3)])
 def test_groups_equal_all_pairs(spark, monkeypatch, seed, small):
     """With few pairs allowed in an exhaustive node, large nodes go down several steps."""
     monkeypatch.setattr(chosen_path, "SMALL", small)
