@@ -120,23 +120,25 @@ def test_third_of_the_rows_in_buckets_of_unlike_sets(spark, monkeypatch):
     assert got == sorted(brute_components(rows, 4, 85))
 
 
-@pytest.mark.parametrize("name", ["_id", "_hash", "_ID", "_quality", "_toxic", "_holds", "_rank", "l", "r", "k_id", "node", "component"])
-def test_filters_leave_columns_of_any_name(spark, name):
+def test_filters_leave_columns_of_any_name(spark):
     from corpus_audit.llm import decontaminate, packing
 
-    docs = spark.createDataFrame(
-        [(1, "a b c d e f g", 5), (2, "a b c d e f g", 6), (3, None, 7)], f"doc_id long, text string, `{name}` long"
-    )
+    names = ["_id", "_hash", "_quality", "_toxic", "_holds", "_rank", "_order", "k_id", "node", "component", "l", "r"]
+    extra = ", ".join(f"`{n}` long" for n in names)
+    rows = [(1, "a b c d e f g", *[5] * len(names)), (2, "a b c d e f g", *[6] * len(names)), (3, None, *[7] * len(names))]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {extra}")
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([(1, "nothing of this is in any of the documents above")], "item_id long, text string")
-    assert sorted(tuple(r) for r in jaccard.one_of_each(docs).collect()) == [(1, "a b c d e f g", 5), (3, None, 7)]
+    one = jaccard.one_of_each(docs)
+    assert one.columns == docs.columns and sorted(tuple(r) for r in one.collect()) == [rows[0], rows[2]]
     for kept in (quality.keep(docs, labels, 0.0), toxicity.keep(docs, labels, 1.1), decontaminate.clean(docs, bench)):
         assert kept.columns == docs.columns
-        assert sorted(tuple(r) for r in kept.collect()) == sorted(tuple(r) for r in docs.collect())
-    pieces = spark.createDataFrame([(1, 0, 4, 8), (2, 0, 4, 9)], f"doc_id long, piece int, length long, `{name}` long")
+        assert sorted(tuple(r) for r in kept.collect()) == rows
+    pieces = spark.createDataFrame([(1, 0, 4, *[8] * len(names)), (2, 0, 4, *[9] * len(names))], f"doc_id long, piece int, length long, {extra}")
     placed = packing.best_two_fit(pieces, 8)
     assert placed.columns == [*pieces.columns, "sequence_id", "offset"]
-    assert sorted((r.doc_id, r[name], r.offset) for r in placed.collect()) in ([(1, 8, 0), (2, 9, 4)], [(1, 8, 4), (2, 9, 0)])
+    got = sorted((r.doc_id, *[r[n] for n in names], r.offset) for r in placed.collect())
+    assert [g[:-1] for g in got] == [(1, *[8] * len(names)), (2, *[9] * len(names))] and {g[-1] for g in got} == {0, 4}
 
 
 def test_one_of_each_keeps_columns_and_one_row(spark):
