@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +14,7 @@ from pyspark.sql import types as T
 from corpus_audit.findings import as_findings, rule_findings
 from corpus_audit.functions import text as tx
 from corpus_audit.scale import BROADCAST_LIMIT_BYTES, estimated_bytes
+from corpus_audit.session import written
 
 # Thresholds, vocabularies and section names of the content contract.
 NGRAM_SIZE = 8
@@ -166,6 +170,10 @@ def overlap_violations(overlap: DataFrame, id_col: str, limit: float = OVERLAP_L
 ANCHOR_CHARS = 32
 
 
+# Parts of a window that tell where its anchor lies, a level each; any numbers give the same result.
+STRIP_CLASSES = [1, 8]
+
+
 def _sliding(values: np.ndarray, width: int, combine: np.ufunc, fill) -> np.ndarray:
     """``combine`` over every full window of ``width`` values, in linear time (prefix and suffix per block)."""
     blocks = -(-len(values) // width)
@@ -185,11 +193,9 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.cumprod(factors, dtype=np.uint64)
 
 
-def _anchors_of(text: str, size: int, piece: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (from 0) and hashes of the pieces that are the minimum of some ``size``-character window."""
+def _piece_hashes(text: str, piece: int) -> np.ndarray:
+    """Hashes of all ``piece``-character windows of a text that has at least one."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    if len(codes) < size:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
     # polynomial hash modulo 2**64 from prefix sums; the odd base has the inverse used to shift windows back
     base = 6364136223846793005
     powers = _powers(base, len(codes))
@@ -198,6 +204,14 @@ def _anchors_of(text: str, size: int, piece: int) -> tuple[np.ndarray, np.ndarra
     hashes = (sums[piece:] - sums[:-piece]) * _powers(pow(base, -1, 1 << 64), starts)
     hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     hashes ^= hashes >> np.uint64(29)
+    return hashes
+
+
+def _anchors_of(text: str, size: int, piece: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (from 0) and hashes of the pieces that are the minimum of some ``size``-character window."""
+    if len(text) < size:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    hashes = _piece_hashes(text, piece)
     width = size - piece + 1
     least = _sliding(hashes, width, np.minimum, np.iinfo(np.uint64).max)
     # a piece is an anchor when the largest minimum among the windows that cover it is its own hash
@@ -207,6 +221,77 @@ def _anchors_of(text: str, size: int, piece: int) -> tuple[np.ndarray, np.ndarra
     return at, hashes[at].view(np.int64)
 
 
+def _strips_of(text: str, size: int, piece: int, part: int, ranges=None) -> tuple[np.ndarray, ...]:
+    """First and last start (from 0) of the windows in a row of one anchor and class, the hash of their core, their range.
+
+    A window's anchor is its leftmost piece of the least upper half of the hash, its class the offset of that anchor in
+    units of ``part``: both depend on the window alone.  The core is what all windows of a class share, so equal windows
+    have equal cores, and equal strips hold equal windows.  ``ranges`` (first and last starts) leave out other windows.
+    """
+    if len(text) < size:
+        return (np.empty(0, np.int64),) * 4
+    hashes = _piece_hashes(text, piece)
+    order = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
+    at = (_sliding(order, size - piece + 1, np.minimum, np.iinfo(np.uint64).max) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    nth = (at - np.arange(len(at))) // part
+    inside = np.zeros(len(at), np.int64)
+    if ranges is not None:
+        inside -= 1
+        for i, (lo, hi) in enumerate(zip(*ranges, strict=True)):
+            inside[lo : hi + 1] = i
+    changes = (np.diff(at, prepend=-1) != 0) | (np.diff(nth, prepend=-1) != 0) | (np.diff(inside, prepend=-1) != 0)
+    first = np.flatnonzero(changes)
+    last = np.append(first[1:], len(at)) - 1
+    first, last = first[inside[first] >= 0], last[inside[first] >= 0]
+    cores = _piece_hashes(text, size - part + 1)[at[first] - nth[first] * part]
+    return first, last, cores.view(np.int64), inside[first]
+
+
+def _digest(text: str) -> bytes:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()[:16]
+
+
+def _strips(texts: DataFrame, id_col: str, size: int, classes: int, ranges: DataFrame | None = None, piece: int = ANCHOR_CHARS) -> DataFrame:
+    """Strips of each text: (id, _text, lo, hi, core, strip, foreign).
+
+    ``lo`` and ``hi`` are the first and last start (from 0) of its windows, ``strip`` is the digest of their characters;
+    ``_text`` tells the texts of an id that repeats apart.  With ``ranges(id, _text, lo, hi, foreign)``, only the windows
+    that start there; the ranges of a text are gathered first, so a text without any is never read.
+    """
+    part = max(-(-(size - piece + 1) // classes), 1)
+    rows = texts.where(F.col(id_col).isNotNull() & (F.length("text") >= size)).select(id_col, F.xxhash64("text").alias("_text"), "text")
+    whole = ranges is None
+    if not whole:
+        rows = rows.join(ranges.groupBy(id_col, "_text").agg(*[F.collect_list(c).alias(c) for c in ("lo", "hi", "foreign")]), [id_col, "_text"])
+
+    def scan(batches):
+        for pdf in batches:
+            spans = [None] * len(pdf) if whole else zip(pdf["lo"], pdf["hi"], strict=True)
+            foreign = [np.zeros(1, bool)] * len(pdf) if whole else pdf["foreign"]
+            for some in _sliced(zip(pdf[id_col], pdf["_text"], foreign, spans, pdf["text"], strict=True)):
+                parts = [_strips_of(row[-1], size, piece, part, row[-2]) for row in some]
+                lo, hi, core, _ = (np.concatenate(x) for x in zip(*parts, strict=True))
+                cut = [_digest(row[-1][i : j + size]) for row, x in zip(some, parts, strict=True) for i, j in zip(x[0].tolist(), x[1].tolist(), strict=True)]
+                other = np.concatenate([row[2][x[3]] for row, x in zip(some, parts, strict=True)])
+                keys, marks = (np.repeat(np.array([row[c] for row in some]), [len(x[0]) for x in parts]) for c in (0, 1))
+                yield pd.DataFrame({id_col: keys, "_text": marks, "lo": lo, "hi": hi, "core": core, "strip": cut, "foreign": other})
+
+    return rows.mapInPandas(scan, f"{id_col} {dict(texts.dtypes)[id_col]}, _text bigint, lo int, hi int, core bigint, strip binary, foreign boolean")
+
+
+def _sliced(rows, chars: int = 1 << 20):
+    """Rows (..., text) in lists of about ``chars`` characters."""
+    some, total = [], 0
+    for row in rows:
+        some.append(row)
+        total += len(row[-1])
+        if total >= chars:
+            yield some
+            some, total = [], 0
+    if some:
+        yield some
+
+
 def anchors(texts: DataFrame, id_col: str, size: int = VERBATIM_WINDOW, piece: int = ANCHOR_CHARS) -> DataFrame:
     """Content-chosen anchors of each text: (id, at from 0, hash), about two per ``size`` characters.
 
@@ -249,16 +334,30 @@ def verbatim_windows(
 def copied_windows(texts: DataFrame, id_col: str, size: int = VERBATIM_WINDOW) -> DataFrame:
     """Start positions of a text whose window also occurs in another text of the same table: (id, pos from 1).
 
-    A hash counts when its smallest and largest owner differ; both are partial aggregates, so the copies of a
-    passage are combined before they are shuffled and never meet as pairs.
+    Windows of one anchor and class lie in a row and meet as one strip.  (1) A strip that several texts have whole is
+    copied, with all its windows.  (2) Equal windows have equal cores, so of the other strips only those whose core is
+    also another strip's are cut into finer ones, at last into windows; of a strip that several texts have, one copy is
+    cut to compare with.  Owners are smallest and largest ids, partial aggregates, so copies are combined before they
+    are shuffled and never meet as pairs.
     """
-
-    def of_several(rows: DataFrame, on: str) -> DataFrame:
-        owners = rows.groupBy(on).agg(F.min(id_col).alias("_first"), F.max(id_col).alias("_last"))
-        return rows.join(owners.filter(F.col("_first") != F.col("_last")).select(on), on, "left_semi")
-
-    met = of_several(anchors(texts, id_col, size), "h")
-    return of_several(_windows_at(texts, met, id_col, size), "digest").select(id_col, "pos")
+    hits, ranges = [], None
+    for classes in [*STRIP_CLASSES, size]:
+        rows = written(_strips(texts, id_col, size, classes, ranges), "strips")
+        place = F.struct(id_col, "_text", "lo", "hi")
+        held = rows.groupBy("strip").agg(F.max("core").alias("core"), F.min(place).alias("_one"), F.max(id_col).alias("_last"), F.max("foreign").alias("_several"))
+        held = held.withColumn("_several", F.col("_several") | (F.col("_one")[id_col] != F.col("_last")))
+        if classes == size:
+            judged = held.where("_several").select("strip", "_several")
+        else:
+            open_ = held.groupBy("core").agg(F.count(F.lit(1)).alias("_n"), F.count_if(~F.col("_several")).alias("_single")).where("_n > 1 AND _single > 0")
+            judged = held.join(open_.select("core", F.lit(True).alias("_open")), "core", "left").where("_several OR _open").drop("core", "_last")
+            judged = written(judged, "strips-judged")
+        mine = rows.where("NOT foreign").join(judged.select("strip", "_several"), "strip")
+        hits.append(mine.where("_several").select(id_col, F.explode(F.sequence((F.col("lo") + 1).cast("bigint"), (F.col("hi") + 1).cast("bigint"))).alias("pos")))
+        if classes != size:
+            ranges = mine.where("NOT _several").select(id_col, "_text", "lo", "hi", F.lit(False).alias("foreign")).distinct()
+            ranges = ranges.unionByName(judged.where("_several AND _open").select("_one.*", F.lit(True).alias("foreign")))
+    return reduce(DataFrame.unionByName, hits)
 
 
 def _windows_at(texts: DataFrame, hits: DataFrame, id_col: str, size: int, piece: int = ANCHOR_CHARS) -> DataFrame:

@@ -127,6 +127,18 @@ def test_verbatim_windows_against_brute_force_with_copies(spark):
     assert rows(got, "id", "pos") == sorted(want)
 
 
+def test_copied_windows_travel_as_strips(spark, monkeypatch):
+    rng = random.Random(12)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(3000)) for _ in range(3)]
+    texts = [(i, base[i % 3]) for i in range(30)] + [(30, base[0][:1400] + "#" + base[0][1400:]), (31, base[1]), (31, base[2] + "x"), (None, base[0]), (32, None)]
+    sizes, keep = [], content.written
+    monkeypatch.setattr(content, "written", lambda df, name: (lambda out: (sizes.append(out.count()), out)[1])(keep(df, name)))
+    got = rows(content.copied_windows(spark.createDataFrame(texts, "id long, text string"), "id"), "id", "pos")
+    want = [(i, p + 1) for i, t in texts if i is not None and t for p in range(len(t) - 200) if not (i == 30 and 1200 <= p <= 1400) and not (i == 31 and p + 200 == 3000)]
+    assert got == sorted(want)
+    assert sum(sizes) < len(want) / 20  # one row a window before
+
+
 def greedy(points, declared):
     types = {p: content.PREFERRED_TYPE.get(r) if content.PREFERRED_TYPE.get(r) in declared else declared[0] for p, r in points}
     for kind in [d for d in declared if d not in set(types.values())]:
