@@ -67,3 +67,20 @@ def test_nothing_to_compare(spark):
     other = spark.createDataFrame([(1, '{"generated_at": 3, "a": 1.0}')], "k long, j string")
     assert drift.value_drift(same, other, "k", "j").collect() == []
     assert [r.path for r in drift.value_drift(same, other, "k", "j", ignore=[]).collect()] == ["/generated_at"]
+
+
+def test_a_round_matches_entries_inside_their_row(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from corpus_audit.operators import drift
+
+    plans, keep = [], drift.written
+    monkeypatch.setattr(drift, "written", lambda df, name: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), keep(df, name))[1])
+    left = spark.createDataFrame([(1, '{"a": [1, null, {"x/y": 1e0}], "b": null, "s": 2}')], "k long, j string")
+    right = spark.createDataFrame([(1, '{"a": [1.0, 2, {"x/y": 1, "z~": 3}, 4], "c": null, "s": "2"}')], "k long, j string")
+    out = drift.value_drift(left, right, "k", "j").select("path", "problem", F.col("left").alias("l"), F.col("right").alias("r")).collect()
+    assert sorted(tuple(x) for x in out) == [
+        ("/a/1", "kind", "null", "2"), ("/a/2/z~0", "only_right", None, "3"), ("/a/3", "only_right", None, "4"),
+        ("/b", "only_left", "null", None), ("/c", "only_right", None, "null"), ("/s", "kind", "2", '"2"'),
+    ]
+    assert len(plans) > 2 and not any("Join" in p for p in plans[1:])  # each round joined both sides before
