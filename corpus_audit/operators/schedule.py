@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpus_audit.findings import as_findings, rule_findings
 from corpus_audit.functions import text as tx
-from corpus_audit.scale import ranked
+from corpus_audit.scale import dealt, leaf_bytes, ranked
 
 # Tiers in days, repetition offsets, item kinds.
 HORIZONS = [30, 14, 7]
@@ -54,7 +54,8 @@ def spread(
     """
     tiers = F.explode(F.array(*[F.lit(h) for h in horizons or HORIZONS]))
     totals = points.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    placed = ranked(points, [key], [F.col(c) for c in order], block, "_rank").join(totals, key).join(plans, key)
+    placed = ranked(points, [key], [F.col(c) for c in order], block, "_rank")
+    placed = dealt(placed, key, size=leaf_bytes(points)).join(totals, key).join(plans, key)
     i, n, h = F.col("_rank") - 1, F.col("_n"), F.col("horizon_days")
     original = F.expr("((_rank * horizon_days - 1) div _n) + 1")
     # with fewer points than days every point has its own day, so its renumbered day is its own rank

@@ -2,6 +2,8 @@
 
 * ``ranked`` / ``neighbors`` replace a plain window over a key whose group has no size bound: rows are
   windowed inside (key, block) slices, and only one summary row per slice travels to the key's partition.
+* ``dealt`` shuffles by keys into as many partitions as the input's size asks for, so that the sorts of one task
+  stay of one size however large the tables are.
 * ``broadcast_if_small`` broadcasts a side only when the optimizer's own size estimate, multiplied by a
   stated growth factor, stays under a limit.  Otherwise Spark's adaptive join picks the strategy.
 """
@@ -33,18 +35,38 @@ def broadcast_if_small(
     return df
 
 
+#: bytes of input files behind one partition of a shuffle that is sorted (files are several times smaller than rows)
+PARTITION_BYTES = 8 * 1024 * 1024
+
+
+def leaf_bytes(df: DataFrame) -> int:
+    """Catalyst's size of all scans of the plan (joins multiply the estimate of the whole plan); no job is run.
+
+    Leaves of unknown size, which Catalyst takes for as large as can be, are left out.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < 1 << 62)
+
+
+def dealt(df: DataFrame, *keys: str, size: int | None = None) -> DataFrame:
+    """Shuffle by ``keys`` into partitions for ``size`` bytes of input files (default: all that ``df`` scans)."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-(leaf_bytes(df) if size is None else size) // PARTITION_BYTES)), *keys)
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[Column], block: Column, name: str) -> DataFrame:
     """``row_number`` per key in two levels.
 
     ``block`` must never decrease along ``order``.  The large shuffle is by (keys, block), so a key that
     holds a third of the table is spread over all its blocks; the per-key window sees one row per block.
     """
-    sliced = df.withColumn("_block", block)
     slots = [*keys, "_block"]
+    sliced = df.withColumn("_block", block)
     counts = sliced.groupBy(*slots).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*slots, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy(*slots).orderBy(*order)))
+    local = dealt(sliced, *slots).withColumn("_local", F.row_number().over(Window.partitionBy(*slots).orderBy(*order)))
     return (
         local.join(offsets, slots)
         .withColumn(name, F.col("_offset") + F.col("_local"))

@@ -1,6 +1,7 @@
 """Operators on inline rows: edge cases, one mutation per gate, brute force where there is no SQL."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -464,3 +465,21 @@ def test_findings_and_report_come_from_one_write(spark):
     assert jobs <= 2  # the write, and the listing of what it wrote
     assert rows(report, "layer", "n_findings", "state") == [("a", 5, "failed"), ("b", 2, "failed"), ("c", 0, "ok")]
     assert rows(findings, "layer", "rule", "entity") == sorted([("a", "odd", str(k)) for k in range(5)] + [("b", "low", str(k)) for k in range(2)])
+
+
+def test_sorted_shuffles_have_partitions_by_input_size(spark, tmp_path, monkeypatch):
+    from corpus_audit import scale
+    from corpus_audit.operators import schedule
+
+    spark.range(4000).selectExpr("id % 7 AS k", "cast(id AS string) AS point_id", "id").write.parquet(str(tmp_path / "p"))
+    points = spark.read.parquet(str(tmp_path / "p"))
+    monkeypatch.setattr(scale, "PARTITION_BYTES", scale.leaf_bytes(points) // 40)
+    parts = lambda df: df._jdf.queryExecution().toString()
+    ranks = scale.ranked(points, ["k"], [F.col("id")], F.floor(F.col("id") / 1000), "r")
+    assert re.search(r"hashpartitioning\(k#\d+L, _block#\d+L, 4\d\)", parts(ranks))
+    assert rows(ranks, "k", "r") == sorted((i % 7, i // 7 + 1) for i in range(4000))
+    plans = spark.range(7).selectExpr("id AS k", "date'2026-03-01' AS exam_date", "7d AS weekly_hours")
+    spread = schedule.spread(points, plans, "k", ["id"], F.floor(F.col("id") / 1000))
+    items = schedule.day_items(spread.withColumn("_o", F.col("point_id").cast("bigint")), "k", "_o")
+    assert re.search(r"hashpartitioning\(k#\d+L, 4\d\)", parts(items))
+    assert items.agg(F.sum("n_points")).first()[0] == 12000
