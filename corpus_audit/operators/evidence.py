@@ -16,6 +16,8 @@ SAMPLE_MARK = "参考样卷"
 REGION_HEADER = "教材代号"
 CORROBORATION = ["出版社", "大学出版社", "高纲", "考试指导委员会"]
 WINDOW_RADIUS = 2
+#: citations and lines meet by blocks of 2 ** BLOCK_BITS line numbers
+BLOCK_BITS = 5
 ROW_CHARS = 200
 FACT_FIELDS = ["name", "credits", "exam_method"]
 FACT_GAPS = {
@@ -161,20 +163,31 @@ def supporting_locator(cites: DataFrame, lines: DataFrame, key: str) -> DataFram
 
     ``cites(cite_id, key, line_no, value)``.  First the nearest line within two that contains the value (ties to
     the lower number); else the value cut once in two, tail in the lines below and head in the nearest line above;
-    else the original line.  Five candidate lines per citation join by equality, no range join.
+    else the original line.
+
+    Lines and citations meet by blocks of 32 line numbers: a line goes to the block or two blocks it is near to, a
+    citation to that of its own line, so either is shuffled once and not once for each line of the window.
     """
     r = WINDOW_RADIUS
-    near = cites.select(
-        "cite_id", key, "value", F.col("line_no").alias("_center"),
-        F.explode(F.sequence(F.lit(-r), F.lit(r))).alias("_off"),
-    ).withColumn("line_no", F.col("_center") + F.col("_off"))
-    text = lines.select(key, "line_no", tx.fold_ws("text").alias("_t"))
-    joined = near.join(text, [key, "line_no"])
-    holds = F.col("_t").contains(F.col("value"))
-    spots = [F.max(F.when(F.col("_off") == o, F.col("_t"))).alias(f"_p{o + r}") for o in range(-r, r + 1)]
-    per = joined.groupBy("cite_id", "value", "_center").agg(
-        F.min(F.when(holds, F.struct(F.abs("_off").alias("d"), "line_no"))).alias("_exact"), *spots
+    slots = [key, "_block"]
+    block = lambda n: F.shiftright(n.cast("bigint"), BLOCK_BITS)
+    n = F.col("line_no")
+    text = lines.select(
+        key, n.cast(cites.schema["line_no"].dataType).alias("line_no"), tx.fold_ws("text").alias("_t"),
+        F.explode(F.array_distinct(F.array(block(n - r), block(n + r)))).alias("_block"),
+    )
+    texts = text.repartition(*slots).groupBy(*slots).agg(F.collect_set(F.struct("line_no", "_t")).alias("_lines"))
+    # equal citations of one line are one, but for those without a line near them
+    asked = cites.select("cite_id", key, "value", n.alias("_center"), block(n).alias("_block")).repartition(*slots)
+    asked = asked.groupBy("cite_id", *slots, "value", "_center").agg(F.count(F.lit(1)).alias("_copies"))
+    met = asked.join(texts, slots, "left").withColumn(
+        "_near", F.filter(F.coalesce("_lines", F.array()), lambda x: F.abs(x["line_no"] - F.col("_center")) <= r)
     )
+    holds = F.filter("_near", lambda x: F.contains(x["_t"], F.col("value")))
+    exact = F.array_min(F.transform(holds, lambda x: F.struct(F.abs(x["line_no"] - F.col("_center")).alias("d"), x["line_no"].alias("line_no"))))
+    at = lambda o: F.array_max(F.transform(F.filter("_near", lambda x: x["line_no"] == F.col("_center") + o), lambda x: x["_t"]))
+    spots = [at(o).alias(f"_p{o + r}") for o in range(-r, r + 1) if o]
+    per = met.where(F.size("_near") > 0).select("cite_id", "value", "_center", exact.alias("_exact"), *spots)
     after = F.concat_ws(" ", *[F.col(f"_p{o + r}") for o in range(1, r + 1)])
 
     def cut(n: Column) -> Column:
@@ -192,7 +205,9 @@ def supporting_locator(cites: DataFrame, lines: DataFrame, key: str) -> DataFram
         F.coalesce(F.col("_exact.line_no"), wrapped, F.col("_center")).alias("line_no"),
         F.when(F.col("_exact").isNotNull(), F.lit("line")).when(wrapped.isNotNull(), F.lit("wrapped")).otherwise(F.lit("original")).alias("how"),
     )
-    rest = cites.join(found.select("cite_id"), "cite_id", "left_anti").select("cite_id", "line_no", F.lit("original").alias("how"))
+    alone = met.where(F.size("_near") == 0).select("cite_id", "_center", F.explode(F.array_repeat(F.lit("original"), F.col("_copies").cast("int"))).alias("how"))
+    known = met.where(F.size("_near") > 0).select("cite_id")
+    rest = alone.join(known, "cite_id", "left_anti").select("cite_id", F.col("_center").alias("line_no"), "how")
     return found.unionByName(rest)
 
 

@@ -275,6 +275,43 @@ def test_supporting_locator_prefers_the_near_line_of_a_wrapped_name(spark):
     assert rows(got, "cite_id", "line_no", "how") == [(1, 3, "wrapped"), (2, 2, "line"), (3, 4, "original")]
 
 
+def test_supporting_locator_shuffles_a_citation_once_and_equals_a_plain_search(spark):
+    rng = random.Random(5)
+    words = ["ab", "bc", "cab", "a", ""]
+    lines = [(d, n, " ".join(rng.choices(words, k=3))) for d in "xy" for n in range(1, 80) if rng.random() < 0.9]
+    lines += [("x", 31, "zz"), ("x", 31, "zy"), (None, 5, "a")]
+    cites = [(f"{d}{n}-{i}", d, n, v) for d in "xy" for n in range(-1, 84) for i, v in enumerate([rng.choice("abc z"), "".join(rng.choices("abc ", k=4)), "zyz"])]
+    cites += [cites[7]] * 3 + [("none", None, 5, "a")] * 2 + [("far", "x", 500, "a")] * 2 + [("x1-0", "x", 900, "a"), ("null", "x", 3, None)]
+    got = evidence.supporting_locator(
+        spark.createDataFrame(cites, "cite_id string, doc string, line_no bigint, value string"), spark.createDataFrame(lines, "doc string, line_no int, text string"), "doc"
+    )
+    texts = [(d, n, " ".join(t.split())) for d, n, t in lines]
+
+    def plain(d, center, value):
+        near = {o: [t for k, n, t in texts if d is not None and k == d and n == center + o] for o in range(-2, 3)}
+        if not any(near.values()):
+            return None
+        if value is None:
+            return center, "original"
+        hits = [(abs(o), center + o) for o, ts in near.items() if any(value in t for t in ts)]
+        if hits:
+            return min(hits)[1], "line"
+        after = " ".join(max(near[o]) for o in (1, 2) if near[o])
+        for n in range(1, len(value)):
+            for o in (-1, -2):
+                if near[o] and value[:n] in max(near[o]) and value[n:] in after:
+                    return center + o, "wrapped"
+        return center, "original"
+
+    found = {c: plain(*c[1:]) for c in cites}
+    want = [(c[0], *f) for c, f in found.items() if f]
+    seen = {w[0] for w in want}
+    want += [(c[0], c[2], "original") for c in cites if not found[c] and c[0] not in seen]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    assert {h for _, _, h in want} == {"line", "wrapped", "original"}
+    assert "explode(sequence(-2" not in got._jdf.queryExecution().analyzed().toString()  # no row for each line of the window
+
+
 def test_empty_baseline_judges_no_url(spark):
     ev = spark.createDataFrame([("00001", "https://evilexample.cn/x")], "code string, course_url string")
     none = spark.createDataFrame([], "url string, authoritative boolean")
