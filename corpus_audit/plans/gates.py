@@ -18,6 +18,7 @@ from corpus_audit.plans import inputs
 from corpus_audit.plans import text as text_plans
 from corpus_audit.plans.registry import ORACLES, QUERIES, query, table, wide
 from corpus_audit.session import scratch_dir
+from corpus_audit.sources import files
 from corpus_audit.streaming import monitor
 
 # -- schedules ----------------------------------------------------------------------------------
@@ -721,7 +722,8 @@ def new_documents(spark, sf):
     line = F.struct("line_no", "text")
     pages = inputs.page_markdown(spark, sf).groupBy("page_id").agg(F.array_sort(F.collect_list(line)).alias("l"))  # the lines of one page
     text = F.array_join(F.transform("l", lambda x: x.text), "\n")
-    pages.select(text.alias("text")).write.option("compression", "none").option("maxRecordsPerFile", 1).text(f"{base}/pages")
+    name = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit(".txt"))
+    files.write_tree(pages.select(name.alias("name"), text.alias("text")), f"{base}/pages")
     docs = monitor.new_documents(spark, f"{base}/pages", "*.txt")
     run = monitor.start_link_intake(docs, ["来源"], f"{base}/refs", f"{base}/checkpoint")
     run.awaitTermination()

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +34,30 @@ def read_tree(spark: SparkSession, root: str, glob: str = "*.md", exclude: list[
     ).filter(~F.col("name").isin(drop))
 
 
+def write_tree(docs: DataFrame, folder: str) -> int:
+    """One file in ``folder`` for each row of ``docs(name, text)``, text and a newline as UTF-8; how many there are.
+
+    Tasks write through ``pyarrow.fs``; a file gets its name when it is whole, so a second attempt leaves the same files.
+    Names do not repeat.  Spark's own writer asks several processes of the system for each file, and the driver renames them.
+    """
+    store, path = fs.FileSystem.from_uri(folder)
+    store.create_dir(path, recursive=True)
+
+    def run(batches):
+        store, path = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = f"{path}/_{uuid.uuid4().hex}"
+                with store.open_output_stream(part) as f:
+                    f.write(data)
+                store.move(part, f"{path}/{name}")
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    data = F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).cast("binary")
+    done = docs.select("name", data.alias("data")).mapInArrow(run, "n long")
+    return done.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+
+
 def read_artifacts(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Typed rows of one-object-per-file JSON, and findings for files that are no JSON object."""
     raw = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").select(

@@ -9,6 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpus_audit import session
+from corpus_audit.plans import load_all
+from corpus_audit.plans.registry import QUERIES
 from corpus_audit.sources import digests, files
 from corpus_audit.streaming import monitor
 
@@ -145,6 +148,26 @@ def test_rot_alerts_as_a_stream(spark, tmp_path):
     assert [(r.host, r.total, r.dead) for r in got] == [("h.cn", 3, 3)]
 
 
+def test_tree_is_written_a_file_a_row_with_its_name(spark, tmp_path):
+    docs = spark.createDataFrame([(f"{i}.txt", f"## 来源\n{i}") for i in range(40)] + [("null.txt", None)], "name string, text string").repartition(5)
+    for _ in range(2):  # a second attempt writes the same files
+        assert files.write_tree(docs, str(tmp_path / "a b/t")) == 41
+        found = {p.name: p.read_text(encoding="utf-8") for p in (tmp_path / "a b/t").iterdir()}
+        assert found == {**{f"{i}.txt": f"## 来源\n{i}\n" for i in range(40)}, "null.txt": "\n"}
+    assert files.write_tree(docs.limit(0), str(tmp_path / "none")) == 0
+    assert list((tmp_path / "none").iterdir()) == []
+
+
+def test_pages_of_the_intake_land_under_their_ids(spark, tmp_path, monkeypatch):
+    load_all()
+    pages = [(i, f"http://h{i}.cn/x", f'<a href="/{i}">a</a><a href="/b">b</a>') for i in (*range(7), None)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path / "shared"))
+    got = QUERIES["k3_new_documents"](spark, str(tmp_path)).collect()
+    assert sorted(p.name for p in tmp_path.glob("shared/intake-*/pages/*")) == sorted([*(f"{i}.txt" for i in range(7)), "null.txt"])
+    assert {r.url: r.n_refs for r in got}["http://h3.cn/b"] == 1
+
+
 def test_new_documents_are_taken_once(spark, tmp_path):
     folder = tmp_path / "docs"
     folder.mkdir()
