@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import os
+import re
+import string
 import unicodedata
 from array import array
+from codecs import charmap_decode
 
 MAX_WORDS = 500_000
+_PUNCTUATION = string.punctuation.encode()
+#: letters of U+00C0 to U+017F beside ASCII ones: stable under NFC, one character in lower case (so not U+0130)
+_latin = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ſ]+").fullmatch
 
 
 class _Words(dict):
@@ -16,36 +22,48 @@ class _Words(dict):
         from tokenizers import pre_tokenizers
 
         super().__init__()
-        self.tokenizer, self.limit = tokenizer, limit
+        self.tokenizer, self.model, self.limit = tokenizer, tokenizer.model, limit
         self.bytelevel = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # the byte-level character of each byte that those letters have in UTF-8
+        self.alphabet = list(map(chr, range(128))) + ["\ufffe"] * 128
+        for letter in map(chr, range(0xC0, 0x180)):
+            for byte, c in zip(letter.encode(), self.bytelevel.pre_tokenize_str(letter)[0][0]):
+                self.alphabet[byte] = c
+        self.alphabet = "".join(self.alphabet)
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.limit:
             self.clear()
-        core = word.rstrip(b".,")
-        if len(core) not in (0, len(word)) and self._closed(core):
-            ids = self[core] + self[word[len(core) :]]
-        else:
-            ids = array("I", self._encode(word)).tobytes()
-        self[word] = ids
+        self[word] = ids = self._ids(word)
         return ids
 
-    def _closed(self, core: bytes) -> bool:
-        """Does it end in a letter or digit, so that the punctuation behind it is a pre-token of its own?"""
-        if core[-1:].isalnum():
-            return True
-        last = self.tokenizer.normalizer.normalize_str(core.decode())[-1:]
-        return last.isalpha() or last.isdecimal()
-
-    def _encode(self, word: bytes) -> list[int]:
+    def _ids(self, word: bytes) -> bytes:
         if word.isalpha():  # ASCII letters alone: one pre-token, to which normalisation only does the lower case
-            return [t.id for t in self.tokenizer.model.tokenize(word.lower().decode())]
+            low = word.lower()
+            return self._pieces(word.decode()) if low == word else self[low]
+        if b"<|" not in word:  # where no special token ends in the punctuation
+            core = word.rstrip(_PUNCTUATION)
+            if len(core) not in (0, len(word)) and self._closed(core):
+                return self[core] + self[word[len(core) :]]
         text = word.decode()
+        if _latin(text):
+            low = text.lower()
+            return self._pieces(charmap_decode(word, "strict", self.alphabet)[0]) if low == text else self[low.encode()]
         if text.isalpha() and unicodedata.is_normalized("NFC", text):
             text = self.tokenizer.normalizer.normalize_str(text)
             if text.isalpha():  # still one pre-token
-                return [t.id for t in self.tokenizer.model.tokenize(self.bytelevel.pre_tokenize_str(text)[0][0])]
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+                return self._pieces(self.bytelevel.pre_tokenize_str(text)[0][0])
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _pieces(self, token: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(token)]).tobytes()
+
+    def _closed(self, core: bytes) -> bool:
+        """Does it end in a letter or digit, so that the punctuation behind it is a pre-token of its own?"""
+        if core[-1:].isalnum() or _latin(core.decode()):
+            return True
+        last = self.tokenizer.normalizer.normalize_str(core.decode())[-1:]
+        return last.isalpha() or last.isdecimal()
 
 
 class WordEncoder:
