@@ -10,8 +10,8 @@ at least similarity ** LEVELS.
 
 All trees go down together, a written table of (path, set) per step, so a lost executor costs one step.  Equal sets are one
 set.  Each step first compares every set with the nearest centre of its nodes; sets whose links lead to the same centre are
-one group, and only pairs between groups are left to decide, so many near copies are settled by their centres and
-never expanded to pairs.  The links of all steps make the components in the end.  A pair is dropped without its texts when sizes or the parities of 1,024 hash classes prove too many
+one group, and only pairs between groups are left to decide, so many near copies are settled by their centres, the others
+by a spanning forest of the node's pairs, and never expanded to pairs.  The links of all steps make the components in the end.  A pair is dropped without its texts when sizes or the parities of hash classes prove too many
 differences; every other pair is verified on the full sets.
 """
 
@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpus_audit.llm.common import keyed_texts, sliced, stash, text_bytes
-from corpus_audit.llm.jaccard import CLASSES, Shingler, _Links, _mixed, _node, exhaustive, stars, undecided
+from corpus_audit.llm.jaccard import MEMBERS, Shingler, _Links, _mixed, _node, parity_of, stars, undecided
 
 #: levels that the recall is reckoned over, levels of a later step
 LEVELS, STEP = 3, 2
-#: a node is small with so many pairs left to decide, and so many sets: what one task compares at once
-SMALL, MEMBERS = 1 << 21, 1 << 16
+#: a node is small with so many pairs left to decide (and ``MEMBERS`` sets): what one task compares at once
+SMALL = 1 << 21
 _P, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -76,7 +76,6 @@ def described(docs: DataFrame, words: int, share: int, trees: int) -> DataFrame:
         shingles, choose, start = Shingler(words), Chooser(share), roots(trees)
         for batch in sliced(batches):
             sets = [shingles(t) for t in text_bytes(batch.column(1))]
-            odd = [np.bincount((s >> np.uint64(8)).astype(np.int64) % CLASSES, minlength=CLASSES).astype(np.uint8) & 1 for s in sets]
             paths = [choose.down(s, start).view(np.int64) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -84,7 +83,7 @@ def described(docs: DataFrame, words: int, share: int, trees: int) -> DataFrame:
                     batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([np.packbits(x).view(np.int64) for x in odd], pa.list_(pa.int64())),
+                    pa.array([parity_of(s) for s in sets], pa.list_(pa.int64())),
                     pa.array(paths, pa.list_(pa.int64())),
                 ],
                 ["doc_id", "text_hash", "n", "node", "parity", "paths"],
@@ -134,7 +133,7 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> D
         left = links.known(members)
         left = stash(left.join(undecided(left, "path"), "path"), "undecided")
         few = (F.col("pairs") <= SMALL) & (F.col("m") <= MEMBERS)
-        links.every(exhaustive(left.where(few), "path", nodes, share))
+        links.settle(left.where(few), "path")
         large = stash(left.where(~few).select("path", "node", "n"), "large")
         if large.isEmpty():
             break

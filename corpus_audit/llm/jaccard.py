@@ -12,8 +12,11 @@ signature is made once for every two of those.
 
 Equal sets are one node.  Nodes that share a signature form a bucket; a bucket emits no pairs but a star: its smallest
 member against the others.  Each member first meets the centre with which it shares most buckets; members whose links lead
-to the same centre are one group, and only buckets that still hold members of different groups go on.  Those with at most ``SMALL`` pairs left are compared inside one
-task, which emits the pairs that sizes and parities of 1,024 hash classes do not rule out.  The members of larger ones
+to the same centre are one group, and only buckets that still hold members of different groups go on.  Those with at most
+``SMALL`` pairs left are compared inside one task, which emits the pairs that sizes and parities of hash classes (1,024, or
+as many as the set has elements) do not rule out.  A bucket with more than ``DENSE`` pairs left first emits a spanning
+forest of them, the most similar first: its links make components, and only pairs between those are left, so that near
+copies that miss their centre are not expanded to pairs either.  The members of larger ones
 are signed again on the second level: fewer partitions, each cut into ``FINER`` parts, of which all but ``SPARED`` agree in
 some partition, so that unlike sets part.  A bucket that is still large there is cut into slices, and each two
 slices meet in a task of their own; nothing is dropped.  Every pair that is emitted is verified on the sets.
@@ -36,8 +39,10 @@ from corpus_audit.llm.components import connected_components
 from corpus_audit.scale import broadcast_if_small
 
 MAX_WORDS, CLASSES = 500_000, 1024
-#: pairs that a bucket may have left to be compared in one task, members of a slice of a larger one
-SMALL, SLICE = 65_536, 512
+#: pairs and members that a bucket may have left to be compared in one task, members of a slice of a larger one
+SMALL, MEMBERS, SLICE = 1 << 21, 1 << 16, 512
+#: pairs left from which on a bucket gives a spanning forest before its pairs
+DENSE = 1024
 SPARSE = 1
 #: second level: parts of a partition, and how many of them may differ
 FINER, SPARED = 8, 3
@@ -160,25 +165,33 @@ def _node(elements: np.ndarray) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def parity_of(elements: np.ndarray) -> np.ndarray:
+    """Parities of the elements in hash classes: 1,024, doubled until there are as many as elements.
+
+    Halves of a longer one, joined by exclusive or, are the parities of half as many classes.
+    """
+    classes = CLASSES
+    while classes < len(elements):
+        classes *= 2
+    where = (elements >> np.uint64(8)).astype(np.int64) % classes
+    return np.packbits(np.bincount(where, minlength=classes).astype(np.uint8) & 1).view(np.int64)
+
+
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, text_hash, n (set size), node (hash of the set, null when empty), parity (of 1024 hash classes)."""
+    """doc_id, text_hash, n (set size), node (hash of the set, null when empty), parity (of hash classes)."""
     rows = keyed_texts(docs).withColumn("text_hash", F.xxhash64("text"))
 
     def run(batches):
         shingles = Shingler(words)
         for batch in sliced(batches):
             sets = [shingles(t) for t in text_bytes(batch.column(1))]
-            parity = [
-                np.packbits(np.bincount((s >> np.uint64(8)).astype(np.int64) % CLASSES, minlength=CLASSES).astype(np.uint8) & 1)
-                for s in sets
-            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([x.view(np.int64) for x in parity], pa.list_(pa.int64())),
+                    pa.array([parity_of(s) for s in sets], pa.list_(pa.int64())),
                 ],
                 ["doc_id", "text_hash", "n", "node", "parity"],
             )
@@ -235,9 +248,14 @@ def _promising(pairs: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
     """Pairs (a, b, ...) that neither their sizes nor their parities rule out."""
     side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"), F.col("parity").alias(f"{s}_parity"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    odd = F.aggregate(
-        F.zip_with("a_parity", "b_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
-    )
+    width = F.least(F.size("a_parity"), F.size("b_parity"))  # sets of sizes that may link differ by one doubling at most
+
+    def halved(c):
+        half = F.zip_with(F.slice(c, F.lit(1), width), F.slice(c, width + 1, width), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(c) > width, half).otherwise(F.col(c))
+
+    odd = F.zip_with(halved("a_parity"), halved("b_parity"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    odd = F.aggregate(odd, F.lit(0), lambda total, x: total + x)
     n = F.col("a_n") + F.col("b_n")
     sizes = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * share
     return both.where(sizes & (odd * (100 + share) <= n * (100 - share))).select(*pairs.columns)
@@ -303,7 +321,7 @@ class _Links:
     def __init__(self, docs: DataFrame, nodes: DataFrame, words: int, share: int):
         self.docs, self.nodes, self.words, self.share = docs, nodes, words, share
         self.texts = self.labels = None
-        self.near, self.others = [], []
+        self.near, self.others, self.joined = [], [], False
 
     def fetch(self, asked: DataFrame) -> None:
         """Make sure that ``texts`` holds the texts of the nodes asked for, each once."""
@@ -322,7 +340,20 @@ class _Links:
         """Find links among ``pairs`` (a, b, shared) with a < b: only the most promising of each b is looked at."""
         nearest = F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")
         self.near.append(self.verified(_promising(pairs, self.nodes, self.share).groupBy("b").agg(nearest).select("a", "b")))
-        self.labels = stash(pointers(reduce(DataFrame.unionByName, self.near)), "pointers")
+        if self.joined:  # pointers know less than the labels did
+            self.labels = self.components()
+        else:
+            self.labels = stash(pointers(reduce(DataFrame.unionByName, self.near)), "pointers")
+
+    def settle(self, left: DataFrame, key: str) -> None:
+        """Find all links inside the groups ``left`` (key, node, component, pairs), those of many pairs by a forest first."""
+        self.every(exhaustive(left, key, self.nodes, self.share, forest=True))
+        dense = left.where(F.col("pairs") > DENSE).select(key, "node")
+        if dense.isEmpty():
+            return
+        self.labels, self.joined = self.components(), True
+        again = self.known(dense)
+        self.every(exhaustive(stash(again.join(undecided(again, key), key), "again"), key, self.nodes, self.share))
 
     def every(self, pairs: DataFrame) -> None:
         """Find all links among ``pairs`` (a, b)."""
@@ -352,43 +383,121 @@ def stars(members: DataFrame, key: str, share: int) -> DataFrame:
     return star.groupBy(F.col("c.node").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
 
 
-def exhaustive(members: DataFrame, key: str, nodes: DataFrame, share: int) -> DataFrame:
+class _Parities:
+    """Parities of the members of a group, of one width or of several."""
+
+    def __init__(self, values: np.ndarray, offsets: np.ndarray):
+        self.width = offsets[1:] - offsets[:-1]
+        own = int(self.width[0])
+        self.one = values.reshape(-1, own) if (self.width == own).all() else None
+        if self.one is None:
+            self.place, self.whole, self.half = np.zeros(len(self.width), np.int64), {}, {}
+            for w in np.unique(self.width):
+                at = np.flatnonzero(self.width == w)
+                self.place[at] = np.arange(len(at))
+                self.whole[w] = whole = np.stack([values[offsets[k] : offsets[k + 1]] for k in at])
+                self.half[w] = whole[:, : w // 2] ^ whole[:, w // 2 :]
+
+    def odd(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Classes in which i and each of j differ, of as many as the narrower has; widths differ by one doubling at most."""
+        if self.one is not None:
+            return np.bitwise_count(self.one[j] ^ self.one[i]).sum(1).astype(np.int64)
+        out, own, at = np.zeros(len(j), np.int64), self.width[i], self.place[i]
+        for w in np.unique(self.width[j]):
+            which = np.flatnonzero(self.width[j] == w)
+            others = (self.half if w > own else self.whole)[w][self.place[j[which]]]
+            out[which] = np.bitwise_count(others ^ (self.half if w < own else self.whole)[own][at]).sum(1)
+        return out
+
+
+def _forest(component: np.ndarray, i: np.ndarray, j: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The places of edges (i, j) that span what they connect between components, the lightest first (Boruvka's steps)."""
+    kinds, label = np.unique(component, return_inverse=True)
+    at, taken = np.argsort(weight, kind="stable"), []
+    while True:
+        u, v = label[i[at]], label[j[at]]
+        at, u, v = at[u != v], u[u != v], v[u != v]
+        if not len(at):
+            return np.array(taken, np.int64)
+        first = np.full(len(kinds), len(at))
+        np.minimum.at(first, u, np.arange(len(at)))
+        np.minimum.at(first, v, np.arange(len(at)))
+        root = list(range(len(kinds)))
+
+        def top(x):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for k in np.unique(first[first < len(at)]):
+            x, y = top(u[k]), top(v[k])
+            if x != y:
+                root[x] = y
+                taken.append(at[k])
+        label = np.array([top(x) for x in range(len(kinds))])[label]
+
+
+def exhaustive(members: DataFrame, key: str, nodes: DataFrame, share: int, forest: bool = False) -> DataFrame:
     """(a, b) between components of a group that neither sizes nor parities rule out; compared inside the group's task.
 
     ``members`` (key, node, component, and optionally side) are groups of bounded size; with sides only members of
-    different sides meet, or all where the group has one side.
+    different sides meet, or all where the group has one side.  With ``forest`` (and ``pairs``, those of the group), a
+    group of more than ``DENSE`` pairs gives only a spanning forest of them.
     """
     extra = ["side"] if "side" in members.columns else []
+    extra += [F.coalesce(F.col("pairs") > DENSE, F.lit(False)).alias("dense")] if forest else []
     rows = members.select(F.col(key).alias("key"), "component", "node", *extra).join(nodes.select("node", "n", "parity"), "node")
-    rows = rows.select("key", "node", "component", "n", "parity", *extra).repartition("key").sortWithinPartitions("key")
+    rows = rows.repartition("key").sortWithinPartitions("key")
+    has_sides = "side" in members.columns
 
-    def pairs(node, component, n, parity, side):
-        out = []
+    def pairs(node, component, n, parity, side, dense):
         apart = side is not None and (side != side[0]).any()
-        for i in range(len(node) - 1):
-            other = component[i + 1 :] != component[i]
+        last = len(node) - 1
+        if last > 32:  # the largest component comes last: its members need not meet each other
+            _, kind, sizes = np.unique(component, return_inverse=True, return_counts=True)
+            order = np.argsort(sizes[kind] * len(sizes) + kind, kind="stable")
+            last = min(last, len(node) - int(sizes.max()))
+        else:
+            order = np.arange(len(node))
+        found = []
+        for at in range(last):
+            i, j = order[at], order[at + 1 :]
+            other = component[j] != component[i]
             if apart:
-                other &= side[i + 1 :] != side[i]
-            j = np.flatnonzero(other) + i + 1
+                other &= side[j] != side[i]
+            j = j[other]
             j = j[np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * share]
-            odd = np.bitwise_count(parity[j] ^ parity[i]).sum(1).astype(np.int64)
-            j = j[odd * (100 + share) <= (n[j] + n[i]) * (100 - share)]
-            out += [(min(node[i], node[k]), max(node[i], node[k])) for k in j]
-        return out
+            if not len(j):
+                continue
+            odd, both = parity.odd(i, j), n[j] + n[i]
+            near = odd * (100 + share) <= both * (100 - share)
+            if near.any():
+                found.append((np.full(int(near.sum()), i), j[near], odd[near] / both[near]))
+        if not found:
+            return []
+        i, j, weight = (np.concatenate(x) for x in zip(*found))
+        if dense:
+            kept = _forest(component, i, j, weight)
+            i, j = i[kept], j[kept]
+        return zip(np.minimum(node[i], node[j]).tolist(), np.maximum(node[i], node[j]).tolist())
 
     def emit(whole):
         if not whole.num_rows:
             return
         key, node, component, n = (whole.column(c).to_numpy() for c in ("key", "node", "component", "n"))
-        side = whole.column("side").to_numpy() if extra else None
-        parity = whole.column("parity").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(key), -1)
+        side = whole.column("side").to_numpy() if has_sides else None
+        dense = whole.column("dense").to_numpy() if forest else None
+        lists = whole.column("parity").combine_chunks()
+        values, offsets = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy().astype(np.int64)
         cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]
         for start in range(0, len(cuts) - 1, 256):
             found = set()
             for x, y in zip(cuts[start : start + 256], cuts[start + 1 : start + 257]):
-                found.update(pairs(node[x:y], component[x:y], n[x:y], parity[x:y], None if side is None else side[x:y]))
+                parity = _Parities(values[offsets[x] : offsets[y]], offsets[x : y + 1] - offsets[x])
+                own = None if side is None else side[x:y]
+                found.update(pairs(node[x:y], component[x:y], n[x:y], parity, own, forest and dense[x]))
             found = sorted(found)
-            yield pa.RecordBatch.from_pydict({c: pa.array([int(p[k]) for p in found], pa.int64()) for k, c in enumerate("ab")})
+            yield pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in found], pa.int64()) for k, c in enumerate("ab")})
 
     def run(batches):
         held = None  # the rows of the last key go on with the next batch
@@ -443,8 +552,9 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> D
             links.nearest(stars(links.known(members).join(sizes, "node"), "sig", share))
         left = links.known(members)
         left = stash(_thinned(left.join(undecided(left, "sig"), "sig")), "open")
-        links.every(exhaustive(left.where(F.col("pairs") <= SMALL), "sig", nodes, share))
-        large = left.where(F.col("pairs") > SMALL)
+        few = (F.col("pairs") <= SMALL) & (F.col("m") <= MEMBERS)
+        links.settle(left.where(few), "sig")
+        large = left.where(~few)
         if level:
             links.every(exhaustive(_sliced(large), "path", nodes, share))
             break
