@@ -78,3 +78,26 @@ def test_reference_parsing(spark):
     assert got == [
         ("a/b.pdf", "valid"), ("a/../b", "invalid:path-escape"), (None, "skipped-placeholder"), ("x/secret.pdf", "invalid:sensitive"), ("a/b", "valid"),
     ]
+
+
+def test_blanks_are_stripped_without_a_regex_and_lines_split_at_every_boundary(spark):
+    blank = r"(?U)[\s\x1c-\x1f]"
+    codes = [c for c in range(1, 0x11000) if not 0xD800 <= c <= 0xDFFF]
+    rows = [(" " + chr(c) + "\u3000a" + chr(c) + "b\u2028" + chr(c),) for c in codes] + [("",), (" \t",), (None,), ("a\nb\n",), ("a\r\nb\rc\n\n",)]
+    df = spark.createDataFrame(rows, "t string").select(
+        "t", tx.strip_ws("t").alias("s"), tx.squeeze("t").alias("q"), tx.display_lines("t").alias("l")
+    )
+    assert "regexp_replace" not in df.select("s")._jdf.queryExecution().optimizedPlan().toString()
+    parts = F.split("t", tx.LINE_BREAKS, -1)
+    lines = F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    other = ~(
+        F.col("s").eqNullSafe(F.regexp_replace("t", rf"^{blank}+|{blank}+\z", ""))
+        & F.col("q").eqNullSafe(F.regexp_replace("t", blank + "+", "")) & F.col("l").eqNullSafe(lines)
+    )
+    assert df.where(other).collect() == []
+
+
+def test_of_repeated_keys_one_is_kept(spark):
+    rows = [("---\na: 1\nb: 2\na: 3\n---\n| k | 1 |\n| k | 2 |\n| j | 3 |\n",), ("---\na: 1\nb: 2\n---\n| k | 1 |\n| j | 3 |\n",)]
+    got = spark.createDataFrame(rows, "t string").select(tx.parse_frontmatter("t").alias("f"), tx.table_fields("t").alias("g")).collect()
+    assert [(r.f, r.g) for r in got] == [({"b": "2", "a": "3"}, {"k": "1", "j": "3"}), ({"a": "1", "b": "2"}, {"k": "1", "j": "3"})]
