@@ -397,18 +397,37 @@ def ordered_list_equal(model: DataFrame, page: DataFrame, page_state: DataFrame,
     """Ordered titles of a model against a second source, whitespace aside.
 
     ``model(key, pos, title)``, ``page(key, pos, title)``, ``page_state(key, has_table)``: no table = not judged,
-    table without readable rows = finding, else every position must agree.
+    table without readable rows = finding, else every position must agree.  A position that repeats is compared in
+    every pair of its titles, reckoned from the counts of equal ones.
+
+    Titles and tables are rows of one union, so all is settled by aggregates and sides dealt by ``key`` are not shuffled again.
     """
-    tabled = page_state.filter("has_table").select(key).distinct()
-    readable = page.select(key).distinct()
-    broken = tabled.join(readable, key, "left_anti")
-    m = model.select(key, "pos", tx.squeeze("title").alias("_m"))
-    p = page.select(key, "pos", tx.squeeze("title").alias("_p"))
-    differs = m.join(p, [key, "pos"], "full").filter(~F.col("_m").eqNullSafe(F.col("_p"))).join(readable, key, "left_semi")
-    first = differs.groupBy(key).agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n"))
-    return as_findings(broken, "model", "page_table_unreadable", F.col(key), "").unionByName(
-        as_findings(first, "model", "titles_differ", F.col(key), F.col("n"), locator=F.col("pos"))
+
+    def side(titles: DataFrame, of_model: int) -> DataFrame:
+        return titles.select(
+            key, "pos", tx.squeeze("title").alias("_t"), F.lit(of_model).alias("_m"), F.lit(1 - of_model).alias("_p"), F.lit(False).alias("_table")
+        )
+
+    tables = page_state.filter("has_table").select(
+        key, F.lit(None).cast(model.schema["pos"].dataType).alias("pos"), F.lit(None).cast("string").alias("_t"),
+        F.lit(0).alias("_m"), F.lit(0).alias("_p"), F.lit(True).alias("_table"),
+    )
+    rows = side(model, 1).unionByName(side(page, 0)).unionByName(tables)
+    titles = rows.groupBy(key, "pos", "_t").agg(F.sum("_m").alias("_m"), F.sum("_p").alias("_p"), F.bool_or("_table").alias("_table"))
+    blank = lambda c: F.sum(F.when(F.col("_t").isNull(), F.col(c)).otherwise(0))
+    places = titles.groupBy(key, "pos").agg(
+        F.sum("_m").alias("_m"), F.sum("_p").alias("_p"), F.sum(F.col("_m") * F.col("_p")).alias("_same"),
+        (blank("_m") + blank("_p")).alias("_blank"), F.bool_or("_table").alias("_table"),
+    )
+    met = F.col("pos").isNotNull() & (F.col("_m") > 0) & (F.col("_p") > 0)
+    places = places.withColumn("_n", F.when(met, F.col("_m") * F.col("_p") - F.col("_same")).otherwise(F.col("_m") + F.col("_p") - F.col("_blank")))
+    first = places.groupBy(key).agg(
+        F.min(F.when(F.col("_n") > 0, F.col("pos"))).alias("pos"), F.sum("_n").alias("n"), F.sum("_p").alias("_p"), F.bool_or("_table").alias("_table")
     )
+    readable = F.col(key).isNotNull() & (F.col("_p") > 0)
+    rules = [("page_table_unreadable", F.col("_table") & ~readable, ""), ("titles_differ", readable & (F.col("n") > 0), F.col("n"))]
+    found = rule_findings(first, "model", F.col(key), rules, locator=F.col("pos"))
+    return found.withColumn("locator", F.when(F.col("rule") == "titles_differ", F.col("locator")))
 
 
 def key_clash(units: DataFrame, keys: list[str], slug: str, locator: str) -> DataFrame:

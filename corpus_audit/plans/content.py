@@ -9,6 +9,7 @@ from corpus_audit.operators import content as ops
 from corpus_audit.operators import reach
 from corpus_audit.plans import inputs
 from corpus_audit.plans.registry import query, table, wide
+from corpus_audit.scale import dealt, leaf_bytes
 
 def _grams(id_col: str, name: str) -> str:
     return SQUEEZED_GRAMS.replace("{id}", id_col).replace("{t}", name)
@@ -755,7 +756,9 @@ def plan_contents(spark, sf):
         F.when(gap, reach.NAMED_GAP).otherwise("planned").alias("status"), F.concat(F.lit("影响"), k, F.lit("。")).alias("gap_impact"),
         F.concat(F.lit("证据"), k, F.lit("。")).alias("next_evidence"), F.array(*map(F.lit, ("基础", "标准", "强化"))).alias("tiers"),
     )
-    return table(spark, sf, "orders").select(
+    # shuffled as orders, not as the texts made of them; a plan has about four times the bytes that an order's shuffle is reckoned for
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return dealt(orders, "o_orderkey", size=4 * leaf_bytes(orders)).select(
         F.col("o_orderkey").alias("entity"), "o_custkey", F.array(*[stage(i, n) for i, n in enumerate(ops.STAGES, 1)]).alias("stage_plan"),
         F.array(F.struct(F.concat(F.lit("st"), k).alias("block_id"), F.concat(F.lit(" 策略"), k, F.lit("。\n")).alias("text_md"))).alias("strategies"), schedule.alias("schedule"),
     )

@@ -11,6 +11,7 @@ from corpus_audit.operators import structure
 from corpus_audit.plans import inputs
 from corpus_audit.plans import structure as sp
 from corpus_audit.plans.registry import query, table
+from corpus_audit.scale import dealt
 
 KEYS = ["doc_id", "idx", "title"]
 KEYS_SQL = "doc_id, idx, title"
@@ -328,7 +329,8 @@ SELECT 'titles_differ', coalesce(m.l_orderkey, p.l_orderkey)::VARCHAR, min(coale
 )
 def ordered_list_equal(spark, sf):
     # one row per (order, line number), and line numbers run from 1 to 7, so the window of an order is bounded
-    lines = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("pk"))
+    items = dealt(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_orderkey")
+    lines = items.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("pk"))
     n = lines.withColumn("pos", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber")).cast("bigint"))
     pk = F.col("pk").cast("string")
     model = n.select("l_orderkey", "pos", F.concat(F.lit("第"), pk, F.lit("章")).alias("title"))
